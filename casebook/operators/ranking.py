@@ -59,9 +59,9 @@ def top_with_ties(df: DataFrame, measure: str, keys: Sequence[str] = (), largest
     best = df.groupBy(*keys).agg(agg(measure).alias("_best"))
     if not keys:
         return df.join(F.broadcast(best), df[measure] == best["_best"]).drop("_best")
-    cond = [df[k].eqNullSafe(best[k]) for k in keys] + [df[measure] == best["_best"]]
-    out = df.join(best, cond)
-    return out.select(*[df[c] for c in df.columns])
+    best = best.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_best")
+    cond = [df[k].eqNullSafe(best[f"_k_{k}"]) for k in keys] + [df[measure] == best["_best"]]
+    return df.join(best, cond).select(*df.columns)
 
 
 def rank_by_histogram(df: DataFrame, keys: Sequence[str], order_col: str, out: str) -> DataFrame:
@@ -74,10 +74,11 @@ def rank_by_histogram(df: DataFrame, keys: Sequence[str], order_col: str, out: s
     """
     hist = df.groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn(out, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("int")).drop("_n")
-    cond = [df[k].eqNullSafe(hist[k]) for k in [*keys, order_col]]
-    joined = df.join(hist, cond, "left")
-    return joined.select(*[df[c] for c in df.columns], hist[out])
+    hist = hist.withColumn(out, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("int"))
+    on = [*keys, order_col]
+    hist = hist.select(*[F.col(k).alias(f"_k_{k}") for k in on], out)
+    cond = [df[k].eqNullSafe(hist[f"_k_{k}"]) for k in on]
+    return df.join(hist, cond, "left").select(*df.columns, out)
 
 
 def dense_index(df: DataFrame, col: str, out: str, partitions: int | None = None) -> DataFrame:

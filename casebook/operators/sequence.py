@@ -27,6 +27,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,15 @@ _LAST = "_seq_is_last"
 _FIRST_RUN = "_seq_first_run"
 _RN = "_seq_rn"
 
+# Local passes persisted by ``along`` (see ``release``).
+_PERSISTED: list[DataFrame] = []
+
+
+def release() -> None:
+    """Unpersist the local passes kept by earlier ``along`` calls."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
 
 def along(
     df: DataFrame,
@@ -107,44 +117,50 @@ def _along_split(df, keys, order, lead, lag, row_number, partitions):
     def local(batches):
         yield from local_neighbours(batches, keys, lead_src, lag_src)
 
-    local_df = sorted_df.mapInPandas(local, out_schema)
+    # The rows and the per-partition summary must come from one evaluation
+    # of one range exchange: two exchanges sample their bounds separately and
+    # may cut the data differently. The local pass is therefore persisted;
+    # a lost block is recomputed through the same exchange (same bounds).
+    local_df = sorted_df.mapInPandas(local, out_schema).persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(local_df)
 
-    # -- per-partition summary (JVM aggregates over the same exchange) ------
+    # -- per-partition summary: the first and the last row of each partition
     key_struct = F.struct(*[F.col(k) for k in keys])
-    ord_struct = F.struct(*[F.col(c) for c in [*keys, *order]])
-    ends = sorted_df.groupBy(_PID).agg(
-        F.min_by(F.struct(key_struct.alias("k"), *[F.col(c) for c in lead_src]), ord_struct).alias("first"),
-        F.max_by(F.struct(key_struct.alias("k"), *[F.col(c) for c in lag_src]), ord_struct).alias("last"),
+    firsts = local_df.filter(F.col(_FIRST)).select(
+        _PID, F.struct(key_struct.alias("k"), *[F.col(c) for c in lead_src]).alias("first")
     )
-    last_keys = ends.select(_PID, F.col("last.k").alias("_lk"))
-    last_runs = (
-        sorted_df.join(F.broadcast(last_keys), _PID)
-        .filter(key_struct == F.col("_lk"))
-        .groupBy(_PID)
-        .agg(F.count(F.lit(1)).alias("last_run_n"))
+    lasts = local_df.filter(F.col(_LAST)).select(
+        _PID,
+        F.struct(key_struct.alias("k"), *[F.col(c) for c in lag_src]).alias("last"),
+        F.col(_RN).alias("last_run_n"),
     )
-    summary = ends.join(last_runs, _PID)
+    summary = firsts.join(lasts, _PID)
 
     # One row per non-empty partition: the window below is bounded by the
     # partition count.
     wp = Window.orderBy(_PID)
+    # A chain is a run of partitions sharing one last key K: its first member
+    # may start K midway, every later member holds nothing but K. Within a
+    # chain the running sum of last-run sizes counts K's rows so far, and a
+    # partition starting with K continues from its predecessor's count.
+    pure = F.col("first.k") == F.col("last.k")
     summary = (
         summary.withColumn("next_first", F.lead("first").over(wp))
         .withColumn("prev_last", F.lag("last").over(wp))
-        .withColumn("_brk", F.when(F.col("prev_last.k") == F.col("first.k"), F.lit(0)).otherwise(F.lit(1)))
-        .withColumn("_grp", F.sum("_brk").over(wp.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn(
+            "_brk",
+            F.when(pure & F.coalesce(F.col("prev_last.k") == F.col("last.k"), F.lit(False)), F.lit(0)).otherwise(F.lit(1)),
+        )
+        .withColumn("_chain", F.sum("_brk").over(wp.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn(
+            "_upto",
+            F.sum("last_run_n").over(Window.partitionBy("_chain").orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)),
+        )
+        .withColumn("_prev_upto", F.lag("_upto").over(wp))
     )
-    # A chain of partitions continuing one key: every member before p is
-    # either all of that key or ends with it, so the rows of p's first key
-    # seen before p are the earlier members' last runs.
     summary = summary.withColumn(
         "rn_offset",
-        F.coalesce(
-            F.sum("last_run_n").over(
-                Window.partitionBy("_grp").orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
+        F.when(F.coalesce(F.col("prev_last.k") == F.col("first.k"), F.lit(False)), F.col("_prev_upto")).otherwise(F.lit(0)),
     )
     fixes = summary.select(
         _PID,
@@ -178,7 +194,7 @@ def _same_key(frame: pd.DataFrame, keys, shift: int) -> np.ndarray:
 
 
 def _nullable(series: pd.Series) -> pd.Series:
-    if pd.api.types.is_integer_dtype(series.dtype) and not isinstance(series.dtype, pd.ExtensionDtype):
+    if pd.api.types.is_integer_dtype(series.dtype) and not pd.api.types.is_extension_array_dtype(series.dtype):
         return series.astype("Int64")
     if pd.api.types.is_bool_dtype(series.dtype):
         return series.astype("boolean")

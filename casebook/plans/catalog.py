@@ -11,8 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casebook.plans import loyalty
+from casebook.plans import delivery, ingredients, loyalty, payments, pricing, subscriptions
+from casebook.sources import fixtures
 from casebook.sources import views as V
 from casebook.sources.tables import Tables
 
@@ -28,6 +30,10 @@ SNAPSHOT_AT = "2024-01-15"       # J50 snapshot instant
 UPGRADE_YEAR = 2024              # J51 year of the plan before the upgrade
 HIST_WIDTH, HIST_BUCKETS = 10, 3  # J53: 0-30 days in 10-day buckets
 PAYMENT_HORIZON = "1998-12-31"   # J55 horizon
+# The product types shown as columns by J19, and the product
+# appended by J43 (name and recipe as in the case study).
+PRODUCT_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+NEW_PRODUCT = (fixtures.NEW_PIZZA_NAME_ROW[1], fixtures.NEW_PIZZA_RECIPE_ROW[1])
 
 
 def register(name: str):
@@ -43,3 +49,349 @@ def register(name: str):
 def _j01(spark, sf):
     t = Tables(spark, sf)
     return loyalty.spend_per_customer(V.sales_v(t), V.menu_v(t))
+
+
+@register("visit_days")
+def _j02(spark, sf):
+    return loyalty.visit_days(V.sales_v(Tables(spark, sf)))
+
+
+@register("first_item")
+def _j03(spark, sf):
+    t = Tables(spark, sf)
+    return loyalty.first_item(V.sales_v(t), V.menu_v(t))
+
+
+@register("top_item")
+def _j04(spark, sf):
+    t = Tables(spark, sf)
+    return loyalty.top_item(V.sales_v(t), V.menu_v(t))
+
+
+@register("favourite_item")
+def _j05(spark, sf):
+    t = Tables(spark, sf)
+    return loyalty.favourite_item(V.sales_v(t), V.menu_v(t))
+
+
+@register("first_after_join")
+def _j06(spark, sf):
+    t = Tables(spark, sf)
+    return loyalty.first_after_join(V.sales_v(t), V.menu_v(t), V.members_v(t))
+
+
+@register("last_before_join")
+def _j07(spark, sf):
+    t = Tables(spark, sf)
+    return loyalty.last_before_join(V.sales_v(t), V.menu_v(t), V.members_v(t))
+
+
+@register("pre_join_totals")
+def _j08(spark, sf):
+    t = Tables(spark, sf)
+    return loyalty.pre_join_totals(V.sales_v(t), V.menu_v(t), V.members_v(t))
+
+
+@register("points")
+def _j09(spark, sf):
+    t = Tables(spark, sf)
+    return loyalty.points(V.sales_v(t), V.menu_v(t), double_item=DOUBLE_ITEM)
+
+
+@register("bonus_window_points")
+def _j10(spark, sf):
+    t = Tables(spark, sf)
+    return loyalty.bonus_window_points(
+        V.sales_v(t), V.menu_v(t), V.members_v(t), double_item=DOUBLE_ITEM, cutoff=POINTS_CUTOFF
+    )
+
+
+@register("join_all")
+def _j11(spark, sf):
+    t = Tables(spark, sf)
+    return loyalty.join_all(V.sales_v(t), V.menu_v(t), V.members_v(t))
+
+
+@register("rank_members")
+def _j12(spark, sf):
+    t = Tables(spark, sf)
+    return loyalty.rank_members(V.sales_v(t), V.menu_v(t), V.members_v(t))
+
+
+# --- cleaning and order metrics (J13-J25) -----------------------------------
+
+def _orders(t):
+    return delivery.clean_orders(V.raw_orders_v(t))
+
+
+def _deliveries(t):
+    return delivery.clean_deliveries(V.raw_deliveries_v(t))
+
+
+@register("clean_orders")
+def _j13(spark, sf):
+    return _orders(Tables(spark, sf))
+
+
+@register("clean_deliveries")
+def _j14(spark, sf):
+    return _deliveries(Tables(spark, sf))
+
+
+@register("item_count")
+def _j15(spark, sf):
+    return delivery.item_count(_orders(Tables(spark, sf)))
+
+
+@register("order_count")
+def _j16(spark, sf):
+    return delivery.order_count(_orders(Tables(spark, sf)))
+
+
+@register("success_per_runner")
+def _j17(spark, sf):
+    return delivery.success_per_runner(_deliveries(Tables(spark, sf)))
+
+
+@register("delivered_per_type")
+def _j18(spark, sf):
+    t = Tables(spark, sf)
+    return delivery.delivered_per_type(_orders(t), _deliveries(t))
+
+
+@register("type_pivot")
+def _j19(spark, sf):
+    t = Tables(spark, sf)
+    rows = V.sales_v(t).join(V.menu_v(t).select("product_id", "product_type"), "product_id")
+    return delivery.type_pivot(rows, "customer_id", "product_type", PRODUCT_TYPES)
+
+
+@register("order_sizes")
+def _j20(spark, sf):
+    return delivery.order_sizes(_orders(Tables(spark, sf)))
+
+
+@register("changed_vs_plain")
+def _j21(spark, sf):
+    t = Tables(spark, sf)
+    return delivery.changed_vs_plain(_orders(t), _deliveries(t))
+
+
+@register("both_changes")
+def _j22(spark, sf):
+    t = Tables(spark, sf)
+    return delivery.both_changes(_orders(t), _deliveries(t))
+
+
+@register("hourly_volume")
+def _j23(spark, sf):
+    e = Tables(spark, sf).events.filter(F.col("event_type") == "purchase")
+    return delivery.hourly_volume(e, "ts")
+
+
+@register("weekday_volume")
+def _j24(spark, sf):
+    return delivery.weekday_volume(_orders(Tables(spark, sf)), "order_time")
+
+
+@register("weekly_signups")
+def _j25(spark, sf):
+    e = Tables(spark, sf).events.filter(F.col("event_type") == "signup")
+    runners = e.select(F.col("user_id").alias("runner_id"), F.to_date("ts").alias("registration_date"))
+    return delivery.weekly_signups(runners)
+
+
+# --- runner performance (J26-J31) -------------------------------------------
+
+@register("pickup_minutes")
+def _j26(spark, sf):
+    t = Tables(spark, sf)
+    return delivery.pickup_minutes(_orders(t), _deliveries(t))
+
+
+@register("prep_by_order")
+def _j27(spark, sf):
+    t = Tables(spark, sf)
+    return delivery.prep_by_order(_orders(t), _deliveries(t))
+
+
+@register("mean_distance")
+def _j28(spark, sf):
+    t = Tables(spark, sf)
+    return delivery.mean_distance(_orders(t), _deliveries(t))
+
+
+@register("duration_range")
+def _j29(spark, sf):
+    return delivery.duration_range(_deliveries(Tables(spark, sf)))
+
+
+@register("delivery_speed")
+def _j30(spark, sf):
+    return delivery.delivery_speed(_deliveries(Tables(spark, sf)))
+
+
+@register("success_percent")
+def _j31(spark, sf):
+    return delivery.success_percent(_deliveries(Tables(spark, sf)))
+
+
+# --- ingredients (J32-J37, J43) ---------------------------------------------
+
+def _recipe_parts(t):
+    toppings = V.toppings_v(t)
+    return V.recipe_v(t, toppings), toppings, V.pizza_names_v(t)
+
+
+@register("standard_ingredients")
+def _j32(spark, sf):
+    recipes, toppings, names = _recipe_parts(Tables(spark, sf))
+    return ingredients.standard_ingredients(recipes, toppings, names)
+
+
+@register("top_extra")
+def _j33(spark, sf):
+    t = Tables(spark, sf)
+    return ingredients.top_extra(_orders(t), V.toppings_v(t))
+
+
+@register("top_exclusion")
+def _j34(spark, sf):
+    t = Tables(spark, sf)
+    return ingredients.top_exclusion(_orders(t), V.toppings_v(t))
+
+
+@register("order_item_label")
+def _j35(spark, sf):
+    t = Tables(spark, sf)
+    return ingredients.order_item_label(_orders(t), V.pizza_names_v(t), V.toppings_v(t))
+
+
+@register("ingredient_list")
+def _j36(spark, sf):
+    t = Tables(spark, sf)
+    recipes, toppings, names = _recipe_parts(t)
+    return ingredients.ingredient_list(_orders(t), recipes, toppings, names)
+
+
+@register("ingredient_totals")
+def _j37(spark, sf):
+    t = Tables(spark, sf)
+    recipes, _, _ = _recipe_parts(t)
+    return ingredients.ingredient_totals(_orders(t), recipes)
+
+
+@register("add_product")
+def _j43(spark, sf):
+    recipes, toppings, names = _recipe_parts(Tables(spark, sf))
+    name, text = NEW_PRODUCT
+    return ingredients.add_product(names, recipes, toppings, name, text)
+
+
+# --- money and ratings (J38-J42) --------------------------------------------
+
+def _priced_orders(t):
+    types = V.menu_v(t).select(F.col("product_id").alias("pizza_id"), "product_type")
+    return _orders(t).join(types, "pizza_id")
+
+
+def _premium():
+    return F.col("product_type") == PREMIUM_TYPE
+
+
+@register("revenue")
+def _j38(spark, sf):
+    return pricing.revenue(_priced_orders(Tables(spark, sf)), _premium())
+
+
+@register("revenue_with_extras")
+def _j39(spark, sf):
+    return pricing.revenue_with_extras(_priced_orders(Tables(spark, sf)), _premium())
+
+
+@register("ratings")
+def _j40(spark, sf):
+    return pricing.ratings(_deliveries(Tables(spark, sf)))
+
+
+@register("delivery_summary")
+def _j41(spark, sf):
+    t = Tables(spark, sf)
+    d = _deliveries(t)
+    return pricing.delivery_summary(_orders(t), d, pricing.ratings(d))
+
+
+@register("net_revenue")
+def _j42(spark, sf):
+    t = Tables(spark, sf)
+    return pricing.net_revenue(_priced_orders(t), _deliveries(t), _premium())
+
+
+# --- subscriptions (J44-J54) ------------------------------------------------
+
+SUBS_ORDER = ("start_date", "event_id")
+
+
+@register("total_customers")
+def _j44(spark, sf):
+    return subscriptions.total_customers(V.subs_v(Tables(spark, sf)))
+
+
+@register("monthly_trials")
+def _j45(spark, sf):
+    return subscriptions.monthly_trials(V.subs_v(Tables(spark, sf)))
+
+
+@register("starts_after")
+def _j46(spark, sf):
+    return subscriptions.starts_after(V.subs_v(Tables(spark, sf)), after=EVENTS_AFTER)
+
+
+@register("churn_percent")
+def _j47(spark, sf):
+    return subscriptions.churn_percent(V.subs_v(Tables(spark, sf)))
+
+
+@register("direct_churn")
+def _j48(spark, sf):
+    return subscriptions.direct_churn(V.subs_v(Tables(spark, sf)), order=SUBS_ORDER)
+
+
+@register("conversion_share")
+def _j49(spark, sf):
+    return subscriptions.conversion_share(V.subs_v(Tables(spark, sf)), order=SUBS_ORDER)
+
+
+@register("plan_snapshot")
+def _j50(spark, sf):
+    return subscriptions.plan_snapshot(V.subs_v(Tables(spark, sf)), at=SNAPSHOT_AT, order=SUBS_ORDER)
+
+
+@register("annual_upgrades")
+def _j51(spark, sf):
+    return subscriptions.annual_upgrades(V.subs_v(Tables(spark, sf)), year=UPGRADE_YEAR, order=SUBS_ORDER)
+
+
+@register("days_to_upgrade")
+def _j52(spark, sf):
+    return subscriptions.days_to_upgrade(V.subs_v(Tables(spark, sf)))
+
+
+@register("upgrade_histogram")
+def _j53(spark, sf):
+    return subscriptions.upgrade_histogram(
+        V.subs_v(Tables(spark, sf)), lo=0, hi=HIST_WIDTH * HIST_BUCKETS, buckets=HIST_BUCKETS
+    )
+
+
+@register("downgrades")
+def _j54(spark, sf):
+    return subscriptions.downgrades(V.subs_v(Tables(spark, sf)), order=SUBS_ORDER)
+
+
+# --- payment schedule (J55) -------------------------------------------------
+
+@register("payments")
+def _j55(spark, sf):
+    t = Tables(spark, sf)
+    return payments.payments(V.timeline_v(t), V.plans_v(spark), horizon=PAYMENT_HORIZON, tiebreak=("order_key",))
