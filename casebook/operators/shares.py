@@ -1,9 +1,9 @@
 """Share of a total.
 
 The source attaches a one-row total with a comma (cross) join. Here the
-one-row side gets a constant key and is broadcast, so the plan is a
-BroadcastHashJoin on a literal: no cartesian product is ever planned, and
-the broadcast side is one row by construction (a global aggregate).
+one-row aggregate becomes a scalar subquery: Spark runs it once as its own
+small job and uses the value as a constant in the outer plan, so no join
+(cartesian or otherwise) is planned and nothing but one row is moved.
 """
 
 from __future__ import annotations
@@ -13,14 +13,12 @@ from pyspark.sql import functions as F
 
 from casebook.functions._util import as_col
 
-_KEY = "_one"
-
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row aggregate to every row of ``df``."""
-    left = df.withColumn(_KEY, F.lit(1))
-    right = one_row.withColumn(_KEY, F.lit(1))
-    return left.join(F.broadcast(right), _KEY).drop(_KEY)
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*cols).alias("_s")).scalar()
+    return df.select("*", *[packed.getField(c).alias(c) for c in cols])
 
 
 def percent_of(part, total) -> Column:
