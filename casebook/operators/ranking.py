@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.functions._util import as_col
+from casebook.operators._sizing import partitions_for
 
 
 def _order_cols(order: Sequence) -> list[Column]:
@@ -90,8 +91,7 @@ def dense_index(df: DataFrame, col: str, out: str, partitions: int | None = None
     (bounded by the partition count, so it is broadcast) turns local numbers
     into global ones.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or partitions_for(df)
     values = (
         df.select(col).filter(F.col(col).isNotNull()).distinct()
         .repartitionByRange(n, col).sortWithinPartitions(col)

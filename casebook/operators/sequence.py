@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casebook.operators._sizing import partitions_for
+
 _PID = "_seq_pid"
 _FIRST = "_seq_is_first"
 _LAST = "_seq_is_last"
@@ -88,8 +90,7 @@ def _along_window(df, keys, order, lead, lag, row_number):
 # ---------------------------------------------------------------------------
 
 def _along_split(df, keys, order, lead, lag, row_number, partitions):
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or partitions_for(df)
     base_cols = df.columns
     fields = {f.name: f for f in df.schema.fields}
     lead_src = list(dict.fromkeys(lead.values()))
@@ -201,16 +202,22 @@ def _nullable(series: pd.Series) -> pd.Series:
     return series
 
 
+def _key_at(frame: pd.DataFrame, keys, i: int) -> tuple:
+    return tuple(frame[k].iat[i] for k in keys)
+
+
 def local_neighbours(batches, keys, lead_src, lag_src):
-    """Neighbours within one sorted partition, batch by batch.
+    """Neighbours within one sorted partition, batch by batch (vectorised).
 
     The last row of each batch is held back until the next batch shows its
     successor. The previous row's key, running number and lag values carry
-    across batches. Exposed for unit tests.
+    across batches, as does whether the partition's first key run is still
+    open. Exposed for unit tests.
     """
-    held = None  # one-row frame: last row of the previous batch, lead unknown
-    prev = None  # dict: key tuple, rn, lag values of the previous row
-    first_key = None
+    held = None          # one-row frame: last row of the previous batch, lead unknown
+    held_key = None
+    prev = None          # key, running number and lag values of the previous row
+    first_run_open = True
     first_emitted = False
     for batch in batches:
         if batch.empty:
@@ -218,20 +225,25 @@ def local_neighbours(batches, keys, lead_src, lag_src):
         frame = batch.reset_index(drop=True)
         for c in set(lead_src) | set(lag_src):
             frame[c] = _nullable(frame[c])
-        key_rows = list(zip(*[frame[k].tolist() for k in keys]))
-        if first_key is None:
-            first_key = key_rows[0]
+        n = len(frame)
+        key0 = _key_at(frame, keys, 0)
         same_prev = _same_key(frame, keys, 1)
-        same_prev[0] = prev is not None and prev["key"] == key_rows[0]
+        same_prev[0] = prev is not None and prev["key"] == key0
         same_next = _same_key(frame, keys, -1)
         same_next[-1] = False
         # row number: restart at each new key, continue the carried run
-        starts = ~same_prev
-        run_id = np.cumsum(starts)
-        rn = pd.Series(np.ones(len(frame), dtype=np.int64)).groupby(run_id).cumsum().to_numpy()
+        run_id = np.cumsum(~same_prev)
+        rn = pd.Series(np.ones(n, dtype=np.int64)).groupby(run_id).cumsum().to_numpy()
+        first_of_batch_run = run_id == run_id[0]
         if same_prev[0]:
-            first_run = run_id == run_id[0]
-            rn = rn + np.where(first_run, prev["rn"], 0)
+            rn = rn + np.where(first_of_batch_run, prev["rn"], 0)
+        # the partition's first key run: a prefix of the partition
+        if prev is None:
+            first_run = first_of_batch_run
+        elif first_run_open and same_prev[0]:
+            first_run = first_of_batch_run
+        else:
+            first_run = np.zeros(n, dtype=bool)
         out = frame.copy()
         for c in lead_src:
             out[f"_lead_{c}"] = frame[c].shift(-1).where(same_next, None)
@@ -241,22 +253,23 @@ def local_neighbours(batches, keys, lead_src, lag_src):
                 shifted.iloc[0] = prev["vals"][c]
             out[f"_lag_{c}"] = shifted.where(same_prev, None)
         out[_RN] = rn
-        out[_FIRST_RUN] = [kr == first_key for kr in key_rows]
+        out[_FIRST_RUN] = first_run
         out[_FIRST] = False
         out[_LAST] = False
         if not first_emitted:
             out.loc[0, _FIRST] = True
         if held is not None:
-            if held_key == key_rows[0]:
+            if held_key == key0:
                 for c in lead_src:
                     held[f"_lead_{c}"] = frame[c].iloc[:1].to_numpy()
             yield held
         first_emitted = True
-        if len(out) > 1:
+        if n > 1:
             yield out.iloc[:-1]
         held = out.iloc[-1:].copy()
-        held_key = key_rows[-1]
-        prev = {"key": key_rows[-1], "rn": int(rn[-1]), "vals": {c: frame[c].iloc[-1] for c in lag_src}}
+        held_key = _key_at(frame, keys, n - 1)
+        first_run_open = bool(first_run[-1])
+        prev = {"key": held_key, "rn": int(rn[-1]), "vals": {c: frame[c].iloc[-1] for c in lag_src}}
     if held is not None:
         held[_LAST] = True
         yield held

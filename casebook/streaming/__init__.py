@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The job catalogue has no stream, watermark, late data or stateful operator:
+every job is a batch query over complete tables. Nothing is built here that
+the catalogue does not need; a batch job of ``casebook.plans`` can be applied
+per micro-batch with ``foreachBatch`` by the caller if tables arrive as files.
+"""

@@ -168,3 +168,21 @@ def test_attach_scalars_uses_a_scalar_subquery(spark):
     assert rows(out) == [(1, 3), (2, 3)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Subquery" in plan and "Join" not in plan
+
+
+def test_sinks_append_replace_freeze(spark):
+    import tempfile
+
+    from casebook.sources import sinks
+
+    folder = tempfile.mkdtemp(prefix="casebook-sink-")
+    path = f"{folder}/names"
+    names = spark.createDataFrame([(1, "a"), (2, "b")], "pizza_id int, pizza_name string")
+    sinks.replace(names, path)
+    sinks.append(spark.createDataFrame([(3, "c")], names.schema), path)
+    assert rows(sinks.read_back(names, path)) == [(1, "a"), (2, "b"), (3, "c")]
+    sinks.replace(names, path)
+    assert rows(sinks.read_back(names, path)) == [(1, "a"), (2, "b")]
+    frozen = sinks.freeze(names.filter(F.col("pizza_id") > 1), "test")
+    assert rows(frozen) == [(2, "b")]
+    assert "FileScan parquet" in frozen._jdf.queryExecution().executedPlan().toString()
