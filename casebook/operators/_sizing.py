@@ -23,13 +23,19 @@ def scanned_bytes(df: DataFrame) -> int | None:
     """Sum of the leaf relations' sizes in the optimized plan (what the job reads).
 
     Join estimates without CBO multiply their inputs, so the leaves are a
-    steadier measure of the data volume than the root's estimate.
+    steadier measure of the data volume than the root's estimate. Leaves
+    without statistics (an RDD, a Python list) report
+    ``spark.sql.defaultSizeInBytes`` and are skipped.
     """
     try:
+        spark = df.sparkSession
+        unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
         total = 0
         while leaves.hasNext():
-            total += int(str(leaves.next().stats().sizeInBytes()))
+            size = int(str(leaves.next().stats().sizeInBytes()))
+            if size < unknown:  # a leaf without statistics reports the default: skip it
+                total += size
         return total
     except Exception:  # noqa: BLE001 - statistics are advisory only
         return None

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from casebook.functions._util import as_col
 from casebook.operators._sizing import partitions_for
+from casebook.operators.sequence import keep
 
 
 def _order_cols(order: Sequence) -> list[Column]:
@@ -98,7 +99,8 @@ def dense_index(df: DataFrame, col: str, out: str, partitions: int | None = None
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    values = values.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    # Local numbers and per-partition counts must come from one evaluation.
+    values = keep(values.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)))
     counts = values.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -45,11 +45,24 @@ _PERSISTED: list[DataFrame] = []
 
 
 def release() -> None:
-    """Unpersist the local passes kept by earlier ``along`` calls."""
+    """Unpersist the local passes kept by earlier ``along`` / ``dense_index`` calls."""
     while _PERSISTED:
         _PERSISTED.pop().unpersist()
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """Persist a range-partitioned pass that is read by more than one consumer.
+
+    Two reads of an unpersisted range exchange may be planned as two
+    exchanges that sample their bounds separately; reading one persisted
+    evaluation keeps partition ids and contents identical for every consumer
+    (a lost block is recomputed through the same partitioner).
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(kept)
+    return kept
+
+
 def along(
     df: DataFrame,
     keys: Sequence[str],
@@ -122,8 +135,7 @@ def _along_split(df, keys, order, lead, lag, row_number, partitions):
     # of one range exchange: two exchanges sample their bounds separately and
     # may cut the data differently. The local pass is therefore persisted;
     # a lost block is recomputed through the same exchange (same bounds).
-    local_df = sorted_df.mapInPandas(local, out_schema).persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(local_df)
+    local_df = keep(sorted_df.mapInPandas(local, out_schema))
 
     # -- per-partition summary: the first and the last row of each partition
     key_struct = F.struct(*[F.col(k) for k in keys])
