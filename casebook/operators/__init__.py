@@ -3,7 +3,7 @@
 from casebook.operators.calendar import expand_calendar, stepped_dates
 from casebook.operators.flags import flag_since
 from casebook.operators.intervals import state_at, state_intervals, transition
-from casebook.operators.lists import explode_list, names_text, per_distinct
+from casebook.operators.lists import explode_list, names_text, per_distinct, zip_lists
 from casebook.operators.ranking import dense_index, pick_ranked, rank_by_histogram, top_with_ties
 from casebook.operators.sequence import along
 from casebook.operators.shares import attach_scalars, percent_of, round_percent
@@ -26,4 +26,5 @@ __all__ = [
     "stepped_dates",
     "top_with_ties",
     "transition",
+    "zip_lists",
 ]

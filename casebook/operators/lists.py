@@ -67,3 +67,19 @@ def per_distinct(df: DataFrame, key_cols: Sequence[str], compute: Callable[[Data
 def join_text(parts: Sequence[Column], sep: str) -> Column:
     """concat_ws that skips NULL parts."""
     return F.concat_ws(sep, *parts)
+
+
+def zip_lists(df: DataFrame, a: str, b: str, out_a: str, out_b: str, sep: str = ", ",
+              element_type: str = "int", keep: Sequence[str] | None = None) -> DataFrame:
+    """Unnest two lists side by side, the shorter padded with NULL.
+
+    Two independent explodes would give their product; ``arrays_zip`` pairs
+    elements by position. A NULL list counts as empty, and a row whose lists
+    are both empty still yields one all-NULL pair (outer semantics).
+    """
+    kept = [F.col(c) for c in (keep if keep is not None else [c for c in df.columns if c not in (a, b)])]
+    empty = F.array().cast(f"array<{element_type}>")
+    la = F.coalesce(parse_int_list(a, sep, element_type), empty)
+    lb = F.coalesce(parse_int_list(b, sep, element_type), empty)
+    zipped = F.arrays_zip(la.alias(out_a), lb.alias(out_b))
+    return df.select(*kept, F.inline_outer(zipped))

@@ -186,3 +186,30 @@ def test_sinks_append_replace_freeze(spark):
     frozen = sinks.freeze(names.filter(F.col("pizza_id") > 1), "test")
     assert rows(frozen) == [(2, "b")]
     assert "FileScan parquet" in frozen._jdf.queryExecution().executedPlan().toString()
+
+
+def test_zip_lists_pads_with_null(spark):
+    from casebook.operators import zip_lists
+
+    df = spark.createDataFrame([(1, "1, 5", "4"), (2, None, None), (3, None, "2, 6")], "id int, extras string, exclusions string")
+    got = rows(zip_lists(df, "extras", "exclusions", "extra_id", "exclusion_id", keep=["id"]))
+    assert got == sortkey_sorted([(1, 1, 4), (1, 5, None), (2, None, None), (3, None, 2), (3, None, 6)])
+
+
+def test_elapsed_minutes_drops_whole_days(spark):
+    from casebook.functions import elapsed_minutes
+
+    df = spark.createDataFrame([(dt.datetime(2021, 1, 1, 10, 0, 0), dt.datetime(2021, 1, 2, 10, 30, 30))],
+                               "a timestamp_ntz, b timestamp_ntz")
+    got = df.select(elapsed_minutes("b", "a").alias("m"), elapsed_minutes("b", "a", include_days=True).alias("d")).first()
+    assert got["m"] == 30.5 and got["d"] == 1470.5
+
+
+def test_sql_over_registered_fixtures(spark):
+    from casebook.sources.catalog import register_fixtures
+
+    register_fixtures(spark)
+    got = rows(spark.sql(
+        "SELECT s.customer_id, SUM(m.price) AS amount_spent FROM sales s JOIN menu m USING (product_id) "
+        "GROUP BY s.customer_id"))
+    assert got == [("A", 76), ("B", 74), ("C", 36)]

@@ -74,3 +74,14 @@ def test_first_pick_limits_before_the_shuffle(spark):
     df = entry.queries()["first_item"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_sql_over_registered_generated_views(spark):
+    from casebook.sources.catalog import register_generated
+
+    names = register_generated(spark, SF_SMALL)
+    assert {"lineitem", "sales_v", "subs_v", "plans_v"} <= set(names)
+    via_sql = spark.sql("SELECT customer_id, SUM(price) AS amount_spent FROM sales_v JOIN menu_v USING (product_id) "
+                        "GROUP BY customer_id")
+    via_api = entry.queries()["spend_per_customer"](spark, SF_SMALL)
+    assert sorted(map(tuple, via_sql.collect())) == sorted(map(tuple, via_api.collect()))
