@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from casebook.functions import parse_int_list
 from casebook.operators import explode_list, per_distinct, top_with_ties
 
-_COMBO = ["pizza_id", "exclusions", "extras"]
-
 
 def standard_ingredients(recipes: DataFrame, toppings: DataFrame, names: DataFrame):
     """Each recipe's topping names joined into one text (sorted)."""
@@ -41,41 +39,41 @@ def top_exclusion(orders, toppings):
     return _top_listed(orders, toppings, "exclusions", "exclusions_id")
 
 
-def _names_by_position(combos: DataFrame, list_col: str, toppings: DataFrame, out: str) -> DataFrame:
-    """Per combination: the listed ids' names in list order, joined by ', '."""
-    ids = explode_list(combos, list_col, "_tid", keep=_COMBO, position="_pos")
+def _list_names(rows: DataFrame, list_col: str, toppings: DataFrame, out: str) -> DataFrame:
+    """Per distinct list text: the listed ids' names in list order, joined by ', '.
+
+    The names depend on the text alone, so they are computed once per
+    distinct text (a table bounded by the id combinations in use, not by the
+    rows) and joined back.
+    """
+    texts = rows.select(list_col).filter(F.col(list_col).isNotNull()).distinct()
+    ids = explode_list(texts, list_col, "_tid", keep=[list_col], position="_pos")
     named = ids.join(toppings, ids["_tid"] == toppings["topping_id"])
     folded = F.transform(F.sort_array(F.collect_list(F.struct("_pos", "topping_name"))), lambda s: s["topping_name"])
-    return named.groupBy(*_COMBO).agg(F.array_join(folded, ", ").alias(out))
-
-
-def _join_combo(left: DataFrame, right: DataFrame) -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in _COMBO], *[c for c in right.columns if c not in _COMBO])
-    cond = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in _COMBO]
-    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in _COMBO])
+    return named.groupBy(list_col).agg(F.array_join(folded, ", ").alias(out))
 
 
 def order_item_label(orders: DataFrame, names: DataFrame, toppings: DataFrame):
     """J35: 'Name', 'Name - Exclude a, b', 'Name - Extra c' or both, per order item.
 
-    Computed once per distinct (item, exclusions, extras) combination and
-    joined back, so every order row gets its label (no row id needed).
+    The exclusion and extra texts are named once per distinct list text and
+    attached to every order row by equi-joins, so no row id is needed and a
+    hot item only meets small lookup tables.
     """
+    excl = _list_names(orders, "exclusions", toppings, "_excl")
+    extra = _list_names(orders, "extras", toppings, "_extra")
+    rows = orders.select("order_id", "pizza_id", "exclusions", "extras").join(names, "pizza_id", "left")
+    rows = rows.join(excl, "exclusions", "left").join(extra, "extras", "left")
+    text = F.concat_ws(
+        "",
+        F.col("pizza_name"),
+        F.when(F.col("_excl").isNotNull(), F.concat(F.lit(" - Exclude "), F.col("_excl"))),
+        F.when(F.col("_extra").isNotNull(), F.concat(F.lit(" - Extra "), F.col("_extra"))),
+    )
+    return rows.select("order_id", "pizza_id", text.alias("order_item"))
 
-    def label(combos: DataFrame) -> DataFrame:
-        excl = _names_by_position(combos, "exclusions", toppings, "_excl")
-        extra = _names_by_position(combos, "extras", toppings, "_extra")
-        out = _join_combo(_join_combo(combos.join(names, "pizza_id", "left"), excl), extra)
-        text = F.concat_ws(
-            "",
-            F.col("pizza_name"),
-            F.when(F.col("_excl").isNotNull(), F.concat(F.lit(" - Exclude "), F.col("_excl"))),
-            F.when(F.col("_extra").isNotNull(), F.concat(F.lit(" - Extra "), F.col("_extra"))),
-        )
-        return out.select(*_COMBO, text.alias("order_item"))
 
-    labelled = per_distinct(orders, _COMBO, label, ["order_item"])
-    return labelled.select("order_id", "pizza_id", "order_item")
+_LIST_KEY = ["toppings", "exclusions", "extras"]
 
 
 def ingredient_list(orders: DataFrame, recipes: DataFrame, toppings: DataFrame, names: DataFrame):
@@ -83,27 +81,28 @@ def ingredient_list(orders: DataFrame, recipes: DataFrame, toppings: DataFrame,
 
     Ingredients are the recipe minus exclusions plus extras; a topping that
     ends up n > 1 times is written 'nx<name>'; names sorted alphabetically.
+    The list depends only on (recipe text, exclusions, extras), so it is
+    built once per distinct triple and joined back null-safe.
     """
+    products = names.select("pizza_id", "pizza_name").join(recipes.select("pizza_id", "toppings"), "pizza_id", "full")
+    rows = orders.select("order_id", "pizza_id", "exclusions", "extras").join(products, "pizza_id", "left")
 
     def label(combos: DataFrame) -> DataFrame:
-        with_recipe = combos.join(recipes, "pizza_id", "left")
-        base = explode_list(with_recipe, "toppings", "_tid", keep=_COMBO)
+        base = explode_list(combos, "toppings", "_tid", keep=_LIST_KEY)
         excluded = parse_int_list("exclusions")
         base = base.filter(~F.coalesce(F.array_contains(excluded, F.col("_tid")), F.lit(False)))
-        added = explode_list(combos, "extras", "_tid", keep=_COMBO)
-        counted = base.unionByName(added).groupBy(*_COMBO, "_tid").agg(F.count(F.lit(1)).alias("_n"))
+        added = explode_list(combos, "extras", "_tid", keep=_LIST_KEY)
+        counted = base.unionByName(added).groupBy(*_LIST_KEY, "_tid").agg(F.count(F.lit(1)).alias("_n"))
         named = counted.join(toppings, counted["_tid"] == toppings["topping_id"])
         item = F.when(F.col("_n") > 1, F.concat(F.col("_n").cast("string"), F.lit("x"), F.col("topping_name"))).otherwise(
             F.col("topping_name")
         )
         folded = F.transform(F.sort_array(F.collect_list(F.struct("topping_name", item.alias("_item")))), lambda s: s["_item"])
-        lists = named.groupBy(*_COMBO).agg(F.array_join(folded, ", ").alias("_list"))
-        out = _join_combo(combos.join(names, "pizza_id", "left"), lists)
-        text = F.concat(F.col("pizza_name"), F.lit(": "), F.coalesce(F.col("_list"), F.lit("")))
-        return out.select(*_COMBO, text.alias("ingredients"))
+        return named.groupBy(*_LIST_KEY).agg(F.array_join(folded, ", ").alias("_list"))
 
-    labelled = per_distinct(orders, _COMBO, label, ["ingredients"])
-    return labelled.select("order_id", "pizza_id", "ingredients")
+    labelled = per_distinct(rows, _LIST_KEY, label, ["_list"])
+    text = F.concat(F.col("pizza_name"), F.lit(": "), F.coalesce(F.col("_list"), F.lit("")))
+    return labelled.select("order_id", "pizza_id", text.alias("ingredients"))
 
 
 def ingredient_totals(orders: DataFrame, recipes: DataFrame, union_all: bool = False):
