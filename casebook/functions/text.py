@@ -45,5 +45,10 @@ def parse_int_list(col, sep: str = ", ", element_type: str = "int") -> Column:
 
 
 def list_length(col, sep: str = ", ") -> Column:
-    """Number of elements of a text list, NULL for NULL."""
-    return F.size(F.split(as_col(col), re.escape(sep)))
+    """Number of elements of a text list, NULL for NULL.
+
+    The NULL guard is explicit: ``size(NULL)`` is -1 when a session runs
+    with ANSI mode off.
+    """
+    c = as_col(col)
+    return F.when(c.isNotNull(), F.size(F.split(c, re.escape(sep))))
