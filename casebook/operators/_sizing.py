@@ -42,10 +42,16 @@ def scanned_bytes(df: DataFrame) -> int | None:
 
 
 def partitions_for(df: DataFrame, minimum: int | None = None) -> int:
-    """At least ``spark.sql.shuffle.partitions``, and enough partitions of
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` for the scanned bytes."""
+    """One partition per core at least, and enough partitions of
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` for the scanned bytes.
+
+    The floor is the cluster's default parallelism (every core busy), not
+    ``spark.sql.shuffle.partitions``: an explicit-count range exchange is
+    never coalesced by AQE, so a large fixed count would stay large on
+    small inputs.
+    """
     spark = df.sparkSession
-    floor = minimum or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = minimum or max(1, spark.sparkContext.defaultParallelism)
     target = parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
     size = scanned_bytes(df)
     if not size:
