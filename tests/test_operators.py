@@ -213,3 +213,18 @@ def test_sql_over_registered_fixtures(spark):
         "SELECT s.customer_id, SUM(m.price) AS amount_spent FROM sales s JOIN menu m USING (product_id) "
         "GROUP BY s.customer_id"))
     assert got == [("A", 76), ("B", 74), ("C", 36)]
+
+
+def test_hot_key_is_spread_over_range_partitions(spark):
+    """A key holding a third of the rows lands in several partitions, none oversized."""
+    from casebook.operators._sizing import partitions_for
+
+    n_rows, parts = 6000, 8
+    data = [(0 if i % 3 == 0 else i, i) for i in range(n_rows)]  # key 0: a third of all rows
+    df = spark.createDataFrame(data, "k long, t long")
+    split = df.repartitionByRange(parts, "k", "t").withColumn("p", F.spark_partition_id())
+    per_part = {r["p"]: r["n"] for r in split.groupBy("p").agg(F.count(F.lit(1)).alias("n")).collect()}
+    hot_parts = split.filter(F.col("k") == 0).select("p").distinct().count()
+    assert hot_parts >= 2
+    assert max(per_part.values()) <= 2 * n_rows / parts
+    assert partitions_for(df) >= 1
