@@ -156,13 +156,13 @@ def _along_split(df, keys, order, lead, lag, row_number, partitions):
     # may start K midway, every later member holds nothing but K. Within a
     # chain the running sum of last-run sizes counts K's rows so far, and a
     # partition starting with K continues from its predecessor's count.
-    pure = F.col("first.k") == F.col("last.k")
+    pure = F.col("first.k").eqNullSafe(F.col("last.k"))
     summary = (
         summary.withColumn("next_first", F.lead("first").over(wp))
         .withColumn("prev_last", F.lag("last").over(wp))
         .withColumn(
             "_brk",
-            F.when(pure & F.coalesce(F.col("prev_last.k") == F.col("last.k"), F.lit(False)), F.lit(0)).otherwise(F.lit(1)),
+            F.when(pure & F.col("prev_last.k").eqNullSafe(F.col("last.k")), F.lit(0)).otherwise(F.lit(1)),
         )
         .withColumn("_chain", F.sum("_brk").over(wp.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn(
@@ -173,12 +173,12 @@ def _along_split(df, keys, order, lead, lag, row_number, partitions):
     )
     summary = summary.withColumn(
         "rn_offset",
-        F.when(F.coalesce(F.col("prev_last.k") == F.col("first.k"), F.lit(False)), F.col("_prev_upto")).otherwise(F.lit(0)),
+        F.when(F.col("prev_last.k").eqNullSafe(F.col("first.k")), F.col("_prev_upto")).otherwise(F.lit(0)),
     )
     fixes = summary.select(
         _PID,
-        F.coalesce(F.col("next_first.k") == F.col("last.k"), F.lit(False)).alias("_lead_ok"),
-        F.coalesce(F.col("prev_last.k") == F.col("first.k"), F.lit(False)).alias("_lag_ok"),
+        F.col("next_first.k").eqNullSafe(F.col("last.k")).alias("_lead_ok"),
+        F.col("prev_last.k").eqNullSafe(F.col("first.k")).alias("_lag_ok"),
         "rn_offset",
         *[F.col(f"next_first.{c}").alias(f"_fix_lead_{c}") for c in lead_src],
         *[F.col(f"prev_last.{c}").alias(f"_fix_lag_{c}") for c in lag_src],
@@ -199,13 +199,32 @@ def _along_split(df, keys, order, lead, lag, row_number, partitions):
 
 
 def _same_key(frame: pd.DataFrame, keys, shift: int) -> np.ndarray:
+    """Row i has the key of row i - shift; NULL equals NULL, as in PARTITION BY."""
     eq = np.ones(len(frame), dtype=bool)
     for k in keys:
         col = frame[k]
-        eq &= (col == col.shift(shift)).to_numpy(dtype=bool, na_value=False)
+        other = col.shift(shift)
+        same = (col == other).to_numpy(dtype=bool, na_value=False)
+        both_null = (col.isna() & other.isna()).to_numpy(dtype=bool)
+        eq &= same | both_null
+    # the shifted-in row does not exist
+    if len(eq):
+        eq[0 if shift > 0 else -1] = False
     return eq
 
 
+def _key_equal(a, b) -> bool:
+    """Key tuples equal, NULL (None, NaN, NA) matching NULL."""
+    for x, y in zip(a, b):
+        x_null, y_null = bool(pd.isna(x)), bool(pd.isna(y))
+        if x_null or y_null:
+            if not (x_null and y_null):
+                return False
+        elif x != y:
+            return False
+    return True
+
+
 def _nullable(series: pd.Series) -> pd.Series:
     if pd.api.types.is_integer_dtype(series.dtype) and not pd.api.types.is_extension_array_dtype(series.dtype):
         return series.astype("Int64")
@@ -240,7 +259,7 @@ def local_neighbours(batches, keys, lead_src, lag_src):
         n = len(frame)
         key0 = _key_at(frame, keys, 0)
         same_prev = _same_key(frame, keys, 1)
-        same_prev[0] = prev is not None and prev["key"] == key0
+        same_prev[0] = prev is not None and _key_equal(prev["key"], key0)
         same_next = _same_key(frame, keys, -1)
         same_next[-1] = False
         # row number: restart at each new key, continue the carried run
@@ -271,7 +290,7 @@ def local_neighbours(batches, keys, lead_src, lag_src):
         if not first_emitted:
             out.loc[0, _FIRST] = True
         if held is not None:
-            if held_key == key0:
+            if _key_equal(held_key, key0):
                 for c in lead_src:
                     held[f"_lead_{c}"] = frame[c].iloc[:1].to_numpy()
             yield held

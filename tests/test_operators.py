@@ -228,3 +228,26 @@ def test_hot_key_is_spread_over_range_partitions(spark):
     assert hot_parts >= 2
     assert max(per_part.values()) <= 2 * n_rows / parts
     assert partitions_for(df) >= 1
+
+
+def test_along_property_random_layouts(spark):
+    """split == window over random key skews, NULL keys, ties in the order and partition counts."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    rowsets = st.lists(
+        st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 6), st.integers(-5, 5)),
+        min_size=1, max_size=60,
+    )
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(rowsets, st.integers(1, 9))
+    def check(data, parts):
+        with_id = [(k, t, i, v) for i, (k, t, v) in enumerate(data)]
+        df = spark.createDataFrame(with_id, "k int, t int, id int, v int")
+        kw = dict(lead={"nv": "v"}, lag={"pv": "v"}, row_number="rn")
+        a = rows(along(df, ["k"], ["t", "id"], method="split", partitions=parts, **kw))
+        b = rows(along(df, ["k"], ["t", "id"], method="window", **kw))
+        assert a == b
+
+    check()
