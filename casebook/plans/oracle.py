@@ -245,14 +245,14 @@ FROM {MEMBER_SOLD} WHERE s.order_date < mb.join_date GROUP BY s.customer_id""")
 
 job("points", ("sales_v", "menu_v"), f"""
 SELECT s.customer_id,
-       CAST(SUM(CASE WHEN m.product_name = 'Brand#1' THEN 20 * m.price ELSE 10 * m.price END) AS DECIMAL(33,2)) AS points
+       CAST(SUM(CASE WHEN m.product_name = 'Brand#1' THEN 20 * m.price ELSE 10 * m.price END) AS DECIMAL(25,2)) AS points
 FROM {SOLD} GROUP BY s.customer_id""")
 
 job("bonus_window_points", ("sales_v", "menu_v", "members_v"), f"""
 SELECT s.customer_id,
        CAST(SUM(CASE WHEN m.product_name = 'Brand#1' THEN 20 * m.price
                      WHEN s.order_date BETWEEN mb.join_date AND mb.join_date + 7 THEN 20 * m.price
-                     ELSE 10 * m.price END) AS DECIMAL(33,2)) AS points
+                     ELSE 10 * m.price END) AS DECIMAL(25,2)) AS points
 FROM {MEMBER_SOLD} WHERE s.order_date <= DATE '1999-01-31' GROUP BY s.customer_id""")
 
 JOIN_ALL = f"""
