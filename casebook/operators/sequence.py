@@ -72,17 +72,23 @@ def along(
     row_number: str | None = None,
     method: str = "split",
     partitions: int | None = None,
+    presorted: bool = False,
 ) -> DataFrame:
     """Add LEAD(col, 1) / LAG(col, 1) / ROW_NUMBER() over (PARTITION BY keys ORDER BY order).
 
     ``lead`` and ``lag`` map output names to source columns.
+
+    ``presorted=True`` (split strategy) declares that ``df`` is the output of
+    an earlier split ``along`` with the same keys and order, possibly filtered
+    or projected since: its partitions are still consecutive ranges in key
+    order and sorted within, so the pass runs without a new exchange or sort.
     """
     lead = dict(lead or {})
     lag = dict(lag or {})
     if method == "window":
         return _along_window(df, list(keys), list(order), lead, lag, row_number)
     if method == "split":
-        return _along_split(df, list(keys), list(order), lead, lag, row_number, partitions)
+        return _along_split(df, list(keys), list(order), lead, lag, row_number, partitions, presorted)
     raise ValueError(f"unknown method {method!r}")
 
 
@@ -102,8 +108,7 @@ def _along_window(df, keys, order, lead, lag, row_number):
 # split strategy
 # ---------------------------------------------------------------------------
 
-def _along_split(df, keys, order, lead, lag, row_number, partitions):
-    n = partitions or partitions_for(df)
+def _along_split(df, keys, order, lead, lag, row_number, partitions, presorted=False):
     base_cols = df.columns
     fields = {f.name: f for f in df.schema.fields}
     lead_src = list(dict.fromkeys(lead.values()))
@@ -111,11 +116,18 @@ def _along_split(df, keys, order, lead, lag, row_number, partitions):
 
     # An explicit partition count: AQE leaves REPARTITION_BY_NUM exchanges
     # alone, so partition ids agree between the two consumers below.
-    sorted_df = (
-        df.repartitionByRange(n, *keys, *order)
-        .sortWithinPartitions(*keys, *order)
-        .withColumn(_PID, F.spark_partition_id())
-    )
+    if presorted:
+        # Same partitions, same order as the earlier pass: the border fix-up
+        # is a broadcast join that streams its rows in order, and filters
+        # and projections keep it.
+        sorted_df = df.withColumn(_PID, F.spark_partition_id())
+    else:
+        n = partitions or partitions_for(df)
+        sorted_df = (
+            df.repartitionByRange(n, *keys, *order)
+            .sortWithinPartitions(*keys, *order)
+            .withColumn(_PID, F.spark_partition_id())
+        )
 
     # -- per-partition pass (Python, one pass, streaming) --------------------
     extra = [

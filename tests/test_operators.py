@@ -251,3 +251,18 @@ def test_along_property_random_layouts(spark):
         assert a == b
 
     check()
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_along_presorted_chain_equals_window(spark, parts):
+    """A second pass over the output of a first (filtered in between) reuses its layout."""
+    random.seed(100 + parts)
+    data = [(random.choice([0, 0, 0, 1, 2, 3]), random.randint(0, 40), i, random.randint(1, 4)) for i in range(400)]
+    df = spark.createDataFrame(data, "k long, t long, id long, p int")
+
+    def chain(method):
+        first = along(df, ["k"], ["t", "id"], lead={"np": "p"}, method=method, partitions=parts)
+        kept = first.filter(~((F.col("p") == 2) & (F.col("np") == 3))).drop("np")
+        return along(kept, ["k"], ["t", "id"], lag={"pp": "p"}, row_number="rn", method=method, presorted=True)
+
+    assert rows(chain("split")) == rows(chain("window"))
