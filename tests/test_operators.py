@@ -266,3 +266,11 @@ def test_along_presorted_chain_equals_window(spark, parts):
         return along(kept, ["k"], ["t", "id"], lag={"pp": "p"}, row_number="rn", method=method, presorted=True)
 
     assert rows(chain("split")) == rows(chain("window"))
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from casebook.session import ensure_checkpoint_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert ensure_checkpoint_dir(spark) == configured
+    assert spark.sparkContext.getCheckpointDir() is not None
