@@ -7,6 +7,7 @@ Python UDF is involved.
 from casebook.functions.numeric import (
     bucket_label,
     exact_round_ratio,
+    random_rating,
     stable_rating,
     width_bucket,
 )
@@ -31,6 +32,7 @@ __all__ = [
     "list_length",
     "null_sentinels",
     "parse_int_list",
+    "random_rating",
     "stable_rating",
     "strip_units",
     "week_of_month",

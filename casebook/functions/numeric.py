@@ -46,3 +46,12 @@ def stable_rating(order_id, runner_id, levels: int = 5) -> Column:
     o = as_col(order_id).cast("long")
     r = as_col(runner_id).cast("long")
     return ((o * 7 + r * 3) % levels + 1).cast("int")
+
+
+def random_rating(seed: int, levels: int = 5) -> Column:
+    """M4 + M5 as written in the source: ceil(random() * levels), seeded.
+
+    The value of a row depends on how the data is partitioned, so a re-run
+    on other partitions gives other ratings; ``stable_rating`` does not.
+    """
+    return F.greatest(F.lit(1), F.ceil(F.rand(seed) * levels)).cast("int")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casebook.functions import elapsed_seconds, list_length, stable_rating
+from casebook.functions import elapsed_seconds, list_length, random_rating, stable_rating
 
 
 def _item_price(premium: Column, high: int = 12, low: int = 10) -> Column:
@@ -25,9 +25,14 @@ def revenue_with_extras(orders: DataFrame, premium: Column):
     )
 
 
-def ratings(deliveries: DataFrame):
-    """A repeatable 1-5 rating for every delivery (failed ones too)."""
-    return deliveries.select("order_id", "runner_id", stable_rating("order_id", "runner_id").alias("rating"))
+def ratings(deliveries: DataFrame, seed: int | None = None):
+    """A 1-5 rating for every delivery (failed ones too).
+
+    Repeatable by default (an integer hash of order and runner); with a
+    ``seed`` it is ceil(rand(seed) * 5), as the source draws it.
+    """
+    rating = stable_rating("order_id", "runner_id") if seed is None else random_rating(seed)
+    return deliveries.select("order_id", "runner_id", rating.alias("rating"))
 
 
 def delivery_summary(orders: DataFrame, deliveries: DataFrame, rated: DataFrame):

@@ -204,3 +204,8 @@ def test_delivery_summary(d):
 def test_net_revenue(d):
     got = rows(pricing.net_revenue(d["orders"], d["deliveries"], F.col("pizza_id") == 1))
     assert got == [(Decimal("116.440"),)]
+
+
+def test_seeded_random_ratings_in_range(d):
+    got = rows(pricing.ratings(d["deliveries"], seed=7))
+    assert len(got) == 10 and all(1 <= r[2] <= 5 for r in got)
