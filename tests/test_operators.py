@@ -274,3 +274,11 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert ensure_checkpoint_dir(spark) == configured
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_range_operators_on_empty_input(spark):
+    empty = spark.createDataFrame([], "k long, t long, v int")
+    out = along(empty, ["k"], ["t"], lead={"nv": "v"}, lag={"pv": "v"}, row_number="rn", method="split", partitions=4)
+    assert out.columns == ["k", "t", "v", "nv", "pv", "rn"] and out.count() == 0
+    words = spark.createDataFrame([], "w string")
+    assert dense_index(words, "w", "i", partitions=3).count() == 0
