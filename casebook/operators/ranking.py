@@ -66,15 +66,18 @@ def top_with_ties(df: DataFrame, measure: str, keys: Sequence[str] = (), largest
     return df.join(best, cond).select(*df.columns)
 
 
-def rank_by_histogram(df: DataFrame, keys: Sequence[str], order_col: str, out: str) -> DataFrame:
+def rank_by_histogram(df: DataFrame, keys: Sequence[str], order_col: str, out: str, where=None) -> DataFrame:
     """W4 without a per-key sort of all rows: RANK() = 1 + rows with a smaller order value.
 
     Rows are first counted per (keys, order value) with map-side combining,
     the running count runs over that histogram (one row per distinct order
     value of a key), and the rank is joined back on (keys, order value).
     The result equals RANK() OVER (PARTITION BY keys ORDER BY order_col).
+    With ``where``, only matching rows are ranked (among themselves); the
+    others get NULL. ``where`` must be constant within a key group.
     """
-    hist = df.groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("_n"))
+    ranked_rows = df if where is None else df.filter(where)
+    hist = ranked_rows.groupBy(*keys, order_col).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn(out, (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("int"))
     on = [*keys, order_col]

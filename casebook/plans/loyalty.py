@@ -104,5 +104,5 @@ def join_all(sales, menu, members):
 def rank_members(sales, menu, members):
     """J11 plus the rank of each member purchase by date; NULL for non-member rows."""
     rows = join_all(sales, menu, members)
-    ranked = rank_by_histogram(rows, ["customer_id", "member"], "order_date", "_rank")
-    return ranked.withColumn("ranking", F.when(F.col("member") == "Y", F.col("_rank"))).drop("_rank")
+    is_member = F.col("member") == "Y"
+    return rank_by_histogram(rows, ["customer_id", "member"], "order_date", "ranking", where=is_member)
