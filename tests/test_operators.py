@@ -282,3 +282,31 @@ def test_range_operators_on_empty_input(spark):
     assert out.columns == ["k", "t", "v", "nv", "pv", "rn"] and out.count() == 0
     words = spark.createDataFrame([], "w string")
     assert dense_index(words, "w", "i", partitions=3).count() == 0
+
+
+def _add_months(d: dt.date, months: int) -> dt.date:
+    import calendar
+
+    m = d.month - 1 + months
+    y, m = d.year + m // 12, m % 12 + 1
+    return dt.date(y, m, min(d.day, calendar.monthrange(y, m)[1]))
+
+
+def test_stepped_dates_property(spark):
+    """The fold equals stepping from the previous date (clamped at month ends), stop inclusive."""
+    random.seed(11)
+    cases = []
+    for _ in range(300):
+        start = dt.date(2019, 1, 1) + dt.timedelta(days=random.randint(0, 900))
+        if random.random() < 0.4:  # favour month ends
+            start = _add_months(start.replace(day=1), 1) - dt.timedelta(days=random.randint(1, 3))
+        stop = start + dt.timedelta(days=random.randint(-40, 1200))
+        cases.append((start, stop, random.choice([1, 12])))
+    df = spark.createDataFrame(cases, "s date, e date, step int")
+    got = [r[0] for r in df.select(stepped_dates("s", "e", F.col("step"))).collect()]
+    for (s, e, step), dates in zip(cases, got):
+        expected, d = [], s
+        while d <= e:
+            expected.append(d)
+            d = _add_months(d, step)
+        assert dates == expected, (s, e, step)
