@@ -114,8 +114,9 @@ def _along_split(df, keys, order, lead, lag, row_number, partitions, presorted=F
     lead_src = list(dict.fromkeys(lead.values()))
     lag_src = list(dict.fromkeys(lag.values()))
 
-    # An explicit partition count: AQE leaves REPARTITION_BY_NUM exchanges
-    # alone, so partition ids agree between the two consumers below.
+    # Partitions must be consecutive ranges of (keys, order), in key order,
+    # each sorted. An explicit-count range exchange gives that (AQE does not
+    # coalesce it); ``presorted`` input already has it.
     if presorted:
         # Same partitions, same order as the earlier pass: the border fix-up
         # is a broadcast join that streams its rows in order, and filters
