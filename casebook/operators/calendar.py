@@ -3,8 +3,8 @@
 ``generate_series(start, stop, interval)`` for month-based steps, stop
 inclusive, one output row per date. Each date is the previous date plus the
 step, so a day clamped at a month end stays clamped: 31 Jan, 29 Feb, 29 Mar.
-(``sequence`` with an interval keeps the anchor day: 31 Mar.) The fold is a
-higher-order function evaluated inside the row's task; nothing leaves the JVM.
+(``sequence`` with an interval keeps the anchor day: 31 Mar.) The dates are
+built by higher-order functions inside the row's task; nothing leaves the JVM.
 """
 
 from __future__ import annotations
@@ -15,21 +15,40 @@ from pyspark.sql import functions as F
 from casebook.functions._util import as_col
 
 
+# Within this many steps every month of a step cycle (period <= 12 months)
+# occurs at least four times, so the running minimum of month lengths has
+# met a non-leap February when the cycle contains February.
+_SETTLE = 48
+
+
 def stepped_dates(start, stop, step_months):
-    """array<date> of start, start+step, ... (each from the previous) up to stop."""
+    """array<date> of start, start+step, ... (each from the previous) up to stop.
+
+    Stepping from the previous date clamps the day at each shorter month and
+    never grows it back. So the k-th date is the start day capped by the
+    shortest month met in steps 1..k; that minimum settles within
+    ``_SETTLE`` steps. Each date costs O(_SETTLE), not O(k).
+    """
     s = as_col(start).cast("date")
     e = as_col(stop).cast("date")
     step = as_col(step_months).cast("int")
-    # Enough steps to pass ``stop``: a drifted date is never later than the
-    # anchored one, so ceil(months / step) + 1 candidates always suffice.
+    first_of_month = F.trunc(s, "MM")
+    day0 = F.dayofmonth(s)
+    # a drifted date is never later than the anchored one, so
+    # ceil(months / step) + 1 candidates always pass ``stop``
     n = (F.ceil(F.months_between(e, s) / step) + 1).cast("int")
-    idx = F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    folded = F.aggregate(
-        idx,
-        F.array(s),
-        lambda acc, _i: F.concat(acc, F.array(F.add_months(F.element_at(acc, -1), step))),
+    m = F.least(n, F.lit(_SETTLE))
+    month_lengths = F.transform(
+        F.sequence(F.lit(1), m), lambda j: F.dayofmonth(F.last_day(F.add_months(first_of_month, j * step)))
     )
-    return F.filter(folded, lambda d: d <= e)
+
+    def kth(k):
+        month = F.add_months(first_of_month, k * step)
+        shortest = F.array_min(F.slice(month_lengths, 1, F.least(k, F.lit(_SETTLE))))
+        return F.make_date(F.year(month), F.month(month), F.least(day0, shortest))
+
+    later = F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), kth)).otherwise(F.array().cast("array<date>"))
+    return F.filter(F.concat(F.array(s), later), lambda d: d <= e)
 
 
 def expand_calendar(df: DataFrame, start: str, stop: str, step_months, out: str = "payment_date") -> DataFrame:

@@ -300,8 +300,9 @@ def test_stepped_dates_property(spark):
         start = dt.date(2019, 1, 1) + dt.timedelta(days=random.randint(0, 900))
         if random.random() < 0.4:  # favour month ends
             start = _add_months(start.replace(day=1), 1) - dt.timedelta(days=random.randint(1, 3))
-        stop = start + dt.timedelta(days=random.randint(-40, 1200))
-        cases.append((start, stop, random.choice([1, 12])))
+        span = random.choice([1200, 1200, 40000])  # up to a century
+        stop = start + dt.timedelta(days=random.randint(-40, span))
+        cases.append((start, stop, random.choice([1, 1, 12, 12, 3, 5])))
     df = spark.createDataFrame(cases, "s date, e date, step int")
     got = [r[0] for r in df.select(stepped_dates("s", "e", F.col("step"))).collect()]
     for (s, e, step), dates in zip(cases, got):
