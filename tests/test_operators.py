@@ -240,7 +240,7 @@ def test_along_property_random_layouts(spark):
         min_size=1, max_size=60,
     )
 
-    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @settings(max_examples=12, deadline=None, derandomize=True, database=None, suppress_health_check=list(HealthCheck))
     @given(rowsets, st.integers(1, 9))
     def check(data, parts):
         with_id = [(k, t, i, v) for i, (k, t, v) in enumerate(data)]
