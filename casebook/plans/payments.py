@@ -12,8 +12,13 @@ Stages (each a DataFrame, inlined by Catalyst):
 6. a pro payment right after a basic one is credited the basic price;
 7. payments up to the horizon, numbered per customer.
 
-Equal payment dates are ordered by plan id (the old plan's last payment
-falls on the change date and precedes the new plan's first).
+Equal payment dates are ordered by their plan interval: the old plan's last
+payment falls on the change date and precedes the new plan's first. (On
+every upgrade this is also plan-id order.) With that order a customer's
+payments are its intervals in timeline order, dates ascending within each,
+which is exactly how the timeline pass lays them out. So the payment passes
+run on the timeline's range layout (``presorted``), and J55 range-shuffles
+only the timeline, never the expanded payments.
 """
 
 from __future__ import annotations
@@ -37,23 +42,24 @@ def payments(subs: DataFrame, plans: DataFrame, horizon="2020-12-31", tiebreak=(
         .select("customer_id", "plan_id", "plan_name", F.col("start_date").cast("date").alias("start_date"),
                 "price", *tiebreak)
     )
-    with_next = along(priced, ["customer_id"], ["start_date", *tiebreak], lead={"next_date": "start_date"}, method=method)
+    interval = ["start_date", *tiebreak]
+    with_next = along(priced, ["customer_id"], interval, lead={"next_date": "start_date"}, method=method)
     paid = with_next.filter(F.col("plan_id") != CHURN).select(
-        "customer_id", "plan_id", "plan_name", "start_date", "price",
+        "customer_id", "plan_id", "plan_name", "start_date", *tiebreak, "price",
         F.coalesce(F.col("next_date"), horizon_d).alias("stop"),
         F.when(F.col("plan_id").isin(BASIC, PRO), F.lit(1)).otherwise(F.lit(12)).alias("step"),
     )
     dates = expand_calendar(paid, "start_date", "stop", F.col("step"), out="payment_date").select(
-        "customer_id", "plan_id", "plan_name", "payment_date", "price"
+        "customer_id", "plan_id", "plan_name", *interval, "payment_date", "price"
     )
-    order = ["payment_date", "plan_id"]
-    looked = along(dates, ["customer_id"], order, lead={"next_plan": "plan_id"}, method=method)
+    # (interval, payment date) is the payment order; the exploded rows are
+    # already in it, partition by partition.
+    order = [*interval, "payment_date"]
+    looked = along(dates, ["customer_id"], order, lead={"next_plan": "plan_id"}, method=method, presorted=True)
     kept = looked.filter(~(F.col("next_plan").isNotNull() & (F.col("plan_id") == PRO) & (F.col("next_plan") == ANNUAL)))
     kept = kept.drop("next_plan")
     # Dropping payments after the horizon removes a suffix of each customer's
-    # dates, so numbering before the filter gives the same numbers. The kept
-    # rows are still laid out by the previous pass (same keys and order), so
-    # this pass needs no second exchange.
+    # payments, so numbering before the filter gives the same numbers.
     numbered = along(kept, ["customer_id"], order, lag={"prev_plan": "plan_id"}, row_number="payment_order",
                      method=method, presorted=True)
     credited = F.when(
