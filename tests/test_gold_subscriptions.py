@@ -226,3 +226,27 @@ def test_payments_gold(spark, subs, method):
     first21 = sorted(by_c[21], key=lambda r: r[5])[:2]
     assert first21 == [(21, 1, "basic monthly", D("2020-02-11"), Decimal("9.90"), 1),
                        (21, 1, "basic monthly", D("2020-03-11"), Decimal("9.90"), 2)]
+
+
+@pytest.mark.parametrize("method", ["split", "window"])
+def test_payments_downgrade_on_billing_day(spark, method):
+    """On a change date the old plan's last payment comes first and is never credited."""
+    rows_ = [("900", "0", "2020-01-01"), ("900", "3", "2020-01-08"), ("900", "1", "2021-01-08"),
+             ("901", "0", "2020-01-01"), ("901", "2", "2020-01-08"), ("901", "1", "2020-03-08")]
+    subs = fx.load_literals(spark, rows_, fx.schemas.SUBSCRIPTIONS)
+    got = rows(pay.payments(subs, fx.plans(spark), horizon="2021-02-28", method=method))
+    c900 = sorted((r for r in got if r[0] == 900), key=lambda r: r[5])
+    assert c900 == [
+        (900, 3, "pro annual", D("2020-01-08"), Decimal("199.00"), 1),
+        (900, 3, "pro annual", D("2021-01-08"), Decimal("199.00"), 2),
+        (900, 1, "basic monthly", D("2021-01-08"), Decimal("9.90"), 3),
+        (900, 1, "basic monthly", D("2021-02-08"), Decimal("9.90"), 4),
+    ]
+    c901 = sorted((r for r in got if r[0] == 901 and r[3] <= D("2020-04-08")), key=lambda r: r[5])
+    assert c901 == [
+        (901, 2, "pro monthly", D("2020-01-08"), Decimal("19.90"), 1),
+        (901, 2, "pro monthly", D("2020-02-08"), Decimal("19.90"), 2),
+        (901, 2, "pro monthly", D("2020-03-08"), Decimal("19.90"), 3),
+        (901, 1, "basic monthly", D("2020-03-08"), Decimal("9.90"), 4),
+        (901, 1, "basic monthly", D("2020-04-08"), Decimal("9.90"), 5),
+    ]
