@@ -23,17 +23,22 @@ rows tied on every order column must agree on the looked-up columns.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.operators._sizing import partitions_for
 
+# The local pass runs in Python workers. Shipping this module's functions by
+# value means executors need pandas and numpy, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _PID = "_seq_pid"
 _FIRST = "_seq_is_first"
 _LAST = "_seq_is_last"
