@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casebook.functions._util import as_col
-from casebook.operators._sizing import partitions_for
 from casebook.operators.sequence import keep
 
 
@@ -95,10 +94,14 @@ def dense_index(df: DataFrame, col: str, out: str, partitions: int | None = None
     (bounded by the partition count, so it is broadcast) turns local numbers
     into global ones.
     """
-    n = partitions or partitions_for(df)
+    distinct = df.select(col).filter(F.col(col).isNotNull()).distinct()
+    # The distinct values are usually far fewer than the scanned rows, so the
+    # range exchange takes no fixed count and AQE coalesces it by measured
+    # size (merging neighbouring ranges keeps the order). The numbered pass is
+    # cached, so every consumer sees the same partitions.
+    ranged = distinct.repartitionByRange(partitions, col) if partitions else distinct.repartitionByRange(col)
     values = (
-        df.select(col).filter(F.col(col).isNotNull()).distinct()
-        .repartitionByRange(n, col).sortWithinPartitions(col)
+        ranged.sortWithinPartitions(col)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
