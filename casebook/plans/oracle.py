@@ -404,15 +404,15 @@ FROM co LEFT JOIN pizza_names_v n ON co.pizza_id = n.pizza_id LEFT JOIN lst ON c
 
 job("ingredient_totals", ("clean_orders_v", "recipe_v"), """
 WITH per_item AS (SELECT pizza_id, COUNT(pizza_id) AS num FROM clean_orders_v GROUP BY pizza_id),
-ru AS (SELECT pizza_id, CAST(unnest(string_split(toppings, ', ')) AS INTEGER) AS toppings FROM recipe_v),
-exc AS (SELECT toppings, -1 * COUNT(*) AS num FROM (
+recipe_ids AS (SELECT pizza_id, CAST(unnest(string_split(toppings, ', ')) AS INTEGER) AS toppings FROM recipe_v),
+excluded AS (SELECT toppings, -1 * COUNT(*) AS num FROM (
           SELECT CAST(unnest(string_split(exclusions, ', ')) AS INTEGER) AS toppings FROM clean_orders_v) GROUP BY toppings),
-ext AS (SELECT toppings, COUNT(*) AS num FROM (
+added AS (SELECT toppings, COUNT(*) AS num FROM (
           SELECT CAST(unnest(string_split(extras, ', ')) AS INTEGER) AS toppings FROM clean_orders_v) GROUP BY toppings)
 SELECT toppings, CAST(SUM(num) AS BIGINT) AS num FROM (
-  SELECT ru.toppings, p.num FROM ru JOIN per_item p ON p.pizza_id = ru.pizza_id
-  UNION SELECT * FROM exc
-  UNION SELECT * FROM ext) GROUP BY toppings ORDER BY num DESC""")
+  SELECT recipe_ids.toppings, p.num FROM recipe_ids JOIN per_item p ON p.pizza_id = recipe_ids.pizza_id
+  UNION SELECT * FROM excluded
+  UNION SELECT * FROM added) GROUP BY toppings ORDER BY num DESC""")
 
 job("add_product", ("recipe_v", "toppings_v", "pizza_names_v"), """
 WITH nm AS (SELECT pizza_id, pizza_name FROM pizza_names_v
@@ -500,28 +500,28 @@ SELECT COUNT(*) AS customers_downgraded FROM next_v WHERE plan_id = 2 AND next_p
 # --- payment schedule ---------------------------------------------------------
 
 job("payments", ("timeline_v", "plans_v"), """
-WITH price_table AS (
+WITH priced AS (
   SELECT s.customer_id, s.plan_id, p.plan_name, s.start_date, p.price, s.order_key
   FROM timeline_v s JOIN plans_v p ON s.plan_id = p.plan_id WHERE s.plan_id != 0),
-nd AS (SELECT *, LEAD(start_date) OVER (PARTITION BY customer_id ORDER BY start_date, order_key) AS next_date
-       FROM price_table),
-pt AS (SELECT customer_id, plan_id, plan_name, start_date, order_key, price,
+with_next AS (SELECT *, LEAD(start_date) OVER (PARTITION BY customer_id ORDER BY start_date, order_key) AS next_date
+       FROM priced),
+intervals AS (SELECT customer_id, plan_id, plan_name, start_date, order_key, price,
               COALESCE(next_date, DATE '1998-12-31') AS stop,
               CASE WHEN plan_id IN (1, 2) THEN INTERVAL 1 MONTH ELSE INTERVAL 1 YEAR END AS step
-       FROM nd WHERE plan_id != 4),
-pd AS (SELECT customer_id, plan_id, plan_name, start_date, order_key,
+       FROM with_next WHERE plan_id != 4),
+dates AS (SELECT customer_id, plan_id, plan_name, start_date, order_key,
               CAST(unnest(generate_series(CAST(start_date AS TIMESTAMP), CAST(stop AS TIMESTAMP), step)) AS DATE)
                 AS payment_date, price
-       FROM pt),
-np AS (SELECT *, LEAD(plan_id) OVER (PARTITION BY customer_id ORDER BY payment_date, start_date, order_key)
-                   AS next_plan FROM pd),
-c1 AS (SELECT customer_id, plan_id, plan_name, start_date, order_key, payment_date, price FROM np
+       FROM intervals),
+looked AS (SELECT *, LEAD(plan_id) OVER (PARTITION BY customer_id ORDER BY payment_date, start_date, order_key)
+                   AS next_plan FROM dates),
+kept AS (SELECT customer_id, plan_id, plan_name, start_date, order_key, payment_date, price FROM looked
        WHERE NOT (next_plan IS NOT NULL AND (plan_id = 2 AND next_plan = 3))),
-pp AS (SELECT *, LAG(plan_id) OVER (PARTITION BY customer_id ORDER BY payment_date, start_date, order_key)
-                   AS prev_plan FROM c1),
-c2 AS (SELECT customer_id, plan_id, plan_name, start_date, order_key, payment_date,
-              CASE WHEN plan_id IN (2, 3) AND prev_plan = 1 THEN price - 9.90 ELSE price END AS price FROM pp)
+with_prev AS (SELECT *, LAG(plan_id) OVER (PARTITION BY customer_id ORDER BY payment_date, start_date, order_key)
+                   AS prev_plan FROM kept),
+credited AS (SELECT customer_id, plan_id, plan_name, start_date, order_key, payment_date,
+              CASE WHEN plan_id IN (2, 3) AND prev_plan = 1 THEN price - 9.90 ELSE price END AS price FROM with_prev)
 SELECT customer_id, plan_id, plan_name, payment_date, CAST(price AS DECIMAL(6,2)) AS price,
        CAST(ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY payment_date, start_date, order_key) AS INTEGER)
          AS payment_order
-FROM c2 WHERE payment_date <= DATE '1998-12-31'""")
+FROM credited WHERE payment_date <= DATE '1998-12-31'""")
