@@ -231,12 +231,12 @@ def test_hot_key_is_spread_over_range_partitions(spark):
 
 
 def test_along_property_random_layouts(spark):
-    """split == window over random key skews, NULL keys, ties in the order and partition counts."""
+    """split == window over random key skews, NULL keys and order values, ties and partition counts."""
     from hypothesis import HealthCheck, given, settings
     from hypothesis import strategies as st
 
     rowsets = st.lists(
-        st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 6), st.integers(-5, 5)),
+        st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 6)), st.integers(-5, 5)),
         min_size=1, max_size=60,
     )
 
