@@ -109,3 +109,25 @@ def test_timeline_jobs_same_under_both_sequence_strategies(spark, job):
         return Counter(tuple(_norm(v) for v in r) for r in df.collect())
 
     assert run("split") == run("window")
+
+
+def test_partition_count_follows_scanned_bytes(spark):
+    from casebook.operators._sizing import partitions_for, scanned_bytes
+
+    big = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    floor = spark.sparkContext.defaultParallelism
+    assert partitions_for(big) >= floor
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8KB")
+    try:
+        expected = -(-scanned_bytes(big) // 8192)
+        assert partitions_for(big) == max(floor, expected) and expected > floor
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_split_sequence_never_hash_partitions_by_customer(spark):
+    df = entry.queries()["direct_churn"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(customer_id" in plan
+    assert "hashpartitioning(customer_id" not in plan.split("InMemoryRelation")[1]  # the local pass
