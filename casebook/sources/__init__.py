@@ -1,0 +1 @@
+"""Typed sources (generated tables, case-study fixtures), views and sinks."""
