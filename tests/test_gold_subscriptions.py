@@ -250,3 +250,10 @@ def test_payments_downgrade_on_billing_day(spark, method):
         (901, 1, "basic monthly", D("2020-03-08"), Decimal("9.90"), 4),
         (901, 1, "basic monthly", D("2020-04-08"), Decimal("9.90"), 5),
     ]
+
+
+def test_monthly_trials_pool_years(spark):
+    """Trials are grouped by month number only; January 2020 and January 2021 share a row."""
+    rows_ = [("1", "0", "2020-01-05"), ("2", "0", "2021-01-20"), ("3", "0", "2021-02-01"), ("3", "1", "2021-02-08")]
+    subs = fx.load_literals(spark, rows_, fx.schemas.SUBSCRIPTIONS)
+    assert rows(sub.monthly_trials(subs)) == [(1, 2), (2, 1)]
