@@ -156,16 +156,18 @@ def _along_split(df, keys, order, lead, lag, row_number, partitions, presorted=F
     local_df = keep(sorted_df.mapInPandas(local, out_schema))
 
     # -- per-partition summary: the first and the last row of each partition
+    # (one scan of the cached pass: at most two rows per partition survive
+    # the filter, and each aggregate picks the one row it is flagged for)
     key_struct = F.struct(*[F.col(k) for k in keys])
-    firsts = local_df.filter(F.col(_FIRST)).select(
-        _PID, F.struct(key_struct.alias("k"), *[F.col(c) for c in lead_src]).alias("first")
-    )
-    lasts = local_df.filter(F.col(_LAST)).select(
-        _PID,
-        F.struct(key_struct.alias("k"), *[F.col(c) for c in lag_src]).alias("last"),
-        F.col(_RN).alias("last_run_n"),
+    summary = (
+        local_df.filter(F.col(_FIRST) | F.col(_LAST))
+        .groupBy(_PID)
+        .agg(
+            F.max_by(F.struct(key_struct.alias("k"), *[F.col(c) for c in lead_src]), F.col(_FIRST).cast("int")).alias("first"),
+            F.max_by(F.struct(key_struct.alias("k"), *[F.col(c) for c in lag_src]), F.col(_LAST).cast("int")).alias("last"),
+            F.max(F.when(F.col(_LAST), F.col(_RN))).alias("last_run_n"),
+        )
     )
-    summary = firsts.join(lasts, _PID)
 
     # One row per non-empty partition: the window below is bounded by the
     # partition count.
