@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casebook.llm import mixing, quality, sql
+from casebook.llm import arrow_output, mixing, packing, quality, sql
 from casebook.llm._common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,5 +28,15 @@ def op6_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register
+def op8_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"))
+
+
+@register
+def op9_arrow_output(spark, sf):
+    return arrow_output.read_documents(spark, arrow_output.write_sequences(table(spark, sf, "documents")))
+
+
 def all_sql() -> dict[str, str]:
     return {"op1_quality": sql.op1_quality(), "op6_mixing": sql.op6_mixing()}
