@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casebook.llm import arrow_output, mixing, packing, quality, sql
+from casebook.llm import arrow_output, mixing, packing, quality, sql, topk
 from casebook.llm._common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,5 +39,10 @@ def op9_arrow_output(spark, sf):
     return arrow_output.read_documents(spark, arrow_output.write_sequences(table(spark, sf, "documents")))
 
 
+@register
+def op10_topk(spark, sf):
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def all_sql() -> dict[str, str]:
-    return {"op1_quality": sql.op1_quality(), "op6_mixing": sql.op6_mixing()}
+    return {"op1_quality": sql.op1_quality(), "op6_mixing": sql.op6_mixing(), "op10_topk": sql.op10_topk()}

@@ -114,3 +114,18 @@ def mixing_ctes(docs: str = "documents", seed: str = "mix") -> str:
 def op6_mixing() -> str:
     return f"""WITH {mixing_ctes()}
 SELECT doc_id, size, source_size, target, copies * size AS taken FROM mixed"""
+
+
+def op10_topk() -> str:
+    return """WITH vecs AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM vecs q JOIN vecs c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5"""
