@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm import arrow_output, mixing, packing, quality, sql, topk
+from casebook.llm import arrow_output, html_extract, mixing, packing, quality, sql, topk
 from casebook.llm._common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def op1_quality(spark, sf):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@register
+def op2_html(spark, sf):
+    return html_extract.extract(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @register
 def op6_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
