@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm import arrow_output, html_extract, license_scan, mixing, packing, quality, sql, topk
+from casebook.llm import arrow_output, html_extract, jaccard_join, license_scan, mixing, packing, quality, sql, topk
 from casebook.llm._common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op4_license(spark, sf):
     return license_scan.scan(table(spark, sf, "documents"))
 
 
+@register
+def op5_jaccard(spark, sf):
+    return jaccard_join.classes(table(spark, sf, "documents"))
+
+
 @register
 def op6_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
