@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm import arrow_output, html_extract, jaccard_join, license_scan, mixing, packing, quality, sql, topk
+from casebook.llm import arrow_output, html_extract, jaccard_join, license_scan, mixing, packing, quality, sql, suffix_dedup, topk
 from casebook.llm._common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,12 @@ def op2_html(spark, sf):
     return html_extract.extract(table(spark, sf, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+@register
+def op3_suffix(spark, sf):
+    found = suffix_dedup.spans(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @register
 def op4_license(spark, sf):
     return license_scan.scan(table(spark, sf, "documents"))
