@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casebook.llm import arrow_output, html_extract, jaccard_join, license_scan, mixing, packing, quality, sql, suffix_dedup, topk
+from casebook.llm import arrow_output, html_extract, jaccard_join, license_scan, lm_scoring, mixing, packing, quality, sql, suffix_dedup, topk
 from casebook.llm._common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op6_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@register
+def op7_lm(spark, sf):
+    return lm_scoring.score(table(spark, sf, "documents"))
+
+
 @register
 def op8_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"))
