@@ -221,6 +221,8 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     the vote counts is shuffled, and rows that share an id are judged each by itself.
     """
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("_text"))
-    voted = features(whole, "_text").select("row", F.expr(BASE_FAILED).alias("base_failed"), *votes())
+    # The row number keeps the filter above the counts: pushed below, it would repeat their expressions many times over.
+    voted = features(whole, "_text").select(
+        "row", F.expr(BASE_FAILED).alias("base_failed"), *votes(), F.monotonically_increasing_id().alias("_at"))
     model = learn(voted.drop("row"))
-    return voted.where(~F.col("base_failed") & (model.column() >= 0.5)).select("row.*")
+    return voted.where((F.col("_at") >= 0) & ~F.col("base_failed") & (model.column() >= 0.5)).select("row.*")
