@@ -11,7 +11,8 @@ Documents are sets of five-word shingles (64-bit hashes). Two link when 100 * in
 4. In each group the node with the fewest rarer shingles is compared with the others (the hubs of salted groups among
    each other), which links groups of near copies without comparing all their pairs.
 5. Components of these links are found; then every pair of a group that is still in different components, fits
-   by length and position and was not compared is compared as well. No link between different components is lost.
+   by length and position and was not compared is compared as well, unless the parity bitmaps of the two sets (``BITS`` bits) differ
+   in more bits than linked sets may differ in shingles. No link between different components is lost.
 6. Comparing: all partners of a node (in bounded parts) stand in a radix trie of their ordered sets. The node's set is
    counted along the trie, shared starts once, and a subtree is left when its longest set cannot reach the needed overlap.
 
@@ -41,6 +42,7 @@ COUNTERS = 1 << 20
 CHUNK = 1 << 14  # counters in a row of the sketch
 GROUP_ROWS = 200_000  # expected rows of a prefix group before it is salted
 PART = 256  # partners of a node in one trie
+BITS = 1024  # of a set's parity bitmap
 _ENTRY = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("pos", "<u4"), ("salts", "<u4")])
 
 
@@ -126,15 +128,28 @@ def _ordered(shingles: np.ndarray, first: np.ndarray, words: wordhash.Words, end
     return shingles[order], low[order]
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Appends f1, f2, n to rows whose first column is the text."""
-    for batch in batches:
-        f1, f2, n = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
-        for row, shingles, *_ in _sets(batch.column(0)):
-            f1[row], f2[row] = fingerprint(shingles)
-            n[row] = len(shingles)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[1:], pa.array(f1), pa.array(f2), pa.array(n)], [*batch.schema.names[1:], "f1", "f2", "n"])
+def parity(shingles: np.ndarray) -> bytes:
+    """A bitmap in which every shingle of the set turns over one bit: two bitmaps differ in no more bits than the sets do in shingles."""
+    at = (wordhash.mix(shingles ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(BITS)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=BITS) & 1).astype(bool)).tobytes()
+
+
+def _fingerprints(with_bits: bool):
+    """Appends f1, f2, n (and the bitmap) to rows whose first column is the text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            f1, f2, n = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
+            bits: list[bytes | None] = [None] * batch.num_rows
+            for row, shingles, *_ in _sets(batch.column(0)):
+                f1[row], f2[row] = fingerprint(shingles)
+                n[row] = len(shingles)
+                if with_bits:
+                    bits[row] = parity(shingles)
+            columns, names = [*batch.columns[1:], pa.array(f1), pa.array(f2), pa.array(n)], [*batch.schema.names[1:], "f1", "f2", "n"]
+            if with_bits:
+                columns, names = [*columns, pa.array(bits, pa.binary())], [*names, "bits"]
+            yield pa.RecordBatch.from_arrays(columns, names)
+    return run
 
 
 def prefix_length(n: int) -> int:
@@ -241,7 +256,36 @@ def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
 
 
-def _remaining(found: DataFrame, compared: DataFrame, component: DataFrame) -> DataFrame:
+CROSS = "x bigint, y bigint"
+
+
+def _cross(table: pa.Table) -> pa.Table:
+    """Of a bucket of groups (token, salt): pairs of a member outside the group's main component (guests of other salts too) and any
+    other member, in different components, that fit by length, position and bitmap."""
+    names = ("token", "salt", "node", "n", "pos", "component", "minor", "guest")
+    c = {k: table[k].to_numpy() for k in names}
+    order = np.lexsort((c["node"], c["salt"], c["token"]))
+    c = {k: v[order] for k, v in c.items()}
+    bits = np.frombuffer(b"".join(table["bits"].to_pylist()), "<u8").reshape(-1, BITS // 64)[order]
+    cuts = np.flatnonzero(np.append(True, (c["token"][1:] != c["token"][:-1]) | (c["salt"][1:] != c["salt"][:-1])))
+    found = []
+    for a, b in zip(cuts, np.append(cuts[1:], len(order))):
+        minor, own = a + np.flatnonzero(c["minor"][a:b]), a + np.flatnonzero(~c["guest"][a:b])
+        for y in np.split(own, range(4096, len(own), 4096)):
+            for x in np.split(minor, range(32, len(minor), 32)):
+                n1, p1, n2, p2 = c["n"][x][:, None], c["pos"][x][:, None], c["n"][y][None], c["pos"][y][None]
+                good = fits(n1, p1, n2, p2) & (c["component"][x][:, None] != c["component"][y][None])
+                i, j = np.nonzero(good)
+                if len(i):
+                    apart = np.bitwise_count(bits[x[i]] ^ bits[y[j]]).sum(1, dtype=np.int64)
+                    keep = (100 + SHARE) * apart <= (100 - SHARE) * (c["n"][x[i]] + c["n"][y[j]])
+                    u, v = c["node"][x[i[keep]]], c["node"][y[j[keep]]]
+                    found.append(np.stack([np.minimum(u, v), np.maximum(u, v)], 1))
+    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+    return pa.table({"x": pa.array(pairs[:, 0]), "y": pa.array(pairs[:, 1])})
+
+
+def _remaining(found: DataFrame, nodes: DataFrame, compared: DataFrame, component: DataFrame, buckets: int) -> DataFrame:
     """(x, y): pairs of a group that are in different components, may link and were not compared."""
     members = found.where("kind = 2").select(F.col("a").alias("node"), "n", "pos", "token", "salts")
     members = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -249,12 +293,13 @@ def _remaining(found: DataFrame, compared: DataFrame, component: DataFrame) -> D
     top = members.groupBy("token").agg(
         F.min(F.struct("pos", "node", "component"))["component"].alias("top"),
         F.count_distinct("component").alias("parts"))
-    minor = members.join(top.where("parts > 1"), "token").where("component <> top")
-    minor = minor.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
-    left = minor.select("token", "salt", *[F.col(c).alias(f"{c}1") for c in ("node", "n", "pos", "component")])
-    fit = fits(F.col("n1"), F.col("pos1"), F.col("n"), F.col("pos"))
-    pairs = members.join(left, ["token", "salt"]).where((F.col("component") != F.col("component1")) & fit)
-    pairs = _pairs(pairs.select(F.col("node").alias("a"), F.col("node1").alias("b")))
+    split = members.join(top.where("parts > 1"), "token").withColumn("minor", F.col("component") != F.col("top"))
+    split = cut(split.join(nodes.select("node", "bits"), "node").drop("top", "parts"), "jaccard-split")
+    own = split.withColumn("guest", F.lit(False))
+    guests = split.where("minor and salts > 1").withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    guests = guests.where("to <> salt").withColumn("salt", F.col("to")).drop("to").withColumn("guest", F.lit(True))
+    dealt = own.unionByName(guests).drop("salts").withColumn("bucket", F.pmod(F.xxhash64("token", "salt"), F.lit(buckets)))
+    pairs = dealt.groupBy("bucket").applyInArrow(_cross, CROSS).distinct()
     return pairs.join(compared, ["x", "y"], "left_anti")
 
 
@@ -365,7 +410,7 @@ def _id_key(col):
 
 
 def _nodes(members: DataFrame) -> DataFrame:
-    sets = members.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("id").alias("id"))
+    sets = members.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("id").alias("id"), F.min("bits").alias("bits"))
     return cut(sets.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
 
 
@@ -383,7 +428,7 @@ def _node_components(docs: DataFrame, nodes: DataFrame, ranks: np.ndarray) -> Da
     first = cut(_pairs(found.where("kind = 0").select("a", "b").unionByName(_hub_stars(found))), "jaccard-first")
     links = cut(_compared(docs, named, first, ranks_of), "jaccard-links")
     component = cut(components(links), "jaccard-components")
-    rest = cut(_remaining(found, first, component), "jaccard-rest")
+    rest = cut(_remaining(found, nodes, first, component, buckets), "jaccard-rest")
     if rest.isEmpty():
         return component
     more = cut(_compared(docs, named, rest, ranks_of), "jaccard-more")
@@ -393,7 +438,7 @@ def _node_components(docs: DataFrame, nodes: DataFrame, ranks: np.ndarray) -> Da
 def _classed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(members: id, f1, f2, n of every row; classes: f1, f2, n, id and component_id of every distinct set)."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"))
-    members = cut(rows.mapInArrow(_fingerprints, "id bigint, f1 bigint, f2 bigint, n bigint"), "jaccard-members")
+    members = cut(rows.mapInArrow(_fingerprints(True), "id bigint, f1 bigint, f2 bigint, n bigint, bits binary"), "jaccard-members")
     nodes = _nodes(members)
     texts = rows.select("text", _id_key("id").alias("_id"))
     component = _node_components(texts, nodes, word_ranks(rows, "text"))
@@ -407,7 +452,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(id, n_shingles, component_id) of every row."""
     members, classed = _classed(docs, id_col, text_col)
     keys = ["f1", "f2", "n"]
-    linked = members.join(classed.select(*keys, "component_id"), keys, "left")
+    linked = members.drop("bits").join(classed.select(*keys, "component_id"), keys, "left")
     return linked.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                          F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
@@ -420,7 +465,7 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     stay = cut(own.groupBy("component_id").agg(F.min(F.struct("node", "f1", "f2", "n", "_id")).alias("s")).select("s.*"), "jaccard-stay")
     schema = "row " + docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
     whole = docs.select(F.col(text_col).alias("text"), F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_id"))
-    marked = whole.mapInArrow(_fingerprints, f"{schema}, _id bigint, f1 bigint, f2 bigint, n bigint")
+    marked = whole.mapInArrow(_fingerprints(False), f"{schema}, _id bigint, f1 bigint, f2 bigint, n bigint")
     wordless = marked.where("n = 0").select("row.*")
     staying = marked.where("n > 0").withColumn("_key", _id_key("_id"))
     kept = join_checked(staying, stay.select("f1", "f2", "n", _id_key("_id").alias("_key")), stay.count(), ["f1", "f2", "n", "_key"])
