@@ -98,7 +98,7 @@ def _file_writer(spec: str, folder: str, end_id: int, seq_len: int, kind: pa.Dat
                 continue
             if encoder is None:
                 part, name = TaskContext.get().partitionId(), uuid.uuid4().hex
-                encoder = tokens.ChunkEncoder(spec, spaced=True)
+                encoder = tokens.worker_encoder(spec, spaced=True)
                 fs, root = store(folder)
                 fs.create_dir(root, recursive=True)
                 paths = [f"{folder}/{part:07d}-{name}.{x}.arrow" for x in ("tokens", "docs")]

@@ -152,7 +152,7 @@ def _pack(spec: str, end_id: int):
         encoder = packer = None
         for batch in batches:
             if encoder is None:
-                encoder = tokens.ChunkEncoder(spec, spaced=False)
+                encoder = tokens.worker_encoder(spec, spaced=False)
                 packer = _Packer(TaskContext.get().partitionId(), sentence_stops(encoder.plain))
             keys = batch.column(0).to_pylist()
             for a, b, ids, lengths in encoder.slices(batch.column(1).to_pylist()):

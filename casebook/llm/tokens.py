@@ -9,9 +9,9 @@ With byte-level BPE (``spaced``) a chunk is a space and what follows up to the n
 space; a text in which a space is followed by white space or by the end is
 encoded in one call. The other kind drops white space, and any space or line break ends a chunk.
 
-New chunks go to the library many at a time. They are cut into pre-tokens by the tokenizer
-file's own pattern and mapped to the byte alphabet here, because the library's model
-is several times faster on text that only needs splitting at a mark.
+New chunks are cut into pre-tokens by the tokenizer file's own pattern and mapped to the byte alphabet here; new
+pre-tokens go to the library many at a time. Its model is several times faster on text that only needs splitting at a mark.
+When the cache is full the chunks seen once are dropped. A Python worker keeps its encoder for its next tasks.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import zlib
 
 import numpy as np
 
@@ -26,9 +27,9 @@ from casebook.llm._common import by_value
 
 by_value(__name__)
 
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 600_000
 CACHE_CHARS = 16_000_000
-GROUP = 50  # chunks joined into one string for the library
+GROUP = 50  # pre-tokens joined into one string for the library
 SLICE_CHARS = 4_000_000  # characters of text turned into ids at a time
 
 
@@ -44,25 +45,11 @@ def load(path: str) -> str:
         return f.read()
 
 
-class _Places(dict):
-    """chunk -> place; a new chunk gets the next place and waits in ``fresh``."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list = []
-
-    def __missing__(self, chunk) -> int:
-        place = len(self)
-        self[chunk] = place
-        self.fresh.append(chunk)
-        return place
-
-
-# The patterns of the two tokenizer files, but that no pre-token holds a chunk mark
-# (\x00) and a mark counts as white space in the look-ahead.
-SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x00]+|\s+(?![^\s\x00])|\s+|\x00"""
-UNSPACED = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}\x00]+|\x00"""
-CHUNK, CUT = "\x00", "\x01"
+# The patterns of the two tokenizer files.
+SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+UNSPACED = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+PUNCTUATION = "".join(chr(k) for k in range(33, 127) if not chr(k).isalnum())
+FIRST, CUT = "\x00", "\x01"  # before a text's first chunk; between pre-tokens
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -72,6 +59,25 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+class _Ragged:
+    """Arrays of ids by place."""
+
+    def __init__(self):
+        self.flat = np.zeros(0, np.uint32)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.sizes = np.append(self.sizes, sizes)
+        self.flat = np.concatenate([self.flat, flat])
+
+    def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = self.sizes[places]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[places] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.flat[at], sizes
+
+
 class ChunkEncoder:
     def __init__(self, spec: str, spaced: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -82,78 +88,128 @@ class ChunkEncoder:
         self.plain = Tokenizer.from_str(spec)
         self.plain.encode_special_tokens = True
         d = json.loads(spec)
-        d |= {"added_tokens": [], "normalizer": None, "pre_tokenizer": {
-            "type": "Split", "pattern": {"String": CUT}, "behavior": "Removed", "invert": False}}
+        d |= {"added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": CUT}}
         self.split_only = Tokenizer.from_str(json.dumps(d))
         self.find = regex.compile(SPACED if spaced else UNSPACED).findall
         self.alphabet = byte_alphabet() | {1: CUT}
-        self.mark_id = self._ids([CHUNK])[0][0]
+        space = self.alphabet[32]
+        # Where one pre-token's ids end and the next one's start: at a leading space, or after a word end.
+        self.edge = np.zeros(self.split_only.get_vocab_size(), bool)
+        for token, k in self.split_only.get_vocab().items():
+            self.edge[k] = token.startswith(space) if spaced else token.endswith("</w>")
         self.odd_space = re.compile(r" (?:\s|$)")
         self._drop()
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        mapped = [t.encode().decode("latin1").translate(self.alphabet) for t in texts]
-        return [e.ids for e in self.split_only.encode_batch_fast(mapped, add_special_tokens=False)]
-
     def _drop(self) -> None:
-        self.places, self.chars = _Places(), 0
-        self.flat = np.zeros(0, np.uint32)
-        self.starts = np.zeros(0, np.int64)
-        self.sizes = np.zeros(0, np.int64)
+        self.places, self.ids, self.chars = {}, _Ragged(), 0
+        self.hits = np.zeros(0, np.int64)
+        self.signs, self.sign_ids = {}, _Ragged()
+
+    def _trim(self) -> None:
+        """Forgets the chunks seen once, or all if that leaves too much."""
+        stay = self.hits > 1
+        chunks = [x for x, keep in zip(self.places, stay.tolist()) if keep]
+        chars = sum(len(x[0]) if type(x) is tuple else len(x) for x in chunks)
+        flat, sizes = self.ids.take(np.flatnonzero(stay))
+        self._drop()
+        if 2 * len(chunks) <= CACHE_CHUNKS and 2 * chars <= CACHE_CHARS:
+            self.places.update(zip(chunks, range(len(chunks))))
+            self.ids.add(flat, sizes)
+            self.hits = np.zeros(len(chunks), np.int64)
+            self.chars = chars
 
     def _chunks(self, text: str) -> list:
-        """Keys of the chunks. Spaced: a word stands for itself after a space, a mark before it for none.
+        """Keys of the chunks. Spaced: a word stands for itself after a space, with a mark before it for none.
         A text that holds the marks themselves is one key, a tuple."""
-        if CHUNK in text or CUT in text:
+        if FIRST in text or CUT in text:
             return [(text,)]
         if not self.spaced:
             return text.replace("\n", " ").split(" ")
         if self.odd_space.search(text):
-            return [CHUNK + text]
+            return [FIRST + text]
         parts = text.split(" ")
-        parts[0] = CHUNK + parts[0]
+        parts[0] = FIRST + parts[0]
         return parts
 
-    def _learn(self) -> None:
-        fresh, self.places.fresh = self.places.fresh, []
-        odd = [k for k, x in enumerate(fresh) if type(x) is tuple]
-        chunks = ["" if type(x) is tuple else x[1:] if x[:1] == CHUNK else " " + x for x in fresh] if self.spaced else [
-            "" if type(x) is tuple else x for x in fresh]
-        groups = [CHUNK.join(chunks[a:a + GROUP]) for a in range(0, len(chunks), GROUP)]
+    def _pretokens(self, text: str) -> list[str]:
         if not self.spaced:
-            groups = [self.plain.normalizer.normalize_str(g) for g in groups]
-        ids = [np.array(x, np.uint32) for x in self._ids([CUT.join(self.find(g)) for g in groups])]
-        whole = np.concatenate([y for x in ids for y in (x, np.array([self.mark_id], np.uint32))])
-        ends = np.flatnonzero(whole == self.mark_id)
-        sizes = np.diff(ends, prepend=-1) - 1
-        whole = whole[whole != self.mark_id]
-        if odd:
-            parts = np.split(whole, np.cumsum(sizes)[:-1])
-            for k in odd:
-                parts[k] = np.array(self.plain.encode(fresh[k][0], add_special_tokens=False).ids, np.uint32)
-            whole, sizes = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
-        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
-        self.sizes = np.append(self.sizes, sizes)
-        self.flat = np.concatenate([self.flat, whole])
-        self.chars += sum(len(x[0]) if type(x) is tuple else len(x) for x in fresh)
+            text = text.lower() if text.isascii() else self.plain.normalizer.normalize_str(text)
+        word = text.rstrip(PUNCTUATION)
+        if word.lstrip(" ").isalpha() and word.count(" ") <= 1:  # letters, then signs: two pre-tokens at most
+            return [word, text[len(word):]] if len(word) < len(text) else [word]
+        return self.find(text)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        mapped = [t.encode().decode("latin1").translate(self.alphabet) for t in texts]
+        return [e.ids for e in self.split_only.encode_batch_fast(mapped, add_special_tokens=False)]
+
+    def _many(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of pre-tokens whose ends show in the ids: many go to a string."""
+        ids = [np.array(x, np.uint32) for x in self._encode([CUT.join(parts[a:a + GROUP]) for a in range(0, len(parts), GROUP)])]
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        edges = np.flatnonzero(self.edge[flat])
+        return flat, np.diff(edges, append=len(flat)) if self.spaced else np.diff(edges, prepend=-1)
+
+    def _learn(self, fresh: list) -> None:
+        whole = [x for x in fresh if type(x) is tuple]
+        simple = [x for x in fresh if type(x) is str and x.isalpha() and (self.spaced or x.isascii())]  # one pre-token each
+        other = [x for x in fresh if type(x) is str and not (x.isalpha() and (self.spaced or x.isascii()))]
+        if self.spaced:
+            many = [" " + x for x in simple]
+            texts = [x[1:] if x[:1] == FIRST else " " + x for x in other]
+        else:
+            many, texts = [x.lower() for x in simple], other
+        refs = list(range(len(many)))
+        counts = np.ones(len(fresh) - len(whole), np.int64)
+        for k, text in enumerate(texts, len(simple)):
+            parts = self._pretokens(text)
+            counts[k] = len(parts)
+            for part in parts:
+                if not self.spaced or (part[0] == " " and " " not in part[1:]):
+                    refs.append(len(many))
+                    many.append(part)
+                else:  # signs and first words: few, kept, encoded alone
+                    if part not in self.signs:
+                        self.signs[part] = len(self.signs)
+                    refs.append(-1 - self.signs[part])
+        if len(self.sign_ids.sizes) < len(self.signs):
+            ids = self._encode(list(self.signs)[len(self.sign_ids.sizes):])
+            self.sign_ids.add(np.array([k for x in ids for k in x], np.uint32), np.array([len(x) for x in ids], np.int64))
+        table = _Ragged()
+        table.add(*self._many(many))
+        table.add(self.sign_ids.flat, self.sign_ids.sizes)
+        places = np.array(refs, np.int64)
+        flat, sizes = table.take(np.where(places < 0, len(many) - 1 - places, places))
+        upto = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]
+        rest = [self.plain.encode(x[0], add_special_tokens=False).ids for x in whole]
+        at = len(self.places)
+        self.places.update(zip(simple + other + whole, range(at, at + len(fresh))))
+        self.ids.add(np.append(flat, np.array([k for x in rest for k in x], np.uint32)),
+                     np.append(np.diff(upto), np.array([len(x) for x in rest], np.int64)))
+        self.chars += sum(map(len, simple)) + sum(map(len, other)) + sum(len(x[0]) for x in whole)
 
     def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.places) > CACHE_CHUNKS or self.chars > CACHE_CHARS:
-            self._drop()
-        refs: list[int] = []
+        if len(self.places) > CACHE_CHUNKS or self.chars > CACHE_CHARS or len(self.signs) > CACHE_CHUNKS:
+            self._trim()
+        chunks: list = []
         counts = np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
-            chunks = self._chunks(text)
-            counts[k] = len(chunks)
-            refs.extend(map(self.places.__getitem__, chunks))
-        if self.places.fresh:
-            self._learn()
+            own = self._chunks(text)
+            counts[k] = len(own)
+            chunks.extend(own)
+        refs = list(map(self.places.get, chunks))
+        missing = [k for k, x in enumerate(refs) if x is None]
+        if missing:
+            self._learn(list(dict.fromkeys([chunks[k] for k in missing])))
+            for k in missing:
+                refs[k] = self.places[chunks[k]]
         r = np.array(refs, np.int64)
-        sizes = self.sizes[r]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts[r] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        upto = np.append(0, ends)[np.cumsum(counts)]
-        return self.flat[at], np.diff(upto, prepend=0)
+        hits = np.bincount(r, minlength=len(self.places))
+        hits[:len(self.hits)] += self.hits
+        self.hits = hits
+        ids, sizes = self.ids.take(r)
+        upto = np.append(0, np.cumsum(sizes))[np.cumsum(counts)]
+        return ids, np.diff(upto, prepend=0)
 
     def slices(self, texts: list[str | None]):
         """Yields (first, last, ids, lengths): the ids of ``texts[first:last]`` one after the other."""
@@ -166,6 +222,18 @@ class ChunkEncoder:
                 a, chars = b + 1, 0
 
 
+def worker_encoder(spec: str, spaced: bool) -> ChunkEncoder:
+    """This Python worker's encoder. It is kept on the library's module, which outlives a task."""
+    import tokenizers
+
+    kept = tokenizers.__dict__.setdefault("_casebook_encoders", {})
+    key = (zlib.crc32(spec.encode()), len(spec), spaced)
+    if key not in kept:
+        kept.clear()
+        kept[key] = ChunkEncoder(spec, spaced)
+    return kept[key]
+
+
 def with_end(ids: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Appends the id ``end`` to each text."""
     out = np.full(len(ids) + len(lengths), end, np.uint32)
