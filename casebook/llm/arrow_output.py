@@ -107,7 +107,7 @@ def _file_writer(spec: str, folder: str, end_id: int, seq_len: int, kind: pa.Dat
                 schema = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("tokens", pa.int64())])
                 index = pa.ipc.new_file(sinks[1], schema)
             keys = batch.column(0).cast(pa.int64())
-            for a, b, ids, lengths in encoder.slices(batch.column(1).to_pylist()):
+            for a, b, ids, lengths in encoder.slices(batch.column(1)):
                 ids, lengths = tokens.with_end(ids, lengths, end_id)
                 starts = total + np.cumsum(lengths) - lengths
                 index.write_batch(pa.record_batch([keys.slice(a, b - a), pa.array(starts), pa.array(lengths)], schema=schema))

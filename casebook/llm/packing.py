@@ -155,7 +155,7 @@ def _pack(spec: str, end_id: int):
                 encoder = tokens.worker_encoder(spec, spaced=False)
                 packer = _Packer(TaskContext.get().partitionId(), sentence_stops(encoder.plain))
             keys = batch.column(0).to_pylist()
-            for a, b, ids, lengths in encoder.slices(batch.column(1).to_pylist()):
+            for a, b, ids, lengths in encoder.slices(batch.column(1)):
                 ids, lengths = tokens.with_end(ids, lengths, end_id)
                 yield from map(table, packer.add(keys[a:b], ids, lengths))
         if packer:

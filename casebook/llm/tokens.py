@@ -1,36 +1,36 @@
 """Subword ids of whole texts with the ``tokenizers`` library, each distinct chunk encoded once.
 
 The tokenizers used here never join characters across certain spaces, so a text's ids are the
-ids of its chunks one after the other. ``ChunkEncoder`` keeps the ids of the chunks seen so far (a bounded
-cache, dropped when full) and gives exactly ``Tokenizer.encode(text, add_special_tokens=False)``
-with special tokens read as plain text.
+ids of its chunks one after the other. ``ChunkEncoder`` cuts a slice of an Arrow column into chunks, finds the different ones by
+a 64-bit hash, and keeps the ids of those seen so far (a bounded cache; when it is full, chunks seen once are dropped). It gives
+``Tokenizer.encode(text, add_special_tokens=False)`` with special tokens read as plain text.
 
 With byte-level BPE (``spaced``) a chunk is a space and what follows up to the next
 space; a text in which a space is followed by white space or by the end is
-encoded in one call. The other kind drops white space, and any space or line break ends a chunk.
+encoded in one call. The other kind drops white space, and a space or line break ends a chunk.
 
 New chunks are cut into pre-tokens by the tokenizer file's own pattern and mapped to the byte alphabet here; new
 pre-tokens go to the library many at a time. Its model is several times faster on text that only needs splitting at a mark.
-When the cache is full the chunks seen once are dropped. A Python worker keeps its encoder for its next tasks.
+A Python worker keeps its encoder for its next tasks.
 """
 
 from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
+from casebook.llm import wordhash
 from casebook.llm._common import by_value
 
 by_value(__name__)
 
-CACHE_CHUNKS = 600_000
-CACHE_CHARS = 16_000_000
+CACHE_CHUNKS = 1_000_000
+CACHE_IDS = 8_000_000
 GROUP = 50  # pre-tokens joined into one string for the library
-SLICE_CHARS = 4_000_000  # characters of text turned into ids at a time
 
 
 def vocabulary_path(name: str) -> str:
@@ -49,7 +49,15 @@ def load(path: str) -> str:
 SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 UNSPACED = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 PUNCTUATION = "".join(chr(k) for k in range(33, 127) if not chr(k).isalnum())
-FIRST, CUT = "\x00", "\x01"  # before a text's first chunk; between pre-tokens
+CUT = "\x01"  # between pre-tokens
+
+
+# White space as patterns see it, in UTF-8: one byte; the lead bytes of the longer ones; those of two and of three bytes.
+_SPACE_BYTES, _SPACE_LEADS = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE_BYTES[[*range(9, 14), *range(28, 33)]] = True
+_SPACE_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_SPACE_PAIRS = np.array([0xC285, 0xC2A0])
+_SPACE_CODES = np.array([0xE19A80, *range(0xE28080, 0xE2808B), 0xE280A8, 0xE280A9, 0xE280AF, 0xE2819F, 0xE38080])
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -97,39 +105,59 @@ class ChunkEncoder:
         self.edge = np.zeros(self.split_only.get_vocab_size(), bool)
         for token, k in self.split_only.get_vocab().items():
             self.edge[k] = token.startswith(space) if spaced else token.endswith("</w>")
-        self.odd_space = re.compile(r" (?:\s|$)")
+        self.table = wordhash.case_table() if spaced else wordhash.lower_table()
         self._drop()
 
     def _drop(self) -> None:
-        self.places, self.ids, self.chars = {}, _Ragged(), 0
-        self.hits = np.zeros(0, np.int64)
+        self.known, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted hashes, their places
+        self.ids, self.hits = _Ragged(), np.zeros(0, np.int64)
         self.signs, self.sign_ids = {}, _Ragged()
 
     def _trim(self) -> None:
         """Forgets the chunks seen once, or all if that leaves too much."""
         stay = self.hits > 1
-        chunks = [x for x, keep in zip(self.places, stay.tolist()) if keep]
-        chars = sum(len(x[0]) if type(x) is tuple else len(x) for x in chunks)
+        left = stay[self.places]
+        known, old = self.known[left], self.places[left]
         flat, sizes = self.ids.take(np.flatnonzero(stay))
         self._drop()
-        if 2 * len(chunks) <= CACHE_CHUNKS and 2 * chars <= CACHE_CHARS:
-            self.places.update(zip(chunks, range(len(chunks))))
+        if 2 * len(known) <= CACHE_CHUNKS and 2 * len(flat) <= CACHE_IDS:
+            self.known, self.places = known, (np.cumsum(stay) - 1)[old]
             self.ids.add(flat, sizes)
-            self.hits = np.zeros(len(chunks), np.int64)
-            self.chars = chars
-
-    def _chunks(self, text: str) -> list:
-        """Keys of the chunks. Spaced: a word stands for itself after a space, with a mark before it for none.
-        A text that holds the marks themselves is one key, a tuple."""
-        if FIRST in text or CUT in text:
-            return [(text,)]
-        if not self.spaced:
-            return text.replace("\n", " ").split(" ")
-        if self.odd_space.search(text):
-            return [FIRST + text]
-        parts = text.split(" ")
-        parts[0] = FIRST + parts[0]
-        return parts
+            self.hits = np.zeros(len(known), np.int64)
+
+    def _odd(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Texts that must be encoded whole: with the marks in them or, spaced, white space or the end after a space."""
+        n = len(data)
+        bad = data <= 1
+        if self.spaced and n:
+            after = np.append(data[1:], 32)
+            after[offsets[1:][offsets[1:] > 0] - 1] = 32  # the end of a text counts as white space
+            space = data == 32
+            bad |= space & _SPACE_BYTES[after]
+            lead = np.flatnonzero(space & _SPACE_LEADS[after])
+            if len(lead):  # white space of two or three bytes
+                tail = np.append(data, np.zeros(4, np.uint8))
+                code = (tail[lead + 1].astype(np.int64) << 16) | (tail[lead + 2].astype(np.int64) << 8) | tail[lead + 3]
+                bad[lead[np.isin(code, _SPACE_CODES) | np.isin(code >> 8, _SPACE_PAIRS)]] = True
+        at = np.flatnonzero(bad)
+        return np.unique(np.searchsorted(offsets, at, "right") - 1) if len(at) else at
+
+    def _chunks(self, data: np.ndarray, offsets: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, ends) of the chunks of all texts but the odd ones."""
+        n = len(data)
+        edge = np.zeros(n + 1, bool)
+        edge[offsets] = True
+        if self.spaced:
+            starts = np.flatnonzero((data == 32) | edge[:n])
+            ends = np.append(starts[1:], n)
+        else:
+            word = (data != 32) & (data != 10)
+            starts = np.flatnonzero(word & (np.append(True, ~word[:-1])[:n] | edge[:n]))
+            ends = np.flatnonzero(word & (np.append(~word[1:], True)[:n] | edge[1:])) + 1
+        if len(odd):
+            keep = ~np.isin(np.searchsorted(offsets, starts, "right") - 1, odd)
+            starts, ends = starts[keep], ends[keep]
+        return starts, ends
 
     def _pretokens(self, text: str) -> list[str]:
         if not self.spaced:
@@ -150,18 +178,16 @@ class ChunkEncoder:
         edges = np.flatnonzero(self.edge[flat])
         return flat, np.diff(edges, append=len(flat)) if self.spaced else np.diff(edges, prepend=-1)
 
-    def _learn(self, fresh: list) -> None:
-        whole = [x for x in fresh if type(x) is tuple]
-        simple = [x for x in fresh if type(x) is str and x.isalpha() and (self.spaced or x.isascii())]  # one pre-token each
-        other = [x for x in fresh if type(x) is str and not (x.isalpha() and (self.spaced or x.isascii()))]
-        if self.spaced:
-            many = [" " + x for x in simple]
-            texts = [x[1:] if x[:1] == FIRST else " " + x for x in other]
-        else:
-            many, texts = [x.lower() for x in simple], other
-        refs = list(range(len(many)))
-        counts = np.ones(len(fresh) - len(whole), np.int64)
-        for k, text in enumerate(texts, len(simple)):
+    def _learn(self, texts: list[str]) -> None:
+        """Appends the ids of chunks, in order."""
+        many: list[str] = []
+        refs: list[int] = []
+        counts = np.ones(len(texts), np.int64)
+        for k, text in enumerate(texts):
+            if self.spaced and text[0] == " " and text[1:].isalpha():
+                refs.append(len(many))
+                many.append(text)
+                continue
             parts = self._pretokens(text)
             counts[k] = len(parts)
             for part in parts:
@@ -181,45 +207,51 @@ class ChunkEncoder:
         places = np.array(refs, np.int64)
         flat, sizes = table.take(np.where(places < 0, len(many) - 1 - places, places))
         upto = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]
-        rest = [self.plain.encode(x[0], add_special_tokens=False).ids for x in whole]
-        at = len(self.places)
-        self.places.update(zip(simple + other + whole, range(at, at + len(fresh))))
-        self.ids.add(np.append(flat, np.array([k for x in rest for k in x], np.uint32)),
-                     np.append(np.diff(upto), np.array([len(x) for x in rest], np.int64)))
-        self.chars += sum(map(len, simple)) + sum(map(len, other)) + sum(len(x[0]) for x in whole)
-
-    def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.places) > CACHE_CHUNKS or self.chars > CACHE_CHARS or len(self.signs) > CACHE_CHUNKS:
+        self.ids.add(flat, np.diff(upto))
+
+    def _slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > CACHE_CHUNKS or len(self.ids.flat) > CACHE_IDS or len(self.signs) > CACHE_CHUNKS:
             self._trim()
-        chunks: list = []
-        counts = np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            own = self._chunks(text)
-            counts[k] = len(own)
-            chunks.extend(own)
-        refs = list(map(self.places.get, chunks))
-        missing = [k for k, x in enumerate(refs) if x is None]
-        if missing:
-            self._learn(list(dict.fromkeys([chunks[k] for k in missing])))
-            for k in missing:
-                refs[k] = self.places[chunks[k]]
-        r = np.array(refs, np.int64)
-        hits = np.bincount(r, minlength=len(self.places))
-        hits[:len(self.hits)] += self.hits
-        self.hits = hits
+        odd = self._odd(data, offsets)
+        starts, ends = self._chunks(data, offsets, odd)
+        hashes = wordhash.span_hashes(data, starts, ends, self.table)
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+        first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[:len(order)])
+        found = ordered[first]
+        at = np.searchsorted(self.known, found)
+        new = np.append(self.known, np.uint64(0))[at] != found
+        new |= at == len(self.known)
+        if new.any():
+            raw = data.tobytes()
+            sample = order[first[new]]
+            self._learn([raw[a:b].decode() for a, b in zip(starts[sample].tolist(), ends[sample].tolist())])
+            count = len(self.hits)
+            self.known = np.insert(self.known, at[new], found[new])
+            self.places = np.insert(self.places, at[new], np.arange(count, count + len(sample)))
+            self.hits = np.append(self.hits, np.zeros(len(sample), np.int64))
+            at = np.searchsorted(self.known, found)
+        place, often = self.places[at], np.diff(np.append(first, len(order)))
+        self.hits[place] += often
+        r = np.empty(len(order), np.int64)
+        r[order] = np.repeat(place, often)
         ids, sizes = self.ids.take(r)
-        upto = np.append(0, np.cumsum(sizes))[np.cumsum(counts)]
-        return ids, np.diff(upto, prepend=0)
-
-    def slices(self, texts: list[str | None]):
-        """Yields (first, last, ids, lengths): the ids of ``texts[first:last]`` one after the other."""
-        a, chars = 0, 0
-        for b, text in enumerate(texts):
-            chars += len(text or "") + 1
-            if chars >= SLICE_CHARS or b + 1 == len(texts):
-                ids, lengths = self._slice([x or "" for x in texts[a:b + 1]])
-                yield a, b + 1, ids, lengths
-                a, chars = b + 1, 0
+        counts = np.diff(np.searchsorted(starts, offsets))
+        upto = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(counts))]
+        lengths = np.diff(upto)
+        if len(odd):
+            raw, parts = data.tobytes(), np.split(ids, upto[1:-1])
+            for k in odd.tolist():
+                text = raw[offsets[k]:offsets[k + 1]].decode()
+                parts[k] = np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
+            ids, lengths = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        return ids, lengths
+
+    def slices(self, texts: pa.Array | list[str | None]):
+        """Yields (first, last, ids, lengths): the ids of ``texts[first:last]`` one after the other; nulls are empty."""
+        column = texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string())
+        for a, b, data, offsets in wordhash.byte_slices(column):
+            yield a, b, *self._slice(data, offsets)
 
 
 def worker_encoder(spec: str, spaced: bool) -> ChunkEncoder:

@@ -21,6 +21,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 64, 256, dtype=np.uint64)
 _BYTE[65:91] = _BYTE[97:123]  # A-Z as a-z
+_CASED = _BYTE.copy()
+_CASED[65:91] = np.random.default_rng(5).integers(1, 1 << 64, 26, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _JOIN = np.uint64(0xD6E8FEB86659FD93)
@@ -42,6 +44,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def lower_table() -> np.ndarray:
+    return _BYTE
+
+
+def case_table() -> np.ndarray:
+    return _CASED
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _BYTE) -> np.ndarray:
+    """64-bit hash of the bytes of each [start, end): one running sum for all."""
+    n = len(data)
+    running = np.empty(n + 1, np.uint64)
+    running[0] = 0
+    np.cumsum(table[data] * _powers("step", _STEP, n + 1)[:n], dtype=np.uint64, out=running[1:])
+    return mix((running[ends] - running[starts]) * _powers("back", _BACK, n + 1)[starts])
+
+
 def byte_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first, last, bytes, offsets): rows first..last of a string column, nulls as empty; a row is never split."""
     if isinstance(column, pa.ChunkedArray):
@@ -78,12 +97,7 @@ class Words:
         self.starts = np.flatnonzero(word & (~before | edge[:n]))
         self.ends = np.flatnonzero(word & (~after | edge[1:])) + 1
         self.docs = np.searchsorted(self.starts, offsets)
-        powers = _powers("step", _STEP, n + 1)
-        running = np.empty(n + 1, np.uint64)
-        running[0] = 0
-        np.cumsum(_BYTE[data] * powers[:n], dtype=np.uint64, out=running[1:])
-        back = _powers("back", _BACK, n + 1)
-        self.hashes = mix((running[self.ends] - running[self.starts]) * back[self.starts])
+        self.hashes = span_hashes(data, self.starts, self.ends)
 
     @property
     def counts(self) -> np.ndarray:
