@@ -460,9 +460,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without near copies: of each class the row with the least id; rows without words stay."""
     _, classed = _classed(docs, id_col, text_col)
-    own = classed.select("component_id", "node", "f1", "f2", "n", F.col("node_id").alias("_id")).where(
-        F.col("_id").eqNullSafe(F.col("component_id")))
-    stay = cut(own.groupBy("component_id").agg(F.min(F.struct("node", "f1", "f2", "n", "_id")).alias("s")).select("s.*"), "jaccard-stay")
+    own = classed.where(F.col("node_id").eqNullSafe(F.col("component_id"))).select(
+        "component", "node", "f1", "f2", "n", F.col("node_id").alias("_id"))
+    stay = cut(own.groupBy("component").agg(F.min(F.struct("node", "f1", "f2", "n", "_id")).alias("s")).select("s.*"), "jaccard-stay")
     schema = "row " + docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
     whole = docs.select(F.col(text_col).alias("text"), F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_id"))
     marked = whole.mapInArrow(_fingerprints(False), f"{schema}, _id bigint, f1 bigint, f2 bigint, n bigint")

@@ -161,7 +161,7 @@ class ChunkEncoder:
 
     def _pretokens(self, text: str) -> list[str]:
         if not self.spaced:
-            text = text.lower() if text.isascii() else self.plain.normalizer.normalize_str(text)
+            text = text.lower() if text.isascii() else self.plain.normalizer.normalize_str(text).strip(" ")
         word = text.rstrip(PUNCTUATION)
         if word.lstrip(" ").isalpha() and word.count(" ") <= 1:  # letters, then signs: two pre-tokens at most
             return [word, text[len(word):]] if len(word) < len(text) else [word]
