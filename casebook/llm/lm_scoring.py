@@ -37,9 +37,9 @@ from casebook.llm.suffix_dedup import _write_answers
 by_value(__name__)
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-PACK = 16_000_000  # bytes of text in a pack
-SAMPLE = 32
-ROUNDS = 3
+PACK = 5_000_000  # bytes of text in a pack: a task holds one at a time
+SAMPLE = 48
+ROUNDS = 2
 TRUST = 20.0  # pairs that the class counts alone stand for beside the counts after a class
 RATE = 3e-3
 TRAIN_ROW = 2048  # windows in a training row
