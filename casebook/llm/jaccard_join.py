@@ -10,9 +10,10 @@ Documents are sets of five-word shingles (64-bit hashes). Two link when 100 * in
    needed overlap. Nodes are dealt by prefix shingle; groups of shingles that may be very frequent are salted.
 4. In each group the node with the fewest rarer shingles is compared with the others (the hubs of salted groups among
    each other), which links groups of near copies without comparing all their pairs.
-5. Components of these links are found; then every pair of a group that is still in different components, fits
-   by length and position and was not compared is compared as well, unless the parity bitmaps of the two sets (``BITS`` bits) differ
-   in more bits than linked sets may differ in shingles. No link between different components is lost.
+5. Components of these links are found; then the pairs of a group that are still in different components, fit
+   by length and position and were not compared are compared as well, unless the parity bitmaps of the two sets (``BITS`` bits) differ
+   in more bits than linked sets may differ in shingles: for each set its nearest few by bitmap first (``NEAREST``), which joins
+   most components, and in the last round all that are left. No link between different components is lost.
 6. Comparing: all partners of a node (in bounded parts) stand in a radix trie of their ordered sets. The node's set is
    counted along the trie, shared starts once, and a subtree is left when its longest set cannot reach the needed overlap.
 
@@ -43,6 +44,7 @@ CHUNK = 1 << 14  # counters in a row of the sketch
 GROUP_ROWS = 200_000  # expected rows of a prefix group before it is salted
 PART = 256  # partners of a node in one trie
 BITS = 1024  # of a set's parity bitmap
+NEAREST = (2, 16, None)  # partners of a set in a group and round; None: all
 _ENTRY = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("pos", "<u4"), ("salts", "<u4")])
 
 
@@ -259,34 +261,45 @@ def _pairs(df: DataFrame) -> DataFrame:
 CROSS = "x bigint, y bigint"
 
 
-def _cross(table: pa.Table) -> pa.Table:
+def _cross(nearest: int | None):
     """Of a bucket of groups (token, salt): pairs of a member outside the group's main component (guests of other salts too) and any
-    other member, in different components, that fit by length, position and bitmap."""
-    names = ("token", "salt", "node", "n", "pos", "component", "minor", "guest")
-    c = {k: table[k].to_numpy() for k in names}
-    order = np.lexsort((c["node"], c["salt"], c["token"]))
-    c = {k: v[order] for k, v in c.items()}
-    bits = np.frombuffer(b"".join(table["bits"].to_pylist()), "<u8").reshape(-1, BITS // 64)[order]
-    cuts = np.flatnonzero(np.append(True, (c["token"][1:] != c["token"][:-1]) | (c["salt"][1:] != c["salt"][:-1])))
-    found = []
-    for a, b in zip(cuts, np.append(cuts[1:], len(order))):
-        minor, own = a + np.flatnonzero(c["minor"][a:b]), a + np.flatnonzero(~c["guest"][a:b])
-        for y in np.split(own, range(4096, len(own), 4096)):
+    other member, in different components, that fit by length, position and bitmap; with ``nearest`` so many for each member and salt."""
+    def run(table: pa.Table) -> pa.Table:
+        names = ("token", "salt", "node", "n", "pos", "component", "minor", "guest")
+        c = {k: table[k].to_numpy() for k in names}
+        order = np.lexsort((c["node"], c["salt"], c["token"]))
+        c = {k: v[order] for k, v in c.items()}
+        bits = np.frombuffer(b"".join(table["bits"].to_pylist()), "<u8").reshape(-1, BITS // 64)[order]
+        cuts = np.flatnonzero(np.append(True, (c["token"][1:] != c["token"][:-1]) | (c["salt"][1:] != c["salt"][:-1])))
+        found = [np.zeros((0, 2), np.int64)]
+        for a, b in zip(cuts, np.append(cuts[1:], len(order))):
+            minor, own = a + np.flatnonzero(c["minor"][a:b]), a + np.flatnonzero(~c["guest"][a:b])
+            hub = own[np.lexsort((c["node"][own], c["pos"][own]))[:1]]  # compared with all of its salt before
             for x in np.split(minor, range(32, len(minor), 32)):
-                n1, p1, n2, p2 = c["n"][x][:, None], c["pos"][x][:, None], c["n"][y][None], c["pos"][y][None]
-                good = fits(n1, p1, n2, p2) & (c["component"][x][:, None] != c["component"][y][None])
-                i, j = np.nonzero(good)
-                if len(i):
-                    apart = np.bitwise_count(bits[x[i]] ^ bits[y[j]]).sum(1, dtype=np.int64)
-                    keep = (100 + SHARE) * apart <= (100 - SHARE) * (c["n"][x[i]] + c["n"][y[j]])
-                    u, v = c["node"][x[i[keep]]], c["node"][y[j[keep]]]
-                    found.append(np.stack([np.minimum(u, v), np.maximum(u, v)], 1))
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-    return pa.table({"x": pa.array(pairs[:, 0]), "y": pa.array(pairs[:, 1])})
-
-
-def _remaining(found: DataFrame, nodes: DataFrame, compared: DataFrame, component: DataFrame, buckets: int) -> DataFrame:
-    """(x, y): pairs of a group that are in different components, may link and were not compared."""
+                kept = []
+                for y in np.split(own, range(4096, len(own), 4096)):
+                    n1, p1, n2, p2 = c["n"][x][:, None], c["pos"][x][:, None], c["n"][y][None], c["pos"][y][None]
+                    i, j = np.nonzero(fits(n1, p1, n2, p2) & (c["component"][x][:, None] != c["component"][y][None]))
+                    u, v = x[i], y[j]
+                    new = ~(np.isin(v, hub) & ~c["guest"][u]) & ~np.isin(u, hub)
+                    u, v = u[new], v[new]
+                    apart = np.bitwise_count(bits[u] ^ bits[v]).sum(1, dtype=np.int64)
+                    near = (100 + SHARE) * apart <= (100 - SHARE) * (c["n"][u] + c["n"][v])
+                    kept.append(np.stack([u[near], apart[near], v[near]], 1))
+                near = np.concatenate(kept)
+                if nearest:
+                    near = near[np.lexsort((near[:, 2], near[:, 1], near[:, 0]))]
+                    near = near[np.arange(len(near)) - np.searchsorted(near[:, 0], near[:, 0]) < nearest]
+                u, v = c["node"][near[:, 0]], c["node"][near[:, 2]]
+                found.append(np.stack([np.minimum(u, v), np.maximum(u, v)], 1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"x": pa.array(pairs[:, 0]), "y": pa.array(pairs[:, 1])})
+    return run
+
+
+def _remaining(found: DataFrame, nodes: DataFrame, compared: DataFrame, component: DataFrame, buckets: int,
+               nearest: int | None) -> DataFrame | None:
+    """(x, y): pairs of a group that are in different components, may link and were not compared; None if no group is split."""
     members = found.where("kind = 2").select(F.col("a").alias("node"), "n", "pos", "token", "salts")
     members = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     members = cut(members.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts"))), "jaccard-members")
@@ -295,11 +308,13 @@ def _remaining(found: DataFrame, nodes: DataFrame, compared: DataFrame, componen
         F.count_distinct("component").alias("parts"))
     split = members.join(top.where("parts > 1"), "token").withColumn("minor", F.col("component") != F.col("top"))
     split = cut(split.join(nodes.select("node", "bits"), "node").drop("top", "parts"), "jaccard-split")
+    if split.isEmpty():
+        return None
     own = split.withColumn("guest", F.lit(False))
     guests = split.where("minor and salts > 1").withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
     guests = guests.where("to <> salt").withColumn("salt", F.col("to")).drop("to").withColumn("guest", F.lit(True))
     dealt = own.unionByName(guests).drop("salts").withColumn("bucket", F.pmod(F.xxhash64("token", "salt"), F.lit(buckets)))
-    pairs = dealt.groupBy("bucket").applyInArrow(_cross, CROSS).distinct()
+    pairs = dealt.groupBy("bucket").applyInArrow(_cross(nearest), CROSS).distinct()
     return pairs.join(compared, ["x", "y"], "left_anti")
 
 
@@ -428,11 +443,17 @@ def _node_components(docs: DataFrame, nodes: DataFrame, ranks: np.ndarray) -> Da
     first = cut(_pairs(found.where("kind = 0").select("a", "b").unionByName(_hub_stars(found))), "jaccard-first")
     links = cut(_compared(docs, named, first, ranks_of), "jaccard-links")
     component = cut(components(links), "jaccard-components")
-    rest = cut(_remaining(found, nodes, first, component, buckets), "jaccard-rest")
-    if rest.isEmpty():
-        return component
-    more = cut(_compared(docs, named, rest, ranks_of), "jaccard-more")
-    return cut(components(links.unionByName(more)), "jaccard-components")
+    compared = first
+    for nearest in NEAREST:
+        rest = _remaining(found, nodes, compared, component, buckets, nearest)
+        if rest is None:
+            break
+        rest = cut(rest, "jaccard-rest")
+        more = cut(_compared(docs, named, rest, ranks_of), "jaccard-more")
+        compared = compared.unionByName(rest)
+        known = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        component = cut(components(known.unionByName(more)), "jaccard-components")
+    return component
 
 
 def _classed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
