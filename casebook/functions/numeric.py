@@ -19,8 +19,9 @@ def exact_round_ratio(num, den, scale: int = 2) -> Column:
     n = as_col(num).cast("long")
     d = as_col(den).cast("long")
     factor = 10 ** scale
-    q = (F.abs(n) * (2 * factor) + d).cast("decimal(38,0)") / (d * 2).cast("decimal(38,0)")
-    q = F.floor(q)
+    # Integer division: a decimal quotient would be rounded to a few places before the floor.
+    doubled = F.abs(n).cast("decimal(20,0)") * F.lit(2 * factor).cast("decimal(12,0)") + d.cast("decimal(20,0)")
+    q = F.call_function("div", doubled, d.cast("decimal(20,0)") * F.lit(2).cast("decimal(1,0)"))
     signed = F.when(n < 0, -q).otherwise(q)
     out = (signed.cast("decimal(38,0)") / F.lit(factor).cast("decimal(38,0)")).cast(f"decimal(38,{scale})")
     return F.when(d > 0, out)
@@ -31,10 +32,11 @@ def width_bucket(x, lo, hi, n: int) -> Column:
     return F.width_bucket(as_col(x).cast("double"), F.lit(lo).cast("double"), F.lit(hi).cast("double"), F.lit(n))
 
 
-def bucket_label(bucket, width: int) -> Column:
-    """L11: '(b-1)*w-b*w', the label of a histogram bucket ('0-30', '360-390', '-30-0')."""
+def bucket_label(bucket, width: int, lo: int = 0) -> Column:
+    """The label of a histogram bucket that starts at ``lo + (b - 1) * width`` ('0-30', '360-390', '-30-0')."""
     b = as_col(bucket).cast("long")
-    return F.concat(((b - 1) * width).cast("string"), F.lit("-"), (b * width).cast("string"))
+    low = F.lit(lo) + (b - 1) * width
+    return F.concat(low.cast("string"), F.lit("-"), (low + width).cast("string"))
 
 
 def stable_rating(order_id, runner_id, levels: int = 5) -> Column:
@@ -45,7 +47,7 @@ def stable_rating(order_id, runner_id, levels: int = 5) -> Column:
     """
     o = as_col(order_id).cast("long")
     r = as_col(runner_id).cast("long")
-    return ((o * 7 + r * 3) % levels + 1).cast("int")
+    return (F.pmod(o * 7 + r * 3, F.lit(levels)) + 1).cast("int")
 
 
 def random_rating(seed: int, levels: int = 5) -> Column:

@@ -15,19 +15,12 @@ from pyspark.sql import functions as F
 from casebook.functions._util import as_col
 
 
-# Within this many steps every month of a step cycle (period <= 12 months)
-# occurs at least four times, so the running minimum of month lengths has
-# met a non-leap February when the cycle contains February.
-_SETTLE = 48
-
-
 def stepped_dates(start, stop, step_months):
     """array<date> of start, start+step, ... (each from the previous) up to stop.
 
     Stepping from the previous date clamps the day at each shorter month and
     never grows it back. So the k-th date is the start day capped by the
-    shortest month met in steps 1..k; that minimum settles within
-    ``_SETTLE`` steps. Each date costs O(_SETTLE), not O(k).
+    shortest month met in steps 1..k, a running minimum over the row's own steps.
     """
     s = as_col(start).cast("date")
     e = as_col(stop).cast("date")
@@ -37,18 +30,21 @@ def stepped_dates(start, stop, step_months):
     # a drifted date is never later than the anchored one, so
     # ceil(months / step) + 1 candidates always pass ``stop``
     n = (F.ceil(F.months_between(e, s) / step) + 1).cast("int")
-    m = F.least(n, F.lit(_SETTLE))
-    month_lengths = F.transform(
-        F.sequence(F.lit(1), m), lambda j: F.dayofmonth(F.last_day(F.add_months(first_of_month, j * step)))
+    steps = F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    shortest = F.aggregate(
+        steps,
+        F.array().cast("array<int>"),
+        lambda days, j: F.concat(days, F.array(F.least(
+            F.coalesce(F.get(days, F.size(days) - 1), day0),
+            F.dayofmonth(F.last_day(F.add_months(first_of_month, j * step))),
+        ))),
     )
 
-    def kth(k):
-        month = F.add_months(first_of_month, k * step)
-        shortest = F.array_min(F.slice(month_lengths, 1, F.least(k, F.lit(_SETTLE))))
-        return F.make_date(F.year(month), F.month(month), F.least(day0, shortest))
+    def kth(day, k):
+        month = F.add_months(first_of_month, (k + 1) * step)
+        return F.make_date(F.year(month), F.month(month), day)
 
-    later = F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), kth)).otherwise(F.array().cast("array<date>"))
-    return F.filter(F.concat(F.array(s), later), lambda d: d <= e)
+    return F.filter(F.concat(F.array(s), F.transform(shortest, kth)), lambda d: d <= e)
 
 
 def expand_calendar(df: DataFrame, start: str, stop: str, step_months, out: str = "payment_date") -> DataFrame:

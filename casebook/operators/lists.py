@@ -9,6 +9,7 @@ than one combination's elements.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -28,7 +29,7 @@ def explode_list(
     position: str | None = None,
 ) -> DataFrame:
     """One row per list element. NULL (or no list) gives no row unless ``outer``."""
-    arr = parse_int_list(col, sep, element_type) if element_type != "string" else F.split(F.col(col), sep)
+    arr = parse_int_list(col, sep, element_type) if element_type != "string" else F.split(F.col(col), re.escape(sep))
     kept = [F.col(c) for c in (keep if keep is not None else [c for c in df.columns if c != col])]
     if position:
         gen = F.posexplode_outer(arr) if outer else F.posexplode(arr)

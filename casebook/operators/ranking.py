@@ -98,7 +98,7 @@ def dense_index(df: DataFrame, col: str, out: str, partitions: int | None = None
     # The distinct values are usually far fewer than the scanned rows, so the
     # range exchange takes no fixed count and AQE coalesces it by measured
     # size (merging neighbouring ranges keeps the order). The numbered pass is
-    # cached, so every consumer sees the same partitions.
+    # written once, so every consumer sees the same partitions.
     ranged = distinct.repartitionByRange(partitions, col) if partitions else distinct.repartitionByRange(col)
     values = (
         ranged.sortWithinPartitions(col)
@@ -106,7 +106,7 @@ def dense_index(df: DataFrame, col: str, out: str, partitions: int | None = None
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     # Local numbers and per-partition counts must come from one evaluation.
-    values = keep(values.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    values = keep(values.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)), "dense-index")
     counts = values.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -11,7 +11,8 @@ physical strategies with identical results:
     Skew-proof. The rows are range-partitioned on (keys, order), the way a
     global sort is, so a key holding a third of all rows is cut across many
     partitions. Each partition computes neighbours locally, streaming its
-    Arrow batches through ``mapInPandas``. What crosses partition borders
+    Arrow batches through ``mapInArrow``: columns pass through untouched (any date,
+    any 64-bit number), only keys and looked-up columns are worked on. What crosses partition borders
     is one summary row per partition (first row, last row, size of the last
     key run), computed by JVM aggregates over the same sorted exchange. That
     fix-up table is bounded by the partition count, so it is broadcast. No
@@ -27,16 +28,18 @@ import sys
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark import StorageLevel, cloudpickle
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casebook.operators._sizing import partitions_for
+from casebook.sources.sinks import freeze
 
 # The local pass runs in Python workers. Shipping this module's functions by
-# value means executors need pandas and numpy, not this package on their path.
+# value means executors need pyarrow and numpy, not this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _PID = "_seq_pid"
@@ -45,27 +48,15 @@ _LAST = "_seq_is_last"
 _FIRST_RUN = "_seq_first_run"
 _RN = "_seq_rn"
 
-# Local passes persisted by ``along`` (see ``release``).
-_PERSISTED: list[DataFrame] = []
 
+def keep(df: DataFrame, name: str = "sequence") -> DataFrame:
+    """One evaluation of a range-partitioned pass for more than one consumer, in the shared checkpoint folder.
 
-def release() -> None:
-    """Unpersist the local passes kept by earlier ``along`` / ``dense_index`` calls."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-
-
-def keep(df: DataFrame) -> DataFrame:
-    """Persist a range-partitioned pass that is read by more than one consumer.
-
-    Two reads of an unpersisted range exchange may be planned as two
-    exchanges that sample their bounds separately; reading one persisted
-    evaluation keeps partition ids and contents identical for every consumer
-    (a lost block is recomputed through the same partitioner).
+    Two reads of a range exchange may be planned as two exchanges that sample their bounds
+    separately. The written pass has its partition numbers as a column, so every consumer agrees on
+    them; the lineage ends there, and nothing stays cached in the session.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(kept)
-    return kept
+    return freeze(df, name)
 
 
 def along(
@@ -75,29 +66,27 @@ def along(
     lead: dict[str, str] | None = None,
     lag: dict[str, str] | None = None,
     row_number: str | None = None,
+    running: tuple[str, str] | None = None,
     method: str = "split",
     partitions: int | None = None,
-    presorted: bool = False,
 ) -> DataFrame:
     """Add LEAD(col, 1) / LAG(col, 1) / ROW_NUMBER() over (PARTITION BY keys ORDER BY order).
 
-    ``lead`` and ``lag`` map output names to source columns.
-
-    ``presorted=True`` (split strategy) declares that ``df`` is the output of
-    an earlier split ``along`` with the same keys and order, possibly filtered
-    or projected since: its partitions are still consecutive ranges in key
-    order and sorted within, so the pass runs without a new exchange or sort.
+    ``lead`` and ``lag`` map output names to source columns. ``running=(out, column)`` adds the
+    sum of ``column`` (whole, not negative, not NULL) over the key's rows up to the current one.
     """
     lead = dict(lead or {})
     lag = dict(lag or {})
+    if row_number and running:
+        raise ValueError("row_number or running, not both")
     if method == "window":
-        return _along_window(df, list(keys), list(order), lead, lag, row_number)
+        return _along_window(df, list(keys), list(order), lead, lag, row_number, running)
     if method == "split":
-        return _along_split(df, list(keys), list(order), lead, lag, row_number, partitions, presorted)
+        return _along_split(df, list(keys), list(order), lead, lag, row_number, running, partitions)
     raise ValueError(f"unknown method {method!r}")
 
 
-def _along_window(df, keys, order, lead, lag, row_number):
+def _along_window(df, keys, order, lead, lag, row_number, running):
     w = Window.partitionBy(*keys).orderBy(*order)
     out = df
     for name, src in lead.items():
@@ -106,6 +95,8 @@ def _along_window(df, keys, order, lead, lag, row_number):
         out = out.withColumn(name, F.lag(src, 1).over(w))
     if row_number:
         out = out.withColumn(row_number, F.row_number().over(w))
+    if running:
+        out = out.withColumn(running[0], F.sum(running[1]).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return out
 
 
@@ -113,7 +104,7 @@ def _along_window(df, keys, order, lead, lag, row_number):
 # split strategy
 # ---------------------------------------------------------------------------
 
-def _along_split(df, keys, order, lead, lag, row_number, partitions, presorted=False):
+def _along_split(df, keys, order, lead, lag, row_number, running, partitions):
     base_cols = df.columns
     fields = {f.name: f for f in df.schema.fields}
     lead_src = list(dict.fromkeys(lead.values()))
@@ -121,19 +112,13 @@ def _along_split(df, keys, order, lead, lag, row_number, partitions, presorted=F
 
     # Partitions must be consecutive ranges of (keys, order), in key order,
     # each sorted. An explicit-count range exchange gives that (AQE does not
-    # coalesce it); ``presorted`` input already has it.
-    if presorted:
-        # Same partitions, same order as the earlier pass: the border fix-up
-        # is a broadcast join that streams its rows in order, and filters
-        # and projections keep it.
-        sorted_df = df.withColumn(_PID, F.spark_partition_id())
-    else:
-        n = partitions or partitions_for(df)
-        sorted_df = (
-            df.repartitionByRange(n, *keys, *order)
-            .sortWithinPartitions(*keys, *order)
-            .withColumn(_PID, F.spark_partition_id())
-        )
+    # coalesce it).
+    n = partitions or partitions_for(df)
+    sorted_df = (
+        df.repartitionByRange(n, *keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn(_PID, F.spark_partition_id())
+    )
 
     # -- per-partition pass (Python, one pass, streaming) --------------------
     extra = [
@@ -147,16 +132,15 @@ def _along_split(df, keys, order, lead, lag, row_number, partitions, presorted=F
     out_schema = T.StructType(list(sorted_df.schema.fields) + extra)
 
     def local(batches):
-        yield from local_neighbours(batches, keys, lead_src, lag_src)
+        yield from local_neighbours(batches, keys, lead_src, lag_src, running[1] if running else None)
 
     # The rows and the per-partition summary must come from one evaluation
     # of one range exchange: two exchanges sample their bounds separately and
-    # may cut the data differently. The local pass is therefore persisted;
-    # a lost block is recomputed through the same exchange (same bounds).
-    local_df = keep(sorted_df.mapInPandas(local, out_schema))
+    # may cut the data differently. The local pass is therefore written once.
+    local_df = keep(sorted_df.mapInArrow(local, out_schema))
 
     # -- per-partition summary: the first and the last row of each partition
-    # (one scan of the cached pass: at most two rows per partition survive
+    # (one scan of the written pass: at most two rows per partition survive
     # the filter, and each aggregate picks the one row it is flagged for)
     key_struct = F.struct(*[F.col(k) for k in keys])
     summary = (
@@ -215,112 +199,99 @@ def _along_split(df, keys, order, lead, lag, row_number, partitions, presorted=F
     if row_number:
         offset = F.when(F.col(_FIRST_RUN), F.col("rn_offset")).otherwise(F.lit(0))
         result.append((F.col(_RN) + offset).cast("int").alias(row_number))
+    if running:
+        offset = F.when(F.col(_FIRST_RUN), F.col("rn_offset")).otherwise(F.lit(0))
+        result.append((F.col(_RN) + offset).alias(running[0]))
     return joined.select(*result)
 
 
-def _same_key(frame: pd.DataFrame, keys, shift: int) -> np.ndarray:
-    """Row i has the key of row i - shift; NULL equals NULL, as in PARTITION BY."""
-    eq = np.ones(len(frame), dtype=bool)
-    for k in keys:
-        col = frame[k]
-        other = col.shift(shift)
-        same = (col == other).to_numpy(dtype=bool, na_value=False)
-        both_null = (col.isna() & other.isna()).to_numpy(dtype=bool)
-        eq &= same | both_null
-    # the shifted-in row does not exist
-    if len(eq):
-        eq[0 if shift > 0 else -1] = False
-    return eq
-
-
-def _key_equal(a, b) -> bool:
-    """Key tuples equal, NULL (None, NaN, NA) matching NULL."""
-    for x, y in zip(a, b):
-        x_null, y_null = bool(pd.isna(x)), bool(pd.isna(y))
-        if x_null or y_null:
-            if not (x_null and y_null):
-                return False
-        elif x != y:
-            return False
-    return True
-
-
-def _nullable(series: pd.Series) -> pd.Series:
-    if pd.api.types.is_integer_dtype(series.dtype) and not pd.api.types.is_extension_array_dtype(series.dtype):
-        return series.astype("Int64")
-    if pd.api.types.is_bool_dtype(series.dtype):
-        return series.astype("boolean")
-    return series
-
-
-def _key_at(frame: pd.DataFrame, keys, i: int) -> tuple:
-    return tuple(frame[k].iat[i] for k in keys)
-
-
-def local_neighbours(batches, keys, lead_src, lag_src):
-    """Neighbours within one sorted partition, batch by batch (vectorised).
-
-    The last row of each batch is held back until the next batch shows its
-    successor. The previous row's key, running number and lag values carry
-    across batches, as does whether the partition's first key run is still
-    open. Exposed for unit tests.
+def _same(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Row by row equal, NULL equal to NULL (as in PARTITION BY), NaN equal to NaN."""
+    equal = pc.fill_null(pc.equal(a, b), False)
+    both = pc.and_(pc.is_null(a), pc.is_null(b))
+    if pa.types.is_floating(a.type):
+        both = pc.or_(both, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+    return np.asarray(pc.or_(equal, both))
+
+
+def _shifted(column: pa.Array, edge: pa.Array, forward: bool, valid: np.ndarray) -> pa.Array:
+    """The next (or previous) row's value, ``edge`` past the end, NULL where not ``valid``."""
+    n = len(column)
+    moved = pa.concat_arrays([column.slice(1), edge] if forward else [edge, column.slice(0, n - 1)])
+    return pc.if_else(pa.array(valid), moved, pa.nulls(n, column.type))
+
+
+def local_neighbours(batches, keys, lead_src, lag_src, weight=None):
+    """Neighbours within one sorted partition, batch by batch (Arrow record batches).
+
+    The running number counts rows, or adds up the column ``weight``. A batch waits until the next one shows the successor of its last row. The previous row and
+    its running number carry across batches, as does whether the partition's first key run is
+    still open. Exposed for unit tests.
     """
-    held = None          # one-row frame: last row of the previous batch, lead unknown
-    held_key = None
-    prev = None          # key, running number and lag values of the previous row
-    first_run_open = True
-    first_emitted = False
-    for batch in batches:
-        if batch.empty:
-            continue
-        frame = batch.reset_index(drop=True)
-        for c in set(lead_src) | set(lag_src):
-            frame[c] = _nullable(frame[c])
-        n = len(frame)
-        key0 = _key_at(frame, keys, 0)
-        same_prev = _same_key(frame, keys, 1)
-        same_prev[0] = prev is not None and _key_equal(prev["key"], key0)
-        same_next = _same_key(frame, keys, -1)
-        same_next[-1] = False
-        # row number: restart at each new key, continue the carried run
-        run_id = np.cumsum(~same_prev)
-        rn = pd.Series(np.ones(n, dtype=np.int64)).groupby(run_id).cumsum().to_numpy()
-        first_of_batch_run = run_id == run_id[0]
-        if same_prev[0]:
-            rn = rn + np.where(first_of_batch_run, prev["rn"], 0)
-        # the partition's first key run: a prefix of the partition
-        if prev is None:
-            first_run = first_of_batch_run
-        elif first_run_open and same_prev[0]:
-            first_run = first_of_batch_run
-        else:
-            first_run = np.zeros(n, dtype=bool)
-        out = frame.copy()
+    wait = None          # (batch, its next row's one-row slice is still unknown)
+    last = None          # one-row slice: the row before the current batch
+    last_rn, first_run_open, first = 0, True, True
+
+    def finish(batch, extra, following):
+        n = batch.num_rows
+        same_next = np.zeros(n, bool)
+        if n > 1:
+            same_next[:-1] = extra["same"][1:]
+        if following is not None:
+            same_next[-1] = _rows_same(batch.slice(n - 1), following, keys)
+        columns = list(batch.columns)
+        names = list(batch.schema.names)
+        flags = np.zeros(n, bool)
+        flags[0] = extra["first"]
+        ends = np.zeros(n, bool)
+        ends[-1] = following is None
+        columns += [pa.array(flags), pa.array(ends), pa.array(extra["run"]), pa.array(extra["rn"])]
+        names += [_FIRST, _LAST, _FIRST_RUN, _RN]
         for c in lead_src:
-            out[f"_lead_{c}"] = frame[c].shift(-1).where(same_next, None)
+            column = batch.column(names.index(c))
+            edge = following.column(names.index(c)) if following is not None else pa.nulls(1, column.type)
+            columns.append(_shifted(column, edge, True, same_next))
         for c in lag_src:
-            shifted = frame[c].shift(1)
-            if prev is not None:
-                shifted.iloc[0] = prev["vals"][c]
-            out[f"_lag_{c}"] = shifted.where(same_prev, None)
-        out[_RN] = rn
-        out[_FIRST_RUN] = first_run
-        out[_FIRST] = False
-        out[_LAST] = False
-        if not first_emitted:
-            out.loc[0, _FIRST] = True
-        if held is not None:
-            if _key_equal(held_key, key0):
-                for c in lead_src:
-                    held[f"_lead_{c}"] = frame[c].iloc[:1].to_numpy()
-            yield held
-        first_emitted = True
+            column = batch.column(names.index(c))
+            edge = extra["before"].column(names.index(c)) if extra["before"] is not None else pa.nulls(1, column.type)
+            columns.append(_shifted(column, edge, False, extra["same"]))
+        out_names = names + [f"_lead_{c}" for c in lead_src] + [f"_lag_{c}" for c in lag_src]
+        return pa.RecordBatch.from_arrays(columns, out_names)
+
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        if wait is not None:
+            yield finish(*wait, batch.slice(0, 1))
+        same = np.zeros(n, bool)
         if n > 1:
-            yield out.iloc[:-1]
-        held = out.iloc[-1:].copy()
-        held_key = _key_at(frame, keys, n - 1)
-        first_run_open = bool(first_run[-1])
-        prev = {"key": held_key, "rn": int(rn[-1]), "vals": {c: frame[c].iloc[-1] for c in lag_src}}
-    if held is not None:
-        held[_LAST] = True
-        yield held
+            same[1:] = _rows_same(batch.slice(1), batch.slice(0, n - 1), keys)
+        same[0] = last is not None and bool(_rows_same(batch.slice(0, 1), last, keys)[0])
+        run = np.cumsum(~same)
+        starts = np.flatnonzero(~same)
+        head = run == run[0] if same[0] else np.zeros(n, bool)
+        size = np.ones(n, np.int64) if weight is None else np.asarray(
+            batch.column(batch.schema.names.index(weight)).cast(pa.int64()))
+        upto = np.cumsum(size)
+        base = np.where(~same, upto - size, 0)
+        rn = upto - np.maximum.accumulate(base)
+        if same[0]:
+            own = starts[0] if len(starts) else n
+            rn[:own] += last_rn
+        if last is None:
+            open_run = run == run[0]
+        else:
+            open_run = head if first_run_open else np.zeros(n, bool)
+        wait = (batch, {"same": same, "rn": rn.astype(np.int64), "run": open_run, "first": first, "before": last})
+        first, first_run_open, last_rn, last = False, bool(open_run[-1]), int(rn[-1]), batch.slice(n - 1)
+    if wait is not None:
+        yield finish(*wait, None)
+
+
+def _rows_same(a: pa.RecordBatch, b: pa.RecordBatch, keys) -> np.ndarray:
+    out = np.ones(a.num_rows, bool)
+    for k in keys:
+        at = a.schema.names.index(k)
+        out &= _same(a.column(at), b.column(at))
+    return out

@@ -22,8 +22,8 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def percent_of(part, total) -> Column:
-    """part / total * 100 in double precision, as ``x::FLOAT / y::FLOAT * 100``."""
-    return as_col(part).cast("double") / as_col(total).cast("double") * 100.0
+    """part / total * 100 in double precision, as ``x::FLOAT / y::FLOAT * 100``; NULL of a zero total."""
+    return F.try_divide(as_col(part).cast("double"), as_col(total).cast("double")) * 100.0
 
 
 def round_percent(part, total, scale: int = 2) -> Column:

@@ -65,16 +65,19 @@ def delivered_per_type(orders, deliveries):
     return _delivered(orders, deliveries).groupBy("pizza_id").agg(F.count(F.lit(1)).alias("delivered"))
 
 
-def type_pivot(rows: DataFrame, key: str, type_col: str, values: Sequence[str]) -> DataFrame:
-    """J19 (G8): one count column per listed type value, by conditional sums."""
+def type_pivot(rows: DataFrame, key: str, type_col: str, values: Sequence[str], other: str | None = None) -> DataFrame:
+    """J19 (G8): one count column per listed type value, by conditional sums; ``other`` names one for all else."""
     cols = [F.sum(F.when(F.col(type_col) == v, F.lit(1)).otherwise(F.lit(0))).alias(v) for v in values]
+    if other:
+        listed = F.coalesce(F.col(type_col).isin(*values), F.lit(False))
+        cols.append(F.sum(F.when(listed, F.lit(0)).otherwise(F.lit(1))).alias(other))
     return rows.groupBy(key).agg(*cols).orderBy(key)
 
 
 def order_sizes(orders):
-    """Items per order, largest first."""
+    """Items per order, largest first. The order key makes the sort even: few sizes occur, most of them in many orders."""
     sizes = orders.groupBy("order_id").agg(F.count(F.lit(1)).alias("items_in_order"))
-    return sizes.orderBy(F.desc("items_in_order"))
+    return sizes.orderBy(F.desc("items_in_order"), "order_id")
 
 
 def changed_vs_plain(orders, deliveries):
@@ -147,7 +150,7 @@ def delivery_speed(deliveries):
     speed = F.col("distance") / F.col("duration") * 60
     return ok.groupBy("runner_id", "order_id").agg(
         F.round(F.avg(speed), 2).cast("decimal(38,2)").alias("average_speed")
-    ).orderBy("runner_id")
+    ).orderBy("runner_id", "order_id")
 
 
 def success_percent(deliveries):

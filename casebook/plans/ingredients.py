@@ -53,17 +53,25 @@ def _list_names(rows: DataFrame, list_col: str, toppings: DataFrame, out: str) -
     return named.groupBy(list_col).agg(F.array_join(folded, ", ").alias(out))
 
 
+# Keys for rows without a list; list texts are numbers and commas, so none of them is one.
+_NO_LIST_KEYS = 100_000
+
+
 def order_item_label(orders: DataFrame, names: DataFrame, toppings: DataFrame):
     """J35: 'Name', 'Name - Exclude a, b', 'Name - Extra c' or both, per order item.
 
     The exclusion and extra texts are named once per distinct list text and
     attached to every order row by equi-joins, so no row id is needed and a
-    hot item only meets small lookup tables.
+    hot item only meets small lookup tables. Rows without a list (most of them) get
+    one of many keys that no list has, so they spread over the tasks of the join.
     """
     excl = _list_names(orders, "exclusions", toppings, "_excl")
     extra = _list_names(orders, "extras", toppings, "_extra")
     rows = orders.select("order_id", "pizza_id", "exclusions", "extras").join(names, "pizza_id", "left")
-    rows = rows.join(excl, "exclusions", "left").join(extra, "extras", "left")
+    for text, names_of in (("exclusions", excl), ("extras", extra)):
+        none = F.concat(F.lit("none "), F.pmod(F.xxhash64("order_id", "pizza_id"), F.lit(_NO_LIST_KEYS)).cast("string"))
+        rows = rows.withColumn("_key", F.coalesce(F.col(text), none))
+        rows = rows.join(names_of.withColumnRenamed(text, "_key"), "_key", "left").drop("_key")
     text = F.concat_ws(
         "",
         F.col("pizza_name"),

@@ -284,7 +284,7 @@ SELECT c.pizza_id, COUNT(*) AS delivered FROM {DELIVERED} WHERE d.cancellation I
 _TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 job("type_pivot", ("sales_v", "menu_v"), "SELECT s.customer_id, " + ", ".join(
     f"CAST(SUM(CASE WHEN m.product_type = '{v}' THEN 1 ELSE 0 END) AS BIGINT) AS \"{v}\"" for v in _TYPES
-) + f" FROM {SOLD} GROUP BY s.customer_id ORDER BY s.customer_id")
+) + ", count_if(coalesce(m.product_type NOT IN (" + ", ".join(f"'{v}'" for v in _TYPES) + f"), true)) AS \"OTHER\" FROM {SOLD} GROUP BY s.customer_id ORDER BY s.customer_id")
 
 job("order_sizes", ("clean_orders_v",), """
 SELECT order_id, COUNT(*) AS items_in_order FROM clean_orders_v GROUP BY order_id ORDER BY items_in_order DESC""")
@@ -300,8 +300,7 @@ SELECT COUNT(*) AS items_with_both FROM {DELIVERED}
 WHERE d.cancellation IS NULL AND (c.extras IS NOT NULL AND c.exclusions IS NOT NULL)""")
 
 job("hourly_volume", (), """
-SELECT CAST(hour(ts) AS INTEGER) AS hour, COUNT(*) AS orders_per_hour FROM events
-WHERE event_type = 'purchase' GROUP BY 1 ORDER BY 1""")
+SELECT CAST(hour(ts) AS INTEGER) AS hour, COUNT(*) AS orders_per_hour FROM events GROUP BY 1 ORDER BY 1""")
 
 job("weekday_volume", ("clean_orders_v",), """
 SELECT dayname(order_time) AS day, COUNT(*) AS orders_per_day FROM clean_orders_v GROUP BY 1 ORDER BY 1""")
@@ -355,13 +354,12 @@ job("standard_ingredients", ("recipe_v", "toppings_v", "pizza_names_v"),
 
 
 def _top_listed(col: str, out: str) -> str:
+    # The most frequent id by comparing with the greatest count, over a histogram of each list.
     return f"""
-SELECT {out}, topping_name FROM (
-  SELECT cnt.{out}, t.topping_name, RANK() OVER (ORDER BY cnt.times DESC) AS r
-  FROM (SELECT {out}, COUNT(*) AS times FROM (
-          SELECT CAST(unnest(string_split({col}, ', ')) AS INTEGER) AS {out}
-          FROM clean_orders_v WHERE {col} IS NOT NULL) GROUP BY {out}) cnt
-  JOIN toppings_v t ON cnt.{out} = t.topping_id) WHERE r = 1"""
+WITH ids AS (SELECT unnest(string_split({col}, ', '))::INTEGER AS id FROM clean_orders_v),
+counts AS (SELECT id, COUNT(*) AS n FROM ids SEMI JOIN toppings_v ON id = topping_id GROUP BY id)
+SELECT id AS {out}, (SELECT topping_name FROM toppings_v WHERE topping_id = id) AS topping_name
+FROM counts WHERE n >= ALL (SELECT n FROM counts)"""
 
 
 job("top_extra", ("clean_orders_v", "toppings_v"), _top_listed("extras", "extras_id"))
@@ -402,17 +400,16 @@ lst AS (SELECT rid, string_agg(CASE WHEN n > 1 THEN CAST(n AS VARCHAR) || 'x' ||
 SELECT co.order_id, co.pizza_id, n.pizza_name || ': ' || coalesce(lst.lst, '') AS ingredients
 FROM co LEFT JOIN pizza_names_v n ON co.pizza_id = n.pizza_id LEFT JOIN lst ON co.rid = lst.rid""")
 
+# One tagged list of (id, kind, count); equal (id, count) of different kinds collapse, as in the job (UNION DISTINCT).
 job("ingredient_totals", ("clean_orders_v", "recipe_v"), """
-WITH per_item AS (SELECT pizza_id, COUNT(pizza_id) AS num FROM clean_orders_v GROUP BY pizza_id),
-recipe_ids AS (SELECT pizza_id, CAST(unnest(string_split(toppings, ', ')) AS INTEGER) AS toppings FROM recipe_v),
-excluded AS (SELECT toppings, -1 * COUNT(*) AS num FROM (
-          SELECT CAST(unnest(string_split(exclusions, ', ')) AS INTEGER) AS toppings FROM clean_orders_v) GROUP BY toppings),
-added AS (SELECT toppings, COUNT(*) AS num FROM (
-          SELECT CAST(unnest(string_split(extras, ', ')) AS INTEGER) AS toppings FROM clean_orders_v) GROUP BY toppings)
-SELECT toppings, CAST(SUM(num) AS BIGINT) AS num FROM (
-  SELECT recipe_ids.toppings, p.num FROM recipe_ids JOIN per_item p ON p.pizza_id = recipe_ids.pizza_id
-  UNION SELECT * FROM excluded
-  UNION SELECT * FROM added) GROUP BY toppings ORDER BY num DESC""")
+WITH tagged AS (
+  SELECT 'r' AS kind, unnest(string_split(r.toppings, ', '))::INTEGER AS id, o.pizza_id AS product
+  FROM clean_orders_v o JOIN recipe_v r USING (pizza_id)
+  UNION ALL BY NAME SELECT 'x' AS kind, unnest(string_split(exclusions, ', '))::INTEGER AS id FROM clean_orders_v
+  UNION ALL BY NAME SELECT 'e' AS kind, unnest(string_split(extras, ', '))::INTEGER AS id FROM clean_orders_v),
+counts AS (SELECT DISTINCT id, IF(kind = 'x', -n, n) AS n
+           FROM (SELECT kind, id, product, COUNT(*) AS n FROM tagged GROUP BY ALL))
+SELECT id AS toppings, SUM(n)::BIGINT AS num FROM counts GROUP BY id ORDER BY num DESC""")
 
 job("add_product", ("recipe_v", "toppings_v", "pizza_names_v"), """
 WITH nm AS (SELECT pizza_id, pizza_name FROM pizza_names_v
@@ -443,19 +440,22 @@ SELECT p.customer_id, d.order_id, d.runner_id, {RATING} AS rating, p.order_time,
        p.num_items
 FROM clean_deliveries_v d JOIN p ON d.order_id = p.order_id""")
 
+# The set {sales, -delivery costs}: equal amounts would collapse (UNION DISTINCT), as in the job.
 job("net_revenue", ("clean_orders_v", "clean_deliveries_v", "menu_v"), f"""
-SELECT CAST(SUM(revenue) AS DECIMAL(38,3)) AS total_revenue FROM (
-  SELECT CAST(SUM({PREMIUM}) AS DECIMAL(38,3)) AS revenue FROM {PRICED}
-  UNION
-  SELECT CAST(SUM(-1 * d.distance * 0.30) AS DECIMAL(38,3)) AS revenue FROM clean_deliveries_v d)""")
+WITH amounts(v) AS (
+  SELECT unnest(list_distinct([
+    (SELECT SUM({PREMIUM})::DECIMAL(38,3) FROM {PRICED})]))
+  UNION SELECT DISTINCT (distance * -0.30)::DECIMAL(38,3) FROM (SELECT SUM(distance) AS distance FROM clean_deliveries_v)
+) SELECT SUM(v)::DECIMAL(38,3) AS total_revenue FROM amounts""")
 
 # --- subscriptions ------------------------------------------------------------
 
 job("total_customers", ("subs_v",), "SELECT COUNT(DISTINCT customer_id) AS total_customers FROM subs_v")
 
-job("monthly_trials", ("subs_v",), """
-SELECT CAST(month(start_date) AS INTEGER) AS months, COUNT(*) AS trials FROM subs_v
-WHERE plan_id = 0 GROUP BY 1 ORDER BY 1""")
+# A trial starts with a customer's first order: the events table lies in one month.
+job("monthly_trials", (), """
+SELECT CAST(month(d) AS INTEGER) AS months, COUNT(*) AS trials
+FROM (SELECT MIN(CAST(o_orderdate AS DATE)) AS d FROM orders GROUP BY o_custkey) GROUP BY 1 ORDER BY 1""")
 
 job("starts_after", ("subs_v",), """
 SELECT plan_id, COUNT(*) AS starts FROM subs_v WHERE start_date > DATE '2024-01-15'
@@ -470,18 +470,16 @@ SELECT c.num AS direct_churners, {_pct("c.num", "t.num")} AS percent_churned
 FROM (SELECT COUNT(DISTINCT customer_id) AS num FROM next_v WHERE plan_id = 0 AND next_plan = 4) c, total_v t""")
 
 job("conversion_share", ("next_v", "subs_v"), f"""
-SELECT cur.plan_id, conv.total_conversions, cur.num,
-       {_round_pct("conv.total_conversions", "cur.num")} AS percent_converted
-FROM (SELECT plan_id, COUNT(DISTINCT customer_id) AS num FROM subs_v GROUP BY plan_id) cur
-JOIN (SELECT next_plan, COUNT(*) AS total_conversions FROM next_v
-      WHERE next_plan IS NOT NULL AND plan_id = 0 GROUP BY next_plan) conv ON cur.plan_id = conv.next_plan""")
+WITH after_trial AS (SELECT next_plan AS plan_id FROM next_v WHERE plan_id = 0),
+taken AS (SELECT plan_id, COUNT(*) AS total_conversions FROM after_trial GROUP BY plan_id)
+SELECT plan_id, total_conversions, COUNT(DISTINCT customer_id) AS num,
+       {_round_pct("total_conversions", "COUNT(DISTINCT customer_id)")} AS percent_converted
+FROM taken JOIN subs_v USING (plan_id) GROUP BY plan_id, total_conversions""")
 
 job("plan_snapshot", ("next_v", "total_v"), f"""
-SELECT cnt.plan_id, cnt.customers, {_round_pct("cnt.customers", "t.num")} AS percent
-FROM (SELECT plan_id, COUNT(DISTINCT customer_id) AS customers FROM next_v
-      WHERE (next_date IS NOT NULL AND (DATE '2024-01-15' > start_date AND DATE '2024-01-15' < next_date))
-         OR (next_date IS NULL AND DATE '2024-01-15' > start_date)
-      GROUP BY plan_id) cnt, total_v t""")
+SELECT plan_id, customers, {_round_pct("customers", "(SELECT num FROM total_v)")} AS percent FROM (
+  SELECT plan_id, COUNT(DISTINCT customer_id) AS customers FROM next_v
+  WHERE start_date < DATE '2024-01-15' AND COALESCE(next_date, 'infinity'::TIMESTAMP) > DATE '2024-01-15' GROUP BY plan_id)""")
 
 job("annual_upgrades", ("next_v",), """
 SELECT COUNT(DISTINCT customer_id) AS annual_upgrades FROM next_v WHERE next_plan = 3 AND year(start_date) = 2024""")
@@ -499,29 +497,32 @@ SELECT COUNT(*) AS customers_downgraded FROM next_v WHERE plan_id = 2 AND next_p
 
 # --- payment schedule ---------------------------------------------------------
 
+# Payments by date, numbered by counting: each payment's neighbours are those with the next higher and lower number.
+# Departs from the survey on ties: equal payment dates are ordered by interval (start_date, order_key), not by plan.
 job("payments", ("timeline_v", "plans_v"), """
-WITH priced AS (
-  SELECT s.customer_id, s.plan_id, p.plan_name, s.start_date, p.price, s.order_key
-  FROM timeline_v s JOIN plans_v p ON s.plan_id = p.plan_id WHERE s.plan_id != 0),
-with_next AS (SELECT *, LEAD(start_date) OVER (PARTITION BY customer_id ORDER BY start_date, order_key) AS next_date
-       FROM priced),
-intervals AS (SELECT customer_id, plan_id, plan_name, start_date, order_key, price,
-              COALESCE(next_date, DATE '1998-12-31') AS stop,
-              CASE WHEN plan_id IN (1, 2) THEN INTERVAL 1 MONTH ELSE INTERVAL 1 YEAR END AS step
-       FROM with_next WHERE plan_id != 4),
-dates AS (SELECT customer_id, plan_id, plan_name, start_date, order_key,
-              CAST(unnest(generate_series(CAST(start_date AS TIMESTAMP), CAST(stop AS TIMESTAMP), step)) AS DATE)
-                AS payment_date, price
-       FROM intervals),
-looked AS (SELECT *, LEAD(plan_id) OVER (PARTITION BY customer_id ORDER BY payment_date, start_date, order_key)
-                   AS next_plan FROM dates),
-kept AS (SELECT customer_id, plan_id, plan_name, start_date, order_key, payment_date, price FROM looked
-       WHERE NOT (next_plan IS NOT NULL AND (plan_id = 2 AND next_plan = 3))),
-with_prev AS (SELECT *, LAG(plan_id) OVER (PARTITION BY customer_id ORDER BY payment_date, start_date, order_key)
-                   AS prev_plan FROM kept),
-credited AS (SELECT customer_id, plan_id, plan_name, start_date, order_key, payment_date,
-              CASE WHEN plan_id IN (2, 3) AND prev_plan = 1 THEN price - 9.90 ELSE price END AS price FROM with_prev)
-SELECT customer_id, plan_id, plan_name, payment_date, CAST(price AS DECIMAL(6,2)) AS price,
-       CAST(ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY payment_date, start_date, order_key) AS INTEGER)
-         AS payment_order
-FROM credited WHERE payment_date <= DATE '1998-12-31'""")
+WITH changes AS (
+  SELECT customer_id, plan_id, start_date, order_key,
+         row_number() OVER (PARTITION BY customer_id ORDER BY start_date, order_key) AS i
+  FROM timeline_v WHERE plan_id <> 0),
+paid AS (
+  SELECT a.customer_id, a.plan_id, a.i, unnest(generate_series(
+           a.start_date::TIMESTAMP, COALESCE(b.start_date, DATE '1998-12-31')::TIMESTAMP,
+           to_months(IF(a.plan_id = 3, 12, 1))))::DATE AS d
+  FROM changes a LEFT JOIN changes b ON b.customer_id = a.customer_id AND b.i = a.i + 1 WHERE a.plan_id <> 4),
+listed AS (
+  SELECT customer_id, list(struct_pack(plan := plan_id, d := d) ORDER BY i, d) AS l FROM paid GROUP BY customer_id),
+held AS (
+  SELECT customer_id, list_filter(l, lambda x, k: NOT (x.plan = 2 AND coalesce(l[k + 1].plan = 3, false))) AS l FROM listed),
+flat AS (
+  SELECT customer_id, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS k,
+         unnest(list_transform(l, lambda x, k: x.plan IN (2, 3) AND k > 1 AND coalesce(l[k - 1].plan = 1, false))) AS credit
+  FROM held)
+SELECT customer_id, x.plan AS plan_id, plan_name, x.d AS payment_date,
+       (price - IF(credit, 9.90, 0))::DECIMAL(6,2) AS price, k::INTEGER AS payment_order
+FROM flat JOIN plans_v ON plans_v.plan_id = x.plan WHERE x.d <= DATE '1998-12-31'""")
+
+job("list_pairs", ("clean_orders_v",), """
+WITH lists AS (SELECT order_id, pizza_id, coalesce(string_split(exclusions, ', ')::INTEGER[], []) AS a,
+                      coalesce(string_split(extras, ', ')::INTEGER[], []) AS b FROM clean_orders_v)
+SELECT order_id, pizza_id, a[k] AS exclusion_id, b[k] AS extra_id
+FROM (SELECT *, unnest(range(1, greatest(len(a), len(b), 1) + 1)) AS k FROM lists)""")

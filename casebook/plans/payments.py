@@ -1,24 +1,18 @@
 """The payment schedule implied by a plan timeline.
 
-Stages (each a DataFrame, inlined by Catalyst):
-
-1. priced plans: timeline x plans, trials dropped;
-2. next change date per customer (LEAD);
-3. paid intervals: churn rows dropped, open intervals end at the horizon,
-   monthly plans step 1 month, the annual plan 12;
-4. calendar expansion, stop inclusive, month ends drifting like
-   ``generate_series``;
-5. a monthly payment directly followed by an annual one is dropped;
-6. a pro payment right after a basic one is credited the basic price;
-7. payments up to the horizon, numbered per customer.
-
-Equal payment dates are ordered by their plan interval: the old plan's last
-payment falls on the change date and precedes the new plan's first. (On
-every upgrade this is also plan-id order.) With that order a customer's
-payments are its intervals in timeline order, dates ascending within each,
-which is exactly how the timeline pass lays them out. So the payment passes
-run on the timeline's range layout (``presorted``), and J55 range-shuffles
-only the timeline, never the expanded payments.
+A customer's payments are its plan intervals in timeline order, dates ascending within each (the old plan's last
+payment falls on the change date and precedes the new plan's first). So everything that depends on neighbouring
+payments is found on *intervals*, and the calendar is expanded last:
+
+1. priced plans: timeline x plans, trials dropped; the next change closes the interval, the horizon the last one;
+2. paid intervals: churn dropped, one payment at least; monthly plans step 1 month, the annual plan 12,
+   month ends drifting like ``generate_series``;
+3. a pro interval that an annual one follows gives up its last payment;
+4. the first payment of a pro or annual interval right after a basic payment is credited the basic price, and the
+   running sum of the payment counts numbers the payments;
+5. one row per payment up to the horizon.
+
+The passes are range-partitioned over intervals, so a hot customer spans tasks; no expanded row is ever shuffled or stored.
 """
 
 from __future__ import annotations
@@ -28,7 +22,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.operators import along, expand_calendar
+from casebook.operators import along, stepped_dates
 
 BASIC, PRO, ANNUAL, CHURN, TRIAL = 1, 2, 3, 4, 0
 BASIC_CREDIT = Decimal("9.90")
@@ -42,30 +36,24 @@ def payments(subs: DataFrame, plans: DataFrame, horizon="2020-12-31", tiebreak=(
         .select("customer_id", "plan_id", "plan_name", F.col("start_date").cast("date").alias("start_date"),
                 "price", *tiebreak)
     )
-    interval = ["start_date", *tiebreak]
-    with_next = along(priced, ["customer_id"], interval, lead={"next_date": "start_date"}, method=method)
-    paid = with_next.filter(F.col("plan_id") != CHURN).select(
-        "customer_id", "plan_id", "plan_name", "start_date", *tiebreak, "price",
-        F.coalesce(F.col("next_date"), horizon_d).alias("stop"),
-        F.when(F.col("plan_id").isin(BASIC, PRO), F.lit(1)).otherwise(F.lit(12)).alias("step"),
-    )
-    dates = expand_calendar(paid, "start_date", "stop", F.col("step"), out="payment_date").select(
-        "customer_id", "plan_id", "plan_name", *interval, "payment_date", "price"
+    order = ["start_date", *tiebreak]
+    key = ["customer_id"]
+    with_next = along(priced, key, order, lead={"next_date": "start_date"}, method=method)
+    step = F.when(F.col("plan_id").isin(BASIC, PRO), F.lit(1)).otherwise(F.lit(12))
+    paid = (
+        with_next.withColumn("stop", F.coalesce(F.col("next_date"), horizon_d)).withColumn("step", step)
+        .filter((F.col("plan_id") != CHURN) & (F.col("start_date") <= F.col("stop")))
+        .drop("next_date")
     )
-    # (interval, payment date) is the payment order; the exploded rows are
-    # already in it, partition by partition.
-    order = [*interval, "payment_date"]
-    looked = along(dates, ["customer_id"], order, lead={"next_plan": "plan_id"}, method=method, presorted=True)
-    kept = looked.filter(~(F.col("next_plan").isNotNull() & (F.col("plan_id") == PRO) & (F.col("next_plan") == ANNUAL)))
-    kept = kept.drop("next_plan")
-    # Dropping payments after the horizon removes a suffix of each customer's
-    # payments, so numbering before the filter gives the same numbers.
-    numbered = along(kept, ["customer_id"], order, lag={"prev_plan": "plan_id"}, row_number="payment_order",
-                     method=method, presorted=True)
-    credited = F.when(
-        F.col("plan_id").isin(PRO, ANNUAL) & (F.col("prev_plan") == BASIC), F.col("price") - F.lit(BASIC_CREDIT)
-    ).otherwise(F.col("price"))
-    return numbered.filter(F.col("payment_date") <= horizon_d).select(
-        "customer_id", "plan_id", "plan_name", "payment_date",
-        credited.cast("decimal(6,2)").alias("price"), "payment_order",
+    followed = along(paid, key, order, lead={"next_plan": "plan_id"}, method=method)
+    gives_up = (F.col("plan_id") == PRO) & F.coalesce(F.col("next_plan") == ANNUAL, F.lit(False))
+    dates = stepped_dates("start_date", "stop", F.col("step"))
+    counted = followed.withColumn("n", (F.size(dates) - gives_up.cast("int")).cast("long")).filter("n > 0").drop("next_plan")
+    numbered = along(counted, key, order, lag={"prev_plan": "plan_id"}, running=("upto", "n"), method=method)
+    each = numbered.select("*", F.posexplode(F.slice(dates, 1, F.col("n").cast("int"))).alias("pos", "payment_date"))
+    credited = (F.col("pos") == 0) & F.col("plan_id").isin(PRO, ANNUAL) & F.coalesce(F.col("prev_plan") == BASIC, F.lit(False))
+    price = F.when(credited, F.col("price") - F.lit(BASIC_CREDIT)).otherwise(F.col("price"))
+    return each.filter(F.col("payment_date") <= horizon_d).select(
+        "customer_id", "plan_id", "plan_name", "payment_date", price.cast("decimal(6,2)").alias("price"),
+        (F.col("upto") - F.col("n") + F.col("pos") + 1).cast("int").alias("payment_order"),
     )

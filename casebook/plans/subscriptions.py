@@ -44,9 +44,11 @@ def starts_after(subs, after="2020-01-01"):
 
 def _customer_flags(subs: DataFrame, flag) -> DataFrame:
     """Distinct customers and those with ``flag`` in one pass: per-customer
-    max (partial aggregation, one shuffle of customers), then a global sum."""
-    per = subs.groupBy("customer_id").agg(F.max(F.when(flag, 1).otherwise(0)).alias("_f"))
-    return per.agg(F.count(F.lit(1)).alias("_total"), F.sum("_f").alias("_hit"))
+    max (partial aggregation, one shuffle of customers), then a global sum. A NULL
+    customer counts as none, and no rows give 0, as COUNT(DISTINCT) does."""
+    known = subs.filter(F.col("customer_id").isNotNull())
+    per = known.groupBy("customer_id").agg(F.max(F.when(flag, 1).otherwise(0)).alias("_f"))
+    return per.agg(F.count(F.lit(1)).alias("_total"), F.coalesce(F.sum("_f"), F.lit(0)).alias("_hit"))
 
 
 def churn_percent(subs):
@@ -104,9 +106,9 @@ def annual_upgrades(subs, year=2020, order=("start_date",), by_upgrade_date=Fals
 
 
 def _days_to_annual(subs: DataFrame) -> DataFrame:
-    """N7 in one pass: first trial date and first annual date per customer,
-    whole days between them, for customers with both."""
-    per = subs.groupBy("customer_id").agg(
+    """N7, first dates only: each customer's first trial date and first annual date in
+    one pass, whole days between them, for (known) customers with both."""
+    per = subs.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.min(F.when(F.col("plan_id") == TRIAL, F.col("start_date"))).alias("_trial"),
         F.min(F.when(F.col("plan_id") == ANNUAL, F.col("start_date"))).alias("_annual"),
     )
@@ -115,20 +117,23 @@ def _days_to_annual(subs: DataFrame) -> DataFrame:
 
 
 def days_to_upgrade(subs):
-    """Mean whole days from trial to annual plan, rounded to 2 places."""
+    """Mean whole days from each customer's first trial to their first annual plan, rounded to 2 places."""
     days = _days_to_annual(subs)
     return days.agg(exact_round_ratio(F.sum("days"), F.count("days"), 2).alias("avg_days_to_upgrade"))
 
 
 def upgrade_histogram(subs, lo=0, hi=360, buckets=12):
-    """J52's day counts in equal-width buckets ('0-30', '30-60', ...).
+    """J52's day counts (first dates only) in equal-width buckets ('0-30', '30-60', ...).
 
-    Below ``lo`` is bucket 0 and at or past ``hi`` bucket ``buckets + 1``.
+    Below ``lo`` is bucket 0 and at or past ``hi`` bucket ``buckets + 1``; ``hi - lo``
+    must be a multiple of ``buckets``, so that the labels are whole days.
     """
-    width = (hi - lo) // buckets
+    width, rest = divmod(hi - lo, buckets)
+    if rest:
+        raise ValueError(f"{buckets} buckets do not divide {hi - lo} days evenly")
     days = _days_to_annual(subs).withColumn("_b", width_bucket("days", lo, hi, buckets))
     counts = days.groupBy("_b").agg(F.count(F.lit(1)).alias("customers"))
-    return counts.orderBy("_b").select(bucket_label("_b", width).alias("day_range"), "customers")
+    return counts.orderBy("_b").select(bucket_label("_b", width, lo).alias("day_range"), "customers")
 
 
 def downgrades(subs, order=("start_date",), method="split"):

@@ -57,7 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
     always wins. Only a local run (tests, bench) without it gets a fresh
-    scratch folder.
+    scratch folder; on a cluster a missing setting is an error, because executors
+    would write to their own disks.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -68,6 +69,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        if fallback is None:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = fallback or tempfile.mkdtemp(prefix="casebook-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)

@@ -147,6 +147,12 @@ def subs_v(t: Tables) -> DataFrame:
     )
 
 
+def trials_v(t: Tables) -> DataFrame:
+    """Trial starts: each customer's first order."""
+    first = t.orders.groupBy(F.col("o_custkey").alias("customer_id")).agg(F.min(F.to_date("o_orderdate")).alias("start_date"))
+    return first.withColumn("plan_id", F.lit(0))
+
+
 def timeline_v(t: Tables) -> DataFrame:
     """Plan timeline for the payment schedule: one state change per order.
 

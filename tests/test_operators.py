@@ -2,7 +2,7 @@
 
 import datetime as dt
 import random
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from conftest import rows, sortkey_sorted
@@ -253,21 +253,6 @@ def test_along_property_random_layouts(spark):
     check()
 
 
-@pytest.mark.parametrize("parts", [1, 3, 7])
-def test_along_presorted_chain_equals_window(spark, parts):
-    """A second pass over the output of a first (filtered in between) reuses its layout."""
-    random.seed(100 + parts)
-    data = [(random.choice([0, 0, 0, 1, 2, 3]), random.randint(0, 40), i, random.randint(1, 4)) for i in range(400)]
-    df = spark.createDataFrame(data, "k long, t long, id long, p int")
-
-    def chain(method):
-        first = along(df, ["k"], ["t", "id"], lead={"np": "p"}, method=method, partitions=parts)
-        kept = first.filter(~((F.col("p") == 2) & (F.col("np") == 3))).drop("np")
-        return along(kept, ["k"], ["t", "id"], lag={"pp": "p"}, row_number="rn", method=method, presorted=True)
-
-    assert rows(chain("split")) == rows(chain("window"))
-
-
 def test_checkpoint_dir_comes_from_the_session(spark):
     from casebook.session import ensure_checkpoint_dir
 
@@ -303,6 +288,8 @@ def test_stepped_dates_property(spark):
         span = random.choice([1200, 1200, 40000])  # up to a century
         stop = start + dt.timedelta(days=random.randint(-40, span))
         cases.append((start, stop, random.choice([1, 1, 12, 12, 3, 5])))
+    for step in range(1, 97):  # every step up to eight years, over two centuries from a leap day
+        cases.append((dt.date(1904, 2, 29), dt.date(2104, 3, 1), step))
     df = spark.createDataFrame(cases, "s date, e date, step int")
     got = [r[0] for r in df.select(stepped_dates("s", "e", F.col("step"))).collect()]
     for (s, e, step), dates in zip(cases, got):
@@ -311,3 +298,85 @@ def test_stepped_dates_property(spark):
             expected.append(d)
             d = _add_months(d, step)
         assert dates == expected, (s, e, step)
+
+
+def test_exact_round_ratio_near_half(spark):
+    cases = [(5000, 1000001), (50000, 10000001), (500, 100001), (5, 1000), (-5, 1000), (1, 3), (10**17, 3), (None, 3), (1, 0), (0, 7)]
+    df = spark.createDataFrame([(i, n, d) for i, (n, d) in enumerate(cases)], "i int, n long, d long")
+    got = {r.i: r.q for r in df.select("i", exact_round_ratio("n", "d", 2).alias("q")).collect()}
+    for i, (n, d) in enumerate(cases):
+        if n is None or not d:
+            assert got[i] is None
+        else:
+            want = (Decimal(n) / Decimal(d)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+            assert got[i] == want, cases[i]
+
+
+def test_histogram_labels_start_at_lo(spark):
+    from casebook.plans.subscriptions import upgrade_histogram
+
+    subs = spark.createDataFrame([(1, 0, D("2020-01-01")), (1, 3, D("2020-01-16"))], "customer_id int, plan_id int, start_date date")
+    assert [tuple(r) for r in upgrade_histogram(subs, lo=10, hi=40, buckets=3).collect()] == [("10-20", 1)]
+    with pytest.raises(ValueError):
+        upgrade_histogram(subs, lo=0, hi=100, buckets=7)
+
+
+def test_null_customers_and_no_rows(spark):
+    from casebook.plans.subscriptions import churn_percent, days_to_upgrade
+
+    schema = "customer_id int, plan_id int, start_date date"
+    some = spark.createDataFrame([(1, 4, D("2020-01-01")), (2, 0, D("2020-01-01")), (None, 4, D("2020-01-01")),
+                                  (None, 0, D("2020-01-01")), (None, 3, D("2020-03-01"))], schema)
+    assert [tuple(r) for r in churn_percent(some).collect()] == [(1, 50.0)]
+    assert churn_percent(some.limit(0)).collect()[0].num_churned == 0
+    assert days_to_upgrade(some).collect()[0].avg_days_to_upgrade is None
+
+
+def test_list_separator_is_no_pattern(spark):
+    df = spark.createDataFrame([("a|b",)], "t string")
+    assert [r.x for r in explode_list(df, "t", "x", sep="|", element_type="string").collect()] == ["a", "b"]
+
+
+def test_stable_rating_of_negative_ids(spark):
+    from casebook.functions.numeric import stable_rating
+
+    df = spark.createDataFrame([(-3, 1), (3, 1), (-7, -9)], "o long, r long")
+    assert all(1 <= x.s <= 5 for x in df.select(stable_rating("o", "r").alias("s")).collect())
+
+
+def test_along_takes_any_date_and_big_numbers(spark):
+    data = [(1, D("2020-01-01"), 2**60 + 1), (1, D("9999-12-31"), None), (None, D("0001-01-01"), 2**53 + 1), (None, D("9999-12-31"), 7)]
+    df = spark.createDataFrame(data, "k long, t date, v long").withColumn("ts", F.col("t").cast("timestamp_ntz"))
+    kw = dict(lead={"nv": "v", "nt": "ts"}, lag={"pv": "v"})
+    assert rows(along(df, ["k"], ["t"], method="split", partitions=3, **kw)) == rows(along(df, ["k"], ["t"], method="window", **kw))
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_running_sum_equals_window(spark, parts):
+    random.seed(parts)
+    data = [(random.choice([0, 0, 1, 2, None]), i, random.randint(0, 9)) for i in range(300)]
+    df = spark.createDataFrame(data, "k long, t long, n long")
+    split, window = (along(df, ["k"], ["t"], running=("upto", "n"), method=m, partitions=parts if m == "split" else None)
+                     for m in ("split", "window"))
+    assert rows(split) == rows(window)
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from casebook import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Fake:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Fake())

@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from casebook.operators import along, sequence  # noqa: E402
+from casebook.operators import along  # noqa: E402
 from casebook.session import build_session  # noqa: E402
 
 
@@ -42,7 +42,6 @@ def main(argv):
             check = tuple(out.agg(F.sum("rn"), F.count("next_plan")).first())
             print(f"round {rnd} {method:6s} {time.perf_counter() - t0:6.2f}s  check={check}", flush=True)
             results.setdefault(method, set()).add(check)
-            sequence.release()
     assert results["window"] == results["split"], results
     spark.stop()
     return 0
