@@ -17,7 +17,7 @@ from casebook.sources.sinks import freeze
 # A word is a run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "by_value", "table", "cut", "shared_folder", "row_numbers", "shuffle_partitions"]
+__all__ = ["WORD", "by_value", "lean", "table", "cut", "shared_folder", "row_numbers", "shuffle_partitions"]
 
 
 def by_value(module: str) -> None:
@@ -28,6 +28,26 @@ def by_value(module: str) -> None:
 by_value(__name__)
 
 
+def lean(run):
+    """A task's function over batches that gives its memory back at the end: Python workers live on between tasks,
+    and what their allocators keep would add up in an executor from stage to stage."""
+    def over(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            import pyarrow as pa
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return over
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A whole input table. Spark's reader only: the folder may be in a store that nothing else reads."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

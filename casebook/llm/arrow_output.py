@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.llm import tokens
-from casebook.llm._common import by_value, shared_folder, shuffle_partitions
+from casebook.llm._common import by_value, lean, shared_folder, shuffle_partitions
 
 by_value(__name__)
 
@@ -88,6 +88,7 @@ class _Sequences:
 
 
 def _file_writer(spec: str, folder: str, end_id: int, seq_len: int, kind: pa.DataType):
+    @lean
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -190,6 +191,7 @@ class SequenceFile:
 READ = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
+@lean
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
     for batch in batches:

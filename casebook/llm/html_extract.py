@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm import dom
-from casebook.llm._common import by_value, cut
+from casebook.llm._common import by_value, cut, lean
 
 by_value(__name__)
 
@@ -42,6 +42,7 @@ def host_of(url: str | None) -> str:
     return m[1].lower().rstrip(".") if m else ""
 
 
+@lean
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hosts, shapes, sizes, nodes, levels, texts = [], [], [], [], [], []

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm import wordhash
-from casebook.llm._common import by_value, cut, shuffle_partitions
+from casebook.llm._common import by_value, cut, lean, shuffle_partitions
 from casebook.llm.links import components, join_checked
 
 by_value(__name__)
@@ -51,6 +51,7 @@ _ENTRY = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("pos", "<u4
 
 # --- word counts -------------------------------------------------------------------------------------------------------
 
+@lean
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -138,6 +139,7 @@ def parity(shingles: np.ndarray) -> bytes:
 
 def _fingerprints(with_bits: bool):
     """Appends f1, f2, n (and the bitmap) to rows whose first column is the text."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             f1, f2, n = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
@@ -160,6 +162,7 @@ def prefix_length(n: int) -> int:
 
 def _entries(ranks_of, buckets: int):
     """Rows (text, node, f1, f2, n) -> packed prefix entries by bucket."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of.value
         held: list[np.ndarray] = []
@@ -368,6 +371,7 @@ class Trie:
 
 def _compare(ranks_of):
     """Rows (text, f1, f2, hub, part, role, node), sorted by (hub, part, role): role 0 is the hub. -> links (a, b)."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of.value
         key = probe = None

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm import wordhash
-from casebook.llm._common import by_value
+from casebook.llm._common import by_value, lean
 
 by_value(__name__)
 
@@ -100,6 +100,7 @@ class _Templates:
 
 
 def _scan(templates: Sequence[tuple[str, str]], threshold: int, miss: float):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Templates(templates, threshold, miss)
         for batch in batches:

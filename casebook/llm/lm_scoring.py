@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm import attention, wordhash
-from casebook.llm._common import by_value, cut, shared_folder, shuffle_partitions
+from casebook.llm._common import by_value, cut, lean, shared_folder, shuffle_partitions
 from casebook.llm.arrow_output import store
 from casebook.llm.suffix_dedup import _write_answers
 
@@ -126,6 +126,7 @@ WORDS = "bucket bigint, pack bigint, sum bigint, hashes binary, counts binary, s
 
 
 def _send_words(buckets: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack in packs(batches, buckets):
             counts = np.bincount(pack.place, pack.teaches, len(pack.words)).astype("<i8")
@@ -292,6 +293,7 @@ COUNTED = "kind int, no bigint, rows binary"
 
 def _count_and_sample(buckets: int, folder: str, classes_of, sample: int):
     """Kind 0: how often each class follows each; kind 1: training windows (class before, targets, seen)."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, classes = Vocabulary(folder, buckets), classes_of.value
         pairs = np.zeros(attention.CLASSES ** 2, np.int64)
@@ -348,6 +350,7 @@ def _tree(rows: DataFrame, add) -> bytes | None:
 
 def _train_part(model_of, start_of, round_no: int):
     """One pass over the task's training rows from the common weights -> weights * windows, windows (64-bit fixed point)."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted((r["no"], r["rows"]) for b in batches for r in b.to_pylist())
         if not rows:
@@ -366,6 +369,7 @@ def _train_part(model_of, start_of, round_no: int):
 def _score(buckets: int, folder: str, classes_of, start_of, model_of, totals: tuple[int, int, int]):
     n_total, v, ends = totals
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, classes = Vocabulary(folder, buckets), classes_of.value
         model = attention.Model(attention.shaped(model_of.value), *start_of.value)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm import tokens
-from casebook.llm._common import by_value, shuffle_partitions
+from casebook.llm._common import by_value, lean, shuffle_partitions
 
 by_value(__name__)
 
@@ -143,6 +143,7 @@ class _Packer:
 
 
 def _pack(spec: str, end_id: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm._common import by_value, shared_folder, shuffle_partitions
+from casebook.llm._common import by_value, lean, shared_folder, shuffle_partitions
 from casebook.llm.arrow_output import store
 from casebook.llm.wordhash import mix
 
@@ -330,6 +330,7 @@ def _keyed_runs(shard: Shard, buckets: int):
 
 
 def _anchors(buckets: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, shards in packs(batches):
             for shard in shards:
@@ -430,6 +431,7 @@ class _Items:
 
 
 def _items(buckets: int, shared: str):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers = Answers(shared)
         for _, _, shards in packs(batches):
@@ -536,6 +538,7 @@ def _covered(shard: Shard, items: _Items, smaller: dict[int, np.ndarray]) -> np.
 
 
 def _result(buckets: int, shared: str, smaller: str, emit: Callable):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, ids = Answers(shared), Answers(smaller)
         for rows, texts, shards in packs(batches):

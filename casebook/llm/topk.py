@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casebook.llm._common import by_value, cut
+from casebook.llm._common import by_value, cut, lean
 
 by_value(__name__)
 
@@ -41,6 +41,7 @@ def usable(vec: Column) -> Column:
 
 def _packer(size: int):
     """Rows (dim, id, vec) -> matrices of at most ``size`` rows of one dim: (dim, n, ids, data)."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wait: dict[int, list] = {}
 
@@ -106,6 +107,7 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
 
 
 def _merge(k: int, scale: int):
+    @lean
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state = None  # (key, query ids, queries, scores, ids)
 

@@ -16,7 +16,7 @@ from casebook.llm._common import by_value
 
 by_value(__name__)
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 64, 256, dtype=np.uint64)
