@@ -10,8 +10,8 @@ judged on the input. Texts are dealt into shards of at most ``SHARD`` bytes in t
    sorted lists of the shards are merged by binary search, which tells each shard which of its anchors other shards have, and whether
    always inside the same run.
 3. For those anchors the shards send (fingerprint, least id) of their different runs, or, where the runs differ, of their different
-   strings. The lists are merged, and each shard hears of smaller ids elsewhere. Every shard sends a key once, so a passage in a third of
-   all documents costs a row for each shard, not for each document.
+   strings. The lists are merged, and one bit tells a shard whether another has a smaller id. Every shard sends a key once, so a
+   passage in a third of all documents costs a row for each shard, not for each document.
 
 Shards are read three times by the same scan; every answer carries a checksum of its shard, so a changed scan is an error. The answers for
 a scan partition are written to one Arrow file in the shared folder.
@@ -40,7 +40,7 @@ from casebook.llm.wordhash import mix
 by_value(__name__)
 
 LENGTH = 50
-GRAM = 28
+GRAM = 32
 SHARD = 1 << 20
 _BITS = 20  # of a place in a shard
 _LAST = np.iinfo(np.int64).max
@@ -308,12 +308,12 @@ def _rows(bucket: list, shard: Shard, rows: list[bytes]) -> pa.RecordBatch:
         "sum": pa.array([shard.sum] * len(rows), pa.int64()), "rows": pa.array(rows, pa.binary())})
 
 
-def _by_bucket(bucket: np.ndarray, rows: np.ndarray) -> tuple[list[int], list[bytes]]:
+def _by_bucket(bucket: np.ndarray, rows: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
     """Rows dealt by bucket, in their order."""
     order = np.argsort(bucket, kind="stable")
     bucket, rows = bucket[order], rows[order]
     firsts = np.flatnonzero(np.diff(bucket, prepend=-1))
-    return bucket[firsts].tolist(), [x.tobytes() for x in np.split(rows, firsts[1:])] if len(firsts) else []
+    return bucket[firsts].tolist(), np.split(rows, firsts[1:]) if len(firsts) else []
 
 
 def _keyed_runs(shard: Shard, buckets: int):
@@ -345,7 +345,7 @@ def _anchors(buckets: int):
                 low, high = np.minimum.reduceat(ctx, starts), np.maximum.reduceat(ctx, starts)
                 ctx = np.where(low == high, low, np.uint64(0))  # 0: different runs in this shard
                 b, r = _by_bucket(bucket[starts], (h[starts] << np.uint64(_CTX)) | ctx)
-                yield _rows(b, shard, r)
+                yield _rows(b, shard, [x.tobytes() for x in r])
     return run
 
 
@@ -382,7 +382,25 @@ def _shared(table: pa.Table) -> pa.Table:
 
 # --- step 3: smaller ids elsewhere -------------------------------------------------------------------------------------
 
-_ITEM = np.dtype([("f1", "<u8"), ("f2", "<u8"), ("id", "<i8")])
+_ITEM = np.dtype([("f1", "<u8"), ("f2", "<u4"), ("id", "<i8")])  # 96 bits of fingerprint
+
+
+def pack_items(items: np.ndarray) -> bytes:
+    """14 bytes an item: ids are numbered within the shard."""
+    ids, at = np.unique(items["id"], return_inverse=True)
+    kind = "<u2" if len(ids) <= 1 << 16 else "<u4"
+    return b"".join([np.array([len(items), len(ids)], "<u4").tobytes(), items["f1"].tobytes(), items["f2"].tobytes(),
+                     at.astype(kind).tobytes(), ids.astype("<i8").tobytes()])
+
+
+def unpack_items(row: bytes) -> np.ndarray:
+    n, m = (int(x) for x in np.frombuffer(row, "<u4", 2))
+    out = np.zeros(n, _ITEM)
+    out["f1"] = np.frombuffer(row, "<u8", n, 8)
+    out["f2"] = np.frombuffer(row, "<u4", n, 8 + 8 * n)
+    at = np.frombuffer(row, "<u2" if m <= 1 << 16 else "<u4", n, 8 + 12 * n)
+    out["id"] = np.frombuffer(row[len(row) - 8 * m:], "<i8")[at]
+    return out
 
 
 class _Items:
@@ -407,7 +425,8 @@ class _Items:
         loose = np.flatnonzero(known & mixed)
         single = np.repeat(first[loose] - (np.cumsum(lengths[loose]) - lengths[loose]), lengths[loose]) + np.arange(lengths[loose].sum())
         s1, s2 = shard.prints(single, single + LENGTH) if len(single) else (np.zeros(0, np.uint64),) * 2
-        f1, f2 = np.concatenate([f1[runs], s1]), np.concatenate([f2[runs], s2])
+        f1 = np.concatenate([f1[runs], s1])
+        f2 = (np.concatenate([f2[runs], s2]) >> np.uint64(32)).astype(np.uint32)
         start = np.concatenate([first[runs], single])
         self.start, self.stop = start, np.concatenate([last[runs], single])
         order = np.lexsort((f2, f1))
@@ -439,27 +458,24 @@ def _items(buckets: int, shared: str):
                 items = _Items(shard, buckets, answers.of(shard, np.uint64))
                 if len(items.rows):
                     b, r = _by_bucket(items.buckets(buckets), items.rows)
-                    yield _rows(b, shard, r)
+                    yield _rows(b, shard, [pack_items(x) for x in r])
     return run
 
 
 def _smaller(table: pa.Table) -> pa.Table:
-    """For each shard the items that another shard has with a smaller id: (fingerprints, that id)."""
-    lists = [np.frombuffer(x, _ITEM) for x in table["rows"].to_pylist()]
+    """For each shard a bit for each of its items, in order: another shard has it with a smaller id."""
+    lists = [unpack_items(x) for x in table["rows"].to_pylist()]
     all_ = np.concatenate(lists)
     order = np.lexsort((all_["id"], all_["f2"], all_["f1"]))
     s = all_[order]
     new = np.append(True, (s["f1"][1:] != s["f1"][:-1]) | (s["f2"][1:] != s["f2"][:-1]))
-    least = np.empty(len(s), np.int64)
-    least[order] = s["id"][np.flatnonzero(new)][np.cumsum(new) - 1]
+    hit = np.empty(len(s), bool)
+    hit[order] = s["id"][np.flatnonzero(new)][np.cumsum(new) - 1] < s["id"]
     answers, a = [], 0
     for x in lists:
-        low = least[a:a + len(x)]
+        own = hit[a:a + len(x)]
         a += len(x)
-        hit = low < x["id"]
-        out = x[hit].copy()
-        out["id"] = low[hit]
-        answers.append(out.tobytes())
+        answers.append(np.packbits(own).tobytes() if own.any() else b"")
     return _answer(table, answers)
 
 
@@ -512,22 +528,19 @@ def _exchange(rows: DataFrame, merge: Callable, name: str) -> str:
 
 # --- the operator ------------------------------------------------------------------------------------------------------
 
-def _covered(shard: Shard, items: _Items, smaller: dict[int, np.ndarray]) -> np.ndarray:
+def _covered(shard: Shard, items: _Items, smaller: dict[int, np.ndarray], buckets: int) -> np.ndarray:
     """The bytes of the shard to remove."""
     n = len(shard.data)
     least = repeated_in_shard(shard.data, shard.ends, shard.ids)
     hit = least < shard.ids
     if smaller and len(items.rows):
-        rows = np.concatenate(list(smaller.values()))
-        rows = rows[np.lexsort((rows["f2"], rows["f1"]))]
-        low = np.full(len(items.rows), _LAST)
-        at = np.searchsorted(rows["f1"], items.rows["f1"])
-        for _ in range(4):  # equal first fingerprints stand together; more than four are out of reach
-            k = np.minimum(at, len(rows) - 1)
-            same = (rows["f1"][k] == items.rows["f1"]) & (rows["f2"][k] == items.rows["f2"])
-            low[same] = rows["id"][k[same]]
-            at = at + 1
-        own = low[items.item] < shard.ids[items.start]
+        less = np.zeros(len(items.rows), bool)
+        bucket = items.buckets(buckets)
+        for b, bits in smaller.items():
+            at = np.flatnonzero(bucket == b)
+            less[at] = np.unpackbits(bits)[:len(at)].astype(bool)
+        # The other's id is smaller than the least of this shard: smaller than all that have the item here.
+        own = less[items.item]
         step = np.zeros(n + 1, np.int64)
         np.add.at(step, items.start[own], 1)
         np.add.at(step, items.stop[own] + 1, -1)
@@ -545,7 +558,7 @@ def _result(buckets: int, shared: str, smaller: str, emit: Callable):
             gone = [np.zeros(len(t), bool) for t in texts]
             for shard in shards:
                 items = _Items(shard, buckets, anchors.of(shard, np.uint64))
-                covered = _covered(shard, items, ids.of(shard, _ITEM))
+                covered = _covered(shard, items, ids.of(shard, np.uint8), buckets)
                 for row, offset, a in zip(shard.rows, shard.offsets, shard.firsts):
                     size = min(SHARD, len(texts[row]) - offset)
                     gone[row][offset:offset + size] |= covered[a:a + size]
