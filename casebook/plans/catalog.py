@@ -245,6 +245,11 @@ def _j31(spark, sf):
 
 # --- ingredients (J32-J37, J43) ---------------------------------------------
 
+def _orders_once(t):
+    """The cleaned order items, joined and written once for jobs that read them several times."""
+    return freeze(_orders(t), "orders")
+
+
 def _recipe_parts(t):
     toppings = V.toppings_v(t)
     return V.recipe_v(t, toppings), toppings, V.pizza_names_v(t)
@@ -271,14 +276,14 @@ def _j34(spark, sf):
 @register("order_item_label")
 def _j35(spark, sf):
     t = Tables(spark, sf)
-    return ingredients.order_item_label(_orders(t), V.pizza_names_v(t), V.toppings_v(t))
+    return ingredients.order_item_label(_orders_once(t), V.pizza_names_v(t), V.toppings_v(t))
 
 
 @register("ingredient_list")
 def _j36(spark, sf):
     t = Tables(spark, sf)
     recipes, toppings, names = _recipe_parts(t)
-    return ingredients.ingredient_list(_orders(t), recipes, toppings, names)
+    return ingredients.ingredient_list(_orders_once(t), recipes, toppings, names)
 
 
 @register("list_pairs")
@@ -292,7 +297,7 @@ def _c9(spark, sf):
 def _j37(spark, sf):
     t = Tables(spark, sf)
     recipes, _, _ = _recipe_parts(t)
-    return ingredients.ingredient_totals(_orders(t), recipes)
+    return ingredients.ingredient_totals(_orders_once(t), recipes)
 
 
 @register("add_product")
