@@ -43,6 +43,7 @@ ROUNDS = 2
 TRUST = 20.0  # pairs that the class counts alone stand for beside the counts after a class
 RATE = 3e-3
 TRAIN_ROW = 2048  # windows in a training row
+STREAM = 300_000  # subwords worked on at a time
 OTHER = attention.CLASSES - 1
 HOLD = 7, 2
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -288,6 +289,22 @@ def _classes(ids: np.ndarray, classes: Classes) -> np.ndarray:
     return np.where(ids < 0, 0, classes.of[np.maximum(ids, 0)])
 
 
+def _streams(pack: Pack, first: np.ndarray, size: np.ndarray, ids: np.ndarray, keep: np.ndarray):
+    """(first text, last text, ids, lengths) of consecutive texts of the pack, ``STREAM`` subwords at a time, whole texts; of those in ``keep``."""
+    n = len(pack.counts)
+    own = np.bincount(np.repeat(np.arange(n), pack.counts), size[pack.place], n) * keep
+    upto = np.cumsum(own)
+    a = 0
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + STREAM, "right")))
+        part = np.zeros(n, bool)
+        part[a:b] = keep[a:b]
+        stream, lengths = _stream(pack, first, size, ids, part)
+        if len(stream):
+            yield a, b, stream, lengths
+        a = b
+
+
 COUNTED = "kind int, no bigint, rows binary"
 
 
@@ -301,18 +318,20 @@ def _count_and_sample(buckets: int, folder: str, classes_of, sample: int):
             "kind": pa.array([kind], pa.int32()), "no": pa.array([no], pa.int64()), "rows": pa.array([data], pa.binary())})
         for pack in packs(batches, buckets):
             _, first, size, ids = vocabulary.of(pack)
-            stream, lengths = _stream(pack, first, size, ids, ~pack.held)
-            if not len(stream):
-                continue
-            c = _classes(stream, classes)
-            pairs += np.bincount(np.append(0, c[:-1]) * attention.CLASSES + c, minlength=len(pairs))
-            starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
-            inputs, targets, seen = attention.windows(c, starts, 0)
-            own = np.arange(len(inputs))[pack.no % sample::sample]
-            for a in range(0, len(own), TRAIN_ROW):
-                at = own[a:a + TRAIN_ROW]
-                yield row(1, (pack.no << 12) + a // TRAIN_ROW, np.concatenate(
-                    [inputs[at], targets[at], np.minimum(seen[at], attention.SPAN)], 1).astype("<i2").tobytes())
+            place = count = 0
+            for _, _, stream, lengths in _streams(pack, first, size, ids, ~pack.held):
+                c = _classes(stream, classes)
+                at = np.append(0, c[:-1]) * attention.CLASSES + c
+                np.add.at(pairs, at, 1)
+                starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
+                inputs, targets, seen = attention.windows(c, starts, 0)
+                own = np.arange((pack.no - place) % sample, len(inputs), sample)
+                place += len(inputs)
+                for k in range(0, len(own), TRAIN_ROW):
+                    at = own[k:k + TRAIN_ROW]
+                    yield row(1, (pack.no << 12) + count, np.concatenate(
+                        [inputs[at], targets[at], np.minimum(seen[at], attention.SPAN)], 1).astype("<i2").tobytes())
+                    count += 1
         yield row(0, 0, _sparse(pairs))
     return run
 
@@ -382,19 +401,12 @@ def _score(buckets: int, folder: str, classes_of, start_of, model_of, totals: tu
             base = sums(per_word) + (math.log10(ends + 1) - below)
             known = sums((counts > 0)[pack.place].astype(np.int64)) + (ends > 0)
             score = np.zeros(len(pack.counts))
-            a = 0
-            upto = np.cumsum(np.bincount(np.repeat(np.arange(len(pack.counts)), pack.counts), size[pack.place], len(pack.counts)))
-            while a < len(score):  # some million subwords at a time, whole texts
-                b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + 2_000_000, "right")))
-                keep = np.zeros(len(score), bool)
-                keep[a:b] = True
-                stream, lengths = _stream(pack, first, size, ids, keep)
+            for a, b, stream, lengths in _streams(pack, first, size, ids, np.ones(len(score), bool)):
                 c = _classes(stream, classes)
                 starts = np.cumsum(lengths) - lengths
                 logp = model.log_probabilities(c, np.repeat(starts, lengths), 0) / math.log(10)
                 logp += np.where(stream < 0, 0.0, classes.within[np.maximum(stream, 0)])
                 score[a:b] = np.add.reduceat(logp, starts)
-                a = b
             yield pa.RecordBatch.from_pydict({
                 "id": pack.ids, "held_out": pa.array(pack.held), "n_tokens": pa.array(pack.counts.astype(np.int64) + 1),
                 "n_known": pa.array(known.astype(np.int64)), "train_tokens": pa.array(np.full(len(score), n_total, np.int64)),
