@@ -1,6 +1,6 @@
 """A small causal self-attention model in numpy: scoring, gradients, training steps.
 
-The stream of classes of a batch of texts is cut into windows of ``SCORED`` places, each with ``CONTEXT`` more before it; so every
+The stream of classes of a batch of texts, each filled up to whole windows (so that a text's score doesn't depend on its neighbours), is cut into windows of ``SCORED`` places, each with ``CONTEXT`` more before it; so every
 place is scored once, with CONTEXT to CONTEXT + SCORED - 1 places before it in sight, and all windows of a batch go through masked attention
 together. A place sees the classes before it in its own text only; the end mark of the text before stands for the start.
 
@@ -53,6 +53,16 @@ def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+def aligned(classes: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stream, firsts, places): every text starts a window, the rest of its last one holds end marks; ``places`` of the real classes."""
+    whole = -(-lengths // SCORED) * SCORED
+    starts = np.cumsum(whole) - whole
+    places = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(classes))
+    stream = np.full(int(whole.sum()), end, np.int64)
+    stream[places] = classes
+    return stream, np.repeat(starts, whole), places
+
+
 def windows(classes: np.ndarray, firsts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, targets, seen) of a stream. ``firsts``: for each place the first place of its text.
 

@@ -323,8 +323,11 @@ def _count_and_sample(buckets: int, folder: str, classes_of, sample: int):
                 c = _classes(stream, classes)
                 at = np.append(0, c[:-1]) * attention.CLASSES + c
                 np.add.at(pairs, at, 1)
-                starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
-                inputs, targets, seen = attention.windows(c, starts, 0)
+                filled, starts, places = attention.aligned(c, lengths, 0)
+                inputs, targets, seen = attention.windows(filled, starts, 0)
+                real = np.zeros(targets.size, bool)
+                real[places] = True
+                targets = np.where(real.reshape(targets.shape), targets, -1)
                 own = np.arange((pack.no - place) % sample, len(inputs), sample)
                 place += len(inputs)
                 for k in range(0, len(own), TRAIN_ROW):
@@ -404,7 +407,8 @@ def _score(buckets: int, folder: str, classes_of, start_of, model_of, totals: tu
             for a, b, stream, lengths in _streams(pack, first, size, ids, np.ones(len(score), bool)):
                 c = _classes(stream, classes)
                 starts = np.cumsum(lengths) - lengths
-                logp = model.log_probabilities(c, np.repeat(starts, lengths), 0) / math.log(10)
+                filled, firsts, places = attention.aligned(c, lengths, 0)
+                logp = model.log_probabilities(filled, firsts, 0)[places] / math.log(10)
                 logp += np.where(stream < 0, 0.0, classes.within[np.maximum(stream, 0)])
                 score[a:b] = np.add.reduceat(logp, starts)
             yield pa.RecordBatch.from_pydict({

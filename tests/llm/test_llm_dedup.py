@@ -197,7 +197,11 @@ def test_attention_gradient_and_scores():
     changed[150:] = 5
     a, b = (model.log_probabilities(x, firsts, 0) for x in (classes, changed))
     assert np.allclose(a[:150], b[:150])
-    assert np.allclose(a[63:], model.log_probabilities(classes[63:], np.zeros(137, int), 0), atol=1e-5)
+    lengths = np.array([60, 3, 137])
+    stream, starts, places = attention.aligned(classes, lengths, 0)
+    together = model.log_probabilities(stream, starts, 0)[places]
+    alone = [model.log_probabilities(*attention.aligned(x, np.array([len(x)]), 0)[:2], 0)[:len(x)] for x in np.split(classes, [60, 63])]
+    assert np.allclose(together, np.concatenate(alone), atol=1e-5)
     before = model.gradient(*batch)[0]
     attention.train(model, *batch, rate=3e-3, batch=4)
     assert model.gradient(*batch)[0] < before
@@ -225,6 +229,8 @@ def test_language_model_counts_and_scores(spark, monkeypatch, tmp_path):
         (r[0], h, len(w), sum(counts[x] > 0 for x in w), n, round(sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w), 6))
         for r, w, h in zip(rows, words, held))
     assert got == want
+    alike = [r.score for r in out if r.doc_id == 7]
+    assert len(alike) == 2 and alike[0] == pytest.approx(alike[1], abs=1e-4)
     again = {(r.doc_id, r.n_tokens, round(r.score, 3)) for r in lm_scoring.score(df, sample=2).collect()}
     assert again == {(r.doc_id, r.n_tokens, round(r.score, 3)) for r in out}
     easy = [r.score / r.n_tokens for r in out if r.n_known == r.n_tokens > 40]
