@@ -484,7 +484,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without near copies: of each class the row with the least id; rows without words stay."""
-    _, classed = _classed(docs, id_col, text_col)
+    members, classed = _classed(docs, id_col, text_col)
     own = classed.where(F.col("node_id").eqNullSafe(F.col("component_id"))).select(
         "component", "node", "f1", "f2", "n", F.col("node_id").alias("_id"))
     stay = cut(own.groupBy("component").agg(F.min(F.struct("node", "f1", "f2", "n", "_id")).alias("s")).select("s.*"), "jaccard-stay")
@@ -494,4 +494,6 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wordless = marked.where("n = 0").select("row.*")
     staying = marked.where("n > 0").withColumn("_key", _id_key("_id"))
     kept = join_checked(staying, stay.select("f1", "f2", "n", _id_key("_id").alias("_key")), stay.count(), ["f1", "f2", "n", "_key"])
-    return kept.dropDuplicates(["f1", "f2", "n", "_key"]).select("row.*").unionByName(wordless)
+    if not members.where("n > 0").groupBy("id", "f1", "f2", "n").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["f1", "f2", "n", "_key"])  # rows that stand twice; else the texts need no shuffle
+    return kept.select("row.*").unionByName(wordless)
