@@ -44,7 +44,7 @@ CHUNK = 1 << 14  # counters in a row of the sketch
 GROUP_ROWS = 200_000  # expected rows of a prefix group before it is salted
 PART = 256  # partners of a node in one trie
 BITS = 1024  # of a set's parity bitmap
-NEAREST = (2, 16, None)  # partners of a set in a group and round; None: all
+NEAREST = (2, None)  # partners of a set in a group and round; None: all
 _ENTRY = np.dtype([("token", "<u8"), ("node", "<i8"), ("n", "<u4"), ("pos", "<u4"), ("salts", "<u4")])
 
 
@@ -455,6 +455,8 @@ def _node_components(docs: DataFrame, nodes: DataFrame, ranks: np.ndarray) -> Da
         rest = cut(rest, "jaccard-rest")
         more = cut(_compared(docs, named, rest, ranks_of), "jaccard-more")
         compared = compared.unionByName(rest)
+        if more.isEmpty():
+            continue
         known = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
         component = cut(components(known.unionByName(more)), "jaccard-components")
     return component
