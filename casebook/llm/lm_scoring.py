@@ -68,6 +68,7 @@ class Pack:
             counts.append(words.counts)
         self.hashes = np.concatenate(hashes)
         self.counts = np.concatenate(counts)
+        self.bounds = np.append(0, np.cumsum(self.counts))
         self.sum = int(self.hashes.sum(dtype=np.uint64) >> np.uint64(1))
         keys = ["" if x is None else str(x) for x in self.ids.to_pylist()]
         self.held = np.array([zlib.crc32(k.encode()) % HOLD[0] == HOLD[1] for k in keys], bool)
@@ -130,7 +131,7 @@ def _send_words(buckets: int):
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack in packs(batches, buckets):
-            counts = np.bincount(pack.place, pack.teaches, len(pack.words)).astype("<i8")
+            counts = np.bincount(pack.place, pack.teaches, len(pack.words)).astype("<u4")
             letters = pack.spellings()
             order = pack.by_bucket
             firsts = np.flatnonzero(np.diff(pack.bucket, prepend=-1))
@@ -142,7 +143,7 @@ def _send_words(buckets: int):
                 rows["sum"].append(pack.sum)
                 rows["hashes"].append(pack.words[at].tobytes())
                 rows["counts"].append(counts[at].tobytes())
-                rows["sizes"].append(np.array([len(x) for x in own], "<u4").tobytes())
+                rows["sizes"].append(_narrow(np.array([len(x) for x in own], np.int64)))
                 rows["letters"].append(b"".join(own))
             kinds = [pa.int64()] * 3 + [pa.binary()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds)], list(rows))
@@ -164,8 +165,8 @@ def _answer_words(ranks: bytes, pattern: str):
     def run(table: pa.Table) -> pa.Table:
         encoder = _encoder(ranks, pattern)
         lists = [np.frombuffer(x, "<u8") for x in table["hashes"].to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, "<i8") for x in table["counts"].to_pylist()])
-        sizes = np.concatenate([np.frombuffer(x, "<u4") for x in table["sizes"].to_pylist()]).astype(np.int64)
+        counts = np.concatenate([np.frombuffer(x, "<u4") for x in table["counts"].to_pylist()])
+        sizes = np.concatenate([_wide(x, len(y)) for x, y in zip(table["sizes"].to_pylist(), lists)])
         letters = b"".join(table["letters"].to_pylist())
         stops = np.cumsum(sizes)
         all_ = np.concatenate(lists)
@@ -185,7 +186,8 @@ def _answer_words(ranks: bytes, pattern: str):
             a += len(x)
             n = lengths[own]
             take = np.repeat(starts[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            answers.append(total[own].astype("<i8").tobytes() + n.astype("<u4").tobytes() + flat[take].astype("<u4").tobytes())
+            size, ids_ = _narrow(n), _narrow(flat[take])
+            answers.append(np.array([len(size), len(take)], "<i8").tobytes() + total[own].astype("<i8").tobytes() + size + ids_)
         bucket = table["bucket"][0].as_py()
         packs_ = table["pack"].to_pylist()
         return pa.table({
@@ -236,9 +238,10 @@ class Vocabulary:
             if total != pack.sum:
                 raise RuntimeError("the scan gave other rows than before; write the input to a table first")
             m = len(at)
-            counts[at] = np.frombuffer(rows, "<i8", m)
-            own = np.frombuffer(rows, "<u4", m, 8 * m).astype(np.int64)
-            flat = np.frombuffer(rows, "<u4", -1, 12 * m)
+            sizes, k = (int(x) for x in np.frombuffer(rows, "<i8", 2))
+            counts[at] = np.frombuffer(rows, "<i8", m, 16)
+            own = _wide(rows[16 + 8 * m:16 + 8 * m + sizes], m)
+            flat = _wide(rows[16 + 8 * m + sizes:], k).astype(np.uint32)
             size[at], first[at] = own, held + np.cumsum(own) - own
             ids.append(flat)
             held += len(flat)
@@ -270,13 +273,24 @@ class Classes:
                 np.log(p / groups[:, :, None]).astype(np.float32))
 
 
-def _stream(pack: Pack, first: np.ndarray, size: np.ndarray, ids: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(subword ids with -1 as end mark, texts' lengths) of the texts in ``keep``."""
-    words = np.repeat(keep, pack.counts)
-    place = pack.place[words]
+def _narrow(values: np.ndarray) -> bytes:
+    """Whole numbers as 2 bytes each if all fit, else 4; ``_wide`` tells by the length."""
+    return values.astype("<u2" if not len(values) or values.max() < 1 << 16 else "<u4").tobytes()
+
+
+def _wide(row: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(row, "<u2" if len(row) == 2 * n else "<u4").astype(np.int64)
+
+
+def _stream(pack: Pack, first: np.ndarray, size: np.ndarray, ids: np.ndarray, a: int, b: int, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(subword ids with -1 as end mark, texts' lengths) of the texts a to b that are in ``keep``."""
+    counts, place = pack.counts[a:b], pack.place[pack.bounds[a]:pack.bounds[b]]
+    if not keep[a:b].all():
+        place = place[np.repeat(keep[a:b], counts)]
+        counts = counts[keep[a:b]]
     n = size[place]
     take = np.repeat(first[place] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    upto = np.append(0, np.cumsum(n))[np.append(0, np.cumsum(pack.counts[keep]))]
+    upto = np.append(0, np.cumsum(n))[np.append(0, np.cumsum(counts))]
     lengths = np.diff(upto)
     out = np.full(len(take) + len(lengths), -1, np.int64)
     real = np.ones(len(out), bool)
@@ -297,9 +311,7 @@ def _streams(pack: Pack, first: np.ndarray, size: np.ndarray, ids: np.ndarray, k
     a = 0
     while a < n:
         b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + STREAM, "right")))
-        part = np.zeros(n, bool)
-        part[a:b] = keep[a:b]
-        stream, lengths = _stream(pack, first, size, ids, part)
+        stream, lengths = _stream(pack, first, size, ids, a, b, keep)
         if len(stream):
             yield a, b, stream, lengths
         a = b
@@ -398,7 +410,7 @@ def _score(buckets: int, folder: str, classes_of, start_of, model_of, totals: tu
         below = math.log10(n_total + (v + 1))
         for pack in packs(batches, buckets):
             counts, first, size, ids = vocabulary.of(pack)
-            bounds = np.append(0, np.cumsum(pack.counts))
+            bounds = pack.bounds
             per_word = (np.log10(counts + 1.0) - below)[pack.place]
             sums = lambda x: np.array([x[a:b].sum() for a, b in zip(bounds[:-1], bounds[1:])])
             base = sums(per_word) + (math.log10(ends + 1) - below)
