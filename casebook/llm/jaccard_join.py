@@ -190,7 +190,7 @@ def _entries(ranks_of, buckets: int):
                 e["salts"] = np.ceil(np.exp2(low[:p] / 4) / GROUP_ROWS).clip(1)
                 held.append(e)
                 size += p
-                if size >= 1_000_000:
+                if size >= 300_000:
                     yield out()
                     held, size = [], 0
         if size:

@@ -142,7 +142,7 @@ class _Packer:
         return out
 
 
-def _pack(spec: str, end_id: int):
+def _pack(spec: str, end_id: int, reuse: bool):
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -153,7 +153,7 @@ def _pack(spec: str, end_id: int):
         encoder = packer = None
         for batch in batches:
             if encoder is None:
-                encoder = tokens.worker_encoder(spec, spaced=False)
+                encoder = (tokens.worker_encoder if reuse else tokens.ChunkEncoder)(spec, spaced=False)
                 packer = _Packer(TaskContext.get().partitionId(), sentence_stops(encoder.plain))
             keys = batch.column(0).to_pylist()
             for a, b, ids, lengths in encoder.slices(batch.column(1)):
@@ -174,11 +174,14 @@ def sentence_stops(tokenizer) -> np.ndarray:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None,
-         end_id: int = 1) -> DataFrame:
-    """One row for each piece of a document in a sequence: see ``PIECES``."""
+         end_id: int = 1, reuse: bool = True) -> DataFrame:
+    """One row for each piece of a document in a sequence: see ``PIECES``.
+
+    ``reuse``: Python workers keep their encoder for later tasks, faster but some 150 MB that other stages of a long job lack.
+    """
     spec = tokens.load(vocabulary or tokens.vocabulary_path(VOCABULARY))
     ordered = (
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
         .repartitionByRange(shuffle_partitions(docs.sparkSession), "id").sortWithinPartitions("id")
     )
-    return ordered.mapInArrow(_pack(spec, end_id), PIECES)
+    return ordered.mapInArrow(_pack(spec, end_id, reuse), PIECES)
