@@ -160,6 +160,11 @@ def prefix_length(n: int) -> int:
     return n - (-(-SHARE * n // 100)) + 1
 
 
+def salt_of(rows: np.ndarray) -> np.ndarray:
+    """The part of its shingle's group that an entry belongs to, in every step."""
+    return wordhash.mix(rows["node"].view(np.uint64)) % rows["salts"].astype(np.uint64)
+
+
 def _entries(ranks_of, buckets: int):
     """Rows (text, node, f1, f2, n) -> packed prefix entries by bucket."""
     @lean
@@ -170,8 +175,7 @@ def _entries(ranks_of, buckets: int):
 
         def out() -> pa.RecordBatch:
             rows = np.concatenate(held)
-            salt = wordhash.mix(rows["node"].view(np.uint64)) % rows["salts"].astype(np.uint64)
-            bucket = (wordhash.mix(rows["token"] + salt * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(np.int64)
+            bucket = (wordhash.mix(rows["token"] + salt_of(rows) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             rows, bucket = rows[order], bucket[order]
             firsts = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -208,9 +212,11 @@ def fits(n1, p1, n2, p2):
 
 
 def _stars(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Entries sorted by shingle, of shingles that several nodes share; the place of each one's hub; starts of groups."""
-    rows = rows[np.lexsort((rows["node"], rows["pos"], rows["token"]))]
-    first = np.append(True, rows["token"][1:] != rows["token"][:-1])
+    """Entries sorted by shingle and salt; the place of each one's hub; whether its group has others to compare with."""
+    salt = salt_of(np.ascontiguousarray(rows))
+    order = np.lexsort((rows["node"], rows["pos"], salt, rows["token"]))
+    rows, salt = rows[order], salt[order]
+    first = np.append(True, (rows["token"][1:] != rows["token"][:-1]) | (salt[1:] != salt[:-1]))
     group = np.cumsum(first) - 1
     starts = np.flatnonzero(first)
     sizes = np.diff(np.append(starts, len(rows)))
@@ -226,7 +232,7 @@ def _star_pairs(rows: np.ndarray, hubs: np.ndarray) -> np.ndarray:
     return np.unique(pairs, axis=0) if len(pairs) else pairs
 
 
-STAR = "kind int, a bigint, b bigint, n bigint, pos bigint, token bigint, salts bigint"
+STAR = "kind int, a bigint, b bigint, n bigint, pos bigint, token bigint, salts bigint, salt bigint"
 
 
 def _star(table: pa.Table) -> pa.Table:
@@ -240,12 +246,12 @@ def _star(table: pa.Table) -> pa.Table:
     more = salted | (sizes > 2)
     parts = []
     for kind, e in ((1, rows[top]), (2, rows[more])):
-        parts.append((np.full(len(e), kind), e["node"], e["node"], e["n"], e["pos"], e["token"].view(np.int64), e["salts"]))
+        parts.append((np.full(len(e), kind), e["node"], e["node"], e["n"], e["pos"], e["token"].view(np.int64), e["salts"], salt_of(e)))
     zero = np.zeros(len(pairs), np.int64)
-    parts.append((zero, pairs[:, 0], pairs[:, 1], zero, zero, zero, zero))
-    columns = [np.concatenate([p[k].astype(np.int64) for p in parts]) for k in range(7)]
+    parts.append((zero, pairs[:, 0], pairs[:, 1], zero, zero, zero, zero, zero))
+    columns = [np.concatenate([p[k].astype(np.int64) for p in parts]) for k in range(8)]
     return pa.table([pa.array(columns[0], pa.int32()), *map(pa.array, columns[1:])],
-                    ["kind", "a", "b", "n", "pos", "token", "salts"])
+                    ["kind", "a", "b", "n", "pos", "token", "salts", "salt"])
 
 
 def _hub_stars(found: DataFrame) -> DataFrame:
@@ -277,7 +283,7 @@ def _cross(nearest: int | None):
         found = [np.zeros((0, 2), np.int64)]
         for a, b in zip(cuts, np.append(cuts[1:], len(order))):
             minor, own = a + np.flatnonzero(c["minor"][a:b]), a + np.flatnonzero(~c["guest"][a:b])
-            hub = own[np.lexsort((c["node"][own], c["pos"][own]))[:1]]  # compared with all of its salt before
+            hub = own[np.lexsort((c["node"][own], c["pos"][own]))[:1]]  # compared with all of its salt by _star, which has the same salts
             for x in np.split(minor, range(32, len(minor), 32)):
                 kept = []
                 for y in np.split(own, range(4096, len(own), 4096)):
@@ -303,9 +309,9 @@ def _cross(nearest: int | None):
 def _remaining(found: DataFrame, nodes: DataFrame, compared: DataFrame, component: DataFrame, buckets: int,
                nearest: int | None) -> DataFrame | None:
     """(x, y): pairs of a group that are in different components, may link and were not compared; None if no group is split."""
-    members = found.where("kind = 2").select(F.col("a").alias("node"), "n", "pos", "token", "salts")
+    members = found.where("kind = 2").select(F.col("a").alias("node"), "n", "pos", "token", "salts", "salt")
     members = members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    members = cut(members.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts"))), "jaccard-members")
+    members = cut(members, "jaccard-members")
     top = members.groupBy("token").agg(
         F.min(F.struct("pos", "node", "component"))["component"].alias("top"),
         F.count_distinct("component").alias("parts"))

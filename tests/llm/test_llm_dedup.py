@@ -81,6 +81,22 @@ def test_jaccard_classes(spark, monkeypatch, salted):
     assert sorted(r.doc_id for r in kept.collect()) == want
 
 
+def test_jaccard_links_within_salted_groups(spark, monkeypatch):
+    """Sets u, v, w with the same leading shingles of which only v and w link; the groups of all have two salts."""
+    monkeypatch.setattr(jaccard_join, "GROUP_ROWS", 2)  # words seen three times: 4 / 2 salts
+    rng = np.random.default_rng(9)
+    common = lambda: [f"c{k}" for k in rng.integers(0, 20, 40)]
+    texts = []
+    for k in range(60):
+        key, body = [f"k{k}x{j}" for j in range(14)], common()
+        texts += [" ".join(key + common()), " ".join(key + body), " ".join(key + body[:-1] + ["c20"])]
+    order = rng.permutation(len(texts))
+    rows = [row(int(k), texts[i]) for k, i in enumerate(order)]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.classes(spark.createDataFrame(rows, ROW)).collect())
+    assert got == brute_classes(rows)
+    assert len({c for _, _, c in got}) == 120
+
+
 def test_jaccard_edges(spark):
     rows = [row(1, "a b c d e f"), row(1, "a b c d e f"), row(1, "other words in this one"), row(2, "a b c d e f"), row(None, "p q r s t"), row(None, None)]
     df = spark.createDataFrame(rows, ROW)
