@@ -32,6 +32,11 @@ BOILER_NAMES = frozenset("""ad ads adsense advert adverts advertisement advertis
 comments commentlist complementary consent contentinfo cookie cookies copyright dialog discussion disqus footer gdpr header hidden legal login masthead
 menu menubar modal nav navbar navigation newsletter notice notices pager pagination paywall popup promo promoted promotion recommended related replies
 reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets""".split())
+# Inside an article or main part only these, as a whole name, drop an element: parts of names, and names that are topics as
+# well (related, legal, search, social, ...), are left to what recurs on the host's pages.
+CLEAR_NAMES = frozenset("""ad ads adsense advert adverts advertisement advertising breadcrumb breadcrumbs comment comments commentlist
+complementary contentinfo cookies disqus gdpr hidden masthead menubar modal nav navbar navigation newsletter pager pagination paywall
+popup promo sidebar signup sponsored toolbar""".split())
 MAIN_NAMES = frozenset("""article articlebody article-body article-content entry-content main main-content post-body post-content
 story-body""".split())
 # An element of the key's kind is closed by the start of one of these.
@@ -69,13 +74,17 @@ def _open(tag: str, attributes: str, parent: _Element) -> _Element:
     if attributes and not attributes.isspace():
         a = _attributes(attributes)
         names = " ".join(a.get(k, "") for k in ("class", "id", "role", "itemprop")).lower().split()
-        parts = {x for n in names for x in (n, *re.split(r"[-_]+", n))}
-        if parts & BOILER_NAMES and tag not in ("html", "body", "main") and not (level and parts & {"header"}):
+        main = MAIN_NAMES & set(names)
+        if level or main:
+            named = not CLEAR_NAMES.isdisjoint(names)
+        else:
+            named = not BOILER_NAMES.isdisjoint(x for n in names for x in (n, *re.split(r"[-_]+", n)))
+        if named and tag not in ("html", "body", "main"):
             boiler = True
         if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower():
             boiler = True
-        if MAIN_NAMES & set(names) and not boiler:
-            level = max(level, 2 if {"article", "articlebody", "article-body", "article-content"} & set(names) else 1)
+        if main and not boiler:
+            level = max(level, 2 if {"article", "articlebody", "article-body", "article-content"} & main else 1)
         if "class" in a:
             label += "." + re.sub(r"\d+", "0", ".".join(sorted(a["class"].lower().split()))).translate(_PLAIN)
     return _Element(tag, label, boiler, level)
@@ -120,7 +129,7 @@ def parse(html: str) -> tuple[str, list[tuple[int, int, str]]]:
                 segments.append(" ")
             elif closing:
                 hidden = max(0, hidden - 1)
-            elif hidden or (attributes and _open("span", attributes, root).boiler):
+            elif hidden or (attributes and _open("span", attributes, stack[-1]).boiler):
                 hidden += tag not in VOID
             continue
         if closing:

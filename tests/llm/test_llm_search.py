@@ -67,6 +67,14 @@ def test_wrapper_drops_what_a_host_repeats(spark):
     assert got[99].startswith("Site slogan")  # one page alone has no template
 
 
+def test_article_sections_with_names_of_topics():
+    page = """<body><div class="social-links"><p>Follow</p></div><article><h2 id="related-work">Related</h2><section id="discussion"><p>Discussed</p>
+    </section><p class="market-share">Share <span class="search-terms">found</span></p><div class="social-history"><p>History</p></div>
+    <section id="legal"><p>Law</p></section><section class="search-methods"><p>Methods</p></section><div class="advert"><p>Buy</p></div>
+    <div class="comments"><p>Reader</p></div><div class="nav"><p>Menu</p></div></article></body>"""
+    assert [t for _, _, t in dom.parse(page)[1]] == ["Related", "Discussed", "Share found", "History", "Law", "Methods"]
+
+
 def matched(a, b):
     """Simple tree matching by its definition."""
     def go(x, y):
