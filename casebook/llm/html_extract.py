@@ -6,9 +6,10 @@
    ``SALTS`` salted parts of a host, then over the parts. No task sees a host's pages, only a part of its distinct shapes.
 3. Each distinct shape is aligned with its host's template, so blocks of different pages that stand in one
    template node share a slot.
-4. A slot's text that recurs on at least half of the host's different pages (and on three) is constant: template. Varying slots
-   are content. Inside an element marked as the article or main part all slots are content.
-5. A page's text is its blocks inside articles; without articles those in the main part; without it all that vary.
+4. A slot's text that recurs on at least half of the host's different pages (and on three) is constant: template, inside
+   elements marked as the article or main part too.
+5. A page's text is its varying blocks. On a page with a marked article or main part, the mark's hint decides about varying
+   blocks outside of it: they are taken for teasers and the like. Marks of an article and of a main part count alike.
 
 Defined results: a null or empty html gives an empty text; a null url is a host of its own; equal pages are
 counted once in step 4 (a copied page doesn't turn into template); repeated rows give repeated results; an
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from casebook.llm import dom
 from casebook.llm._common import by_value, cut, lean
+from casebook.llm.links import join_checked
 
 by_value(__name__)
 
@@ -89,13 +91,15 @@ def induce(parsed: DataFrame) -> DataFrame:
     return paired.mapInPandas(_slots, "host string, shape string, slots array<int>")
 
 
+def _keys():
+    """For each block of a page the hash of its slot and text."""
+    return F.transform(F.arrays_zip("nodes", "texts"), lambda b: F.xxhash64(F.get("slots", b["nodes"]), b["texts"]))
+
+
 def constants(parsed: DataFrame, slots: DataFrame) -> DataFrame:
-    """(host, constant): hashes of the slot texts that recur on half of a host's different pages."""
-    page = parsed.where(F.exists("levels", lambda x: x == 0)).withColumn("page", F.xxhash64("texts"))
-    blocks = page.join(slots, ["host", "shape"]).select(
-        "host", "page", "slots", F.explode(F.arrays_zip("nodes", "levels", "texts")).alias("b"))
-    seen = blocks.where("b.levels = 0").select(
-        "host", "page", F.xxhash64(F.get("slots", F.col("b.nodes")), F.col("b.texts")).alias("constant")).distinct()
+    """(host, constants): hashes of the slot texts that recur on half of a host's different pages."""
+    page = parsed.where(F.size("texts") > 0).withColumn("page", F.xxhash64("texts"))
+    seen = page.join(slots, ["host", "shape"]).select("host", "page", F.explode(F.array_distinct(_keys())).alias("constant")).distinct()
     pages = page.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     counts = seen.groupBy("host", "constant").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
     often = counts.join(pages, "host").where("2 * n >= pages")
@@ -109,18 +113,18 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     parsed = cut(rows.mapInArrow(_parse, PARSED), "html-parsed")
     slots = cut(induce(parsed), "html-slots")
     constant = cut(constants(parsed, slots), "html-constants")
-    wrappers = cut(slots.join(constant, "host", "left"), "html-wrappers")  # one row for each shape of a host
-    best = F.array_max("levels")
-    # Nothing but pages without a marked article or main part needs the wrapper.
-    whole = parsed.where(F.coalesce(best, F.lit(0)) > 0).select(
-        "page_id", "url", "host", F.array_join(_at("texts", lambda i: F.get("levels", i) == best), "\n\n").alias("text"))
-    key = lambda i: F.xxhash64(F.get("slots", F.get("nodes", i)), F.get("texts", i))
-    varying = lambda i: ~F.coalesce(F.array_contains("constants", key(i)), F.lit(False))
-    other = (
-        parsed.where(F.coalesce(best, F.lit(0)) == 0).join(wrappers, ["host", "shape"])
+    wrappers = cut(slots.join(constant, "host"), "html-wrappers")  # one row for each shape of a host that has constants
+    hosts, n = constant.select("host"), constant.count()
+    marked = lambda i: (F.get("levels", i) > 0) | (F.array_max("levels") == 0)
+    varying = lambda i: marked(i) & ~F.array_contains("constants", F.get("keys", i))
+    # A host without constants has varying slots only: its pages need no slots.
+    plain = join_checked(parsed, hosts, n, ["host"], "left_anti").select(
+        "page_id", "url", "host", F.array_join(_at("texts", marked), "\n\n").alias("text"))
+    wrapped = (
+        join_checked(parsed, hosts, n, ["host"], "left_semi").join(wrappers, ["host", "shape"]).withColumn("keys", _keys())
         .select("page_id", "url", "host", F.array_join(_at("texts", varying), "\n\n").alias("text"))
     )
-    return whole.unionByName(other).withColumn("n_chars", F.char_length("text").cast("long")).select(
+    return plain.unionByName(wrapped).withColumn("n_chars", F.char_length("text").cast("long")).select(
         "page_id", "url", "text", "n_chars", "host")
 
 

@@ -67,6 +67,15 @@ def test_wrapper_drops_what_a_host_repeats(spark):
     assert got[99].startswith("Site slogan")  # one page alone has no template
 
 
+def test_wrapper_works_on_articles_too(spark):
+    page = ("<body><main><h1>Headline {0}</h1><article><p>Sign up for our letter</p><p>Own text {0}</p><div><p>Buy our book</p></div></article></main>"
+            "<div><p>Teaser {0}</p></div></body>")
+    rows = [(k, "http://same.org/%d" % k, page.format(k)) for k in range(12)] + [(99, "http://other.org", page.format(7))]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[5] == "Headline 5\n\nOwn text 5"
+    assert got[99] == "Headline 7\n\nSign up for our letter\n\nOwn text 7\n\nBuy our book"
+
+
 def test_article_sections_with_names_of_topics():
     page = """<body><div class="social-links"><p>Follow</p></div><article><h2 id="related-work">Related</h2><section id="discussion"><p>Discussed</p>
     </section><p class="market-share">Share <span class="search-terms">found</span></p><div class="social-history"><p>History</p></div>
