@@ -2,8 +2,8 @@
 
 1. Every page is parsed once into text blocks and a shape (its block elements, runs of equal siblings written once). Markup, scripts, and
    elements that name themselves as navigation, adverts, notices, comments and the like give no blocks.
-2. The distinct shapes of each host are merged by simple tree matching into the host's template: first within
-   ``SALTS`` salted parts of a host, then over the parts. No task sees a host's pages, only a part of its distinct shapes.
+2. The distinct shapes of each host are merged by simple tree matching into the host's template, in salted groups of about ``FOLD``
+   shapes, then ``FAN`` partial templates at a time. No task sees a host's pages, only a bounded part of its distinct shapes.
 3. Each distinct shape is aligned with its host's template, so blocks of different pages that stand in one
    template node share a slot.
 4. A slot's text that recurs on at least half of the host's different pages (and on three) is constant: template, inside
@@ -33,9 +33,11 @@ from casebook.llm.links import join_checked
 
 by_value(__name__)
 
-SALTS = 16
+FOLD = 256  # distinct shapes of a host in a task's fold, about
+FAN = 8  # partial templates merged at a time
 LEAST_PAGES = 3
 PARSED = "page_id bigint, url string, host string, shape string, nodes array<int>, levels array<int>, texts array<string>"
+FOLDED = "host string, salt bigint, shape string"
 HOST = re.compile(r"^(?:[a-z][a-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", re.I)
 
 
@@ -71,7 +73,7 @@ def _fold(key: tuple, shapes: pd.DataFrame) -> pd.DataFrame:
     for shape in sorted(shapes["shape"]):
         tree = dom.Tree.read(shape)
         template = tree if template is None else dom.merge(template, tree)
-    return pd.DataFrame({"host": [key[0]], "shape": [template.write()]})
+    return pd.DataFrame({"host": [key[0]], "salt": [key[1]], "shape": [template.write()]})
 
 
 def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,9 +86,14 @@ def _slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def induce(parsed: DataFrame) -> DataFrame:
     """(host, shape, slots): the template's node for each node of each distinct shape of a host."""
     shapes = cut(parsed.select("host", "shape").distinct(), "html-shapes")
-    salted = shapes.withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(SALTS)))
-    parts = salted.groupBy("host", "salt").applyInPandas(_fold, "host string, shape string")
-    templates = parts.groupBy("host").applyInPandas(_fold, "host string, shape string")
+    sizes = cut(shapes.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / FOLD).alias("salts")), "html-sizes")
+    most = sizes.agg(F.max("salts").alias("n")).first().n or 1
+    parts = shapes.join(sizes, "host").withColumn("salt", F.pmod(F.xxhash64("shape"), F.col("salts")))
+    parts = parts.groupBy("host", "salt").applyInPandas(_fold, FOLDED)
+    while most > 1:  # a tree of bounded merges
+        parts = cut(parts.withColumn("salt", F.floor(F.col("salt") / FAN)), "html-parts")
+        parts, most = parts.groupBy("host", "salt").applyInPandas(_fold, FOLDED), -(-most // FAN)
+    templates = parts.drop("salt")
     paired = shapes.join(templates.withColumnRenamed("shape", "template"), "host")
     return paired.mapInPandas(_slots, "host string, shape string, slots array<int>")
 

@@ -76,6 +76,24 @@ def test_wrapper_works_on_articles_too(spark):
     assert got[99] == "Headline 7\n\nSign up for our letter\n\nOwn text 7\n\nBuy our book"
 
 
+def test_no_task_folds_a_whole_host(spark, monkeypatch):
+    monkeypatch.setattr(html_extract, "FOLD", 4, raising=False)
+    fold = html_extract._fold
+
+    def bounded(key, shapes):
+        if len(shapes) > 15:
+            raise ValueError("a task folds %d shapes" % len(shapes))
+        return fold(key, shapes)
+
+    monkeypatch.setattr(html_extract, "_fold", bounded)
+    tags = ["div", "section", "ul", "table", "dl", "pre"]
+    rows = [(k, "http://same.org/%d" % k, "<p>Slogan</p>" + "".join(f"<{tags[k // 6**j % 6]}>t{k}x{j}</{tags[k // 6**j % 6]}>" for j in range(4)))
+            for k in range(400)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    assert got[77] == "t77x0\n\nt77x1\n\nt77x2\n\nt77x3" and len(got) == 400
+
+
 def test_article_sections_with_names_of_topics():
     page = """<body><div class="social-links"><p>Follow</p></div><article><h2 id="related-work">Related</h2><section id="discussion"><p>Discussed</p>
     </section><p class="market-share">Share <span class="search-terms">found</span></p><div class="social-history"><p>History</p></div>
