@@ -229,12 +229,16 @@ class Model:
         return float(loss) / n, g
 
 
-def train(model: Model, inputs: np.ndarray, targets: np.ndarray, seen: np.ndarray, rate: float, batch: int = 256, seed: int = 0) -> int:
-    """One pass of Adam steps over the windows in a fixed random order, changing the model's weights; the number of steps."""
+def train(model: Model, inputs: np.ndarray, targets: np.ndarray, seen: np.ndarray, rate: float, batch: int = 256, seed: int = 0,
+          state: dict | None = None) -> int:
+    """One pass of Adam steps over the windows in a fixed random order, changing the model's weights; the number of steps so far.
+
+    ``state`` carries the moments from one call to the next."""
     order = np.random.default_rng(seed).permutation(len(inputs))
-    first = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    second = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    step = 0
+    state = {} if state is None else state
+    first = state.setdefault("first", {k: np.zeros(s, np.float32) for k, s in SHAPES.items()})
+    second = state.setdefault("second", {k: np.zeros(s, np.float32) for k, s in SHAPES.items()})
+    step = state.get("step", 0)
     for a in range(0, len(order), batch):
         own = order[a:a + batch]
         _, g = model.gradient(inputs[own], targets[own], seen[own])
@@ -243,4 +247,5 @@ def train(model: Model, inputs: np.ndarray, targets: np.ndarray, seen: np.ndarra
             first[k] += 0.1 * (g[k] - first[k])
             second[k] += 0.01 * (g[k] * g[k] - second[k])
             model.w[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
+    state["step"] = step
     return step

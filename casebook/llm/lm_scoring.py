@@ -6,9 +6,10 @@ Texts are lower-cased (A-Z) words and one end mark each. Documents whose crc32 o
    are added up and each word is cut into subword ids. The packs get both back. The counts of words and of subwords so
    cover all teaching documents.
 2. The most frequent subwords become the model's classes (the rest share one, spread by their counts; the end mark has its own). Each pack counts which class
-   follows which, and gives away every ``SAMPLE``-th window of its teaching text as a training row, so the training data grow
-   with the corpus.
-3. ``ROUNDS`` times, each task trains the attention model from the common weights over its rows, and the weights are averaged by the rows they saw.
+   follows which, and gives away all windows of its teaching text as lessons of up to ``LESSON`` windows (two bytes a class).
+3. ``ROUNDS`` times over all lessons, in turns of ``TASK`` lessons for each core at most: each task trains the attention model from the
+   common weights over its lessons, one at a time, and the weights are averaged by the windows they saw. The number of turns, and so
+   of steps in sequence, grows with the corpus.
 4. Every text is scored: overlapping context windows, each subword scored once, batched masked attention.
 
 ``base_score`` is the add-one word model. The packs are those of one scan, read three times; answers come back by Arrow files in the shared folder, each with a checksum of its pack.
@@ -38,11 +39,12 @@ by_value(__name__)
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 PACK = 5_000_000  # bytes of text in a pack: a task holds one at a time
-SAMPLE = 48
-ROUNDS = 2
+SAMPLE = 1  # every window teaches
+ROUNDS = 3
 TRUST = 20.0  # pairs that the class counts alone stand for beside the counts after a class
 RATE = 3e-3
-TRAIN_ROW = 2048  # windows in a training row
+LESSON = 2048  # windows in a training row
+TASK = 64  # lessons of a task before the weights are averaged
 STREAM = 300_000  # subwords worked on at a time
 OTHER = attention.CLASSES - 1
 HOLD = 7, 2
@@ -317,35 +319,54 @@ def _streams(pack: Pack, first: np.ndarray, size: np.ndarray, ids: np.ndarray, k
         a = b
 
 
-COUNTED = "kind int, no bigint, rows binary"
+COUNTED = "kind int, turn int, no bigint, rows binary"
 
 
-def _count_and_sample(buckets: int, folder: str, classes_of, sample: int):
-    """Kind 0: how often each class follows each; kind 1: training windows (class before, targets, seen)."""
+def lessons(c: np.ndarray, lengths: np.ndarray) -> Iterator[bytes]:
+    """All windows of the texts: the classes of the window before and of up to ``LESSON`` windows (2 bytes each), then a byte a
+    window: its number of real places, and 32 if a text starts there."""
+    filled, _, places = attention.aligned(c, lengths, 0)
+    filled = np.append(np.zeros(attention.SCORED, np.int64), filled).astype("<i2")
+    count = -(-lengths // attention.SCORED)
+    marks = np.bincount(places // attention.SCORED, minlength=int(count.sum())).astype(np.uint8)
+    marks[np.cumsum(count) - count] += 32
+    for k in range(0, len(marks), LESSON):
+        own = marks[k:k + LESSON]
+        yield filled[k * attention.SCORED:(k + len(own) + 1) * attention.SCORED].tobytes() + own.tobytes()
+
+
+def lesson_windows(row: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(inputs, targets, seen) of a lesson, as ``attention.windows`` has them; -1 for targets past a text's end."""
+    span = 2 * attention.SCORED
+    n = (len(row) - span) // (span + 1)
+    classes = np.frombuffer(row, "<i2", (n + 1) * attention.SCORED).astype(np.int64)
+    marks = np.frombuffer(row, np.uint8, n, (n + 1) * span)
+    before = classes[attention.SCORED - attention.CONTEXT - 1:]
+    inputs = np.lib.stride_tricks.sliding_window_view(before, attention.SPAN)[::attention.SCORED][:n]
+    targets = classes[attention.SCORED:].reshape(n, attention.SCORED)
+    targets = np.where(np.arange(attention.SCORED) < (marks & 31)[:, None], targets, -1)
+    seen = np.repeat(np.where(marks & 32, attention.CONTEXT, 0)[:, None], attention.SCORED, 1)
+    return inputs, targets, seen
+
+
+def _count_and_teach(buckets: int, folder: str, classes_of, turns: int):
+    """Kind 0: how often each class follows each; kind 1: lessons, dealt to the turns of a round."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, classes = Vocabulary(folder, buckets), classes_of.value
         pairs = np.zeros(attention.CLASSES ** 2, np.int64)
         row = lambda kind, no, data: pa.RecordBatch.from_pydict({
-            "kind": pa.array([kind], pa.int32()), "no": pa.array([no], pa.int64()), "rows": pa.array([data], pa.binary())})
+            "kind": pa.array([kind], pa.int32()), "turn": pa.array([zlib.crc32(b"%d" % no) % turns], pa.int32()),
+            "no": pa.array([no], pa.int64()), "rows": pa.array([data], pa.binary())})
         for pack in packs(batches, buckets):
             _, first, size, ids = vocabulary.of(pack)
-            place = count = 0
+            count = 0
             for _, _, stream, lengths in _streams(pack, first, size, ids, ~pack.held):
                 c = _classes(stream, classes)
                 at = np.append(0, c[:-1]) * attention.CLASSES + c
                 np.add.at(pairs, at, 1)
-                filled, starts, places = attention.aligned(c, lengths, 0)
-                inputs, targets, seen = attention.windows(filled, starts, 0)
-                real = np.zeros(targets.size, bool)
-                real[places] = True
-                targets = np.where(real.reshape(targets.shape), targets, -1)
-                own = np.arange((pack.no - place) % sample, len(inputs), sample)
-                place += len(inputs)
-                for k in range(0, len(own), TRAIN_ROW):
-                    at = own[k:k + TRAIN_ROW]
-                    yield row(1, (pack.no << 12) + count, np.concatenate(
-                        [inputs[at], targets[at], np.minimum(seen[at], attention.SPAN)], 1).astype("<i2").tobytes())
+                for lesson in lessons(c, lengths):
+                    yield row(1, (pack.no << 12) + count, lesson)
                     count += 1
         yield row(0, 0, _sparse(pairs))
     return run
@@ -382,19 +403,21 @@ def _tree(rows: DataFrame, add) -> bytes | None:
     return bytes(out[0].rows) if out else None
 
 
-def _train_part(model_of, start_of, round_no: int):
-    """One pass over the task's training rows from the common weights -> weights * windows, windows (64-bit fixed point)."""
+def _train_part(model_of, start_of, round_no: int, sample: int):
+    """One pass over the task's lessons from the common weights -> weights * windows, windows (64-bit fixed point)."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r["no"], r["rows"]) for b in batches for r in b.to_pylist())
+        rows = sorted((r["no"], r["rows"]) for b in batches for r in b.to_pylist())  # about TASK lessons, as bytes
         if not rows:
             return
-        width = attention.SPAN + 2 * attention.SCORED
-        x = np.concatenate([np.frombuffer(r, "<i2").reshape(-1, width) for _, r in rows]).astype(np.int64)
-        inputs, targets, seen = np.split(x, [attention.SPAN, attention.SPAN + attention.SCORED], 1)
         model = attention.Model(attention.shaped(model_of.value), *start_of.value)
-        attention.train(model, inputs, targets, seen, RATE / (1 + round_no), seed=round_no)
-        out = np.append(attention.flat(model.w).astype(np.float64) * len(x), len(x))
+        state: dict = {}
+        seen = 0
+        for k in np.random.default_rng(round_no).permutation(len(rows)):
+            windows = [x[rows[k][0] % sample::sample] for x in lesson_windows(rows[k][1])]
+            attention.train(model, *windows, RATE / (1 + round_no), seed=round_no, state=state)
+            seen += len(windows[0])
+        out = np.append(attention.flat(model.w).astype(np.float64) * seen, seen)
         fixed = np.round(out * (1 << 20)).astype("<i8")  # whole numbers: sums don't depend on the order
         yield pa.RecordBatch.from_pydict({"rows": pa.array([fixed.tobytes()], pa.binary())})
     return run
@@ -462,19 +485,27 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
     classes = Classes(subwords, ends)
     classes_of = spark.sparkContext.broadcast(classes)  # a few arrays of the vocabulary's size
 
-    found = cut(rows.mapInArrow(_count_and_sample(buckets, folder, classes_of, sample), COUNTED), "lm-windows")
+    cores = spark.sparkContext.defaultParallelism
+    # Lessons are a few more: texts end in part of a window, streams in part of a lesson.
+    turns = int(-(-(int(subwords.sum()) + ends) // (LESSON * attention.SCORED * TASK * cores))) or 1
+    found = shared_folder(spark, "lm-windows")  # a folder for each turn: a turn reads its own lessons only
+    rows.mapInArrow(_count_and_teach(buckets, folder, classes_of, turns), COUNTED).write.partitionBy("kind", "turn").parquet(found)
+    found = spark.read.schema(COUNTED).parquet(found)
     counted = _tree(found.where("kind = 0").select("rows"), _add_pairs)  # the classes' pairs at most
     pairs = _dense(counted, attention.CLASSES ** 2) if counted else np.zeros(attention.CLASSES ** 2)
     start_of = spark.sparkContext.broadcast(classes.logits(pairs))
     weights = attention.flat(attention.start())
     taught = found.where("kind = 1")
-    lessons = taught.count()
-    for k in range(rounds if lessons else 0):
-        model_of = spark.sparkContext.broadcast(weights)
-        parts = min(lessons, max(1, -(-lessons // 16)))
-        trained = taught.select("no", "rows").repartition(parts).mapInArrow(_train_part(model_of, start_of, k), "rows binary")
-        total = np.frombuffer(_tree(trained, _add_rows), "<i8").astype(np.float64)
-        weights = (total[:-1] / total[-1]).astype(np.float32)
+    sizes = {r.turn: r["count"] for r in taught.groupBy("turn").count().collect()}  # a row for each turn
+    for k in range(rounds):
+        for turn, size in sorted(sizes.items()):
+            model_of = spark.sparkContext.broadcast(weights)
+            dealt = taught.where(F.col("turn") == turn).select("no", "rows").repartition(-(-size // TASK), "no")
+            total = _tree(dealt.mapInArrow(_train_part(model_of, start_of, k, sample), "rows binary"), _add_rows)
+            total = np.frombuffer(total, "<i8").astype(np.float64)
+            if total[-1]:
+                weights = (total[:-1] / total[-1]).astype(np.float32)
+            model_of.unpersist()
     model_of = spark.sparkContext.broadcast(weights)
     totals = (int(x[1]) + ends, int(x[0]) + (ends > 0), ends)
     return rows.mapInArrow(_score(buckets, folder, classes_of, start_of, model_of, totals), SCORED).withColumnRenamed("id", id_col)

@@ -256,6 +256,44 @@ def test_language_model_counts_and_scores(spark, monkeypatch, tmp_path):
     assert lm_scoring.score(spark.read.parquet(str(tmp_path / "e"))).count() == 0
 
 
+def test_language_model_learns_from_all_teaching_windows(spark, monkeypatch, tmp_path):
+    """At production parameters: every window in every round; held-out texts score better than by the add-one model."""
+    rng = np.random.default_rng(5)
+    words = ["the", "cat", "sat", "on", "a", "mat"]
+    rows = [row(k, " ".join(words[(int(a) + j) % 6] for j in range(int(n)))) for k, (a, n) in enumerate(zip(rng.integers(0, 6, 300), rng.integers(1, 200, 300)))]
+    spark.createDataFrame(rows, ROW).repartition(2).write.parquet(str(tmp_path / "d"))
+    tree, seen = lm_scoring._tree, []
+
+    def counted(rows_, add):
+        out = tree(rows_, add)
+        if add is lm_scoring._add_rows:
+            seen.append(int(np.frombuffer(out, "<i8")[-1]) >> 20)
+        return out
+
+    monkeypatch.setattr(lm_scoring, "_tree", counted)
+    out = lm_scoring.score(spark.read.parquet(str(tmp_path / "d"))).collect()
+    windows = sum(-(-r.n_tokens // attention.SCORED) for r in out if not r.held_out)
+    assert sum(seen) == lm_scoring.ROUNDS * windows
+    held = [r for r in out if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_lessons_are_the_windows_of_the_texts(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "LESSON", 3)
+    rng = np.random.default_rng(1)
+    lengths = np.array([1, 24, 25, 200, 7, 48])
+    c = rng.integers(0, attention.CLASSES, lengths.sum())
+    c[np.cumsum(lengths) - 1] = 0
+    filled, firsts, places = attention.aligned(c, lengths, 0)
+    inputs, targets, seen = attention.windows(filled, firsts, 0)
+    real = np.zeros(targets.size, bool)
+    real[places] = True
+    want = inputs, np.where(real.reshape(targets.shape), targets, -1), seen
+    got = zip(*map(lm_scoring.lesson_windows, lm_scoring.lessons(c, lengths)))
+    for x, y in zip(got, want):
+        assert (np.concatenate(x) == y).all()
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
