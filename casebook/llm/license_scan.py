@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 
 from casebook.llm import wordhash
 from casebook.llm._common import by_value, lean
+from casebook.llm.licenses import LICENSES
 
 by_value(__name__)
 
 SIZE = 5
 MISS = 1e-9  # greatest chance that a window is not retrieved
 THRESHOLD = 80  # percent of a template's distinct shingles
-# Short license notices, as projects write them.
+# Short notices, as projects write them; ``licenses`` scans for whole texts and standard headers.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -149,3 +150,143 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, thre
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(_scan(tuple(templates), threshold, miss), FOUND)
+
+
+# --- license texts -----------------------------------------------------------------------------------------------------
+
+BASE = 48  # words: shorter templates are notices; windows of longer ones are made of blocks of so many words
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[k for k in range(33, 127) if not chr(k).isalnum()]] = True
+
+
+def plain_bytes(data: np.ndarray) -> np.ndarray:
+    """The bytes of a text with ASCII punctuation, typographic quotes and dashes as white space (comment marks too)."""
+    out = np.where(_PUNCTUATION[data], np.uint8(32), data)
+    at = np.flatnonzero((data[:-2] == 0xE2) & (data[1:-1] == 0x80) & (data[2:] >= 0x90) & (data[2:] <= 0xA7)) if len(data) > 2 else []
+    for k in range(3):
+        out[np.asarray(at, np.int64) + k] = 32
+    return out
+
+
+def plain_words(text: str) -> list[str]:
+    return text_words(plain_bytes(np.frombuffer(text.encode(), np.uint8)).tobytes().decode("utf-8", "replace"))
+
+
+class _Licenses:
+    """Templates: (license, family, window step, shingles). Notices are retrieved by any shingle of theirs (none is missed),
+    longer texts by MinHash: a step of BASE * 2^k words, so all classes share the minima of blocks of BASE words."""
+
+    def __init__(self, licenses: Sequence[tuple[str, str, str]], threshold: int, miss: float):
+        self.known, self.long, notice = [], {}, {}
+        rng, lows = np.random.default_rng(7), []
+        for name, family, text in licenses:
+            words = plain_words(text)
+            if len(words) < SIZE:
+                raise ValueError(f"a template of {name!r} has fewer than {SIZE} words")
+            (_, _, data, offsets), = wordhash.byte_slices(pa.array([" ".join(words)]))
+            hashes = np.unique(wordhash.shingles(wordhash.Words(data, offsets), SIZE)[0])
+            step = len(words)
+            if step >= BASE:
+                step = BASE << (-(-step // BASE) - 1).bit_length()
+                held = -(-len(hashes) * threshold // 100)
+                similar = held / (len(hashes) + 2 * step - held)
+                lows.append((len(self.known), hashes, math.ceil(math.log(miss) / math.log(1 - similar))))
+                self.long.setdefault(step, []).append(len(self.known))
+            else:
+                for h in hashes.tolist():
+                    notice.setdefault(h, []).append(len(self.known))
+            self.known.append((name, family, step, text_shingles(words)))
+        self.notice = notice
+        self.hashes = np.array(sorted(notice), np.uint64)
+        self.bands = {t: b for t, _, b in lows}
+        self.odd = rng.integers(0, 1 << 63, max(self.bands.values(), default=0), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.lows = {t: [(h * o).min() for o in self.odd[:b]] for t, h, b in lows}
+
+    def windows(self, hashes: np.ndarray, text: np.ndarray, place: np.ndarray) -> set[tuple[int, int, int]]:
+        """(text, first word, template) of the windows to check."""
+        found = set()
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            for k in np.flatnonzero(self.hashes[at] == hashes).tolist():
+                for t in self.notice[int(hashes[k])]:
+                    step = self.known[t][2]
+                    first = int(place[k]) // step * step
+                    found.update((int(text[k]), x, t) for x in (first, first - step) if x >= 0)
+        cuts = np.flatnonzero(place % BASE == 0)
+        classes = []
+        for step, of in self.long.items():
+            starts = np.flatnonzero(place[cuts] % step == 0)
+            own = text[cuts[starts]]
+            classes.append((starts, np.append(own[1:] == own[:-1], False), [(t, np.zeros(len(starts), bool)) for t in of]))
+        for k, odd in enumerate(self.odd):
+            low = np.minimum.reduceat(hashes * odd, cuts)
+            for starts, more, of in classes:
+                block = np.minimum.reduceat(low, starts)
+                window = np.where(more, np.minimum(block, np.append(block[1:], block[-1:])), block)
+                for t, hit in of:
+                    if k < self.bands[t]:
+                        hit |= window == self.lows[t][k]
+        for starts, _, of in classes:
+            for t, hit in of:
+                found.update((int(text[cuts[s]]), int(place[cuts[s]]), t) for s in starts[hit].tolist())
+        return found
+
+    def best(self, matches: list[tuple[int, int, int]], threshold: int) -> list[tuple[str, int, int, int]]:
+        """Of a text's (template, matched, first word): one (license, matched, shingles, first word) for each license, without
+        those whose window overlaps that of a better match of the same family."""
+        good = [(n / len(self.known[t][3]), n, -first, t) for t, n, first in matches if 100 * n >= threshold * len(self.known[t][3])]
+        rows, spans = {}, []
+        for share, n, first, t in sorted(good, reverse=True):
+            name, family, step, shingles = self.known[t]
+            lo, hi = -first, -first + 2 * step
+            if name in rows or any(family == f and name != m and share < s and lo < b and a < hi for f, m, s, a, b in spans):
+                continue
+            rows[name] = (name, n, len(shingles), lo)
+            spans.append((family, name, share, lo, hi))
+        return list(rows.values())
+
+
+def _scan_licenses(licenses: Sequence[tuple[str, str, str]], threshold: int, miss: float):
+    @lean
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Licenses(licenses, threshold, miss)
+        for batch in batches:
+            ids = batch.column(0).cast(pa.int64())
+            rows: list[tuple] = []
+            for a, b, data, offsets in wordhash.byte_slices(batch.column(1)):
+                data = plain_bytes(data)
+                words = wordhash.Words(data, offsets)
+                hashes, text = wordhash.shingles(words, SIZE)
+                keep = words.counts[text] >= SIZE
+                hashes, text = hashes[keep], text[keep]
+                if not len(hashes):
+                    continue
+                place = np.arange(len(text)) - np.searchsorted(text, text)
+                best: dict[int, dict[int, tuple[int, int]]] = {}
+                for doc, first, t in sorted(known.windows(hashes, text, place)):
+                    lo = words.docs[doc] + first
+                    hi = min(lo + 2 * known.known[t][2], words.docs[doc + 1])
+                    seen = data[words.starts[lo]:words.ends[hi - 1]].tobytes().decode("utf-8", "replace")
+                    n = len(known.known[t][3] & text_shingles(text_words(seen)))
+                    of = best.setdefault(doc, {})
+                    if n > of.get(t, (0, 0))[0]:
+                        of[t] = (n, first)
+                for doc, of in best.items():
+                    rows += [(a + doc, *r) for r in known.best([(t, n, first) for t, (n, first) in of.items()], threshold)]
+            at = pa.array([r[0] for r in rows], pa.int64())
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": ids.take(at), "license": pa.array([r[1] for r in rows], pa.string()),
+                "matched": pa.array([r[2] for r in rows], pa.int64()),
+                "shingles": pa.array([r[3] for r in rows], pa.int64()),
+                "first_word": pa.array([r[4] for r in rows], pa.int64())})
+    return run
+
+
+def licenses(docs: DataFrame, texts: Sequence[tuple[str, str, str]] = LICENSES, threshold: int = THRESHOLD, miss: float = MISS,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``scan`` for license texts (license, family, text), without punctuation: one row for each text and license it holds.
+
+    Of a license's texts the best match counts; of a family's licenses that match in one place, the best.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(_scan_licenses(tuple(texts), threshold, miss), FOUND)

@@ -37,7 +37,7 @@ def op3_suffix(spark, sf):
 
 @register
 def op4_license(spark, sf):
-    return license_scan.scan(table(spark, sf, "documents"))
+    return license_scan.licenses(table(spark, sf, "documents"))
 
 
 @register

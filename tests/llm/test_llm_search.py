@@ -149,3 +149,28 @@ def test_license_scan(spark):
     for _, text in license_scan.TEMPLATES:
         n = len(license_scan.text_words(text))
         assert (1 - license_scan.least_similarity(n)) ** license_scan.bands_for(n) <= 1e-9
+
+
+def test_license_texts(spark, tmp_path):
+    from casebook.llm import queries
+    from casebook.llm.licenses import LICENSES
+
+    first, whole = {}, {}
+    for name, _, text in LICENSES:
+        (whole if len(text) > 5000 else first).setdefault(name, text)
+    comment = lambda t: "\n".join(f" * {x}" for x in t.split("\n"))
+    cases = [(first["Apache-2.0"].replace('"', "\u201c"), {"Apache-2.0"}), ("released under the MIT license and more", {"MIT"}),
+             ("This is licensed under the GNU General Public License, version 2.", {"GPL-2.0"}), (comment(first["GPL-3.0"]), {"GPL-3.0"}),
+             (first["LGPL-2.1"], {"LGPL-2.1"}), (first["MPL-2.0"], {"MPL-2.0"}), (first["BSD-2-Clause"], {"BSD-2-Clause"}),
+             (first["BSD-3-Clause"], {"BSD-3-Clause"}), (first["MIT"] + " x " * 900 + first["GPL-2.0"], {"MIT", "GPL-2.0"}), ("nothing at all in here", set())]
+    cases += [("start " * 700 + text + " end" * 300, {name}) for name, text in whole.items()]
+    for lead in range(0, 800, 37):  # over window borders, with edits
+        words = first["MIT"].split()
+        words[20], words[90] = "Thing", "edited"
+        cases.append(("w%d " % lead * lead + " ".join(words) + " tail" * 50, {"MIT"}))
+    rows = [(k, t) for k, (t, _) in enumerate(cases)] + [(99, None), (98, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {}
+    for r in queries.op4_license(spark, str(tmp_path)).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert {k: got.get(k, set()) for k, _ in rows} == {**{k: want for k, (_, want) in enumerate(cases)}, 98: set(), 99: set()}
