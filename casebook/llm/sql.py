@@ -129,3 +129,54 @@ def op10_topk() -> str:
 )
 SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM scored
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5"""
+
+
+def op11_fill_middle(rate: int = 100, spm: int = 50, seed: int = 7) -> str:
+    number = lambda k: f"('0x' || substr(d, {1 + 8 * k}, 8))::BIGINT"
+    return f"""WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+         sha256('{seed}:' || coalesce(doc_id::VARCHAR, '')) AS d
+  FROM documents
+), drawn AS (
+  SELECT *, len(u) AS n, least({number(0)} % (len(u) + 1), {number(1)} % (len(u) + 1)) AS a,
+         greatest({number(0)} % (len(u) + 1), {number(1)} % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR {number(2)} % 100 >= {rate} THEN 'plain'
+              WHEN {number(3)} % 100 < {spm} THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+), parted AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parted"""
+
+
+def op12_va_clusters(k: int = 16, rounds: int = 3, scale: int = 64, dim: int = 64, seed: int = 1) -> str:
+    chain = [f"""vecs AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')), v) - 1)::INTEGER AS cluster, v AS c FROM vecs
+  QUALIFY cluster < {k}
+)"""]
+    for t in range(rounds + 1):
+        chain.append(f"""a{t} AS MATERIALIZED (
+  SELECT rid, arg_min(cluster, (d, cluster)) AS cluster, min(d)::BIGINT AS distance
+  FROM (SELECT rid, cluster, list_dot_product(v, v) - 2 * list_dot_product(v, c) + list_dot_product(c, c) AS d FROM vecs, c{t}) GROUP BY rid
+)""")
+        if t < rounds:
+            chain.append(f"""c{t + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m.c, c{t}.c) AS c
+  FROM c{t} LEFT JOIN (
+    SELECT cluster, list(x ORDER BY i) AS c
+    FROM (SELECT cluster, i, floor(sum(x) / count(*)) AS x
+          FROM (SELECT cluster, unnest(v) AS x, unnest(range({dim})) AS i FROM a{t} JOIN vecs USING (rid)) GROUP BY cluster, i)
+    GROUP BY cluster) m USING (cluster)
+)""")
+    return "WITH " + ",\n".join(chain) + f"""
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(list_transform(c, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM a{rounds} JOIN vecs USING (rid) JOIN c{rounds} USING (cluster)"""
