@@ -8,20 +8,23 @@ from pyspark.sql import functions as F
 from casebook.functions._util import as_col
 
 
-def exact_round_ratio(num, den, scale: int = 2) -> Column:
+def exact_round_ratio(num, den, scale: int = 2, wide: bool = False) -> Column:
     """round(num / den, scale), half away from zero, computed exactly.
 
     ``num`` and ``den`` are integral columns and ``den > 0``. Rounding a
     double (or a decimal already rounded at a finer scale) can land on the
     wrong side of a .xx5 boundary; integer division cannot. Result type is
     decimal(38, scale). NULL in, NULL out; a zero denominator gives NULL.
+    ``wide`` takes numbers beyond 64 bits (decimal(38,0)); the quotient itself must fit 64 bits.
     """
-    n = as_col(num).cast("long")
-    d = as_col(den).cast("long")
+    whole = "decimal(38,0)" if wide else "long"
+    n = as_col(num).cast(whole)
+    d = as_col(den).cast(whole)
     factor = 10 ** scale
+    digits = "decimal(38,0)" if wide else "decimal(20,0)"
     # Integer division: a decimal quotient would be rounded to a few places before the floor.
-    doubled = F.abs(n).cast("decimal(20,0)") * F.lit(2 * factor).cast("decimal(12,0)") + d.cast("decimal(20,0)")
-    q = F.call_function("div", doubled, d.cast("decimal(20,0)") * F.lit(2).cast("decimal(1,0)"))
+    doubled = F.abs(n).cast(digits) * F.lit(2 * factor).cast("decimal(12,0)") + d.cast(digits)
+    q = F.call_function("div", doubled, d.cast(digits) * F.lit(2).cast("decimal(1,0)"))
     signed = F.when(n < 0, -q).otherwise(q)
     out = (signed.cast("decimal(38,0)") / F.lit(factor).cast("decimal(38,0)")).cast(f"decimal(38,{scale})")
     return F.when(d > 0, out)

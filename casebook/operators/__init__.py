@@ -4,6 +4,7 @@ from casebook.operators.calendar import expand_calendar, stepped_dates
 from casebook.operators.flags import flag_since
 from casebook.operators.intervals import state_at, state_intervals, transition
 from casebook.operators.lists import explode_list, per_distinct, zip_lists
+from casebook.operators.pairs import pair_histogram, pair_totals
 from casebook.operators.ranking import dense_index, pick_ranked, rank_by_histogram, top_with_ties
 from casebook.operators.sequence import along
 from casebook.operators.shares import attach_scalars, percent_of, round_percent
@@ -16,6 +17,8 @@ __all__ = [
     "expand_calendar",
     "explode_list",
     "flag_since",
+    "pair_histogram",
+    "pair_totals",
     "per_distinct",
     "percent_of",
     "pick_ranked",

@@ -403,6 +403,19 @@ def _j53(spark, sf):
     )
 
 
+@register("days_to_upgrade_pairs")
+def _j52_pairs(spark, sf):
+    """J52 with the self-join's fan-out: every trial with every annual row."""
+    return subscriptions.days_to_upgrade(V.subs_v(Tables(spark, sf)), pairs="all")
+
+
+@register("upgrade_histogram_pairs")
+def _j53_pairs(spark, sf):
+    return subscriptions.upgrade_histogram(
+        V.subs_v(Tables(spark, sf)), lo=0, hi=HIST_WIDTH * HIST_BUCKETS, buckets=HIST_BUCKETS, pairs="all"
+    )
+
+
 @register("downgrades")
 def _j54(spark, sf):
     return subscriptions.downgrades(V.subs_v(Tables(spark, sf)), order=SUBS_ORDER)

@@ -492,6 +492,19 @@ SELECT CAST((b - 1) * 10 AS VARCHAR) || '-' || CAST(b * 10 AS VARCHAR) AS day_ra
 FROM (SELECT CASE WHEN days < 0 THEN 0 WHEN days >= 30 THEN 4 ELSE days // 10 + 1 END AS b FROM days_v)
 GROUP BY b ORDER BY b""")
 
+# The plain self-join, all pairs made.
+UPGRADES = """
+FROM subs_v a JOIN subs_v b ON a.customer_id = b.customer_id AND a.plan_id = 0 AND b.plan_id = 3"""
+PAIR_DAYS = "(CAST(b.start_date AS DATE) - CAST(a.start_date AS DATE))"
+
+job("days_to_upgrade_pairs", ("subs_v",), f"""
+SELECT {exact_round(f"SUM{PAIR_DAYS}", f"COUNT{PAIR_DAYS}")} AS avg_days_to_upgrade {UPGRADES}""")
+
+job("upgrade_histogram_pairs", ("subs_v",), f"""
+SELECT CAST((b - 1) * 10 AS VARCHAR) || '-' || CAST(b * 10 AS VARCHAR) AS day_range, COUNT(*) AS upgrades
+FROM (SELECT CASE WHEN days < 0 THEN 0 WHEN days >= 30 THEN 4 ELSE days // 10 + 1 END AS b FROM (SELECT {PAIR_DAYS} AS days {UPGRADES}))
+GROUP BY b ORDER BY b""")
+
 job("downgrades", ("next_v",), """
 SELECT COUNT(*) AS customers_downgraded FROM next_v WHERE plan_id = 2 AND next_plan = 1""")
 

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions import bucket_label, exact_round_ratio, width_bucket
-from casebook.operators import attach_scalars, percent_of, round_percent, state_at, state_intervals, transition
+from casebook.operators import (
+    attach_scalars, pair_histogram, pair_totals, percent_of, round_percent, state_at, state_intervals, transition,
+)
 
 TRIAL, BASIC, PRO, ANNUAL, CHURN = 0, 1, 2, 3, 4
 
@@ -116,21 +118,41 @@ def _days_to_annual(subs: DataFrame) -> DataFrame:
     return both.select("customer_id", F.datediff(F.to_date("_annual"), F.to_date("_trial")).alias("days"))
 
 
-def days_to_upgrade(subs):
-    """Mean whole days from each customer's first trial to their first annual plan, rounded to 2 places."""
+def _trial_annual() -> dict:
+    """Every trial row of a customer with every annual row, by whole days."""
+    return {"key": "customer_id", "value": F.unix_date(F.to_date("start_date")),
+            "left": F.coalesce(F.col("plan_id") == TRIAL, F.lit(False)), "right": F.coalesce(F.col("plan_id") == ANNUAL, F.lit(False))}
+
+
+def days_to_upgrade(subs, pairs="first"):
+    """Mean whole days from trial to annual plan, rounded to 2 places.
+
+    ``pairs="first"`` takes each customer's first trial and first annual date; ``pairs="all"`` every trial with every
+    annual row of the customer, as the source's self-join does where states repeat.
+    """
+    if pairs == "all":
+        return pair_totals(subs, **_trial_annual()).select(
+            exact_round_ratio("total", "known", 2, wide=True).alias("avg_days_to_upgrade"))
+    if pairs != "first":
+        raise ValueError("pairs must be 'first' or 'all'")
     days = _days_to_annual(subs)
     return days.agg(exact_round_ratio(F.sum("days"), F.count("days"), 2).alias("avg_days_to_upgrade"))
 
 
-def upgrade_histogram(subs, lo=0, hi=360, buckets=12):
-    """J52's day counts (first dates only) in equal-width buckets ('0-30', '30-60', ...).
+def upgrade_histogram(subs, lo=0, hi=360, buckets=12, pairs="first", method="split"):
+    """J52's day counts in equal-width buckets ('0-30', '30-60', ...): customers by their first dates, or all ``upgrades`` (pairs).
 
     Below ``lo`` is bucket 0 and at or past ``hi`` bucket ``buckets + 1``; ``hi - lo``
-    must be a multiple of ``buckets``, so that the labels are whole days.
+    must be a multiple of ``buckets``, so that the labels are whole days. Pairs with an unknown date have no label.
     """
     width, rest = divmod(hi - lo, buckets)
     if rest:
         raise ValueError(f"{buckets} buckets do not divide {hi - lo} days evenly")
+    if pairs == "all":
+        counts = pair_histogram(subs, **_trial_annual(), edges=range(lo, hi + 1, width), method=method)
+        return counts.orderBy("bucket").select(bucket_label("bucket", width, lo).alias("day_range"), F.col("pairs").cast("long").alias("upgrades"))
+    if pairs != "first":
+        raise ValueError("pairs must be 'first' or 'all'")
     days = _days_to_annual(subs).withColumn("_b", width_bucket("days", lo, hi, buckets))
     counts = days.groupBy("_b").agg(F.count(F.lit(1)).alias("customers"))
     return counts.orderBy("_b").select(bucket_label("_b", width, lo).alias("day_range"), "customers")
