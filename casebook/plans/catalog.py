@@ -17,8 +17,10 @@ from casebook.operators.lists import zip_lists
 from casebook.plans import delivery, ingredients, loyalty, payments, pricing, subscriptions
 from casebook.sources import fixtures
 from casebook.sources import views as V
-from casebook.sources.sinks import freeze
+from casebook.sources.sinks import freeze, new_folder
+from casebook.sources.store import StoredTable
 from casebook.sources.tables import Tables
+from casebook.sources.temp_tables import session_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -307,6 +309,25 @@ def _j43(spark, sf):
     return ingredients.add_product(names, recipes, toppings, name, text)
 
 
+@register("add_product_stored")
+def _j43_stored(spark, sf):
+    """J43 through the sinks: products and recipes become stored tables, the new rows are appended as a batch (twice, as a
+    retried job would; once is what counts), and the recipes are replaced from themselves."""
+    t = Tables(spark, sf)
+    recipes, toppings, names = _recipe_parts(t)
+    name, text = NEW_PRODUCT
+    with_new = StoredTable(spark, new_folder(spark, "products")), StoredTable(spark, new_folder(spark, "recipes"))
+    for table, rows in zip(with_new, (names, recipes)):
+        table.replace(rows)
+    new_rows = ingredients.product_rows(with_new[0].read(), with_new[1].read(), name, text)
+    new_rows = [freeze(rows, "new-product") for rows in new_rows]  # the next id must not see its own row
+    for _ in range(2):
+        for table, rows in zip(with_new, new_rows):
+            table.append(rows, batch="J43")
+    with_new[1].replace(with_new[1].read().where("toppings IS NOT NULL"))
+    return ingredients.standard_ingredients(with_new[1].read(), toppings, with_new[0].read())
+
+
 # --- money and ratings (J38-J42) --------------------------------------------
 
 def _priced_orders(t):
@@ -351,6 +372,15 @@ def _j42(spark, sf):
 SUBS_ORDER = ("start_date", "event_id")
 
 
+def _subs(spark, sf) -> dict:
+    """The subscriptions and their timeline, which the session's jobs share: written by the first, read by the others."""
+    t = Tables(spark, sf)
+    subs = V.subs_v(t)
+    lease = session_tables(spark).lease("timeline", subs, lambda: subscriptions.timeline(subs, SUBS_ORDER), SUBS_ORDER,
+                                        inputs=[t.path("events")])
+    return {"subs": subs, "order": SUBS_ORDER, "ready": lease.df}
+
+
 @register("total_customers")
 def _j44(spark, sf):
     return subscriptions.total_customers(V.subs_v(Tables(spark, sf)))
@@ -373,22 +403,22 @@ def _j47(spark, sf):
 
 @register("direct_churn")
 def _j48(spark, sf):
-    return subscriptions.direct_churn(V.subs_v(Tables(spark, sf)), order=SUBS_ORDER)
+    return subscriptions.direct_churn(**_subs(spark, sf))
 
 
 @register("conversion_share")
 def _j49(spark, sf):
-    return subscriptions.conversion_share(V.subs_v(Tables(spark, sf)), order=SUBS_ORDER)
+    return subscriptions.conversion_share(**_subs(spark, sf))
 
 
 @register("plan_snapshot")
 def _j50(spark, sf):
-    return subscriptions.plan_snapshot(V.subs_v(Tables(spark, sf)), at=SNAPSHOT_AT, order=SUBS_ORDER)
+    return subscriptions.plan_snapshot(**_subs(spark, sf), at=SNAPSHOT_AT)
 
 
 @register("annual_upgrades")
 def _j51(spark, sf):
-    return subscriptions.annual_upgrades(V.subs_v(Tables(spark, sf)), year=UPGRADE_YEAR, order=SUBS_ORDER)
+    return subscriptions.annual_upgrades(**_subs(spark, sf), year=UPGRADE_YEAR)
 
 
 @register("days_to_upgrade")
@@ -418,7 +448,7 @@ def _j53_pairs(spark, sf):
 
 @register("downgrades")
 def _j54(spark, sf):
-    return subscriptions.downgrades(V.subs_v(Tables(spark, sf)), order=SUBS_ORDER)
+    return subscriptions.downgrades(**_subs(spark, sf))
 
 
 # --- payment schedule (J55) -------------------------------------------------

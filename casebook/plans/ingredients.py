@@ -133,17 +133,16 @@ def ingredient_totals(orders: DataFrame, recipes: DataFrame, union_all: bool = F
     return merged.groupBy("toppings").agg(F.sum("num").alias("num")).orderBy(F.desc("num"))
 
 
-def add_product(names: DataFrame, recipes: DataFrame, toppings: DataFrame, new_name: str, new_toppings: str):
-    """Append a product and its recipe, then read the ingredients back.
-
-    The new product id is one past the largest existing id (a global max,
-    one row); the appended rows go through ``unionByName`` like an INSERT.
-    """
+def product_rows(names: DataFrame, recipes: DataFrame, new_name: str, new_toppings: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that a new product adds to ``names`` and ``recipes``; its id is one past the largest (a global max, one row)."""
     next_id = names.agg((F.max("pizza_id") + 1).alias("pizza_id"))
-    new_name_row = next_id.select(F.col("pizza_id").cast(names.schema["pizza_id"].dataType).alias("pizza_id"),
-                                  F.lit(new_name).alias("pizza_name"))
-    new_recipe_row = next_id.select(F.col("pizza_id").cast(recipes.schema["pizza_id"].dataType).alias("pizza_id"),
-                                    F.lit(new_toppings).alias("toppings"))
+    return (next_id.select(F.col("pizza_id").cast(names.schema["pizza_id"].dataType).alias("pizza_id"), F.lit(new_name).alias("pizza_name")),
+            next_id.select(F.col("pizza_id").cast(recipes.schema["pizza_id"].dataType).alias("pizza_id"), F.lit(new_toppings).alias("toppings")))
+
+
+def add_product(names: DataFrame, recipes: DataFrame, toppings: DataFrame, new_name: str, new_toppings: str):
+    """Append a product and its recipe, then read the ingredients back."""
+    new_name_row, new_recipe_row = product_rows(names, recipes, new_name, new_toppings)
     all_names = names.select("pizza_id", "pizza_name").unionByName(new_name_row)
     all_recipes = recipes.select("pizza_id", "toppings").unionByName(new_recipe_row)
     return standard_ingredients(all_recipes, toppings, all_names)

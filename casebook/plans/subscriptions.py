@@ -21,8 +21,8 @@ from casebook.operators import (
 TRIAL, BASIC, PRO, ANNUAL, CHURN = 0, 1, 2, 3, 4
 
 
-def _with_next(subs: DataFrame, order: Sequence[str], method: str) -> DataFrame:
-    """Next plan and next change date per customer (the ``next_plan_cte``)."""
+def timeline(subs: DataFrame, order: Sequence[str] = ("start_date",), method: str = "split") -> DataFrame:
+    """Next plan and next change date per customer. J48-J51 and J54 read it; ``ready`` passes them one that is there already."""
     ts, *tiebreak = order
     return state_intervals(subs, "customer_id", ts, "plan_id", tiebreak=tiebreak, method=method)
 
@@ -59,16 +59,16 @@ def churn_percent(subs):
     return agg.select(F.col("_hit").alias("num_churned"), percent_of("_hit", "_total").alias("percent_churned"))
 
 
-def direct_churn(subs, order=("start_date",), method="split"):
+def direct_churn(subs, order=("start_date",), method="split", ready=None):
     """Customers whose trial is followed at once by churn, and their share."""
-    nxt = _with_next(subs, order, method)
+    nxt = timeline(subs, order, method) if ready is None else ready
     agg = _customer_flags(nxt, transition("plan_id", "next_plan", TRIAL, CHURN))
     return agg.select(F.col("_hit").alias("direct_churners"), percent_of("_hit", "_total").alias("percent_churned"))
 
 
-def conversion_share(subs, order=("start_date",), method="split"):
+def conversion_share(subs, order=("start_date",), method="split", ready=None):
     """Plan chosen right after the trial, against all customers of that plan."""
-    nxt = _with_next(subs, order, method)
+    nxt = timeline(subs, order, method) if ready is None else ready
     conversions = (
         nxt.filter(F.col("next_plan").isNotNull() & (F.col("plan_id") == TRIAL))
         .groupBy(F.col("next_plan").alias("plan_id"))
@@ -82,14 +82,14 @@ def conversion_share(subs, order=("start_date",), method="split"):
     )
 
 
-def plan_snapshot(subs, at="2020-12-31", order=("start_date",), closed="neither", method="split"):
+def plan_snapshot(subs, at="2020-12-31", order=("start_date",), closed="neither", method="split", ready=None):
     """Customers per plan at instant ``at`` and their share of all customers.
 
     ``closed="neither"`` (default, as the source) drops a customer whose plan
     changes exactly at ``at``.
     """
     ts = order[0]
-    nxt = _with_next(subs, order, method)
+    nxt = timeline(subs, order, method) if ready is None else ready
     at_col = F.lit(at).cast("date")
     holding = nxt.filter(state_at(at_col, start=ts, next_="next_date", closed=closed))
     counts = holding.groupBy("plan_id").agg(F.countDistinct("customer_id").alias("customers"))
@@ -98,10 +98,10 @@ def plan_snapshot(subs, at="2020-12-31", order=("start_date",), closed="neither"
     return out.select("plan_id", "customers", round_percent("customers", "_total").alias("percent"))
 
 
-def annual_upgrades(subs, year=2020, order=("start_date",), by_upgrade_date=False, method="split"):
+def annual_upgrades(subs, year=2020, order=("start_date",), by_upgrade_date=False, method="split", ready=None):
     """Customers whose next plan is annual, with the *previous* plan dated
     in ``year`` (as the source); ``by_upgrade_date`` tests the upgrade's year."""
-    nxt = _with_next(subs, order, method)
+    nxt = timeline(subs, order, method) if ready is None else ready
     dated = F.col("next_date") if by_upgrade_date else F.col(order[0])
     rows = nxt.filter((F.col("next_plan") == ANNUAL) & (F.year(dated) == year))
     return rows.agg(F.countDistinct("customer_id").alias("annual_upgrades"))
@@ -158,7 +158,7 @@ def upgrade_histogram(subs, lo=0, hi=360, buckets=12, pairs="first", method="spl
     return counts.orderBy("_b").select(bucket_label("_b", width, lo).alias("day_range"), "customers")
 
 
-def downgrades(subs, order=("start_date",), method="split"):
+def downgrades(subs, order=("start_date",), method="split", ready=None):
     """Changes from pro monthly straight to basic monthly."""
-    nxt = _with_next(subs, order, method)
+    nxt = timeline(subs, order, method) if ready is None else ready
     return nxt.filter(transition("plan_id", "next_plan", PRO, BASIC)).agg(F.count(F.lit(1)).alias("customers_downgraded"))
