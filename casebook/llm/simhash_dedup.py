@@ -103,6 +103,8 @@ def parts(mask: int) -> list[int]:
 
 
 def _redealt(rows: DataFrame, masks: list[int]) -> DataFrame:
+    if len(masks) == 1:
+        return rows.select(F.explode(F.array(*[F.lit(signed(p)) for p in parts(masks[0])])).alias("mask"), "fp")
     table = rows.sparkSession.createDataFrame([(signed(m), signed(p)) for m in masks for p in parts(m)], "mask bigint, part bigint")
     return rows.join(F.broadcast(table), "mask").select(F.col("part").alias("mask"), "fp")  # 5 rows a mask
 
