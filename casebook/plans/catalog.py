@@ -17,9 +17,9 @@ from casebook.operators.lists import zip_lists
 from casebook.plans import delivery, ingredients, loyalty, payments, pricing, subscriptions
 from casebook.sources import fixtures
 from casebook.sources import views as V
+from casebook.sources.layout import session_layout, tables_for
 from casebook.sources.sinks import freeze, new_folder
 from casebook.sources.store import StoredTable
-from casebook.sources.tables import Tables
 from casebook.sources.temp_tables import session_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -57,60 +57,60 @@ def _members(t):
 
 @register("spend_per_customer")
 def _j01(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return loyalty.spend_per_customer(V.sales_v(t), V.menu_v(t))
 
 
 @register("visit_days")
 def _j02(spark, sf):
-    return loyalty.visit_days(V.sales_v(Tables(spark, sf)))
+    return loyalty.visit_days(V.sales_v(tables_for(spark, sf)))
 
 
 @register("first_item")
 def _j03(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return loyalty.first_item(V.sales_v(t), V.menu_v(t))
 
 
 @register("top_item")
 def _j04(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return loyalty.top_item(V.sales_v(t), V.menu_v(t))
 
 
 @register("favourite_item")
 def _j05(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return loyalty.favourite_item(V.sales_v(t), V.menu_v(t))
 
 
 @register("first_after_join")
 def _j06(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return loyalty.first_after_join(V.sales_v(t), V.menu_v(t), _members(t))
 
 
 @register("last_before_join")
 def _j07(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return loyalty.last_before_join(V.sales_v(t), V.menu_v(t), _members(t))
 
 
 @register("pre_join_totals")
 def _j08(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return loyalty.pre_join_totals(V.sales_v(t), V.menu_v(t), _members(t))
 
 
 @register("points")
 def _j09(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return loyalty.points(V.sales_v(t), V.menu_v(t), double_item=DOUBLE_ITEM)
 
 
 @register("bonus_window_points")
 def _j10(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return loyalty.bonus_window_points(
         V.sales_v(t), V.menu_v(t), _members(t), double_item=DOUBLE_ITEM, cutoff=POINTS_CUTOFF
     )
@@ -118,13 +118,13 @@ def _j10(spark, sf):
 
 @register("join_all")
 def _j11(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return loyalty.join_all(V.sales_v(t), V.menu_v(t), _members(t))
 
 
 @register("rank_members")
 def _j12(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return loyalty.rank_members(V.sales_v(t), V.menu_v(t), _members(t))
 
 
@@ -140,72 +140,72 @@ def _deliveries(t):
 
 @register("clean_orders")
 def _j13(spark, sf):
-    return _orders(Tables(spark, sf))
+    return _orders(tables_for(spark, sf))
 
 
 @register("clean_deliveries")
 def _j14(spark, sf):
-    return _deliveries(Tables(spark, sf))
+    return _deliveries(tables_for(spark, sf))
 
 
 @register("item_count")
 def _j15(spark, sf):
-    return delivery.item_count(_orders(Tables(spark, sf)))
+    return delivery.item_count(_orders(tables_for(spark, sf)))
 
 
 @register("order_count")
 def _j16(spark, sf):
-    return delivery.order_count(_orders(Tables(spark, sf)))
+    return delivery.order_count(_orders(tables_for(spark, sf)))
 
 
 @register("success_per_runner")
 def _j17(spark, sf):
-    return delivery.success_per_runner(_deliveries(Tables(spark, sf)))
+    return delivery.success_per_runner(_deliveries(tables_for(spark, sf)))
 
 
 @register("delivered_per_type")
 def _j18(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return delivery.delivered_per_type(_orders(t), _deliveries(t))
 
 
 @register("type_pivot")
 def _j19(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     rows = V.sales_v(t).join(V.menu_v(t).select("product_id", "product_type"), "product_id")
     return delivery.type_pivot(rows, "customer_id", "product_type", PRODUCT_TYPES, other="OTHER")
 
 
 @register("order_sizes")
 def _j20(spark, sf):
-    return delivery.order_sizes(_orders(Tables(spark, sf)))
+    return delivery.order_sizes(_orders(tables_for(spark, sf)))
 
 
 @register("changed_vs_plain")
 def _j21(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return delivery.changed_vs_plain(_orders(t), _deliveries(t))
 
 
 @register("both_changes")
 def _j22(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return delivery.both_changes(_orders(t), _deliveries(t))
 
 
 @register("hourly_volume")
 def _j23(spark, sf):
-    return delivery.hourly_volume(Tables(spark, sf).events, "ts")
+    return delivery.hourly_volume(tables_for(spark, sf).events, "ts")
 
 
 @register("weekday_volume")
 def _j24(spark, sf):
-    return delivery.weekday_volume(_orders(Tables(spark, sf)), "order_time")
+    return delivery.weekday_volume(_orders(tables_for(spark, sf)), "order_time")
 
 
 @register("weekly_signups")
 def _j25(spark, sf):
-    e = Tables(spark, sf).events.filter(F.col("event_type") == "signup")
+    e = tables_for(spark, sf).events.filter(F.col("event_type") == "signup")
     runners = e.select(F.col("user_id").alias("runner_id"), F.to_date("ts").alias("registration_date"))
     return delivery.weekly_signups(runners)
 
@@ -214,35 +214,57 @@ def _j25(spark, sf):
 
 @register("pickup_minutes")
 def _j26(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return delivery.pickup_minutes(_orders(t), _deliveries(t))
 
 
 @register("prep_by_order")
 def _j27(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return delivery.prep_by_order(_orders(t), _deliveries(t))
 
 
 @register("mean_distance")
 def _j28(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return delivery.mean_distance(_orders(t), _deliveries(t))
 
 
 @register("duration_range")
 def _j29(spark, sf):
-    return delivery.duration_range(_deliveries(Tables(spark, sf)))
+    return delivery.duration_range(_deliveries(tables_for(spark, sf)))
 
 
 @register("delivery_speed")
 def _j30(spark, sf):
-    return delivery.delivery_speed(_deliveries(Tables(spark, sf)))
+    return delivery.delivery_speed(_deliveries(tables_for(spark, sf)))
 
 
 @register("success_percent")
 def _j31(spark, sf):
-    return delivery.success_percent(_deliveries(Tables(spark, sf)))
+    return delivery.success_percent(_deliveries(tables_for(spark, sf)))
+
+
+# --- on tables laid out by the order key (N2) --------------------------------
+
+@register("spend_per_customer_colocated")
+def _j01_colocated(spark, sf):
+    """J01 on a layout by the order key: the fact join has no exchange."""
+    t = session_layout(spark, sf)
+    return loyalty.spend_per_customer(V.sales_v(t), V.menu_v(t))
+
+
+@register("delivered_per_type_colocated")
+def _j18_colocated(spark, sf):
+    t = session_layout(spark, sf)
+    return delivery.delivered_per_type(_orders(t), _deliveries(t))
+
+
+@register("delivery_summary_colocated")
+def _j41_colocated(spark, sf):
+    t = session_layout(spark, sf)
+    d = _deliveries(t)
+    return pricing.delivery_summary(_orders(t), d, pricing.ratings(d))
 
 
 # --- ingredients (J32-J37, J43) ---------------------------------------------
@@ -259,31 +281,31 @@ def _recipe_parts(t):
 
 @register("standard_ingredients")
 def _j32(spark, sf):
-    recipes, toppings, names = _recipe_parts(Tables(spark, sf))
+    recipes, toppings, names = _recipe_parts(tables_for(spark, sf))
     return ingredients.standard_ingredients(recipes, toppings, names)
 
 
 @register("top_extra")
 def _j33(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return ingredients.top_extra(_orders(t), V.toppings_v(t))
 
 
 @register("top_exclusion")
 def _j34(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return ingredients.top_exclusion(_orders(t), V.toppings_v(t))
 
 
 @register("order_item_label")
 def _j35(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return ingredients.order_item_label(_orders_once(t), V.pizza_names_v(t), V.toppings_v(t))
 
 
 @register("ingredient_list")
 def _j36(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     recipes, toppings, names = _recipe_parts(t)
     return ingredients.ingredient_list(_orders_once(t), recipes, toppings, names)
 
@@ -291,20 +313,20 @@ def _j36(spark, sf):
 @register("list_pairs")
 def _c9(spark, sf):
     """Exclusions and extras of each order item side by side."""
-    rows = _orders(Tables(spark, sf)).select("order_id", "pizza_id", "exclusions", "extras")
+    rows = _orders(tables_for(spark, sf)).select("order_id", "pizza_id", "exclusions", "extras")
     return zip_lists(rows, "exclusions", "extras", "exclusion_id", "extra_id")
 
 
 @register("ingredient_totals")
 def _j37(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     recipes, _, _ = _recipe_parts(t)
     return ingredients.ingredient_totals(_orders_once(t), recipes)
 
 
 @register("add_product")
 def _j43(spark, sf):
-    recipes, toppings, names = _recipe_parts(Tables(spark, sf))
+    recipes, toppings, names = _recipe_parts(tables_for(spark, sf))
     name, text = NEW_PRODUCT
     return ingredients.add_product(names, recipes, toppings, name, text)
 
@@ -313,7 +335,7 @@ def _j43(spark, sf):
 def _j43_stored(spark, sf):
     """J43 through the sinks: products and recipes become stored tables, the new rows are appended as a batch (twice, as a
     retried job would; once is what counts), and the recipes are replaced from themselves."""
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     recipes, toppings, names = _recipe_parts(t)
     name, text = NEW_PRODUCT
     with_new = StoredTable(spark, new_folder(spark, "products")), StoredTable(spark, new_folder(spark, "recipes"))
@@ -341,29 +363,29 @@ def _premium():
 
 @register("revenue")
 def _j38(spark, sf):
-    return pricing.revenue(_priced_orders(Tables(spark, sf)), _premium())
+    return pricing.revenue(_priced_orders(tables_for(spark, sf)), _premium())
 
 
 @register("revenue_with_extras")
 def _j39(spark, sf):
-    return pricing.revenue_with_extras(_priced_orders(Tables(spark, sf)), _premium())
+    return pricing.revenue_with_extras(_priced_orders(tables_for(spark, sf)), _premium())
 
 
 @register("ratings")
 def _j40(spark, sf):
-    return pricing.ratings(_deliveries(Tables(spark, sf)))
+    return pricing.ratings(_deliveries(tables_for(spark, sf)))
 
 
 @register("delivery_summary")
 def _j41(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     d = _deliveries(t)
     return pricing.delivery_summary(_orders(t), d, pricing.ratings(d))
 
 
 @register("net_revenue")
 def _j42(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return pricing.net_revenue(_priced_orders(t), _deliveries(t), _premium())
 
 
@@ -374,7 +396,7 @@ SUBS_ORDER = ("start_date", "event_id")
 
 def _subs(spark, sf) -> dict:
     """The subscriptions and their timeline, which the session's jobs share: written by the first, read by the others."""
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     subs = V.subs_v(t)
     lease = session_tables(spark).lease("timeline", subs, lambda: subscriptions.timeline(subs, SUBS_ORDER), SUBS_ORDER,
                                         inputs=[t.path("events")])
@@ -383,22 +405,22 @@ def _subs(spark, sf) -> dict:
 
 @register("total_customers")
 def _j44(spark, sf):
-    return subscriptions.total_customers(V.subs_v(Tables(spark, sf)))
+    return subscriptions.total_customers(V.subs_v(tables_for(spark, sf)))
 
 
 @register("monthly_trials")
 def _j45(spark, sf):
-    return subscriptions.monthly_trials(V.trials_v(Tables(spark, sf)))
+    return subscriptions.monthly_trials(V.trials_v(tables_for(spark, sf)))
 
 
 @register("starts_after")
 def _j46(spark, sf):
-    return subscriptions.starts_after(V.subs_v(Tables(spark, sf)), after=EVENTS_AFTER)
+    return subscriptions.starts_after(V.subs_v(tables_for(spark, sf)), after=EVENTS_AFTER)
 
 
 @register("churn_percent")
 def _j47(spark, sf):
-    return subscriptions.churn_percent(V.subs_v(Tables(spark, sf)))
+    return subscriptions.churn_percent(V.subs_v(tables_for(spark, sf)))
 
 
 @register("direct_churn")
@@ -423,26 +445,26 @@ def _j51(spark, sf):
 
 @register("days_to_upgrade")
 def _j52(spark, sf):
-    return subscriptions.days_to_upgrade(V.subs_v(Tables(spark, sf)))
+    return subscriptions.days_to_upgrade(V.subs_v(tables_for(spark, sf)))
 
 
 @register("upgrade_histogram")
 def _j53(spark, sf):
     return subscriptions.upgrade_histogram(
-        V.subs_v(Tables(spark, sf)), lo=0, hi=HIST_WIDTH * HIST_BUCKETS, buckets=HIST_BUCKETS
+        V.subs_v(tables_for(spark, sf)), lo=0, hi=HIST_WIDTH * HIST_BUCKETS, buckets=HIST_BUCKETS
     )
 
 
 @register("days_to_upgrade_pairs")
 def _j52_pairs(spark, sf):
     """J52 with the self-join's fan-out: every trial with every annual row."""
-    return subscriptions.days_to_upgrade(V.subs_v(Tables(spark, sf)), pairs="all")
+    return subscriptions.days_to_upgrade(V.subs_v(tables_for(spark, sf)), pairs="all")
 
 
 @register("upgrade_histogram_pairs")
 def _j53_pairs(spark, sf):
     return subscriptions.upgrade_histogram(
-        V.subs_v(Tables(spark, sf)), lo=0, hi=HIST_WIDTH * HIST_BUCKETS, buckets=HIST_BUCKETS, pairs="all"
+        V.subs_v(tables_for(spark, sf)), lo=0, hi=HIST_WIDTH * HIST_BUCKETS, buckets=HIST_BUCKETS, pairs="all"
     )
 
 
@@ -455,5 +477,5 @@ def _j54(spark, sf):
 
 @register("payments")
 def _j55(spark, sf):
-    t = Tables(spark, sf)
+    t = tables_for(spark, sf)
     return payments.payments(V.timeline_v(t), V.plans_v(spark), horizon=PAYMENT_HORIZON, tiebreak=("order_key",))

@@ -541,3 +541,7 @@ WITH lists AS (SELECT order_id, pizza_id, coalesce(string_split(exclusions, ', '
                       coalesce(string_split(extras, ', ')::INTEGER[], []) AS b FROM clean_orders_v)
 SELECT order_id, pizza_id, a[k] AS exclusion_id, b[k] AS extra_id
 FROM (SELECT *, unnest(range(1, greatest(len(a), len(b), 1) + 1)) AS k FROM lists)""")
+
+# The same jobs on tables laid out by the order key.
+for _name in ("spend_per_customer", "delivered_per_type", "delivery_summary"):
+    JOBS[f"{_name}_colocated"] = JOBS[_name]
