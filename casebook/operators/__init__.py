@@ -1,6 +1,6 @@
 """Reusable DataFrame operators (L1-L12 of the operator inventory)."""
 
-from casebook.operators.calendar import expand_calendar, stepped_dates
+from casebook.operators.calendar import calendar, date_at, dates_until, expand_calendar, stepped_dates, steps
 from casebook.operators.flags import flag_since
 from casebook.operators.intervals import state_at, state_intervals, transition
 from casebook.operators.lists import explode_list, per_distinct, zip_lists
@@ -12,6 +12,9 @@ from casebook.operators.shares import attach_scalars, percent_of, round_percent
 __all__ = [
     "along",
     "attach_scalars",
+    "calendar",
+    "date_at",
+    "dates_until",
     "dense_index",
     "rank_by_histogram",
     "expand_calendar",
@@ -26,6 +29,7 @@ __all__ = [
     "state_at",
     "state_intervals",
     "stepped_dates",
+    "steps",
     "top_with_ties",
     "transition",
     "zip_lists",

@@ -10,7 +10,7 @@ payments is found on *intervals*, and the calendar is expanded last:
 3. a pro interval that an annual one follows gives up its last payment;
 4. the first payment of a pro or annual interval right after a basic payment is credited the basic price, and the
    running sum of the payment counts numbers the payments;
-5. one row per payment up to the horizon.
+5. one row per payment up to the horizon. Until then payments are only counted (by arithmetic on the calendar).
 
 The passes are range-partitioned over intervals, so a hot customer spans tasks; no expanded row is ever shuffled or stored.
 """
@@ -22,7 +22,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.operators import along, stepped_dates
+from casebook.operators import along, calendar, date_at, dates_until, steps
 
 BASIC, PRO, ANNUAL, CHURN, TRIAL = 1, 2, 3, 4, 0
 BASIC_CREDIT = Decimal("9.90")
@@ -47,10 +47,11 @@ def payments(subs: DataFrame, plans: DataFrame, horizon="2020-12-31", tiebreak=(
     )
     followed = along(paid, key, order, lead={"next_plan": "plan_id"}, method=method)
     gives_up = (F.col("plan_id") == PRO) & F.coalesce(F.col("next_plan") == ANNUAL, F.lit(False))
-    dates = stepped_dates("start_date", "stop", F.col("step"))
-    counted = followed.withColumn("n", (F.size(dates) - gives_up.cast("int")).cast("long")).filter("n > 0").drop("next_plan")
+    series = calendar("start_date", F.col("step"))
+    counted = followed.withColumn("n", dates_until(series, "stop") - gives_up.cast("long")).filter("n > 0").drop("next_plan")
     numbered = along(counted, key, order, lag={"prev_plan": "plan_id"}, running=("upto", "n"), method=method)
-    each = numbered.select("*", F.posexplode(F.slice(dates, 1, F.col("n").cast("int"))).alias("pos", "payment_date"))
+    each = numbered.withColumn("series", series).select("*", F.explode(steps("n")).alias("pos"))
+    each = each.withColumn("payment_date", date_at(F.col("series"), F.col("pos")))
     credited = (F.col("pos") == 0) & F.col("plan_id").isin(PRO, ANNUAL) & F.coalesce(F.col("prev_plan") == BASIC, F.lit(False))
     price = F.when(credited, F.col("price") - F.lit(BASIC_CREDIT)).otherwise(F.col("price"))
     return each.filter(F.col("payment_date") <= horizon_d).select(
