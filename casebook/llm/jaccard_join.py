@@ -2,7 +2,9 @@
 
 Documents are sets of five-word shingles (64-bit hashes). Two link when 100 * intersection >= 80 * union.
 
-1. Equal sets become one node (128-bit fingerprint and size), so copies are never compared.
+0. The rows are written once with a number each. Texts are found again by this number, never by their ids, which may be null or stand
+   with any number of texts.
+1. Equal sets become one node (128-bit fingerprint and size; its number is that of its first row), so copies are never compared.
 2. One global order of shingles, rarest first: by the count of the shingle's rarest word, then of all its words, then
    by hash. The word counts cover all documents and live in ``COUNTERS`` hashed counters, a table of fixed size; they
    only shape the order, so their collisions cost time, never links.
@@ -18,7 +20,7 @@ Documents are sets of five-word shingles (64-bit hashes). Two link when 100 * in
    counted along the trie, shared starts once, and a subtree is left when its longest set cannot reach the needed overlap.
 
 Defined results: a null or empty text, or one without words, has no shingles and is its own class; fewer than five words make one
-shingle; classes are named by the least id (nulls aside); rows that share an id but not a text are told apart; repeated rows are equal
+shingle; classes are named by the least id (nulls aside); rows that share an id, or have none, are told apart by their texts; repeated rows are equal
 sets; an empty table gives an empty result. Columns other than id and text are not read by ``classes`` and kept by ``distinct_documents``.
 """
 
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm import wordhash
@@ -137,8 +139,8 @@ def parity(shingles: np.ndarray) -> bytes:
     return np.packbits((np.bincount(at, minlength=BITS) & 1).astype(bool)).tobytes()
 
 
-def _fingerprints(with_bits: bool):
-    """Appends f1, f2, n (and the bitmap) to rows whose first column is the text."""
+def _fingerprints():
+    """Appends f1, f2, n and the bitmap to rows whose first column is the text, which goes."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,12 +149,9 @@ def _fingerprints(with_bits: bool):
             for row, shingles, *_ in _sets(batch.column(0)):
                 f1[row], f2[row] = fingerprint(shingles)
                 n[row] = len(shingles)
-                if with_bits:
-                    bits[row] = parity(shingles)
-            columns, names = [*batch.columns[1:], pa.array(f1), pa.array(f2), pa.array(n)], [*batch.schema.names[1:], "f1", "f2", "n"]
-            if with_bits:
-                columns, names = [*columns, pa.array(bits, pa.binary())], [*names, "bits"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+                bits[row] = parity(shingles)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(f1), pa.array(f2), pa.array(n), pa.array(bits, pa.binary())],
+                                             [*batch.schema.names[1:], "f1", "f2", "n", "bits"])
     return run
 
 
@@ -166,7 +165,7 @@ def salt_of(rows: np.ndarray) -> np.ndarray:
 
 
 def _entries(ranks_of, buckets: int):
-    """Rows (text, node, f1, f2, n) -> packed prefix entries by bucket."""
+    """Rows (text, node, f1, f2) -> packed prefix entries by bucket."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of.value
@@ -186,7 +185,7 @@ def _entries(ranks_of, buckets: int):
             nodes, f1, f2 = (batch.column(k).to_numpy() for k in (1, 2, 3))
             for row, shingles, first, words, end in _sets(batch.column(0)):
                 if fingerprint(shingles) != (f1[row], f2[row]):
-                    continue  # another text of the same id
+                    raise RuntimeError("a row number has another text than before")
                 tokens, low = _ordered(shingles, first, words, end, ranks)
                 p = prefix_length(len(tokens))
                 e = np.zeros(p, _ENTRY)
@@ -394,7 +393,7 @@ def _compare(ranks_of):
             f1, f2, hub, part, role, node = (batch.column(k).to_numpy() for k in range(1, 7))
             for row, shingles, first, words, end in _sets(batch.column(0)):
                 if fingerprint(shingles) != (f1[row], f2[row]):
-                    continue
+                    raise RuntimeError("a row number has another text than before")
                 if key != (hub[row], part[row]):
                     close()
                     key, probe = (int(hub[row]), int(part[row])), None
@@ -420,8 +419,8 @@ def _compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, ranks_of) ->
     sided = cut(sided.select("hub", "node", F.pmod(F.xxhash64("node"), F.ceil(F.col("d") / PART)).alias("part")), "jaccard-pairs")
     wanted = sided.select("node", "hub", "part", F.lit(1).alias("role")).unionByName(
         sided.select(F.col("hub").alias("node"), "hub", "part", F.lit(0).alias("role")).distinct())
-    named = cut(wanted.join(nodes.select("node", "id", "f1", "f2"), "node"), "jaccard-wanted")
-    texts = join_checked(docs, named.withColumnRenamed("id", "_id"), named.count(), ["_id"])
+    named = cut(wanted.join(nodes.select("node", "f1", "f2"), "node"), "jaccard-wanted")
+    texts = join_checked(docs, named, named.count(), ["node"])
     dealt = texts.select("text", "f1", "f2", "hub", "part", "role", "node").repartition(
         shuffle_partitions(docs.sparkSession), "hub", "part").sortWithinPartitions("hub", "part", "role")
     return dealt.mapInArrow(_compare(ranks_of), "a bigint, b bigint")
@@ -429,29 +428,29 @@ def _compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, ranks_of) ->
 
 # --- the join ----------------------------------------------------------------------------------------------------------
 
-def _id_key(col):
-    """An id as text: null ids join like any other."""
-    return F.coalesce(F.col(col).cast("string"), F.lit(""))
+def _least(id_, number) -> Column:
+    """Orders rows by id, nulls last, then by number."""
+    return F.struct(F.col(id_).isNull().alias("unknown"), F.col(id_).alias("id"), F.col(number).alias("row"))
 
 
 def _nodes(members: DataFrame) -> DataFrame:
-    sets = members.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("id").alias("id"), F.min("bits").alias("bits"))
-    return cut(sets.withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
+    """Distinct sets: ``node`` is the number of a set's first row, ``id`` its least id and ``row`` the first row of that id."""
+    sets = members.where("n > 0").groupBy("f1", "f2", "n").agg(
+        F.min("row").alias("node"), F.min(_least("id", "row")).alias("least"), F.min("bits").alias("bits"))
+    return cut(sets.select("node", "f1", "f2", "n", "bits", "least.id", "least.row"), "jaccard-nodes")
 
 
 def _node_components(docs: DataFrame, nodes: DataFrame, ranks: np.ndarray) -> DataFrame:
-    """(node, component) of the nodes that have links."""
+    """(node, component) of the nodes that have links. ``docs``: (text, node) of every row, by its number."""
     spark = docs.sparkSession
     ranks_of = spark.sparkContext.broadcast(ranks)  # COUNTERS bytes
     size = nodes.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.expr("n div 5 + 1")).alias("entries")).first()
     buckets = max(shuffle_partitions(spark), int((size.entries or 0) * _ENTRY.itemsize // (32 << 20)) + 1)
-    keyed = nodes.select("node", "f1", "f2", _id_key("id").alias("_id"))
-    texts = join_checked(docs, keyed, size.rows, ["_id"])
+    texts = join_checked(docs, nodes.select("node", "f1", "f2"), size.rows, ["node"])
     packed = texts.select("text", "node", "f1", "f2").mapInArrow(_entries(ranks_of, buckets), "bucket bigint, rows binary")
     found = cut(packed.groupBy("bucket").applyInArrow(_star, STAR), "jaccard-stars")
-    named = nodes.withColumn("id", _id_key("id"))
     first = cut(_pairs(found.where("kind = 0").select("a", "b").unionByName(_hub_stars(found))), "jaccard-first")
-    links = cut(_compared(docs, named, first, ranks_of), "jaccard-links")
+    links = cut(_compared(docs, nodes, first, ranks_of), "jaccard-links")
     component = cut(components(links), "jaccard-components")
     compared = first
     for nearest in NEAREST:
@@ -459,7 +458,7 @@ def _node_components(docs: DataFrame, nodes: DataFrame, ranks: np.ndarray) -> Da
         if rest is None:
             break
         rest = cut(rest, "jaccard-rest")
-        more = cut(_compared(docs, named, rest, ranks_of), "jaccard-more")
+        more = cut(_compared(docs, nodes, rest, ranks_of), "jaccard-more")
         compared = compared.unionByName(rest)
         if more.isEmpty():
             continue
@@ -468,40 +467,43 @@ def _node_components(docs: DataFrame, nodes: DataFrame, ranks: np.ndarray) -> Da
     return component
 
 
-def _classed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(members: id, f1, f2, n of every row; classes: f1, f2, n, id and component_id of every distinct set)."""
-    rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"))
-    members = cut(rows.mapInArrow(_fingerprints(True), "id bigint, f1 bigint, f2 bigint, n bigint, bits binary"), "jaccard-members")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written once, with a number each in a column of a new name."""
+    number = "_row"
+    while number.lower() in [c.lower() for c in docs.columns]:
+        number += "_"
+    return cut(docs.withColumn(number, F.monotonically_increasing_id()), "jaccard-rows"), number
+
+
+def _classed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members: id, row, f1, f2, n of every row (text, id, row); classes: f1, f2, n, id, row, node and component of every distinct set)."""
+    members = cut(rows.mapInArrow(_fingerprints(), "id bigint, row bigint, f1 bigint, f2 bigint, n bigint, bits binary"), "jaccard-members")
     nodes = _nodes(members)
-    texts = rows.select("text", _id_key("id").alias("_id"))
-    component = _node_components(texts, nodes, word_ranks(rows, "text"))
-    named = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = cut(named.groupBy("component").agg(F.min("id").alias("component_id")), "jaccard-least")
-    return members, cut(named.join(least, "component").select("f1", "f2", "n", F.col("id").alias("node_id"), "node",
-                                                              "component", "component_id"), "jaccard-classes")
+    component = _node_components(rows.select("text", F.col("row").alias("node")), nodes, word_ranks(rows, "text"))
+    named = nodes.drop("bits").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return members.drop("bits"), cut(named, "jaccard-classes")
+
+
+def _rows(numbered: DataFrame, number: str, id_col: str, text_col: str) -> DataFrame:
+    return numbered.select(F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"), F.col(number).alias("row"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of every row."""
-    members, classed = _classed(docs, id_col, text_col)
+    numbered, number = _numbered(docs.select(id_col, text_col))
+    members, classed = _classed(_rows(numbered, number, id_col, text_col))
+    least = classed.groupBy("component").agg(F.min("id").alias("component_id"))
     keys = ["f1", "f2", "n"]
-    linked = members.drop("bits").join(classed.select(*keys, "component_id"), keys, "left")
-    return linked.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    named = cut(classed.join(least, "component").select(*keys, "component_id"), "jaccard-named")
+    return members.join(named, keys, "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near copies: of each class the row with the least id; rows without words stay."""
-    members, classed = _classed(docs, id_col, text_col)
-    own = classed.where(F.col("node_id").eqNullSafe(F.col("component_id"))).select(
-        "component", "node", "f1", "f2", "n", F.col("node_id").alias("_id"))
-    stay = cut(own.groupBy("component").agg(F.min(F.struct("node", "f1", "f2", "n", "_id")).alias("s")).select("s.*"), "jaccard-stay")
-    schema = "row " + docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    whole = docs.select(F.col(text_col).alias("text"), F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_id"))
-    marked = whole.mapInArrow(_fingerprints(False), f"{schema}, _id bigint, f1 bigint, f2 bigint, n bigint")
-    wordless = marked.where("n = 0").select("row.*")
-    staying = marked.where("n > 0").withColumn("_key", _id_key("_id"))
-    kept = join_checked(staying, stay.select("f1", "f2", "n", _id_key("_id").alias("_key")), stay.count(), ["f1", "f2", "n", "_key"])
-    if not members.where("n > 0").groupBy("id", "f1", "f2", "n").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["f1", "f2", "n", "_key"])  # rows that stand twice; else the texts need no shuffle
-    return kept.select("row.*").unionByName(wordless)
+    """The rows of ``docs`` without near copies: of each class the first row with the least id; rows without words stay."""
+    numbered, number = _numbered(docs)
+    members, classed = _classed(_rows(numbered, number, id_col, text_col))
+    stay = cut(classed.groupBy("component").agg(F.min(_least("id", "row"))["row"].alias("row")).select("row"), "jaccard-stay")
+    gone = cut(members.where("n > 0").join(stay, "row", "left_anti").select(F.col("row").alias(number)), "jaccard-gone")
+    return join_checked(numbered, gone, gone.count(), [number], "left_anti").select(*docs.columns)

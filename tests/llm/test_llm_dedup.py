@@ -106,6 +106,49 @@ def test_jaccard_edges(spark):
     assert jaccard_join.classes(df.limit(0)).count() == 0 and jaccard_join.distinct_documents(df.limit(0)).count() == 0
 
 
+def test_jaccard_null_and_repeated_ids(spark):
+    """Many texts without an id, and many with the same one: each stands for itself, and texts are found by row, not by id."""
+    rng = np.random.default_rng(3)
+    texts = []
+    for _ in range(100):
+        base = [f"v{k}" for k in rng.integers(0, 500, 60)]
+        texts += [" ".join(base), " ".join(["edit", *base[1:]])]
+    texts += [texts[0]] * 5
+    ids = [None if k % 4 < 2 else 7 if k % 4 == 2 else 1000 + k for k in range(len(texts))]
+    want = []
+    parts = {k: c for k, _, c in brute_classes([row(k, t) for k, t in enumerate(texts)])}
+    for k, t in enumerate(texts):
+        own = [ids[j] for j in parts if parts[j] == parts[k] and ids[j] is not None]
+        want.append((ids[k] or 0, len(set(text_shingles(text_words(t)))), min(own, default=0)))
+    df = spark.createDataFrame([row(i, t) for i, t in zip(ids, texts)], ROW).repartition(5)
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in jaccard_join.classes(df).collect())
+    assert got == sorted(want)
+    kept = jaccard_join.distinct_documents(df).collect()
+    assert len(kept) == len(set(parts.values()))
+    by_text = {t: parts[k] for k, t in enumerate(texts)}
+    assert {by_text[r.text] for r in kept} == set(parts.values())
+
+
+@pytest.mark.parametrize("same", [None, 5])
+def test_jaccard_work_does_not_grow_with_rows_of_an_id(spark, monkeypatch, same):
+    """3,000 texts of one id: every text is cut into shingles as often as with ids of their own."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 3000, 30)) for _ in range(3000)]
+    spread = jaccard_join.join_checked
+    joined = []
+
+    def counted(left, right, rows, on, how="inner"):
+        out = spread(left, right, rows, on, how)
+        if "text" in left.columns:
+            joined.append((out.count(), rows))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "join_checked", counted)
+    df = spark.createDataFrame([row(same, t) for t in texts], ROW).repartition(8)
+    assert jaccard_join.classes(df).count() == 3000
+    assert joined and all(n == rows for n, rows in joined)
+
+
 def test_trie_finds_exactly_the_linked_sets():
     rng = np.random.default_rng(2)
     for _ in range(50):
