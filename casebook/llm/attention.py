@@ -92,7 +92,9 @@ def _forward(w: dict, inputs: np.ndarray, seen: np.ndarray) -> dict:
     s = q @ k.transpose(0, 2, 1)
     s *= np.float32(WIDTH ** -0.5)
     s += np.where(_CAUSAL, w["near"][np.maximum(_DISTANCE, 0)], np.float32(-1e9))
-    s[_SLOT[None, None, :] < seen[:, :, None]] = -1e9
+    cut = np.flatnonzero(seen[:, -1])  # windows with a text's start inside
+    if len(cut):
+        s[cut] = np.where(_SLOT[None, None, :] < seen[cut][:, :, None], np.float32(-1e9), s[cut])
     s -= s.max(2, keepdims=True)
     np.exp(s, out=s)
     s /= s.sum(2, keepdims=True)
@@ -103,9 +105,17 @@ def _forward(w: dict, inputs: np.ndarray, seen: np.ndarray) -> dict:
     return {"x": x, "k": k, "v": v, "q": q, "a": s, "mixed": mixed, "y": y, "h": h, "z": y + h @ w["down"]}
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+def _softmax_gradient(logits: np.ndarray, rows: np.ndarray, target: np.ndarray, n: int) -> float:
+    """The loss of the targets, summed; ``logits`` become the gradient of its ``n``-th part."""
+    logits -= logits.max(1, keepdims=True) if len(logits) else 0
+    own = logits[rows, target].sum(dtype=np.float64)
+    np.exp(logits, out=logits)
+    total = logits.sum(1, keepdims=True)
+    loss = float(np.log(total).sum(dtype=np.float64) - own)
+    logits /= total
+    logits[rows, target] -= 1
+    logits /= n
+    return loss
 
 
 class Model:
@@ -183,30 +193,29 @@ class Model:
         t = targets.ravel()
         real = t >= 0
         n = max(int(real.sum()), 1)
-        t = np.maximum(t, 0)
+        # Places in the order of their groups: the member logits of a group are one slice, their softmax is one for all.
+        order = np.argsort(np.where(real, t // MEMBERS, GROUPS).astype(np.uint8), kind="stable")
+        own = order[:n] if real.any() else order[:0]
+        t = t[own]
+        z, g = f["z"][own], {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
+        previous = inputs[:, CONTEXT:].ravel()[own]
         group, member, rows = t // MEMBERS, t % MEMBERS, np.arange(len(t))
-        z, g = f["z"], {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-        previous = inputs[:, CONTEXT:].ravel()
-        logp = _log_softmax(z @ w["group"] + self.follow[previous])
-        loss = -logp[rows, group][real].sum()
-        d = np.exp(logp)
-        d[rows, group] -= 1
-        d[~real] = 0
-        d /= n
+        d = z @ w["group"]
+        d += self.follow[previous]
+        loss = _softmax_gradient(d, rows, group, n)
         g["group"] = z.T @ d
-        dz = d @ w["group"].T
-        for c in range(GROUPS):
-            own = np.flatnonzero(real & (group == c))
-            if not len(own):
-                continue
-            logm = _log_softmax(z[own] @ w["member"][c] + self.inside[previous[own], c])
-            at = np.arange(len(own))
-            loss -= logm[at, member[own]].sum()
-            d = np.exp(logm)
-            d[at, member[own]] -= 1
-            d /= n
-            g["member"][c] = z[own].T @ d
-            dz[own] += d @ w["member"][c].T
+        dz_own = d @ w["group"].T
+        d = self.inside[previous, group].astype(z.dtype, copy=False)
+        cuts = np.searchsorted(group, np.arange(GROUPS + 1))
+        parts = [(c, slice(cuts[c], cuts[c + 1])) for c in np.flatnonzero(np.diff(cuts))]
+        for c, part in parts:
+            d[part] += z[part] @ w["member"][c]
+        loss += _softmax_gradient(d, rows, member, n)
+        for c, part in parts:
+            g["member"][c] = z[part].T @ d[part]
+            dz_own[part] += d[part] @ w["member"][c].T
+        dz = np.zeros_like(f["z"])
+        dz[own] = dz_own
         dh = (dz @ w["down"].T) * (f["h"] > 0)
         g["down"], g["up"], g["up0"] = f["h"].T @ dz, f["y"].T @ dh, dh.sum(0)
         dy = (dz + dh @ w["up"].T).reshape(len(inputs), SCORED, WIDTH)
@@ -214,7 +223,9 @@ class Model:
         dm = dy @ w["out"].T
         da = dm @ f["v"].transpose(0, 2, 1)
         dv = f["a"].transpose(0, 2, 1) @ dm
-        ds = f["a"] * (da - (da * f["a"]).sum(2, keepdims=True))
+        da -= np.einsum("bij,bij->bi", da, f["a"])[:, :, None]
+        da *= f["a"]
+        ds = da
         g["near"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), (ds.sum(0) * _CAUSAL).ravel(), SPAN).astype(np.float32)
         ds *= np.float32(WIDTH ** -0.5)
         dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
@@ -226,7 +237,7 @@ class Model:
         flat_x, at = dx.reshape(-1, WIDTH), inputs.ravel()
         for k in range(WIDTH):
             g["embed"][:, k] = np.bincount(at, flat_x[:, k], CLASSES)
-        return float(loss) / n, g
+        return loss / n, g
 
 
 def train(model: Model, inputs: np.ndarray, targets: np.ndarray, seen: np.ndarray, rate: float, batch: int = 256, seed: int = 0,
@@ -249,3 +260,14 @@ def train(model: Model, inputs: np.ndarray, targets: np.ndarray, seen: np.ndarra
             model.w[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
     state["step"] = step
     return step
+
+
+def moments(state: dict) -> np.ndarray:
+    """The moments of ``train``'s state as one array."""
+    return np.concatenate([flat(state["first"]), flat(state["second"])])
+
+
+def state_of(values: np.ndarray, step: int) -> dict:
+    """``train``'s state from its moments."""
+    half = len(values) // 2
+    return {"first": shaped(values[:half]), "second": shaped(values[half:]), "step": step}

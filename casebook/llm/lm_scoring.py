@@ -7,15 +7,17 @@ Texts are lower-cased (A-Z) words and one end mark each. Documents whose crc32 o
    cover all teaching documents.
 2. The most frequent subwords become the model's classes (the rest share one, spread by their counts; the end mark has its own). Each pack counts which class
    follows which, and gives away all windows of its teaching text as lessons of up to ``LESSON`` windows (two bytes a class).
-3. ``ROUNDS`` times over all lessons, in turns of ``TASK`` lessons for each core at most: each task trains the attention model from the
-   common weights over its lessons, one at a time, and the weights are averaged by the windows they saw. The number of turns, and so
-   of steps in sequence, grows with the corpus.
+3. The lessons are dealt to groups of ``TASK``, and the groups to turns. In a turn each group trains the attention model from the common weights and
+   moments over its lessons, one at a time; then weights and moments are averaged by the windows that were seen. Groups per turn and turns
+   both grow with the corpus (``plan``). A pass over all lessons is repeated only while there were fewer than ``STEPS`` steps in sequence.
+   The lessons are written once, sorted by turn and group, so a turn reads its own files and shuffles nothing.
 4. Every text is scored: overlapping context windows, each subword scored once, batched masked attention.
 
 ``base_score`` is the add-one word model. The packs are those of one scan, read three times; answers come back by Arrow files in the shared folder, each with a checksum of its pack.
 
 Defined results: a null or empty text is its end mark alone; a null id counts as empty text (it teaches); repeated rows are scored alike and
-teach as often as they stand; an empty table gives an empty result.
+teach as often as they stand; an empty table gives an empty result. Scores do not depend on the number of cores, but on how the input is
+split into scan partitions, which decides what stands in a lesson.
 """
 
 from __future__ import annotations
@@ -39,12 +41,13 @@ by_value(__name__)
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 PACK = 5_000_000  # bytes of text in a pack: a task holds one at a time
-SAMPLE = 1  # every window teaches
-ROUNDS = 3
+STEPS = 2000  # in sequence, at least: small corpora are gone over again
 TRUST = 20.0  # pairs that the class counts alone stand for beside the counts after a class
 RATE = 3e-3
 LESSON = 2048  # windows in a training row
-TASK = 64  # lessons of a task before the weights are averaged
+TASK = 64  # lessons of a group: what is trained on before the weights are averaged
+BATCH = 256  # windows of a step
+LESSON_BYTES = 32 << 20  # of a file of lessons, unless that is less than a group
 STREAM = 300_000  # subwords worked on at a time
 OTHER = attention.CLASSES - 1
 HOLD = 7, 2
@@ -319,20 +322,36 @@ def _streams(pack: Pack, first: np.ndarray, size: np.ndarray, ids: np.ndarray, k
         a = b
 
 
-COUNTED = "kind int, turn int, no bigint, rows binary"
+COUNTED = "kind int, turn int, part int, no bigint, rows binary"
 
 
-def lessons(c: np.ndarray, lengths: np.ndarray) -> Iterator[bytes]:
-    """All windows of the texts: the classes of the window before and of up to ``LESSON`` windows (2 bytes each), then a byte a
-    window: its number of real places, and 32 if a text starts there."""
-    filled, _, places = attention.aligned(c, lengths, 0)
-    filled = np.append(np.zeros(attention.SCORED, np.int64), filled).astype("<i2")
-    count = -(-lengths // attention.SCORED)
-    marks = np.bincount(places // attention.SCORED, minlength=int(count.sum())).astype(np.uint8)
-    marks[np.cumsum(count) - count] += 32
-    for k in range(0, len(marks), LESSON):
-        own = marks[k:k + LESSON]
-        yield filled[k * attention.SCORED:(k + len(own) + 1) * attention.SCORED].tobytes() + own.tobytes()
+def plan(windows: int) -> tuple[int, int]:
+    """(turns, groups of a turn) for about so many windows: groups grow with the square of the turns."""
+    groups = max(1, -(-windows // (LESSON * TASK)))
+    turns = max(1, round(groups ** (1 / 3)))
+    return turns, -(-groups // turns)
+
+
+def lessons(streams: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[bytes]:
+    """All windows of the texts of all streams (classes, lengths): the classes of the window before and of ``LESSON`` windows (2 bytes each),
+    then a byte a window: its number of real places, and 32 if a text starts there. Only the last lesson may be shorter."""
+    span = attention.SCORED
+    held, marks = np.zeros(span, "<i2"), np.zeros(0, np.uint8)
+
+    def row(n: int) -> bytes:
+        return held[:(n + 1) * span].tobytes() + marks[:n].tobytes()
+
+    for c, lengths in streams:
+        filled, _, places = attention.aligned(c, lengths, 0)
+        count = -(-lengths // span)
+        own = np.bincount(places // span, minlength=int(count.sum())).astype(np.uint8)
+        own[np.cumsum(count) - count] += 32
+        held, marks = np.concatenate([held, filled.astype("<i2")]), np.concatenate([marks, own])
+        while len(marks) >= LESSON:
+            yield row(LESSON)
+            held, marks = held[LESSON * span:], marks[LESSON:]
+    if len(marks):
+        yield row(len(marks))
 
 
 def lesson_windows(row: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -349,25 +368,28 @@ def lesson_windows(row: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return inputs, targets, seen
 
 
-def _count_and_teach(buckets: int, folder: str, classes_of, turns: int):
-    """Kind 0: how often each class follows each; kind 1: lessons, dealt to the turns of a round."""
+def _count_and_teach(buckets: int, folder: str, classes_of, turns: int, parts: int):
+    """Kind 0: how often each class follows each; kind 1: lessons, dealt to turns and their groups."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, classes = Vocabulary(folder, buckets), classes_of.value
         pairs = np.zeros(attention.CLASSES ** 2, np.int64)
-        row = lambda kind, no, data: pa.RecordBatch.from_pydict({
-            "kind": pa.array([kind], pa.int32()), "turn": pa.array([zlib.crc32(b"%d" % no) % turns], pa.int32()),
-            "no": pa.array([no], pa.int64()), "rows": pa.array([data], pa.binary())})
-        for pack in packs(batches, buckets):
-            _, first, size, ids = vocabulary.of(pack)
-            count = 0
-            for _, _, stream, lengths in _streams(pack, first, size, ids, ~pack.held):
+
+        def row(kind: int, no: int, data: bytes) -> pa.RecordBatch:
+            slot = zlib.crc32(b"%d" % no) % (turns * parts)
+            return pa.RecordBatch.from_pydict({
+                "kind": pa.array([kind], pa.int32()), "turn": pa.array([slot % turns], pa.int32()), "part": pa.array([slot // turns], pa.int32()),
+                "no": pa.array([no], pa.int64()), "rows": pa.array([data], pa.binary())})
+
+        def streams(pack: Pack, *spelled: np.ndarray):
+            for _, _, stream, lengths in _streams(pack, *spelled, ~pack.held):
                 c = _classes(stream, classes)
-                at = np.append(0, c[:-1]) * attention.CLASSES + c
-                np.add.at(pairs, at, 1)
-                for lesson in lessons(c, lengths):
-                    yield row(1, (pack.no << 12) + count, lesson)
-                    count += 1
+                np.add.at(pairs, np.append(0, c[:-1]) * attention.CLASSES + c, 1)
+                yield c, lengths
+
+        for pack in packs(batches, buckets):
+            for count, lesson in enumerate(lessons(streams(pack, *vocabulary.of(pack)[1:]))):
+                yield row(1, (pack.no << 12) + count, lesson)
         yield row(0, 0, _sparse(pairs))
     return run
 
@@ -403,26 +425,63 @@ def _tree(rows: DataFrame, add) -> bytes | None:
     return bytes(out[0].rows) if out else None
 
 
-def _train_part(model_of, start_of, round_no: int, sample: int):
-    """One pass over the task's lessons from the common weights -> weights * windows, windows (64-bit fixed point)."""
+def _train_parts(model_of, start_of, pass_no: int, rate: float, step: int, least: int):
+    """Each group's pass over its lessons (or passes, until there were ``least`` steps) from the common weights and moments ->
+    (both * windows, windows, steps * windows), summed for the task (64-bit fixed point). A task's rows come group by group."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r["no"], r["rows"]) for b in batches for r in b.to_pylist())  # about TASK lessons, as bytes
-        if not rows:
-            return
-        model = attention.Model(attention.shaped(model_of.value), *start_of.value)
-        state: dict = {}
-        seen = 0
-        for k in np.random.default_rng(round_no).permutation(len(rows)):
-            windows = [x[rows[k][0] % sample::sample] for x in lesson_windows(rows[k][1])]
-            attention.train(model, *windows, RATE / (1 + round_no), seed=round_no, state=state)
-            seen += len(windows[0])
-        out = np.append(attention.flat(model.w).astype(np.float64) * seen, seen)
-        fixed = np.round(out * (1 << 20)).astype("<i8")  # whole numbers: sums don't depend on the order
-        yield pa.RecordBatch.from_pydict({"rows": pa.array([fixed.tobytes()], pa.binary())})
+        weights, moments = model_of.value
+        total, group, held = None, None, []
+
+        def taught() -> np.ndarray:
+            held.sort()
+            model, state = attention.Model(attention.shaped(weights), *start_of.value), attention.state_of(moments, step)
+            seen, own = 0, pass_no
+            while not seen or state["step"] - step < least:
+                for k in np.random.default_rng(own).permutation(len(held)):
+                    windows = lesson_windows(held[k][1])
+                    attention.train(model, *windows, rate, BATCH, seed=own, state=state)
+                    seen += len(windows[0])
+                own += 1
+            out = np.concatenate([attention.flat(model.w), attention.moments(state), [1, state["step"] - step]])
+            return np.round(out.astype(np.float64) * seen * (1 << 20)).astype("<i8")  # whole numbers: sums don't depend on the order
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["part"] != group and held:
+                    total, held = taught() + (0 if total is None else total), []
+                group = r["part"]
+                held.append((r["no"], r["rows"]))
+        if held:
+            total = taught() + (0 if total is None else total)
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"rows": pa.array([total.tobytes()], pa.binary())})
     return run
 
 
+def _trained(taught: DataFrame, turns: int, parts: int, start_of) -> np.ndarray:
+    """The model's weights after all turns: one job a turn over the turn's own files; a row of fixed size comes back.
+    A corpus of a single group repeats its passes in that group's task."""
+    sc = taught.sparkSession.sparkContext
+    weights = attention.flat(attention.start())
+    moments, done, pass_no = np.zeros(2 * len(weights), np.float32), 0.0, 0
+    while True:
+        before = done
+        for turn in range(turns):
+            model_of = sc.broadcast((weights, moments))
+            rate = RATE / (1 + done / (4 * STEPS)) ** 0.5
+            run = _train_parts(model_of, start_of, pass_no, rate, round(done), STEPS if turns * parts == 1 else 0)
+            total = _tree(taught.where(F.col("turn") == turn).select("part", "no", "rows").mapInArrow(run, "rows binary"), _add_rows)
+            if total is not None:
+                total = np.frombuffer(total, "<i8").astype(np.float64)
+                weights, moments = np.split((total[:-2] / total[-2]).astype(np.float32), [len(weights)])
+                done += total[-1] / total[-2]
+            model_of.unpersist()
+        pass_no += 1
+        if done >= STEPS or done == before:
+            return weights
+
+
 def _score(buckets: int, folder: str, classes_of, start_of, model_of, totals: tuple[int, int, int]):
     n_total, v, ends = totals
 
@@ -457,7 +516,7 @@ SCORED = ("id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_t
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None,
-          pattern: str | None = None, sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
+          pattern: str | None = None) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every text; see the module's text.
 
     ``docs`` must be a table as read, with narrow steps only: it is scanned three times and must give the same rows.
@@ -485,27 +544,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
     classes = Classes(subwords, ends)
     classes_of = spark.sparkContext.broadcast(classes)  # a few arrays of the vocabulary's size
 
-    cores = spark.sparkContext.defaultParallelism
-    # Lessons are a few more: texts end in part of a window, streams in part of a lesson.
-    turns = int(-(-(int(subwords.sum()) + ends) // (LESSON * attention.SCORED * TASK * cores))) or 1
-    found = shared_folder(spark, "lm-windows")  # a folder for each turn: a turn reads its own lessons only
-    rows.mapInArrow(_count_and_teach(buckets, folder, classes_of, turns), COUNTED).write.partitionBy("kind", "turn").parquet(found)
+    # A few windows more than these: texts end in part of a window.
+    windows = (int(subwords.sum()) + ends) // attention.SCORED + 1
+    turns, parts = plan(windows)
+    lesson_rows = rows.mapInArrow(_count_and_teach(buckets, folder, classes_of, turns, parts), COUNTED)
+    files = max(shuffle_partitions(spark), min(turns * parts, 4096), windows * (2 * attention.SCORED + 1) // LESSON_BYTES)
+    found = shared_folder(spark, "lm-windows")
+    lesson_rows.repartitionByRange(files, "kind", "turn", "part").sortWithinPartitions("kind", "turn", "part").write.partitionBy(
+        "kind", "turn").parquet(found)
     found = spark.read.schema(COUNTED).parquet(found)
     counted = _tree(found.where("kind = 0").select("rows"), _add_pairs)  # the classes' pairs at most
     pairs = _dense(counted, attention.CLASSES ** 2) if counted else np.zeros(attention.CLASSES ** 2)
     start_of = spark.sparkContext.broadcast(classes.logits(pairs))
-    weights = attention.flat(attention.start())
-    taught = found.where("kind = 1")
-    sizes = {r.turn: r["count"] for r in taught.groupBy("turn").count().collect()}  # a row for each turn
-    for k in range(rounds):
-        for turn, size in sorted(sizes.items()):
-            model_of = spark.sparkContext.broadcast(weights)
-            dealt = taught.where(F.col("turn") == turn).select("no", "rows").repartition(-(-size // TASK), "no")
-            total = _tree(dealt.mapInArrow(_train_part(model_of, start_of, k, sample), "rows binary"), _add_rows)
-            total = np.frombuffer(total, "<i8").astype(np.float64)
-            if total[-1]:
-                weights = (total[:-1] / total[-1]).astype(np.float32)
-            model_of.unpersist()
+    weights = _trained(found.where("kind = 1"), turns, parts, start_of)
     model_of = spark.sparkContext.broadcast(weights)
     totals = (int(x[1]) + ends, int(x[0]) + (ends > 0), ends)
     return rows.mapInArrow(_score(buckets, folder, classes_of, start_of, model_of, totals), SCORED).withColumnRenamed("id", id_col)

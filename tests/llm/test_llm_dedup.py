@@ -275,7 +275,7 @@ def test_language_model_counts_and_scores(spark, monkeypatch, tmp_path):
     spark.createDataFrame(rows, ROW).repartition(3).write.parquet(str(tmp_path / "d"))
     df = spark.read.parquet(str(tmp_path / "d"))
     got = collections.Counter()
-    out = lm_scoring.score(df, sample=2).collect()
+    out = lm_scoring.score(df).collect()
     for r in out:
         got[r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)] += 1
         assert math.isfinite(r.score) and r.score < 0
@@ -290,7 +290,7 @@ def test_language_model_counts_and_scores(spark, monkeypatch, tmp_path):
     assert got == want
     alike = [r.score for r in out if r.doc_id == 7]
     assert len(alike) == 2 and alike[0] == pytest.approx(alike[1], abs=1e-4)
-    again = {(r.doc_id, r.n_tokens, round(r.score, 3)) for r in lm_scoring.score(df, sample=2).collect()}
+    again = {(r.doc_id, r.n_tokens, round(r.score, 3)) for r in lm_scoring.score(df).collect()}
     assert again == {(r.doc_id, r.n_tokens, round(r.score, 3)) for r in out}
     easy = [r.score / r.n_tokens for r in out if r.n_known == r.n_tokens > 40]
     hard = [r.score / r.n_tokens for r in out if r.n_tokens == 2 and r.doc_id == 124]
@@ -310,17 +310,55 @@ def test_language_model_learns_from_all_teaching_windows(spark, monkeypatch, tmp
     def counted(rows_, add):
         out = tree(rows_, add)
         if add is lm_scoring._add_rows:
-            seen.append(int(np.frombuffer(out, "<i8")[-1]) >> 20)
+            seen.append(int(np.frombuffer(out, "<i8")[-2]) >> 20)
         return out
 
     monkeypatch.setattr(lm_scoring, "_tree", counted)
     out = lm_scoring.score(spark.read.parquet(str(tmp_path / "d"))).collect()
     windows = sum(-(-r.n_tokens // attention.SCORED) for r in out if not r.held_out)
-    assert sum(seen) == lm_scoring.ROUNDS * windows
+    assert len(seen) == 1 and seen[0] % windows == 0 and seen[0] // windows * (-(-windows // lm_scoring.BATCH) + 1) >= lm_scoring.STEPS
     held = [r for r in out if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_language_model_in_turns(spark, monkeypatch, tmp_path):
+    """Many groups and turns: every window once a pass, the same scores whatever the number of cores or shuffle partitions."""
+    for name, value in (("LESSON", 4), ("TASK", 2), ("STEPS", 60), ("BATCH", 2)):
+        monkeypatch.setattr(lm_scoring, name, value)
+    rng = np.random.default_rng(6)
+    rows = [row(k, " ".join(f"w{x}" for x in rng.integers(0, 9, 40))) for k in range(80)]
+    spark.createDataFrame(rows, ROW).repartition(2).write.parquet(str(tmp_path / "d"))
+    tree, seen = lm_scoring._tree, []
+
+    def counted(rows_, add):
+        out = tree(rows_, add)
+        if add is lm_scoring._add_rows:
+            seen.append(int(np.frombuffer(out, "<i8")[-2]) >> 20)
+        return out
+
+    monkeypatch.setattr(lm_scoring, "_tree", counted)
+    runs = []
+    for shuffle in ("8", "3"):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+        runs.append({r.doc_id: r for r in lm_scoring.score(spark.read.parquet(str(tmp_path / "d"))).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert all(abs(runs[0][k].score - runs[1][k].score) < 1e-4 for k in runs[0])
+    counted_ = lm_scoring.attention.SCORED
+    words = {k: len(lm_scoring_ids(r[1])) + 1 for k, r in enumerate(rows)}
+    windows = sum(-(-n // counted_) for k, n in words.items() if not runs[0][k].held_out)
+    turns, parts = lm_scoring.plan(sum(n for k, n in words.items() if not runs[0][k].held_out) // counted_ + 1)
+    assert turns > 1 and parts > 1 and len(seen) % (2 * turns) == 0
+    assert sum(seen) % windows == 0 and sum(seen) >= 2 * windows
+
+
+def lm_scoring_ids(text):
+    import public_tokenizers
+
+    with open(public_tokenizers.path(lm_scoring.VOCABULARY), "rb") as f:
+        encoder = lm_scoring._encoder(f.read(), public_tokenizers.PATTERN)
+    return [i for w in text.split() for i in encoder.encode_ordinary(" " + w)]
+
+
 def test_lessons_are_the_windows_of_the_texts(monkeypatch):
     monkeypatch.setattr(lm_scoring, "LESSON", 3)
     rng = np.random.default_rng(1)
@@ -332,7 +370,10 @@ def test_lessons_are_the_windows_of_the_texts(monkeypatch):
     real = np.zeros(targets.size, bool)
     real[places] = True
     want = inputs, np.where(real.reshape(targets.shape), targets, -1), seen
-    got = zip(*map(lm_scoring.lesson_windows, lm_scoring.lessons(c, lengths)))
+    cut = int(lengths[:4].sum())
+    rows = list(lm_scoring.lessons([(c[:cut], lengths[:4]), (c[cut:], lengths[4:])]))  # lessons go on from stream to stream
+    got = list(zip(*map(lm_scoring.lesson_windows, rows)))
+    assert {len(x) for x in got[0][:-1]} == {3}
     for x, y in zip(got, want):
         assert (np.concatenate(x) == y).all()
 
