@@ -6,7 +6,10 @@ Python UDF is involved.
 
 from casebook.functions.numeric import (
     bucket_label,
+    counted_random,
     exact_round_ratio,
+    random_fraction,
+    random_level,
     random_rating,
     stable_rating,
     width_bucket,
@@ -26,12 +29,15 @@ from casebook.functions.timefn import (
 
 __all__ = [
     "bucket_label",
+    "counted_random",
     "elapsed_minutes",
     "elapsed_seconds",
     "exact_round_ratio",
     "list_length",
     "null_sentinels",
     "parse_int_list",
+    "random_fraction",
+    "random_level",
     "random_rating",
     "stable_rating",
     "strip_units",

@@ -42,15 +42,29 @@ def bucket_label(bucket, width: int, lo: int = 0) -> Column:
     return F.concat(low.cast("string"), F.lit("-"), (low + width).cast("string"))
 
 
-def stable_rating(order_id, runner_id, levels: int = 5) -> Column:
-    """M5: a repeatable 1..levels score per delivery.
+def counted_random(seed, *keys) -> Column:
+    """M5: 52 random bits of (seed, keys) as a long: the first 13 hex digits of the md5 of 'seed:key:key...'.
 
-    Replaces ceil(random() * 5): a seeded random number changes with the
-    partitioning, this integer hash does not, and any SQL engine computes it.
+    A counter-based generator: the number belongs to the row's keys, so it does not depend on how rows are
+    partitioned or ordered, a retried task draws it again, and any SQL engine with md5 gives the same bits. NULL keys count as '~'.
     """
-    o = as_col(order_id).cast("long")
-    r = as_col(runner_id).cast("long")
-    return (F.pmod(o * 7 + r * 3, F.lit(levels)) + 1).cast("int")
+    text = [F.lit(str(seed)), *[F.coalesce(as_col(k).cast("string"), F.lit("~")) for k in keys]]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *text)), 1, 13), 16, 10).cast("long")
+
+
+def random_fraction(seed, *keys) -> Column:
+    """M5: RANDOM(), a double in [0, 1) for the row's keys."""
+    return counted_random(seed, *keys) / F.lit(float(1 << 52))
+
+
+def random_level(levels: int, seed, *keys) -> Column:
+    """M4 + M5: CEIL(RANDOM() * levels), 1 to ``levels`` alike often; whole numbers only, ``levels`` up to 2048."""
+    return (F.shiftright(counted_random(seed, *keys) * levels, 52) + 1).cast("int")
+
+
+def stable_rating(order_id, runner_id, levels: int = 5, seed="rating") -> Column:
+    """A random but repeatable 1..levels score per delivery."""
+    return random_level(levels, seed, order_id, runner_id)
 
 
 def random_rating(seed: int, levels: int = 5) -> Column:

@@ -36,6 +36,35 @@ def _order_cols(order: Sequence) -> list[Column]:
     return cols
 
 
+SPREAD_ROWS = 1_000_000  # tied rows of a key that one task may get
+SPREAD_KEYS = 100_000  # keys with more, at most: the threshold rises with the table, so that this list is bounded
+
+
+def pick_spread(df: DataFrame, keys: Sequence[str], order: str, ascending: bool = True) -> DataFrame:
+    """L3 for rank 1 where a key may have any number of tied rows: the same rows as :func:`pick_ranked`, without a window.
+
+    A rank sends all tied rows of a key to one task, however many there are. Here rows are counted per (keys, order) first, which
+    gives each key's best value and its ties. Keys with more than ``SPREAD_ROWS`` ties (or a ``SPREAD_KEYS``-th of all rows, if that is more)
+    are at most ``SPREAD_KEYS``: they are broadcast, and their rows are picked where they stand. All others join on (keys, order).
+    NULL order values come first ascending and last descending, as in a rank.
+    """
+    pick = F.min if ascending else F.max
+    value = F.struct(F.col(order).isNotNull().alias("known"), F.col(order).alias("value"))
+    counts = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_n"))
+    best = keep(counts.groupBy(*keys).agg(pick(F.struct(value.alias("v"), F.col("_n").alias("n"))).alias("_b"), F.sum("_n").alias("_all")).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_b.v.value").alias("_best"), F.col("_b.n").alias("_ties"), "_all"), "best")
+    total = best.agg(F.coalesce(F.sum("_all"), F.lit(0))).first()[0]
+    hot = best.filter(F.col("_ties") > max(SPREAD_ROWS, total // SPREAD_KEYS))
+    own = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    picked = F.col(order).eqNullSafe(F.col("_best"))
+    if hot.isEmpty():
+        return df.join(best, [*own, picked]).select(*df.columns)
+    here = df.join(F.broadcast(hot), own, "left")
+    spread = here.filter(F.col("_ties").isNotNull() & picked).select(*df.columns)
+    others = here.filter(F.col("_ties").isNull()).select(*df.columns)
+    return spread.unionByName(others.join(best, [*own, picked]).select(*df.columns))
+
+
 def pick_ranked(df: DataFrame, keys: Sequence[str], order: Sequence, n: int = 1, rank_col: str | None = None) -> DataFrame:
     """L3: rows whose RANK() within ``keys`` by ``order`` is <= n (ties kept).
 

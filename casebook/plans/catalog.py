@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casebook.operators.lists import zip_lists
+from casebook.operators.sketches import error_bound
 from casebook.plans import delivery, ingredients, loyalty, payments, pricing, subscriptions
 from casebook.sources import fixtures
 from casebook.sources import views as V
@@ -72,6 +73,13 @@ def _j03(spark, sf):
     return loyalty.first_item(V.sales_v(t), V.menu_v(t))
 
 
+@register("first_item_spread")
+def _j03_spread(spark, sf):
+    """J03 without a rank: a customer may have any number of items on the first date."""
+    t = tables_for(spark, sf)
+    return loyalty.first_item(V.sales_v(t), V.menu_v(t), spread=True)
+
+
 @register("top_item")
 def _j04(spark, sf):
     t = tables_for(spark, sf)
@@ -408,6 +416,17 @@ def _j44(spark, sf):
     return subscriptions.total_customers(V.subs_v(tables_for(spark, sf)))
 
 
+@register("customers_sketched")
+def _g5_sketched(spark, sf):
+    """Customers per plan, exact and whether the merge of daily sketches is within its error bound."""
+    subs = V.subs_v(tables_for(spark, sf))
+    exact = subs.groupBy("plan_id").agg(F.countDistinct("customer_id").alias("customers"))
+    merged = subscriptions.customers_estimated(freeze(subscriptions.customer_sketches(subs), "sketches"), per_plan=True)
+    near = F.abs(F.col("estimate") - F.col("customers")) <= error_bound() * F.col("customers")
+    merged = merged.select(F.col("plan_id").alias("_plan"), F.col("customers").alias("estimate"))
+    return exact.join(merged, F.col("plan_id").eqNullSafe(F.col("_plan"))).select("plan_id", "customers", near.alias("within_bound"))
+
+
 @register("monthly_trials")
 def _j45(spark, sf):
     return subscriptions.monthly_trials(V.trials_v(tables_for(spark, sf)))

