@@ -137,33 +137,6 @@ class LabelModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-@dataclass
-class LabelModel:
-    """P(vote | class) of each rule and the share of good documents."""
-
-    prior: float
-    good: list[dict[int, float]]
-    bad: list[dict[int, float]]
-
-    def log_odds(self, pattern: tuple[int, ...]) -> float:
-        return math.log(self.prior / (1 - self.prior)) + sum(
-            math.log(self.good[k][v] / self.bad[k][v]) for k, v in enumerate(pattern))
-
-    def column(self) -> Column:
-        """The posterior probability as a column over v0, v1, ...: literals only."""
-        total = F.lit(math.log(self.prior / (1 - self.prior)))
-        for k in range(len(self.good)):
-            weight = lambda v, k=k: F.lit(math.log(self.good[k][v] / self.bad[k][v]))
-            total = total + F.when(F.col(f"v{k}") == 1, weight(1)).when(F.col(f"v{k}") == -1, weight(-1)).otherwise(weight(0))
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
-
-
-# Where expectation-maximisation starts: a bad vote is rare among good documents.
-START_PRIOR = 0.8
-START_GOOD = {-1: 0.05, 0: 0.15, 1: 0.80}
-START_BAD = {-1: 0.40, 0: 0.20, 1: 0.40}
-
-
 # What is believed of a rule before any vote is seen: it seldom votes bad on a good document,
 # and finds about a third of the bad ones (each rule knows one kind of junk). The belief
 # counts as much as votes of a tenth of all documents, at every size, which keeps the two classes from
