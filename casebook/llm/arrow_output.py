@@ -2,7 +2,7 @@
 
 The documents, in ascending id order, are one stream of token ids, each closed by the end id. The stream is
 cut into sequences of ``seq_len`` ids and written as Arrow files (the format with a footer) whose batches hold
-two fixed-size-list columns: ``ids`` and ``mask`` (true where an id stands, false where the last sequence
+two fixed-size-list columns: ``ids`` and ``mask`` (a byte each, 1 where an id stands, 0 where the last sequence
 of a file is padded). All batches of a file but the last hold ``BATCH`` sequences, so sequence ``s`` is row ``s % BATCH`` of
 batch ``s // BATCH`` and is read from the mapped file without a copy. Beside each token file a second Arrow file lists its
 documents: id, first place in the file's stream, number of ids.
@@ -55,8 +55,9 @@ class _Sequences:
 
     def __init__(self, sink, kind: pa.DataType, seq_len: int):
         self.kind, self.seq_len = kind, seq_len
-        schema = pa.schema([("ids", pa.list_(kind, seq_len)), ("mask", pa.list_(pa.bool_(), seq_len))])
-        self.writer = pa.ipc.new_file(sink, schema)
+        # A byte for each place of a mask: bits would have to be unpacked, and so copied, on reading.
+        self.schema = pa.schema([("ids", pa.list_(kind, seq_len)), ("mask", pa.list_(pa.uint8(), seq_len))])
+        self.writer = pa.ipc.new_file(sink, self.schema)
         self.wait: list[np.ndarray] = []
         self.held = 0
 
@@ -72,12 +73,9 @@ class _Sequences:
             self.wait, self.held = [ids[n:]], len(ids) - n
 
     def _write(self, ids: np.ndarray, real: int) -> None:
-        mask = np.arange(len(ids)) < real
+        mask = (np.arange(len(ids)) < real).view(np.uint8)
         lists = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x), self.seq_len)
-        self.writer.write_batch(pa.record_batch([lists(ids), lists(mask)], schema=self.writer_schema()))
-
-    def writer_schema(self) -> pa.Schema:
-        return pa.schema([("ids", pa.list_(self.kind, self.seq_len)), ("mask", pa.list_(pa.bool_(), self.seq_len))])
+        self.writer.write_batch(pa.record_batch([lists(ids), lists(mask)], schema=self.schema))
 
     def close(self) -> None:
         ids = np.concatenate(self.wait) if self.wait else np.zeros(0, np.uint16)
@@ -173,9 +171,11 @@ class SequenceFile:
         return self._held[1]
 
     def sequence(self, s: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, mask) of a sequence as views of the file; the mask is true at real places."""
         batch, row = self._batch(s // BATCH), s % BATCH
         at = slice(row * self.seq_len, (row + 1) * self.seq_len)
-        return batch.column(0).flatten().to_numpy()[at], batch.column(1).flatten().to_numpy(zero_copy_only=False)[at]
+        ids, mask = (batch.column(k).flatten().to_numpy(zero_copy_only=True)[at] for k in (0, 1))
+        return ids, mask.view(np.bool_)
 
     def run(self, start: int, length: int) -> np.ndarray:
         """``length`` ids from place ``start`` of the file's stream; a view unless it spans batches."""

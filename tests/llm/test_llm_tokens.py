@@ -56,7 +56,8 @@ def test_arrow_files_round_trip(spark, monkeypatch):
         back = []
         for s in range(-(-m.tokens // 16)):
             ids, mask = file.sequence(s)
-            assert len(ids) == len(mask) == 16
+            assert len(ids) == len(mask) == 16 and not ids.flags.owndata and not mask.flags.owndata
+            assert mask.dtype == bool and not mask.flags.writeable  # the mapped file itself
             back += ids[mask].tolist()
         assert back == own
         first = file.reader.get_batch(0).column(0).flatten()
