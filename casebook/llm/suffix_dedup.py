@@ -33,15 +33,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casebook.llm._common import by_value, lean, shared_folder, shuffle_partitions
+from casebook.llm._common import by_value, lean, shared_folder
 from casebook.llm.arrow_output import store
 from casebook.llm.wordhash import mix
+from casebook.operators._sizing import scanned_bytes
 
 by_value(__name__)
 
 LENGTH = 50
 GRAM = 32
 SHARD = 1 << 20
+BUCKET_BYTES = 16 << 20  # scanned for each bucket of the merging: some 32 MB of rows
 _BITS = 20  # of a place in a shard
 _LAST = np.iinfo(np.int64).max
 _TABLES = np.random.default_rng(50).integers(1, 1 << 64, (2, 256), dtype=np.uint64)
@@ -518,10 +520,13 @@ class Answers:
         return {r["bucket"]: np.frombuffer(r["rows"], kind) for r in rows}
 
 
-def _exchange(rows: DataFrame, merge: Callable, name: str) -> str:
-    """Merges the shards' rows by bucket and writes the answers of each scan partition to the shared folder."""
+def _exchange(rows: DataFrame, merge: Callable, buckets: int, name: str) -> str:
+    """Merges the shards' rows by bucket and writes the answers of each scan partition to the shared folder.
+
+    As many tasks as buckets, whatever the session's shuffle partitions: a task reads about one bucket at any size of the input.
+    """
     folder = shared_folder(rows.sparkSession, name)
-    answers = rows.groupBy("bucket").applyInArrow(merge, ANSWERS)
+    answers = rows.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(merge, ANSWERS)
     answers.groupBy("part").applyInArrow(_write_answers(folder), "part int").write.format("noop").mode("overwrite").save()
     return folder
 
@@ -595,11 +600,18 @@ def _emit_rows(rows: pa.RecordBatch, texts: list, gone: list) -> pa.RecordBatch:
         [rows.column(2), pa.array([None if m else k for k, m in zip(kept, missing)], pa.string())], ["row", "kept"])
 
 
+def bucket_count(rows: DataFrame) -> int:
+    """Buckets by the scanned bytes, not by how these are split into partitions; a task for each core at least."""
+    scanned = scanned_bytes(rows)
+    by_size = rows.rdd.getNumPartitions() if scanned is None else scanned // BUCKET_BYTES + 1
+    return max(rows.sparkSession.sparkContext.defaultParallelism, by_size)
+
+
 def _scan_all(rows: DataFrame, emit: Callable, schema: str) -> DataFrame:
     """``rows``: text, id and what ``emit`` needs; a plain scan, read three times."""
-    buckets = max(shuffle_partitions(rows.sparkSession), rows.rdd.getNumPartitions())
-    shared = _exchange(rows.mapInArrow(_anchors(buckets), ROWS), _shared, "suffix-anchors")
-    smaller = _exchange(rows.mapInArrow(_items(buckets, shared), ROWS), _smaller, "suffix-ids")
+    buckets = bucket_count(rows)
+    shared = _exchange(rows.mapInArrow(_anchors(buckets), ROWS), _shared, buckets, "suffix-anchors")
+    smaller = _exchange(rows.mapInArrow(_items(buckets, shared), ROWS), _smaller, buckets, "suffix-ids")
     return rows.mapInArrow(_result(buckets, shared, smaller, emit), schema)
 
 
