@@ -1,11 +1,12 @@
 """License scans by MinHash over overlapping text windows (operator 4).
 
-Every whole text is covered by overlapping windows of words, for each template length twice as long as the template and
-starting one template length after the one before, so any occurrence lies whole inside a window. A window's MinHash
-signature has bands of one row. A window that holds ``threshold`` of a template's shingles has Jaccard
-similarity at least s with it (``least_similarity``), so some of b bands collides with probability 1 - (1 - s)^b; b is chosen
-per template length so that this is at least 1 - ``MISS``. Windows that collide with a template in any band are checked exactly: the distinct
-five-word shingles of the template, as words, that occur in the window.
+Punctuation, typographic quotes and comment marks count as white space. A text's five-word shingles stand in units of ``BASE`` * 2^k, at most
+an eighth of the template (or one ``BASE``). Windows start at every unit and have as many units as any occurrence of the template
+needs to lie whole inside one; so a text is covered by overlapping windows for every template, short notices too. A window's MinHash signature has
+bands of one row. A window that holds ``threshold`` of a template's shingles
+has at least Jaccard similarity s with it, so some of b bands collides with probability 1 - (1 - s)^b; b is chosen for each template so that this is
+at least 1 - ``MISS``. Windows of all sizes share the minima of units. Windows that collide with a template in any of
+its bands are checked exactly: the distinct five-word shingles of the template, as words, that occur in the window.
 
 Defined results: a null or empty text matches nothing; repeated rows give repeated results; an empty table gives an empty
 result; of a text's windows with equal counts the first is reported; a template needs five words at least.
@@ -31,13 +32,6 @@ by_value(__name__)
 SIZE = 5
 MISS = 1e-9  # greatest chance that a window is not retrieved
 THRESHOLD = 80  # percent of a template's distinct shingles
-# Short notices, as projects write them; ``licenses`` scans for whole texts and standard headers.
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-)
 FOUND = "doc_id bigint, license string, matched bigint, shingles bigint, first_word bigint"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = {k: k + 32 for k in range(65, 91)}
@@ -51,110 +45,9 @@ def text_shingles(words: Sequence[str]) -> set[tuple[str, ...]]:
     return {tuple(words[k:k + SIZE]) for k in range(len(words) - SIZE + 1)}
 
 
-def least_similarity(template_words: int, threshold: int = THRESHOLD) -> float:
-    """Least Jaccard similarity of a template and a window that holds ``threshold`` percent of its shingles."""
-    t, w = template_words - SIZE + 1, 2 * template_words - SIZE + 1
-    held = -(-t * threshold // 100)
-    return held / (t + w - held)
-
-
-def bands_for(template_words: int, threshold: int = THRESHOLD, miss: float = MISS) -> int:
-    return math.ceil(math.log(miss) / math.log(1 - least_similarity(template_words, threshold)))
-
-
-class _Templates:
-    """Templates by their number of words: (name, shingles, lowest value of each band)."""
-
-    def __init__(self, templates: Sequence[tuple[str, str]], threshold: int, miss: float):
-        split = [(name, text_words(text)) for name, text in templates]
-        for name, words in split:
-            if len(words) < SIZE:
-                raise ValueError(f"the template {name!r} has fewer than {SIZE} words")
-        self.bands = {n: bands_for(n, threshold, miss) for n in {len(w) for _, w in split}}
-        rng = np.random.default_rng(7)
-        most = max(self.bands.values(), default=0)
-        self.odd = rng.integers(0, 1 << 63, most, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.classes: dict[int, list] = {}
-        for name, words in split:
-            (_, _, data, offsets), = wordhash.byte_slices(pa.array([" ".join(words)]))
-            hashes = wordhash.shingles(wordhash.Words(data, offsets), SIZE)[0]
-            lows = np.array([(hashes * o).min() for o in self.odd])
-            self.classes.setdefault(len(words), []).append((name, text_shingles(words), lows))
-
-    def retrieve(self, length: int, hashes: np.ndarray, place: np.ndarray, blocks: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """windows x templates: whether any band collides. A window's shingles are its block of ``length`` and the
-        first ``length - SIZE + 1`` of the next; ``last``: blocks without a next one in their text."""
-        templates, lead = self.classes[length], length - SIZE + 1
-        hit = np.zeros((len(blocks), len(templates)), bool)
-        inner = np.flatnonzero(place % length == lead)  # where the leading part of a block ends
-        cuts = np.sort(np.concatenate([blocks, inner]))
-        head = np.searchsorted(cuts, blocks)
-        rest = np.append(np.diff(head) > 1, len(cuts) - head[-1] > 1)
-        for k in range(self.bands[length]):
-            low = np.minimum.reduceat(hashes * self.odd[k], cuts)
-            lead_low = low[head]
-            whole = np.where(rest, np.minimum(lead_low, low[np.minimum(head + 1, len(low) - 1)]), lead_low)
-            window = np.where(last, whole, np.minimum(whole, np.append(lead_low[1:], lead_low[-1:])))
-            for t, (_, _, lows) in enumerate(templates):
-                hit[:, t] |= window == lows[k]
-        return hit
-
-
-def _scan(templates: Sequence[tuple[str, str]], threshold: int, miss: float):
-    @lean
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Templates(templates, threshold, miss)
-        for batch in batches:
-            ids = batch.column(0).cast(pa.int64())
-            rows: list[tuple] = []
-            for a, b, data, offsets in wordhash.byte_slices(batch.column(1)):
-                words = wordhash.Words(data, offsets)
-                hashes, text = wordhash.shingles(words, SIZE)
-                keep = words.counts[text] >= SIZE
-                hashes, text = hashes[keep], text[keep]
-                if not len(hashes):
-                    continue
-                place = np.arange(len(text)) - np.searchsorted(text, text)
-                for length, of in known.classes.items():
-                    blocks = np.flatnonzero(place % length == 0)
-                    last = np.append(text[blocks][1:] != text[blocks][:-1], True)
-                    hit = known.retrieve(length, hashes, place, blocks, last)
-                    best: dict[tuple[int, int], tuple[int, int]] = {}
-                    for w, t in np.argwhere(hit):
-                        doc, first = int(text[blocks[w]]), int(place[blocks[w]])
-                        lo = words.docs[doc] + first
-                        hi = min(lo + 2 * length, words.docs[doc + 1])
-                        seen = data[words.starts[lo]:words.ends[hi - 1]].tobytes().decode("utf-8", "replace")
-                        n = len(of[t][1] & text_shingles(text_words(seen)))
-                        old = best.get((doc, t), (0, 0))
-                        if n > old[0]:
-                            best[doc, t] = (n, first)
-                    for (doc, t), (n, first) in best.items():
-                        if 100 * n >= threshold * len(of[t][1]):
-                            rows.append((a + doc, of[t][0], n, len(of[t][1]), first))
-            at = pa.array([r[0] for r in rows], pa.int64())
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": ids.take(at), "license": pa.array([r[1] for r in rows], pa.string()),
-                "matched": pa.array([r[2] for r in rows], pa.int64()),
-                "shingles": pa.array([r[3] for r in rows], pa.int64()),
-                "first_word": pa.array([r[4] for r in rows], pa.int64())})
-    return run
-
-
-def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: int = THRESHOLD,
-         miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, license, matched, shingles, first_word): one row for each text and template it holds.
-
-    ``matched`` of the template's ``shingles`` distinct shingles stand in the window of words from ``first_word`` on.
-    No shuffle: the templates go to the tasks.
-    """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_scan(tuple(templates), threshold, miss), FOUND)
-
-
 # --- license texts -----------------------------------------------------------------------------------------------------
 
-BASE = 48  # words: shorter templates are notices; windows of longer ones are made of blocks of so many words
+BASE = 4  # shingles of the smallest unit
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[k for k in range(33, 127) if not chr(k).isalnum()]] = True
 
@@ -172,63 +65,77 @@ def plain_words(text: str) -> list[str]:
     return text_words(plain_bytes(np.frombuffer(text.encode(), np.uint8)).tobytes().decode("utf-8", "replace"))
 
 
+def window_of(shingles: int) -> tuple[int, int]:
+    """(shingles of a unit, units of a window) for a template of so many shingles in a row."""
+    unit = BASE
+    while 16 * unit <= shingles:
+        unit *= 2
+    return unit, -(-(shingles + unit - 1) // unit)
+
+
+def bands_for(shingles: int, window: int, threshold: int = THRESHOLD, miss: float = MISS) -> int:
+    """Bands that retrieve a window of ``window`` shingles which holds ``threshold`` percent of so many, but for a chance of ``miss``."""
+    held = -(-shingles * threshold // 100)
+    similar = held / (shingles + window - held)
+    return math.ceil(math.log(miss) / math.log(1 - similar)) if similar < 1 else 1
+
+
 class _Licenses:
-    """Templates: (license, family, window step, shingles). Notices are retrieved by any shingle of theirs (none is missed),
-    longer texts by MinHash: a step of BASE * 2^k words, so all classes share the minima of blocks of BASE words."""
+    """Templates: (license, family, (unit, units), shingles) in ``known``; their bands and the lowest value of each."""
 
     def __init__(self, licenses: Sequence[tuple[str, str, str]], threshold: int, miss: float):
-        self.known, self.long, notice = [], {}, {}
-        rng, lows = np.random.default_rng(7), []
+        self.known, hashed = [], []
+        self.classes: dict[int, dict[int, list[int]]] = {}  # unit -> units of a window -> templates
         for name, family, text in licenses:
             words = plain_words(text)
             if len(words) < SIZE:
                 raise ValueError(f"a template of {name!r} has fewer than {SIZE} words")
             (_, _, data, offsets), = wordhash.byte_slices(pa.array([" ".join(words)]))
-            hashes = np.unique(wordhash.shingles(wordhash.Words(data, offsets), SIZE)[0])
-            step = len(words)
-            if step >= BASE:
-                step = BASE << (-(-step // BASE) - 1).bit_length()
-                held = -(-len(hashes) * threshold // 100)
-                similar = held / (len(hashes) + 2 * step - held)
-                lows.append((len(self.known), hashes, math.ceil(math.log(miss) / math.log(1 - similar))))
-                self.long.setdefault(step, []).append(len(self.known))
-            else:
-                for h in hashes.tolist():
-                    notice.setdefault(h, []).append(len(self.known))
-            self.known.append((name, family, step, text_shingles(words)))
-        self.notice = notice
-        self.hashes = np.array(sorted(notice), np.uint64)
-        self.bands = {t: b for t, _, b in lows}
-        self.odd = rng.integers(0, 1 << 63, max(self.bands.values(), default=0), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.lows = {t: [(h * o).min() for o in self.odd[:b]] for t, h, b in lows}
+            hashed.append(np.unique(wordhash.shingles(wordhash.Words(data, offsets), SIZE)[0]).astype(np.uint32))
+            window = window_of(len(words) - SIZE + 1)
+            self.classes.setdefault(window[0], {}).setdefault(window[1], []).append(len(self.known))
+            self.known.append((name, family, window, text_shingles(words)))
+        self.bands = [bands_for(len(k[3]), k[2][0] * k[2][1], threshold, miss) for k in self.known]
+        rng = np.random.default_rng(7)
+        # 32 bits of a hash: different shingles that share them only give windows to check in vain.
+        self.odd = rng.integers(0, 1 << 31, max(self.bands, default=0), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.lows = [[(h * o).min() for o in self.odd[:b]] for h, b in zip(hashed, self.bands)]
+
+    def span(self, t: int) -> int:
+        """Words of a window of the template ``t``."""
+        unit, units = self.known[t][2]
+        return unit * units + SIZE - 1
 
     def windows(self, hashes: np.ndarray, text: np.ndarray, place: np.ndarray) -> set[tuple[int, int, int]]:
         """(text, first word, template) of the windows to check."""
-        found = set()
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            for k in np.flatnonzero(self.hashes[at] == hashes).tolist():
-                for t in self.notice[int(hashes[k])]:
-                    step = self.known[t][2]
-                    first = int(place[k]) // step * step
-                    found.update((int(text[k]), x, t) for x in (first, first - step) if x >= 0)
-        cuts = np.flatnonzero(place % BASE == 0)
-        classes = []
-        for step, of in self.long.items():
-            starts = np.flatnonzero(place[cuts] % step == 0)
-            own = text[cuts[starts]]
-            classes.append((starts, np.append(own[1:] == own[:-1], False), [(t, np.zeros(len(starts), bool)) for t in of]))
+        hashes = hashes.astype(np.uint32)
+        base = np.flatnonzero(place % BASE == 0)
+        hits = []
+        for unit, of in self.classes.items():
+            starts = np.flatnonzero(place[base] % unit == 0)
+            own = text[base[starts]]
+            same = [own[j:] == own[:max(len(own) - j, 0)] for j in range(max(of))]  # whether j units on it is the same text: a window ends with it
+            hits.append((starts, same, {units: [(t, np.zeros(len(starts), bool)) for t in ts] for units, ts in of.items()}))
         for k, odd in enumerate(self.odd):
-            low = np.minimum.reduceat(hashes * odd, cuts)
-            for starts, more, of in classes:
-                block = np.minimum.reduceat(low, starts)
-                window = np.where(more, np.minimum(block, np.append(block[1:], block[-1:])), block)
-                for t, hit in of:
-                    if k < self.bands[t]:
+            low = np.minimum.reduceat(hashes * odd, base)
+            for starts, same, of in hits:
+                wanted = {units: [(t, hit) for t, hit in ts if k < self.bands[t]] for units, ts in of.items()}
+                most = max((units for units, ts in wanted.items() if ts), default=0)
+                if not most:
+                    continue
+                first = low if len(starts) == len(low) else np.minimum.reduceat(low, starts)
+                window = first.copy()
+                for units in range(1, most + 1):  # the minimum of so many units from each on
+                    j = units - 1
+                    if 0 < j < len(first):
+                        np.minimum(window[:-j], first[j:], out=window[:-j], where=same[j])
+                    for t, hit in wanted.get(units, ()):
                         hit |= window == self.lows[t][k]
-        for starts, _, of in classes:
-            for t, hit in of:
-                found.update((int(text[cuts[s]]), int(place[cuts[s]]), t) for s in starts[hit].tolist())
+        found = set()
+        for starts, _, of in hits:
+            for ts in of.values():
+                for t, hit in ts:
+                    found.update((int(text[base[s]]), int(place[base[s]]), t) for s in starts[hit].tolist())
         return found
 
     def best(self, matches: list[tuple[int, int, int]], threshold: int) -> list[tuple[str, int, int, int]]:
@@ -237,8 +144,8 @@ class _Licenses:
         good = [(n / len(self.known[t][3]), n, -first, t) for t, n, first in matches if 100 * n >= threshold * len(self.known[t][3])]
         rows, spans = {}, []
         for share, n, first, t in sorted(good, reverse=True):
-            name, family, step, shingles = self.known[t]
-            lo, hi = -first, -first + 2 * step
+            name, family, _, shingles = self.known[t]
+            lo, hi = -first, -first + self.span(t)
             if name in rows or any(family == f and name != m and share < s and lo < b and a < hi for f, m, s, a, b in spans):
                 continue
             rows[name] = (name, n, len(shingles), lo)
@@ -265,7 +172,7 @@ def _scan_licenses(licenses: Sequence[tuple[str, str, str]], threshold: int, mis
                 best: dict[int, dict[int, tuple[int, int]]] = {}
                 for doc, first, t in sorted(known.windows(hashes, text, place)):
                     lo = words.docs[doc] + first
-                    hi = min(lo + 2 * known.known[t][2], words.docs[doc + 1])
+                    hi = min(lo + known.span(t), words.docs[doc + 1])
                     seen = data[words.starts[lo]:words.ends[hi - 1]].tobytes().decode("utf-8", "replace")
                     n = len(known.known[t][3] & text_shingles(text_words(seen)))
                     of = best.setdefault(doc, {})
@@ -284,9 +191,10 @@ def _scan_licenses(licenses: Sequence[tuple[str, str, str]], threshold: int, mis
 
 def licenses(docs: DataFrame, texts: Sequence[tuple[str, str, str]] = LICENSES, threshold: int = THRESHOLD, miss: float = MISS,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``scan`` for license texts (license, family, text), without punctuation: one row for each text and license it holds.
+    """(doc_id, license, matched, shingles, first_word): one row for each text and license it holds; ``texts`` are (license, family, text).
 
-    Of a license's texts the best match counts; of a family's licenses that match in one place, the best.
+    ``matched`` of a template's ``shingles`` distinct shingles stand in the window of words from ``first_word`` on. Of a license's texts the
+    best match counts; of a family's licenses that match in one place, the best. No shuffle: the templates go to the tasks.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(_scan_licenses(tuple(texts), threshold, miss), FOUND)

@@ -127,28 +127,70 @@ def test_tree_matching():
             assert all(x >= 0 for x in dom.align(merged, u))
 
 
-def test_license_scan(spark):
-    named = [
-        (1, None), (2, ""), (3, "Released under the MIT License."), (4, "x y\tRELEASED  under\nthe mit LICENSE. z"),
-        (5, "w " * 5000 + "Licensed under the Apache License, Version 2.0. " + "v " * 77), (6, "Licensed under the"),
-        (7, "This work is licensed under the GNU General Public License, version 2."), (3, "Released under the MIT License."),
-        (None, "Licensed under CC BY-NC 4.0."), (8, "Released under the MIT License. " * 3)]
-    df = spark.createDataFrame([(i, t, "q") for i, t in named], "doc_id long, text string, license string")
-    got = sorted((r.doc_id or -1, r.license, r.matched, r.shingles) for r in license_scan.scan(df).collect())
-    want = []
-    for i, t in named:
-        s = license_scan.text_shingles(license_scan.text_words(t or ""))
-        for name, text in license_scan.TEMPLATES:
-            ts = license_scan.text_shingles(license_scan.text_words(text))
-            if 100 * len(ts & s) >= 80 * len(ts):
-                want.append((i or -1, name, len(ts & s), len(ts)))
-    assert got == sorted(want) and len(want) == 7
-    assert license_scan.scan(df.limit(0)).count() == 0
+def license_brute(rows, texts, threshold=80):
+    """Every template against every window of every text, by sets of words."""
+    split = [(name, family, license_scan.plain_words(text)) for name, family, text in texts]
+    out = []
+    for i, text in rows:
+        words = license_scan.plain_words(text or "")
+        good = []
+        for t, (name, family, template) in enumerate(split):
+            shingles = license_scan.text_shingles(template)
+            unit, units = license_scan.window_of(len(template) - 4)
+            span = unit * units + 4
+            best = max(((len(shingles & license_scan.text_shingles(words[a:a + span])), -a) for a in range(0, len(words), unit)), default=(0, 0))
+            if 100 * best[0] >= threshold * len(shingles):
+                good.append((best[0] / len(shingles), best[0], best[1], t, name, family, len(shingles), -best[1], -best[1] + span))
+        kept = []
+        for g in sorted(good, reverse=True):
+            beaten = any(g[5] == k[5] and g[4] != k[4] and g[0] < k[0] and g[7] < k[8] and k[7] < g[8] for k in kept)
+            if not beaten and all(g[4] != k[4] for k in kept):
+                kept.append(g)
+        out += [(i or -1, k[4], k[1], k[6], k[7]) for k in kept]
+    return sorted(out)
+
+
+def test_licenses_against_brute_force(spark):
+    """The query's operator: its own templates and some made ones, whole, edited, cut, repeated, over window borders."""
+    from casebook.llm.licenses import LICENSES
+
+    rng = np.random.default_rng(5)
+    texts = [x for x in LICENSES if len(x[2]) < 3000] + [("five", "f", "just five words in here"), ("same", "f", "word " * 20),
+                                                         ("sixty", "g", " ".join(f"u{k}" for k in range(60)))]
+    noise = lambda n: [f"n{x}" for x in rng.integers(0, 900, int(n))]
+    rows = [(1, None), (2, ""), (3, "Released under the MIT License."), (4, "x y\tRELEASED  under\nthe mit LICENSE. z"), (6, "Licensed under the"),
+            (3, "Released under the MIT License."), (None, "Licensed under CC BY-NC 4.0."), (8, "Released under the MIT License. " * 3),
+            (9, "word " * 500), (10, "five words in here just five words in here")]
+    for k in range(160):
+        words = license_scan.plain_words(texts[int(rng.integers(0, len(texts)))][2])
+        for at in rng.integers(0, len(words), int(rng.integers(0, 1 + len(words) // 12))):
+            words[at] = "edit"
+        a = int(rng.integers(0, 1 + len(words) // 8))
+        rows.append((100 + k, " ".join([*noise(rng.integers(0, 90)), *words[a:], *noise(rng.integers(0, 40))])))
+    df = spark.createDataFrame([(i, t, "q") for i, t in rows], "doc_id long, text string, license string").repartition(3)
+    got = sorted((r.doc_id or -1, r.license, r.matched, r.shingles, r.first_word) for r in license_scan.licenses(df, texts).collect())
+    assert got == license_brute(rows, texts) and len({r[1] for r in got}) > 15 and len(got) > 100
+    assert license_scan.licenses(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
-        license_scan._Templates((("short", "MIT License"),), 80, 1e-9)
-    for _, text in license_scan.TEMPLATES:
-        n = len(license_scan.text_words(text))
-        assert (1 - license_scan.least_similarity(n)) ** license_scan.bands_for(n) <= 1e-9
+        license_scan._Licenses((("short", "s", "MIT License"),), 80, 1e-9)
+
+
+def test_bands_keep_the_stated_chance():
+    """A window that holds just enough of a template is missed with the stated chance at most; measured with a great one."""
+    rng = np.random.default_rng(3)
+    for shingles in (1, 2, 5, 12, 60, 700):
+        unit, units = license_scan.window_of(shingles)
+        assert unit * units >= shingles + unit - 1 and (unit == license_scan.BASE or 8 * unit <= shingles)
+        held, span = -(-shingles * 80 // 100), unit * units
+        similar = held / (shingles + span - held)
+        assert (1 - similar) ** license_scan.bands_for(shingles, span) <= license_scan.MISS
+        bands, missed = license_scan.bands_for(shingles, span, miss=0.05), 0
+        odd = rng.integers(0, 1 << 63, bands, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        for _ in range(400):
+            window = rng.integers(0, 1 << 63, span, dtype=np.uint64) * np.uint64(2)
+            template = np.concatenate([window[:held], rng.integers(0, 1 << 63, shingles - held, dtype=np.uint64)])
+            missed += not any((window * o).min() == (template * o).min() for o in odd)
+        assert missed <= 400 * 0.05 + 4 * (400 * 0.05 * 0.95) ** 0.5
 
 
 def test_license_texts(spark, tmp_path):
