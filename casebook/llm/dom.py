@@ -45,6 +45,8 @@ CLOSES = {
     "option": {"option"}, "tbody": {"tr", "td", "th", "tbody", "thead"}, "tfoot": {"tr", "td", "th", "tbody", "thead"},
 }
 SCOPE = frozenset("ul ol dl table select body html article section div".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+HEADING = 3  # level of a heading inside an article or a main element
 DEEPEST = 150  # elements nested deeper stand as children of the one at this depth; their text is kept
 
 
@@ -63,12 +65,14 @@ class _Element:
 
 
 def _open(tag: str, attributes: str, parent: _Element) -> _Element:
-    """level: 2 inside an article, 1 inside another main element, 0 outside."""
+    """level: 3 in a heading of these, 2 inside an article, 1 inside another main element, 0 outside."""
     boiler, level, label = parent.boiler or tag in BOILER_TAGS, parent.level, tag
     if tag == "article":
         level = 2
     elif tag == "main":
         level = max(level, 1)
+    elif tag in HEADINGS and level:
+        level = HEADING
     elif tag == "header" and not level:
         boiler = True
     if attributes and not attributes.isspace():

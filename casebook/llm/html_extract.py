@@ -7,7 +7,7 @@
 3. Each distinct shape is aligned with its host's template, so blocks of different pages that stand in one
    template node share a slot.
 4. A slot's text that recurs on at least half of the host's different pages (and on three) is constant: template, inside
-   elements marked as the article or main part too.
+   elements marked as the article or main part too. Headings there stay: every article of a host may have its "Abstract" and "Method".
 5. A page's text is its varying blocks. On a page with a marked article or main part, the mark's hint decides about varying
    blocks outside of it: they are taken for teasers and the like. Marks of an article and of a main part count alike.
 
@@ -123,7 +123,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     wrappers = cut(slots.join(constant, "host"), "html-wrappers")  # one row for each shape of a host that has constants
     hosts, n = constant.select("host"), constant.count()
     marked = lambda i: (F.get("levels", i) > 0) | (F.array_max("levels") == 0)
-    varying = lambda i: marked(i) & ~F.array_contains("constants", F.get("keys", i))
+    varying = lambda i: marked(i) & (
+        (F.get("levels", i) == dom.HEADING) | ~F.array_contains("constants", F.get("keys", i)))
     # A host without constants has varying slots only: its pages need no slots.
     plain = join_checked(parsed, hosts, n, ["host"], "left_anti").select(
         "page_id", "url", "host", F.array_join(_at("texts", marked), "\n\n").alias("text"))

@@ -76,6 +76,14 @@ def test_wrapper_works_on_articles_too(spark):
     assert got[99] == "Headline 7\n\nSign up for our letter\n\nOwn text 7\n\nBuy our book"
 
 
+def test_headings_that_all_articles_have_stay(spark):
+    page = ("<body><h2>Site of the day</h2><article><h1>Title {0}</h1><h2>Abstract</h2><p>Text {0}</p><p>Share this page</p><section><h3>Method <em>and</em> data</h3>"
+            "<p>More {0}</p></section></article></body>")
+    rows = [(k, "http://same.org/%d" % k, page.format(k)) for k in range(12)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[5] == "Title 5\n\nAbstract\n\nText 5\n\nMethod and data\n\nMore 5"
+
+
 def test_no_task_folds_a_whole_host(spark, monkeypatch):
     monkeypatch.setattr(html_extract, "FOLD", 4, raising=False)
     fold = html_extract._fold
