@@ -464,19 +464,19 @@ SELECT plan_id, COUNT(*) AS starts FROM subs_v WHERE start_date > DATE '2024-01-
 GROUP BY plan_id ORDER BY plan_id""")
 
 job("churn_percent", ("subs_v", "total_v"), f"""
-SELECT c.num AS num_churned, {_pct("c.num", "t.num")} AS percent_churned
+SELECT c.num AS churned_customers, {_pct("c.num", "t.num")} AS churned_percent
 FROM (SELECT COUNT(DISTINCT customer_id) AS num FROM subs_v WHERE plan_id = 4) c, total_v t""")
 
 job("direct_churn", ("next_v", "total_v"), f"""
-SELECT c.num AS direct_churners, {_pct("c.num", "t.num")} AS percent_churned
+SELECT c.num AS left_after_trial, {_pct("c.num", "t.num")} AS left_percent
 FROM (SELECT COUNT(DISTINCT customer_id) AS num FROM next_v WHERE plan_id = 0 AND next_plan = 4) c, total_v t""")
 
-job("conversion_share", ("next_v", "subs_v"), f"""
-WITH after_trial AS (SELECT next_plan AS plan_id FROM next_v WHERE plan_id = 0),
-taken AS (SELECT plan_id, COUNT(*) AS total_conversions FROM after_trial GROUP BY plan_id)
-SELECT plan_id, total_conversions, COUNT(DISTINCT customer_id) AS num,
-       {_round_pct("total_conversions", "COUNT(DISTINCT customer_id)")} AS percent_converted
-FROM taken JOIN subs_v USING (plan_id) GROUP BY plan_id, total_conversions""")
+job("conversion_share", ("next_v",), f"""
+SELECT plan_id, COUNT(*) FILTER (chosen) AS chosen_after_trial, COUNT(DISTINCT who) AS customers,
+       {_round_pct("COUNT(*) FILTER (chosen)", "COUNT(DISTINCT who)")} AS chosen_percent
+FROM (SELECT plan_id, customer_id AS who, false AS chosen FROM next_v
+      UNION ALL SELECT next_plan, NULL, true FROM next_v WHERE plan_id = 0 AND next_plan IS NOT NULL)
+GROUP BY plan_id HAVING bool_or(chosen) AND NOT bool_and(chosen)""")
 
 job("plan_snapshot", ("next_v", "total_v"), f"""
 SELECT plan_id, customers, {_round_pct("customers", "(SELECT num FROM total_v)")} AS percent FROM (
@@ -487,7 +487,7 @@ job("annual_upgrades", ("next_v",), """
 SELECT COUNT(DISTINCT customer_id) AS annual_upgrades FROM next_v WHERE next_plan = 3 AND year(start_date) = 2024""")
 
 job("days_to_upgrade", ("days_v",), f"""
-SELECT {exact_round("SUM(days)", "COUNT(days)")} AS avg_days_to_upgrade FROM days_v""")
+SELECT {exact_round("SUM(days)", "COUNT(days)")} AS mean_days FROM days_v""")
 
 job("upgrade_histogram", ("days_v",), """
 SELECT CAST((b - 1) * 10 AS VARCHAR) || '-' || CAST(b * 10 AS VARCHAR) AS day_range, COUNT(*) AS customers
@@ -500,7 +500,7 @@ FROM subs_v a JOIN subs_v b ON a.customer_id = b.customer_id AND a.plan_id = 0 A
 PAIR_DAYS = "(CAST(b.start_date AS DATE) - CAST(a.start_date AS DATE))"
 
 job("days_to_upgrade_pairs", ("subs_v",), f"""
-SELECT {exact_round(f"SUM{PAIR_DAYS}", f"COUNT{PAIR_DAYS}")} AS avg_days_to_upgrade {UPGRADES}""")
+SELECT {exact_round(f"SUM{PAIR_DAYS}", f"COUNT{PAIR_DAYS}")} AS mean_days {UPGRADES}""")
 
 job("upgrade_histogram_pairs", ("subs_v",), f"""
 SELECT CAST((b - 1) * 10 AS VARCHAR) || '-' || CAST(b * 10 AS VARCHAR) AS day_range, COUNT(*) AS upgrades

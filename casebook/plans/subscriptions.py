@@ -69,30 +69,29 @@ def _customer_flags(subs: DataFrame, flag) -> DataFrame:
 def churn_percent(subs):
     """Churned customers and their share of all customers (not rounded)."""
     agg = _customer_flags(subs, F.col("plan_id") == CHURN)
-    return agg.select(F.col("_hit").alias("num_churned"), percent_of("_hit", "_total").alias("percent_churned"))
+    return agg.select(F.col("_hit").alias("churned_customers"), percent_of("_hit", "_total").alias("churned_percent"))
 
 
 def direct_churn(subs, order=("start_date",), method="split", ready=None):
     """Customers whose trial is followed at once by churn, and their share."""
     nxt = timeline(subs, order, method) if ready is None else ready
     agg = _customer_flags(nxt, transition("plan_id", "next_plan", TRIAL, CHURN))
-    return agg.select(F.col("_hit").alias("direct_churners"), percent_of("_hit", "_total").alias("percent_churned"))
+    return agg.select(F.col("_hit").alias("left_after_trial"), percent_of("_hit", "_total").alias("left_percent"))
 
 
 def conversion_share(subs, order=("start_date",), method="split", ready=None):
-    """Plan chosen right after the trial, against all customers of that plan."""
+    """Plan chosen right after the trial, against all customers of that plan.
+
+    One grouping: each row counts for its own plan, by its customer, and each trial's row for the plan that follows it.
+    """
     nxt = timeline(subs, order, method) if ready is None else ready
-    conversions = (
-        nxt.filter(F.col("next_plan").isNotNull() & (F.col("plan_id") == TRIAL))
-        .groupBy(F.col("next_plan").alias("plan_id"))
-        .agg(F.count(F.lit(1)).alias("total_conversions"))
-    )
-    per_plan = subs.groupBy("plan_id").agg(F.countDistinct("customer_id").alias("num"))
-    joined = per_plan.join(conversions, "plan_id")
-    return joined.select(
-        "plan_id", "total_conversions", "num",
-        round_percent("total_conversions", "num").alias("percent_converted"),
-    )
+    nobody = F.lit(None).cast(subs.schema["customer_id"].dataType)
+    own = F.struct("plan_id", F.col("customer_id").alias("_who"), F.lit(0).alias("_chosen"))
+    chosen = F.struct(F.when(F.col("plan_id") == TRIAL, F.col("next_plan")).alias("plan_id"), nobody.alias("_who"), F.lit(1).alias("_chosen"))
+    per_plan = nxt.select(F.explode(F.array(own, chosen)).alias("_s")).select("_s.*").filter(F.col("plan_id").isNotNull()).groupBy("plan_id").agg(
+        F.sum("_chosen").alias("chosen_after_trial"), F.countDistinct("_who").alias("customers"), F.min("_chosen").alias("_only_chosen"))
+    return per_plan.filter("chosen_after_trial > 0 AND _only_chosen = 0").select(
+        "plan_id", "chosen_after_trial", "customers", round_percent("chosen_after_trial", "customers").alias("chosen_percent"))
 
 
 def plan_snapshot(subs, at="2020-12-31", order=("start_date",), closed="neither", method="split", ready=None):
@@ -145,11 +144,11 @@ def days_to_upgrade(subs, pairs="first"):
     """
     if pairs == "all":
         return pair_totals(subs, **_trial_annual()).select(
-            exact_round_ratio("total", "known", 2, wide=True).alias("avg_days_to_upgrade"))
+            exact_round_ratio("total", "known", 2, wide=True).alias("mean_days"))
     if pairs != "first":
         raise ValueError("pairs must be 'first' or 'all'")
     days = _days_to_annual(subs)
-    return days.agg(exact_round_ratio(F.sum("days"), F.count("days"), 2).alias("avg_days_to_upgrade"))
+    return days.agg(exact_round_ratio(F.sum("days"), F.count("days"), 2).alias("mean_days"))
 
 
 def upgrade_histogram(subs, lo=0, hi=360, buckets=12, pairs="first", method="split"):

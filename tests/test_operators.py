@@ -328,8 +328,8 @@ def test_null_customers_and_no_rows(spark):
     some = spark.createDataFrame([(1, 4, D("2020-01-01")), (2, 0, D("2020-01-01")), (None, 4, D("2020-01-01")),
                                   (None, 0, D("2020-01-01")), (None, 3, D("2020-03-01"))], schema)
     assert [tuple(r) for r in churn_percent(some).collect()] == [(1, 50.0)]
-    assert churn_percent(some.limit(0)).collect()[0].num_churned == 0
-    assert days_to_upgrade(some).collect()[0].avg_days_to_upgrade is None
+    assert churn_percent(some.limit(0)).collect()[0].churned_customers == 0
+    assert days_to_upgrade(some).collect()[0].mean_days is None
 
 
 def test_list_separator_is_no_pattern(spark):
