@@ -41,7 +41,7 @@ by_value(__name__)
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 PACK = 5_000_000  # bytes of text in a pack: a task holds one at a time
-STEPS = 2000  # in sequence, at least: small corpora are gone over again
+STEPS = 1000  # in sequence, at least: small corpora are gone over again
 TRUST = 20.0  # pairs that the class counts alone stand for beside the counts after a class
 RATE = 3e-3
 LESSON = 2048  # windows in a training row
