@@ -94,11 +94,14 @@ def _counted(parts):
     at = F.when(F.size(parts) > 0, F.sequence(F.lit(0), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
     starts = F.filter(at, lambda i: (i == 0) | ~same(i))
 
-    def text(start, k):
-        name, n = F.get(parts, start)["topping_name"], F.coalesce(F.get(starts, k + 1), F.size(parts)) - start
-        return F.when(n > 1, F.concat(n.cast("string"), F.lit("x"), name)).otherwise(name)
+    def texts(begun):
+        def text(start, k):
+            name, n = F.get(parts, start)["topping_name"], F.coalesce(F.get(begun, k + 1), F.size(parts)) - start
+            return F.when(n > 1, F.concat(n.cast("string"), F.lit("x"), name)).otherwise(name)
 
-    return F.transform(starts, text)
+        return F.transform(begun, text)
+
+    return F.get(F.transform(F.array(starts), texts), 0)  # the starts are found once
 
 
 def ingredient_list(orders: DataFrame, recipes: DataFrame, toppings: DataFrame, names: DataFrame):
@@ -121,8 +124,9 @@ def ingredient_list(orders: DataFrame, recipes: DataFrame, toppings: DataFrame,
     excluded = F.coalesce(parse_int_list("exclusions"), F.array().cast("array<int>"))
     rows = rows.withColumn("_out", excluded)
     kept = F.filter(F.coalesce("_base", empty), lambda p: ~F.coalesce(F.array_contains("_out", p["topping_id"]), F.lit(False)))
-    rows = rows.withColumn("_parts", F.sort_array(F.concat(kept, F.coalesce("_added", empty))))
-    text = F.concat(F.col("pizza_name"), F.lit(": "), F.array_join(_counted(F.col("_parts")), ", "))
+    parts = F.array(F.sort_array(F.concat(kept, F.coalesce("_added", empty))))  # bound by the lambda: merged once a row
+    listed = F.get(F.transform(parts, lambda p: F.array_join(_counted(p), ", ")), 0)
+    text = F.concat(F.col("pizza_name"), F.lit(": "), listed)
     return rows.select("order_id", "pizza_id", text.alias("ingredients"))
 
 

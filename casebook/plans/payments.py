@@ -48,7 +48,7 @@ def payments(subs: DataFrame, plans: DataFrame, horizon="2020-12-31", tiebreak=(
     followed = along(paid, key, order, lead={"next_plan": "plan_id"}, method=method)
     gives_up = (F.col("plan_id") == PRO) & F.coalesce(F.col("next_plan") == ANNUAL, F.lit(False))
     series = calendar("start_date", F.col("step"))
-    counted = followed.withColumn("n", dates_until(series, "stop") - gives_up.cast("long")).filter("n > 0").drop("next_plan")
+    counted = followed.withColumn("n", F.get(F.transform(F.array(series), lambda c: dates_until(c, "stop")), 0) - gives_up.cast("long")).filter("n > 0").drop("next_plan")
     numbered = along(counted, key, order, lag={"prev_plan": "plan_id"}, running=("upto", "n"), method=method)
     each = numbered.withColumn("series", series).select("*", F.explode(steps("n")).alias("pos"))
     each = each.withColumn("payment_date", date_at(F.col("series"), F.col("pos")))
