@@ -101,6 +101,16 @@ def test_a_hot_key_keeps_the_plain_form(spark, tmp_path, monkeypatch, no_broadca
     assert bag(V.sales_v(laid)) == bag(V.sales_v(plain))
 
 
+def test_buckets_follow_the_rows_in_memory_not_the_files(spark, tmp_path, monkeypatch):
+    """Files that compress well hold many more bytes of rows than their own: a task sorts the rows."""
+    monkeypatch.setattr(layout, "BUCKET_BYTES", 1 << 18)
+    facts(spark, str(tmp_path), 60000, 0)
+    t = Tables(spark, str(tmp_path))
+    n = layout.bucket_number(t, layout.ORDER_KEY)
+    assert 60000 * (8 + 11 * 8 + 16) / n <= 1 << 18
+    assert n == 1 << (n.bit_length() - 1) and n <= 128
+
+
 def test_changed_sources_are_read_again(spark, tmp_path):
     facts(spark, str(tmp_path), 200, 0)
     laid = layout.co_locate(Tables(spark, str(tmp_path)), str(tmp_path / "l"), buckets=2)
