@@ -8,6 +8,7 @@ width) are set here for the generated data.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -402,13 +403,16 @@ def _j42(spark, sf):
 SUBS_ORDER = ("start_date", "event_id")
 
 
-def _subs(spark, sf) -> dict:
-    """The subscriptions and their timeline, which the session's jobs share: written by the first, read by the others."""
+def _on_subs(job: Callable[..., DataFrame], spark, sf, **more) -> DataFrame:
+    """``job`` on the subscriptions and their timeline, which the session's jobs share: written by the first, read by the others.
+    The timeline is held as long as the job's DataFrame lives."""
     t = tables_for(spark, sf)
     subs = V.subs_v(t)
     lease = session_tables(spark).lease("timeline", subs, lambda: subscriptions.timeline(subs, SUBS_ORDER), SUBS_ORDER,
                                         inputs=[t.path("events")])
-    return {"subs": subs, "order": SUBS_ORDER, "ready": lease.df}
+    out = job(subs=subs, order=SUBS_ORDER, ready=lease.df, **more)
+    weakref.finalize(out, lease.release).atexit = False
+    return out
 
 
 @register("total_customers")
@@ -444,22 +448,22 @@ def _j47(spark, sf):
 
 @register("direct_churn")
 def _j48(spark, sf):
-    return subscriptions.direct_churn(**_subs(spark, sf))
+    return _on_subs(subscriptions.direct_churn, spark, sf)
 
 
 @register("conversion_share")
 def _j49(spark, sf):
-    return subscriptions.conversion_share(**_subs(spark, sf))
+    return _on_subs(subscriptions.conversion_share, spark, sf)
 
 
 @register("plan_snapshot")
 def _j50(spark, sf):
-    return subscriptions.plan_snapshot(**_subs(spark, sf), at=SNAPSHOT_AT)
+    return _on_subs(subscriptions.plan_snapshot, spark, sf, at=SNAPSHOT_AT)
 
 
 @register("annual_upgrades")
 def _j51(spark, sf):
-    return subscriptions.annual_upgrades(**_subs(spark, sf), year=UPGRADE_YEAR)
+    return _on_subs(subscriptions.annual_upgrades, spark, sf, year=UPGRADE_YEAR)
 
 
 @register("days_to_upgrade")
@@ -489,7 +493,7 @@ def _j53_pairs(spark, sf):
 
 @register("downgrades")
 def _j54(spark, sf):
-    return subscriptions.downgrades(**_subs(spark, sf))
+    return _on_subs(subscriptions.downgrades, spark, sf)
 
 
 # --- payment schedule (J55) -------------------------------------------------
