@@ -103,45 +103,41 @@ def _shares(s: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s, s.reshape(-1, SPAN) @ _ONES[:SPAN]  # a product with ones: several times faster than a sum over short rows
 
 
+# Training subtracts each row's greatest and divides by plain sums: gradients that are zero then come out as zero, and Adam makes steps of
+# whole rates out of anything else, rounding too.
 def _forward(w: dict, inputs: np.ndarray, seen: np.ndarray) -> dict:
-    """All that ``gradient`` needs; a row a slot (x, kv) or a place (the others). The queries hold the scale."""
-    b = len(inputs)
-    x = w["embed"].take(inputs.ravel(), axis=0)
-    kv = (x @ np.concatenate([w["key"], w["value"]], 1)).reshape(b, SPAN, 2 * WIDTH)
-    own = x.reshape(b, SPAN, WIDTH)[:, CONTEXT:].reshape(-1, WIDTH)
-    q = (own @ (w["query"] * _SCALE)).reshape(b, SCORED, WIDTH)
-    s = np.matmul(q, kv[:, :, :WIDTH].transpose(0, 2, 1))
-    s += _near(w)
-    s, total = _shares(s, seen)
-    s *= (1 / total).reshape(b, SCORED, 1)
-    mixed = np.matmul(s, kv[:, :, WIDTH:]).reshape(-1, WIDTH)
-    y = mixed @ w["out"]
-    y += own
-    h = y @ w["up"]
-    h += w["up0"]
-    np.maximum(h, 0, out=h)
-    z = h @ w["down"]
-    z += y
-    return {"x": x, "kv": kv, "own": own, "q": q, "a": s, "mixed": mixed, "y": y, "h": h, "z": z}
-
-
-def _softmax_gradient(logits: np.ndarray, target: np.ndarray, n: int) -> tuple[float, np.ndarray]:
-    """(the loss of the targets, summed; the gradient of its ``n``-th part)."""
-    rows, width = logits.shape
-    at = np.arange(rows) * width + target
-    own = logits.ravel()[at].sum(dtype=np.float64)
-    high = 0.0
-    if logits.max(initial=0) <= 60:
-        out = np.exp(logits)
-        total = out @ _ONES[:width]
-    if logits.max(initial=0) > 60 or total.min(initial=1) < 1e-30:  # beyond single precision: from each row's greatest
-        top = logits.max(1, keepdims=True)
-        high, out = top.sum(dtype=np.float64), np.exp(logits - top)
-        total = out @ _ONES[:width]
-    loss = float(np.log(total).sum(dtype=np.float64) + high - own)
-    out *= (1 / (total * n))[:, None]
-    out.ravel()[at] -= 1 / n
-    return loss, out
+    x = w["embed"][inputs]
+    b = len(x)
+    k, v = x @ w["key"], x @ w["value"]
+    own = x[:, CONTEXT:]
+    q = own @ w["query"]
+    s = q @ k.transpose(0, 2, 1)
+    s *= np.float32(WIDTH ** -0.5)
+    s += np.where(_CAUSAL, w["near"][np.maximum(_DISTANCE, 0)], np.float32(-1e9))
+    cut = np.flatnonzero(seen[:, -1])  # windows with a text's start inside
+    if len(cut):
+        s[cut] = np.where(_SLOT[None, None, :] < seen[cut][:, :, None], np.float32(-1e9), s[cut])
+    s -= s.max(2, keepdims=True)
+    np.exp(s, out=s)
+    s /= s.sum(2, keepdims=True)
+    mixed = s @ v
+    y = own + mixed @ w["out"]
+    y = y.reshape(b * SCORED, WIDTH)
+    h = np.maximum(y @ w["up"] + w["up0"], 0)
+    return {"x": x, "k": k, "v": v, "q": q, "a": s, "mixed": mixed, "y": y, "h": h, "z": y + h @ w["down"]}
+
+
+def _softmax_gradient(logits: np.ndarray, rows: np.ndarray, target: np.ndarray, n: int) -> float:
+    """The loss of the targets, summed; ``logits`` become the gradient of its ``n``-th part."""
+    logits -= logits.max(1, keepdims=True) if len(logits) else 0
+    own = logits[rows, target].sum(dtype=np.float64)
+    np.exp(logits, out=logits)
+    total = logits.sum(1, keepdims=True)
+    loss = float(np.log(total).sum(dtype=np.float64) - own)
+    logits /= total
+    logits[rows, target] -= 1
+    logits /= n
+    return loss
 
 
 class Model:
@@ -220,49 +216,47 @@ class Model:
         # Places in the order of their groups: the member logits of a group are one slice, their softmax is one for all.
         order = np.argsort(np.where(real, t // MEMBERS, GROUPS).astype(np.uint8), kind="stable")
         own = order[:n] if real.any() else order[:0]
-        t, b = t[own], len(inputs)
-        z, g = f["z"].take(own, axis=0), {"member": np.zeros(SHAPES["member"], f["z"].dtype)}
+        t = t[own]
+        z, g = f["z"][own], {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
         previous = inputs[:, CONTEXT:].ravel()[own]
-        group = t // MEMBERS
+        group, member, rows = t // MEMBERS, t % MEMBERS, np.arange(len(t))
         d = z @ w["group"]
-        d += self.follow.take(previous, axis=0)
-        loss, d = _softmax_gradient(d, group, n)
+        d += self.follow[previous]
+        loss = _softmax_gradient(d, rows, group, n)
         g["group"] = z.T @ d
         dz_own = d @ w["group"].T
-        more, d = _softmax_gradient(self._member_logits(z, previous, group), t % MEMBERS, n)
-        loss += more
+        d = self.inside[previous, group].astype(z.dtype, copy=False)
         cuts = np.searchsorted(group, np.arange(GROUPS + 1))
-        for c in np.flatnonzero(np.diff(cuts)):
-            part = slice(cuts[c], cuts[c + 1])
-            np.matmul(z[part].T, d[part], out=g["member"][c])
+        parts = [(c, slice(cuts[c], cuts[c + 1])) for c in np.flatnonzero(np.diff(cuts))]
+        for c, part in parts:
+            d[part] += z[part] @ w["member"][c]
+        loss += _softmax_gradient(d, rows, member, n)
+        for c, part in parts:
+            g["member"][c] = z[part].T @ d[part]
             dz_own[part] += d[part] @ w["member"][c].T
         dz = np.zeros_like(f["z"])
         dz[own] = dz_own
-        dh = dz @ w["down"].T
-        dh *= f["h"] > 0
+        dh = (dz @ w["down"].T) * (f["h"] > 0)
         g["down"], g["up"], g["up0"] = f["h"].T @ dz, f["y"].T @ dh, dh.sum(0)
-        dy = dh @ w["up"].T
-        dy += dz
-        g["out"] = f["mixed"].T @ dy
+        dy = (dz + dh @ w["up"].T).reshape(len(inputs), SCORED, WIDTH)
+        g["out"] = np.einsum("bsi,bsj->ij", f["mixed"], dy, optimize=True)
         dm = dy @ w["out"].T
-        mean = (dm * f["mixed"]) @ _ONES[:WIDTH]  # of the shares' gradients, by the shares
-        dm = dm.reshape(b, SCORED, WIDTH)
-        ds = np.matmul(dm, f["kv"][:, :, WIDTH:].transpose(0, 2, 1))
-        ds -= mean.reshape(b, SCORED, 1)
-        ds *= f["a"]
-        g["near"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), (np.ones(b, np.float32) @ ds.reshape(b, -1)) * _CAUSAL.ravel(), SPAN).astype(np.float32)
-        dq = np.matmul(ds, f["kv"][:, :, :WIDTH]).reshape(-1, WIDTH)
-        dkv = np.empty((b, SPAN, 2 * WIDTH), ds.dtype)
-        dkv[:, :, :WIDTH] = np.matmul(ds.transpose(0, 2, 1), f["q"])
-        dkv[:, :, WIDTH:] = np.matmul(f["a"].transpose(0, 2, 1), dm)
-        dkv = dkv.reshape(-1, 2 * WIDTH)
-        both = f["x"].T @ dkv
-        g["query"], g["key"], g["value"] = (f["own"].T @ dq) * _SCALE, both[:, :WIDTH], both[:, WIDTH:]
-        dx = dkv @ np.concatenate([w["key"], w["value"]], 1).T
-        dy += dq @ (w["query"] * _SCALE).T
-        dx.reshape(b, SPAN, WIDTH)[:, CONTEXT:] += dy.reshape(b, SCORED, WIDTH)
-        at = (inputs.reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
-        g["embed"] = np.bincount(at, dx.ravel(), CLASSES * WIDTH).reshape(CLASSES, WIDTH).astype(np.float32)
+        da = dm @ f["v"].transpose(0, 2, 1)
+        dv = f["a"].transpose(0, 2, 1) @ dm
+        da -= np.einsum("bij,bij->bi", da, f["a"])[:, :, None]
+        da *= f["a"]
+        ds = da
+        g["near"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), (ds.sum(0) * _CAUSAL).ravel(), SPAN).astype(np.float32)
+        ds *= np.float32(WIDTH ** -0.5)
+        dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
+        own = f["x"][:, CONTEXT:]
+        two = lambda a, b: a.reshape(-1, WIDTH).T @ b.reshape(-1, WIDTH)
+        g["query"], g["key"], g["value"] = two(own, dq), two(f["x"], dk), two(f["x"], dv)
+        dx = dk @ w["key"].T + dv @ w["value"].T
+        dx[:, CONTEXT:] += dy + dq @ w["query"].T
+        flat_x, at = dx.reshape(-1, WIDTH), inputs.ravel()
+        for k in range(WIDTH):
+            g["embed"][:, k] = np.bincount(at, flat_x[:, k], CLASSES)
         return loss / n, g
 
 

@@ -267,19 +267,18 @@ def test_attention_gradient_and_scores():
 
 
 @pytest.mark.parametrize("shift", [0.0, -300.0, 300.0])
-def test_softmax_gradient_in_and_beyond_single_precision(shift):
-    """Sums by products with ones, from the greatest logit only where it must be: loss and gradient are those of the definition."""
+def test_attention_shares_in_and_beyond_single_precision(shift):
+    """Sums by products with ones, from the greatest score only where it must be: the shares are those of the definition."""
     rng = np.random.default_rng(3)
-    logits = (rng.standard_normal((50, attention.GROUPS)) * 3 + shift).astype(np.float32)
-    logits[7] -= 500
-    target = rng.integers(0, attention.GROUPS, 50)
-    exact = logits.astype(np.float64) - logits.max(1, keepdims=True)
-    p = np.exp(exact) / np.exp(exact).sum(1, keepdims=True)
-    want = p - np.eye(attention.GROUPS)[target]
-    loss, got = attention._softmax_gradient(logits, target, 50)
-    assert loss == pytest.approx(-np.log(p[np.arange(50), target]).sum(), rel=1e-4) and got.dtype == np.float32
-    assert np.allclose(got, want / 50, atol=1e-6)
-    assert attention._softmax_gradient(logits[:0], target[:0], 1)[0] == 0
+    scores = (rng.standard_normal((5, attention.SCORED, attention.SPAN)) * 3 + shift).astype(np.float32)
+    scores += np.where(attention._CAUSAL, np.float32(0), np.float32(-1e9))
+    seen = np.zeros((5, attention.SCORED), np.int64)
+    seen[2] = attention.CONTEXT
+    exact = np.where(attention._SLOT < seen[:, :, None], -1e9, scores.astype(np.float64))
+    want = np.exp(exact - exact.max(2, keepdims=True))
+    want /= want.sum(2, keepdims=True)
+    got, total = attention._shares(scores, seen)
+    assert np.allclose(got / total.reshape(5, -1, 1), want, atol=1e-5)
 
 
 def test_language_model_counts_and_scores(spark, monkeypatch, tmp_path):
