@@ -103,8 +103,8 @@ def _shares(s: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s, s.reshape(-1, SPAN) @ _ONES[:SPAN]  # a product with ones: several times faster than a sum over short rows
 
 
-# Training subtracts each row's greatest and divides by plain sums: gradients that are zero then come out as zero, and Adam makes steps of
-# whole rates out of anything else, rounding too.
+# Training subtracts each row's greatest and divides by plain sums: gradients that are zero then come out as zero; Adam may make
+# whole steps of rounding.
 def _forward(w: dict, inputs: np.ndarray, seen: np.ndarray) -> dict:
     x = w["embed"][inputs]
     b = len(x)
