@@ -17,7 +17,7 @@ from casebook.sources.sinks import freeze
 # A word is a run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["WORD", "by_value", "lean", "table", "cut", "shared_folder", "row_numbers", "shuffle_partitions"]
+__all__ = ["WORD", "by_value", "lean", "warm_heap", "table", "cut", "shared_folder", "row_numbers", "shuffle_partitions"]
 
 
 def by_value(module: str) -> None:
@@ -48,6 +48,14 @@ def lean(run):
     return over
 
 
+def warm_heap() -> None:
+    """For tasks that make arrays of up to some megabytes over and over: freeing one untouched block of 31 MB raises glibc's thresholds
+    (mmap to 31 MB, trim to twice that), so later blocks come from memory the process has, not from the system page by page."""
+    import numpy as np
+
+    np.empty(31 << 20, np.uint8)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A whole input table. Spark's reader only: the folder may be in a store that nothing else reads."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -103,39 +103,54 @@ def _shares(s: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s, s.reshape(-1, SPAN) @ _ONES[:SPAN]  # a product with ones: several times faster than a sum over short rows
 
 
+def _greatest(x: np.ndarray) -> np.ndarray:
+    """``x.max(-1, keepdims=True)``; columns side by side compare faster than short rows."""
+    return np.ascontiguousarray(x.reshape(-1, x.shape[-1]).T).max(0).reshape(*x.shape[:-1], 1)
+
+
+def _rectified(h: np.ndarray, w: dict) -> np.ndarray:
+    """max(h + up0, 0), in place; whole arrays are added and compared faster than short rows and numbers."""
+    windows_ = h.reshape(-1, SCORED * HIDDEN)
+    windows_ += np.tile(w["up0"], SCORED)
+    return np.maximum(h, np.zeros_like(h), out=h)
+
+
 # Training subtracts each row's greatest and divides by plain sums: gradients that are zero then come out as zero; Adam may make
 # whole steps of rounding.
 def _forward(w: dict, inputs: np.ndarray, seen: np.ndarray) -> dict:
-    x = w["embed"][inputs]
-    b = len(x)
+    b = len(inputs)
+    x = w["embed"].take(inputs.ravel(), axis=0).reshape(b, SPAN, WIDTH)
     k, v = x @ w["key"], x @ w["value"]
     own = x[:, CONTEXT:]
     q = own @ w["query"]
-    s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(WIDTH ** -0.5)
-    s += np.where(_CAUSAL, w["near"][np.maximum(_DISTANCE, 0)], np.float32(-1e9))
+    s = (q * _SCALE) @ k.transpose(0, 2, 1)
+    s += _near(w)
     cut = np.flatnonzero(seen[:, -1])  # windows with a text's start inside
     if len(cut):
         s[cut] = np.where(_SLOT[None, None, :] < seen[cut][:, :, None], np.float32(-1e9), s[cut])
-    s -= s.max(2, keepdims=True)
+    s -= _greatest(s)
     np.exp(s, out=s)
     s /= s.sum(2, keepdims=True)
     mixed = s @ v
-    y = own + mixed @ w["out"]
+    y = mixed @ w["out"]
+    y += own
     y = y.reshape(b * SCORED, WIDTH)
-    h = np.maximum(y @ w["up"] + w["up0"], 0)
-    return {"x": x, "k": k, "v": v, "q": q, "a": s, "mixed": mixed, "y": y, "h": h, "z": y + h @ w["down"]}
+    h = _rectified(y @ w["up"], w)
+    z = h @ w["down"]
+    z += y
+    return {"x": x, "own": own, "k": k, "v": v, "q": q, "a": s, "mixed": mixed, "y": y, "h": h, "z": z}
 
 
 def _softmax_gradient(logits: np.ndarray, rows: np.ndarray, target: np.ndarray, n: int) -> float:
     """The loss of the targets, summed; ``logits`` become the gradient of its ``n``-th part."""
-    logits -= logits.max(1, keepdims=True) if len(logits) else 0
-    own = logits[rows, target].sum(dtype=np.float64)
+    logits -= _greatest(logits) if len(logits) else 0
+    at = rows * logits.shape[1] + target
+    own = logits.ravel()[at].sum(dtype=np.float64)
     np.exp(logits, out=logits)
     total = logits.sum(1, keepdims=True)
     loss = float(np.log(total).sum(dtype=np.float64) - own)
     logits /= total
-    logits[rows, target] -= 1
+    logits.ravel()[at] -= 1
     logits /= n
     return loss
 
@@ -173,9 +188,7 @@ class Model:
         y = np.matmul(s, ready["value"].take(slots, axis=0).reshape(b, SPAN, WIDTH)).reshape(-1, WIDTH)
         y *= (1 / total)[:, None]
         y += w["embed"].take(own, axis=0)
-        h = y @ w["up"]
-        h += w["up0"]
-        np.maximum(h, 0, out=h)
+        h = _rectified(y @ w["up"], w)
         z = h @ w["down"]
         z += y
         return z
@@ -217,15 +230,15 @@ class Model:
         order = np.argsort(np.where(real, t // MEMBERS, GROUPS).astype(np.uint8), kind="stable")
         own = order[:n] if real.any() else order[:0]
         t = t[own]
-        z, g = f["z"][own], {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
+        z, g = f["z"].take(own, axis=0), {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
         previous = inputs[:, CONTEXT:].ravel()[own]
         group, member, rows = t // MEMBERS, t % MEMBERS, np.arange(len(t))
         d = z @ w["group"]
-        d += self.follow[previous]
+        d += self.follow.take(previous, axis=0)
         loss = _softmax_gradient(d, rows, group, n)
         g["group"] = z.T @ d
         dz_own = d @ w["group"].T
-        d = self.inside[previous, group].astype(z.dtype, copy=False)
+        d = self.inside.reshape(-1, MEMBERS).take(previous * GROUPS + group, axis=0).astype(z.dtype, copy=False)
         cuts = np.searchsorted(group, np.arange(GROUPS + 1))
         parts = [(c, slice(cuts[c], cuts[c + 1])) for c in np.flatnonzero(np.diff(cuts))]
         for c, part in parts:
@@ -234,11 +247,16 @@ class Model:
         for c, part in parts:
             g["member"][c] = z[part].T @ d[part]
             dz_own[part] += d[part] @ w["member"][c].T
-        dz = np.zeros_like(f["z"])
-        dz[own] = dz_own
-        dh = (dz @ w["down"].T) * (f["h"] > 0)
+        back = np.full(len(f["z"]), len(own))  # row of each place among its own, or the last, of zeros
+        back[own] = rows
+        dz = np.concatenate([dz_own, np.zeros((1, WIDTH), dz_own.dtype)]).take(back, axis=0)
+        dh = dz @ w["down"].T
+        dh *= f["h"] > 0
         g["down"], g["up"], g["up0"] = f["h"].T @ dz, f["y"].T @ dh, dh.sum(0)
-        dy = (dz + dh @ w["up"].T).reshape(len(inputs), SCORED, WIDTH)
+        dy = dh @ w["up"].T
+        dy += dz
+        dy = dy.reshape(len(inputs), SCORED, WIDTH)
+        two = lambda a, b: a.reshape(-1, WIDTH).T @ b.reshape(-1, WIDTH)
         g["out"] = np.einsum("bsi,bsj->ij", f["mixed"], dy, optimize=True)
         dm = dy @ w["out"].T
         da = dm @ f["v"].transpose(0, 2, 1)
@@ -247,19 +265,38 @@ class Model:
         da *= f["a"]
         ds = da
         g["near"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), (ds.sum(0) * _CAUSAL).ravel(), SPAN).astype(np.float32)
-        ds *= np.float32(WIDTH ** -0.5)
         dq, dk = ds @ f["k"], ds.transpose(0, 2, 1) @ f["q"]
-        own = f["x"][:, CONTEXT:]
-        two = lambda a, b: a.reshape(-1, WIDTH).T @ b.reshape(-1, WIDTH)
-        g["query"], g["key"], g["value"] = two(own, dq), two(f["x"], dk), two(f["x"], dv)
-        dx = dk @ w["key"].T + dv @ w["value"].T
-        dx[:, CONTEXT:] += dy + dq @ w["query"].T
-        flat_x, at = dx.reshape(-1, WIDTH), inputs.ravel()
+        dq *= _SCALE
+        dk *= _SCALE
+        g["query"], g["key"], g["value"] = two(f["own"], dq), two(f["x"], dk), two(f["x"], dv)
+        dx = dk @ w["key"].T
+        dx += dv @ w["value"].T
+        dy += dq @ w["query"].T
+        dx[:, CONTEXT:] += dy
+        columns, at = dx.reshape(-1, WIDTH).T.astype(np.float64, order="C"), inputs.ravel()
         for k in range(WIDTH):
-            g["embed"][:, k] = np.bincount(at, flat_x[:, k], CLASSES)
+            g["embed"][:, k] = np.bincount(at, columns[k], CLASSES)
         return loss / n, g
 
 
+def _adam(w: np.ndarray, g: np.ndarray, first: np.ndarray, second: np.ndarray, rate: float, step: int) -> None:
+    """One step, in place; ``g`` is overwritten."""
+    change = g - first
+    change *= 0.1
+    first += change
+    g *= g
+    g -= second
+    g *= 0.01
+    second += g
+    np.divide(second, 1 - 0.99**step, out=g)
+    np.sqrt(g, out=g)
+    g += 1e-8
+    np.divide(first, 1 - 0.9**step, out=change)
+    change *= rate
+    change /= g
+    w -= change
+
+
 def train(model: Model, inputs: np.ndarray, targets: np.ndarray, seen: np.ndarray, rate: float, batch: int = 256, seed: int = 0,
           state: dict | None = None) -> int:
     """One pass of Adam steps over the windows in a fixed random order, changing the model's weights; the number of steps so far.
@@ -275,9 +312,7 @@ def train(model: Model, inputs: np.ndarray, targets: np.ndarray, seen: np.ndarra
         _, g = model.gradient(inputs[own], targets[own], seen[own])
         step += 1
         for k in SHAPES:
-            first[k] += 0.1 * (g[k] - first[k])
-            second[k] += 0.01 * (g[k] * g[k] - second[k])
-            model.w[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
+            _adam(model.w[k], g[k], first[k], second[k], rate, step)
     state["step"] = step
     return step
 

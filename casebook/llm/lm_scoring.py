@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casebook.llm import attention, wordhash
-from casebook.llm._common import by_value, cut, lean, shared_folder, shuffle_partitions
+from casebook.llm._common import by_value, cut, lean, shared_folder, shuffle_partitions, warm_heap
 from casebook.llm.arrow_output import store
 from casebook.llm.suffix_dedup import _write_answers
 
@@ -372,6 +372,8 @@ def _count_and_teach(buckets: int, folder: str, classes_of, turns: int, parts: i
     """Kind 0: how often each class follows each; kind 1: lessons, dealt to turns and their groups."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         vocabulary, classes = Vocabulary(folder, buckets), classes_of.value
         pairs = np.zeros(attention.CLASSES ** 2, np.int64)
 
@@ -390,7 +392,7 @@ def _count_and_teach(buckets: int, folder: str, classes_of, turns: int, parts: i
         for pack in packs(batches, buckets):
             for count, lesson in enumerate(lessons(streams(pack, *vocabulary.of(pack)[1:]))):
                 yield row(1, (pack.no << 12) + count, lesson)
-        yield row(0, 0, _sparse(pairs))
+        yield row(0, TaskContext.get().partitionId(), _sparse(pairs))
     return run
 
 
@@ -430,6 +432,7 @@ def _train_parts(model_of, start_of, pass_no: int, rate: float, step: int, least
     (both * windows, windows, steps * windows), summed for the task (64-bit fixed point). A task's rows come group by group."""
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        warm_heap()
         weights, moments = model_of.value
         total, group, held = None, None, []
 
@@ -487,6 +490,7 @@ def _score(buckets: int, folder: str, classes_of, start_of, model_of, totals: tu
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        warm_heap()
         vocabulary, classes = Vocabulary(folder, buckets), classes_of.value
         model = attention.Model(attention.shaped(model_of.value), *start_of.value)
         below = math.log10(n_total + (v + 1))
@@ -550,7 +554,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
     lesson_rows = rows.mapInArrow(_count_and_teach(buckets, folder, classes_of, turns, parts), COUNTED)
     files = max(shuffle_partitions(spark), min(turns * parts, 4096), windows * (2 * attention.SCORED + 1) // LESSON_BYTES)
     found = shared_folder(spark, "lm-windows")
-    lesson_rows.repartitionByRange(files, "kind", "turn", "part").sortWithinPartitions("kind", "turn", "part").write.partitionBy(
+    # A group's file follows from its number: ranges would be found by making all lessons once more.
+    file = F.floor((F.col("turn").cast("long") * parts + F.col("part")) * files / (turns * parts)).cast("int")
+    lesson_rows.repartitionById(files, file).sortWithinPartitions("kind", "turn", "part").write.partitionBy(
         "kind", "turn").parquet(found)
     found = spark.read.schema(COUNTED).parquet(found)
     counted = _tree(found.where("kind = 0").select("rows"), _add_pairs)  # the classes' pairs at most

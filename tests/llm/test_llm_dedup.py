@@ -3,7 +3,10 @@
 import collections
 import hashlib
 import math
+import os
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -366,6 +369,57 @@ def test_language_model_in_turns(spark, monkeypatch, tmp_path):
     assert sum(seen) % windows == 0 and sum(seen) >= 2 * windows
 
 
+def test_language_model_makes_its_lessons_once(spark, monkeypatch, tmp_path):
+    """Neither a range exchange's sampling nor anything else runs the scan that cuts the lessons a second time."""
+    spark.createDataFrame([row(k, f"a b c{k % 5} d " * 9) for k in range(60)], ROW).repartition(3).write.parquet(str(tmp_path / "d"))
+    folder, made = tmp_path / "runs", lm_scoring._count_and_teach
+    folder.mkdir()
+
+    def counting(*args):
+        run, marks = made(*args), str(folder)
+
+        def over(batches):
+            import uuid
+
+            open(f"{marks}/{uuid.uuid4().hex}", "w").close()
+            yield from run(batches)
+        return over
+
+    monkeypatch.setattr(lm_scoring, "_count_and_teach", counting)
+    df = spark.read.parquet(str(tmp_path / "d"))
+    assert lm_scoring.score(df).count() == 60
+    assert len(list(folder.iterdir())) == df.rdd.getNumPartitions()
+
+
+STEPS_AND_FAULTS = """
+import resource
+import numpy as np
+from casebook.llm import attention
+from casebook.llm._common import warm_heap
+warm_heap()
+rng = np.random.default_rng(0)
+follow, inside = np.zeros((attention.CLASSES, attention.GROUPS)), np.zeros((attention.CLASSES, attention.GROUPS, attention.MEMBERS))
+model, state = attention.Model(attention.start(), follow, inside), {}
+batch = attention.windows(rng.integers(0, attention.CLASSES, 256 * attention.SCORED), np.zeros(256 * attention.SCORED, np.int64), 0)
+faults = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+for _ in range(3):
+    attention.train(model, *batch, rate=3e-3, state=state)
+before = faults()
+for _ in range(10):
+    attention.train(model, *batch, rate=3e-3, state=state)
+print((faults() - before) / 10)
+"""
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="thresholds of glibc")
+def test_training_steps_reuse_their_memory():
+    """A step's arrays come from memory that the process has: some 2,000 page faults a step took over a quarter of the time."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", STEPS_AND_FAULTS], cwd=root, env={**os.environ, "OMP_NUM_THREADS": "1"},
+                         capture_output=True, text=True, check=True, timeout=120)
+    assert float(out.stdout) < 400
+
+
 def lm_scoring_ids(text):
     import public_tokenizers
 
